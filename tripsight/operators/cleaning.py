@@ -86,10 +86,13 @@ def cleaning_cost(df: DataFrame, cfg: C.RunConfig = C.DEFAULT, extra_rules=()) -
     return one.selectExpr(f"stack({len(keys)}, {stack}) as (stat_order, stat, value)")
 
 
-def leakage_safe(df: DataFrame) -> DataFrame:
-    """PRJ-02: keep allowed features + targets (present ones) in contract order."""
+def leakage_safe(df: DataFrame, keys=()) -> DataFrame:
+    """PRJ-02: keep allowed features + targets (present ones) in contract order.
+
+    ``keys`` (row ids such as ``trip_id``) are carried after the contract columns.
+    """
     keep = [c for c in C.ALLOWED_FEATURES + C.TARGETS if c in df.columns]
-    out = df.select(*keep)
+    out = df.select(*keep, *keys)
     leaked = sorted(set(out.columns) & set(C.BANNED_COLUMNS))
     if leaked:
         raise AssertionError(f"LEAKAGE ERROR: banned columns survived: {leaked}")

@@ -40,8 +40,7 @@ def raw_trips(spark, sf_dir) -> DataFrame:
 
 def kept_trips(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
     """FLT-13 without the write: cleaned, leakage-safe rows plus ``trip_id``."""
-    t = CL.clean(raw_trips(spark, sf_dir), cfg)
-    return CL.leakage_safe(t).withColumn("trip_id", t["trip_id"])
+    return CL.leakage_safe(CL.clean(raw_trips(spark, sf_dir), cfg), keys=("trip_id",))
 
 
 def analysis_frame(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
@@ -57,3 +56,243 @@ def analysis_frame(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
 @query("cleaning_cost")
 def q_cleaning_cost(spark, sf_dir):
     return checked(CL.cleaning_cost(raw_trips(spark, sf_dir)))
+
+
+@query("trips_scan")
+def q_trips_scan(spark, sf_dir):
+    """SRC-01: the raw trip table as scanned (13 columns)."""
+    return checked(A.trips(spark, sf_dir))
+
+
+@query("trip_duration")
+def q_trip_duration(spark, sf_dir):
+    """PRJ-01."""
+    return checked(raw_trips(spark, sf_dir).select("trip_id", CL.PU, "tpep_dropoff_datetime", "duration_minutes"))
+
+
+@query("clean_trips")
+def q_clean_trips(spark, sf_dir):
+    """FLT-01..07 applied as one conjunction, leakage-safe columns."""
+    return checked(kept_trips(spark, sf_dir))
+
+
+@query("leakage_safe_projection")
+def q_leakage_safe(spark, sf_dir):
+    """PRJ-02 on the raw rows: allowed + targets in contract order."""
+    return checked(CL.leakage_safe(raw_trips(spark, sf_dir)))
+
+
+@query("feature_contract_audit")
+def q_contract_audit(spark, sf_dir):
+    """PRJ-03: role of every raw column and how many rows carry it."""
+    t = raw_trips(spark, sf_dir)
+    one = t.agg(*[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(t.columns)])
+    parts = []
+    for i, c in enumerate(t.columns):
+        role = ("allowed" if c in C.ALLOWED_FEATURES else "target" if c in C.TARGETS
+                else "banned" if c in C.BANNED_COLUMNS else "other")
+        parts.append(f"{i + 1}L, '{c}', '{role}', {str(role == 'allowed').lower()}, c{i}")
+    return one.selectExpr(
+        f"stack({len(parts)}, {', '.join(parts)}) as (position, column_name, role, usable, non_null_rows)")
+
+
+@query("outlier_rules_union")
+def q_outlier_union(spark, sf_dir):
+    """FLT-09."""
+    return checked(CL.outlier_rules_union(raw_trips(spark, sf_dir)))
+
+
+@query("temporal_split")
+def q_temporal_split(spark, sf_dir):
+    """FLT-10."""
+    return checked(CL.with_split(kept_trips(spark, sf_dir)))
+
+
+@query("split_summary")
+def q_split_summary(spark, sf_dir):
+    """FLT-11."""
+    return checked(CL.split_summary(CL.with_split(kept_trips(spark, sf_dir))))
+
+
+@query("split_overlap_audit")
+def q_split_overlap(spark, sf_dir):
+    """FLT-12."""
+    return checked(CL.split_overlap(CL.with_split(kept_trips(spark, sf_dir))))
+
+
+@query("clean_and_split")
+def q_clean_and_split(spark, sf_dir):
+    """FLT-13 + SRC-09: clean, project, split, write partitioned by split, read back."""
+    from ..sources.sinks import write_split, read_split
+    path = write_split(CL.with_split(kept_trips(spark, sf_dir)), spark)
+    return checked(read_split(spark, path))
+
+
+@query("sanity_window_corr")
+def q_sanity_corr(spark, sf_dir):
+    """FLT-14 + AGG-12."""
+    return checked(CL.sanity_window_corr(CL.in_month(raw_trips(spark, sf_dir))))
+
+
+@query("out_of_window_by_period")
+def q_out_of_window(spark, sf_dir):
+    """FLT-18."""
+    return checked(CL.out_of_window_by_year(raw_trips(spark, sf_dir)))
+
+
+@query("request_validation")
+def q_request_validation(spark, sf_dir):
+    """FLT-15: failed fields per request (empty = routed to scoring)."""
+    r = CL.request_failures(A.requests(spark, sf_dir))
+    return checked(r.select("request_id", F.array_join("failed_fields", ",").alias("failed_fields"),
+                            F.size("failed_fields").cast("bigint").alias("n_failed"), "valid", "pickup_ts"))
+
+
+@query("row_count_audit")
+def q_row_count_audit(spark, sf_dir):
+    """SRC-04: rows per given table against a minimum (footer counts, no columns read)."""
+    from ..sources.guards import row_count_audit
+    return row_count_audit(spark, sf_dir)
+
+
+@query("file_size_audit")
+def q_file_size_audit(spark, sf_dir):
+    """SRC-03: files and bytes per given table against a minimum size."""
+    from ..sources.guards import file_size_audit
+    return file_size_audit(spark, sf_dir)
+
+
+# --- 2.2 features ---------------------------------------------------------------------
+
+from ..operators import features as FE  # noqa: E402
+
+
+def encoding_for(spark, sf_dir, cfg=C.DEFAULT) -> FE.TargetEncoding:
+    train, _ = CL.split_frames(kept_trips(spark, sf_dir, cfg), cfg)
+    return FE.fit_target_encoding(train, "fare_amount", smoothing=cfg.smoothing)
+
+
+@query("temporal_parts")
+def q_temporal_parts(spark, sf_dir):
+    """PRJ-04."""
+    return FE.with_temporal(A.trips(spark, sf_dir)).select("trip_id", "pickup_hour", "pickup_dayofweek", "pickup_day")
+
+
+@query("temporal_cyclic")
+def q_temporal_cyclic(spark, sf_dir):
+    """PRJ-05."""
+    return checked(FE.with_temporal(A.trips(spark, sf_dir)).select(
+        "trip_id", "sin_hour", "cos_hour", "sin_dayofweek", "cos_dayofweek"))
+
+
+@query("temporal_flags")
+def q_temporal_flags(spark, sf_dir):
+    """PRJ-06..08."""
+    return FE.with_temporal(A.trips(spark, sf_dir)).select("trip_id", "is_weekend", "is_rush_hour", "is_holiday")
+
+
+@query("centroid_lookup")
+def q_centroid_lookup(spark, sf_dir):
+    """JOIN-01: zone 266 and the zones without coordinates give nulls."""
+    t = A.trips(spark, sf_dir).select("trip_id", "PULocationID", "DOLocationID")
+    return checked(FE.with_centroids(t, A.zones(spark)))
+
+
+@query("zone_haversine")
+def q_zone_haversine(spark, sf_dir):
+    """PRJ-09 between pickup and dropoff centroids (null when a side is unknown)."""
+    t = FE.with_centroids(A.trips(spark, sf_dir).select("trip_id", "PULocationID", "DOLocationID"), A.zones(spark))
+    return checked(t.select("trip_id", FE.haversine_col().alias("haversine_distance")))
+
+
+@query("zone_manhattan")
+def q_zone_manhattan(spark, sf_dir):
+    """PRJ-10."""
+    t = FE.with_centroids(A.trips(spark, sf_dir).select("trip_id", "PULocationID", "DOLocationID"), A.zones(spark))
+    return checked(t.select("trip_id", FE.manhattan_col().alias("manhattan_distance")))
+
+
+@query("spatial_features")
+def q_spatial_features(spark, sf_dir):
+    """PRJ-11..14 on the cleaned rows."""
+    s = FE.with_spatial(kept_trips(spark, sf_dir), A.zones(spark))
+    return checked(s.select("trip_id", "haversine_distance", "manhattan_distance", "haversine_ratio",
+                            "is_same_zone", "is_jfk", "is_newark"))
+
+
+@query("target_encode_fit")
+def q_target_encode_fit(spark, sf_dir):
+    """ENC-01: smoothed fare encoding per category, fitted on train only."""
+    enc = encoding_for(spark, sf_dir)
+    return checked(enc.maps.select("enc_column", "category", "n", "cat_mean", "encoded"))
+
+
+@query("target_encode_apply")
+def q_target_encode_apply(spark, sf_dir):
+    """ENC-02 / JOIN-04 on the test split; unseen categories get the global mean."""
+    enc = encoding_for(spark, sf_dir)
+    _, test = CL.split_frames(kept_trips(spark, sf_dir))
+    out = enc.apply(test)
+    return checked(out.select("trip_id", *[f"{c}_target_enc" for c in C.ENCODED_COLUMNS]))
+
+
+@query("feature_frame")
+def q_feature_frame(spark, sf_dir):
+    """PRJ-15 / ENC-03: 29 features for both splits, state fitted on train."""
+    enc = encoding_for(spark, sf_dir)
+    k = CL.with_split(kept_trips(spark, sf_dir))
+    return checked(FE.build_features(k, A.zones(spark), enc, keep=("trip_id", "split")))
+
+
+@query("serving_feature_frame")
+def q_serving_feature_frame(spark, sf_dir):
+    """PRJ-16/17: the same 29 features from valid requests (vendor defaults to 2)."""
+    enc = encoding_for(spark, sf_dir)
+    r = CL.request_failures(A.requests(spark, sf_dir)).where("valid")
+    r = FE.serving_input(r.drop("VendorID")).withColumn(CL.PU, F.col("pickup_ts"))
+    return checked(FE.build_features(r, A.zones(spark), enc, keep=("request_id",)))
+
+
+@query("implied_speed")
+def q_implied_speed(spark, sf_dir):
+    """PRJ-18: miles per hour; a zero duration gives null."""
+    t = raw_trips(spark, sf_dir)
+    return checked(t.select("trip_id", F.try_divide(F.col("trip_distance"), F.col("duration_minutes") / 60.0)
+                            .alias("speed_mph")))
+
+
+@query("inferred_ratecode")
+def q_inferred_ratecode(spark, sf_dir):
+    """PRJ-21: JFK first, then Newark, else standard; compared with the recorded code."""
+    t = kept_trips(spark, sf_dir)
+    pu, do = F.col("PULocationID"), F.col("DOLocationID")
+    inf = (F.when((pu == C.JFK_ZONE) | (do == C.JFK_ZONE), F.lit(2))
+           .when((pu == C.NEWARK_ZONE) | (do == C.NEWARK_ZONE), F.lit(3)).otherwise(F.lit(1)))
+    return t.select("trip_id", F.col("RatecodeID").cast("bigint").alias("RatecodeID"),
+                    inf.cast("bigint").alias("inferred_ratecode"),
+                    (inf == F.col("RatecodeID")).alias("matches"))
+
+
+@query("estimated_trip_distance")
+def q_estimated_distance(spark, sf_dir):
+    """PRJ-22: centroid distance clamped to [0.1, 150], 2 decimals; 3.0 when unknown."""
+    t = FE.with_centroids(raw_trips(spark, sf_dir).select("trip_id", "PULocationID", "DOLocationID",
+                                                         "trip_distance"), A.zones(spark))
+    est = F.bround(F.least(F.greatest(FE.haversine_col(), F.lit(C.ESTIMATE_MIN_MILES)),
+                           F.lit(C.ESTIMATE_MAX_MILES)), 2)
+    est = F.coalesce(est, F.lit(C.ESTIMATE_DEFAULT_MILES))
+    return checked(t.select("trip_id", "trip_distance", est.alias("estimated_distance")))
+
+
+@query("zone_labels")
+def q_zone_labels(spark, sf_dir):
+    """PRJ-20 / SRT-01: "Zone (Borough)" labels with pickups per zone, ordered by label."""
+    z = A.zones(spark)
+    pickups = raw_trips(spark, sf_dir).groupBy(F.col("PULocationID").alias("LocationID")).agg(
+        F.count(F.lit(1)).alias("pickups"))
+    lab = F.concat(F.coalesce("Zone", F.lit("Unknown")), F.lit(" ("), F.coalesce("Borough", F.lit("Unknown")),
+                   F.lit(")"))
+    # aggregate first (<= 266 keys), then join to the 265-row dimension
+    out = z.join(pickups, "LocationID", "left").select(
+        "LocationID", lab.alias("label"), F.coalesce("pickups", F.lit(0)).cast("bigint").alias("pickups"))
+    return out.orderBy("label", "LocationID")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle_base import MONTH_END, MONTH_START, SPLIT_AT, with_ctes  # noqa: F401
+from .oracle_base import MONTH_END, MONTH_START, SPLIT_AT, gmean, with_ctes  # noqa: F401
 
 SQL: dict[str, str] = {}
 
@@ -32,3 +32,316 @@ select stat_order, stat, round(value, 6) as value from (
   select 10, 'total_dropped_rows', n - kept_n from counts union all
   select 11, 'retention_rate_pct', case when n = 0 then null else kept_n * 100.0e0 / n end from counts)
 """, "ruled")
+
+RND = "round({0}, 6)"
+
+sql("trips_scan", """
+select trip_id, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count,
+       round(trip_distance, 6) as trip_distance, RatecodeID, store_and_fwd_flag, PULocationID, DOLocationID,
+       payment_type, round(fare_amount, 6) as fare_amount, round(tip_amount, 6) as tip_amount
+from raw""", "raw")
+
+sql("trip_duration", """
+select trip_id, tpep_pickup_datetime, tpep_dropoff_datetime, round(duration_minutes, 6) as duration_minutes
+from tr""", "tr")
+
+sql("clean_trips", """
+select tpep_pickup_datetime, PULocationID, DOLocationID, passenger_count, RatecodeID,
+       round(trip_distance, 6) as trip_distance, VendorID, round(fare_amount, 6) as fare_amount,
+       round(duration_minutes, 6) as duration_minutes, trip_id
+from kept""", "kept")
+
+sql("leakage_safe_projection", """
+select tpep_pickup_datetime, PULocationID, DOLocationID, passenger_count, RatecodeID,
+       round(trip_distance, 6) as trip_distance, VendorID, round(fare_amount, 6) as fare_amount,
+       round(duration_minutes, 6) as duration_minutes
+from tr""", "tr")
+
+sql("feature_contract_audit", """
+, cols(position, column_name, role, usable) as (values
+  (1::bigint, 'trip_id', 'other', false), (2, 'VendorID', 'allowed', true),
+  (3, 'tpep_pickup_datetime', 'allowed', true), (4, 'tpep_dropoff_datetime', 'banned', false),
+  (5, 'passenger_count', 'allowed', true), (6, 'trip_distance', 'allowed', true),
+  (7, 'RatecodeID', 'allowed', true), (8, 'store_and_fwd_flag', 'banned', false),
+  (9, 'PULocationID', 'allowed', true), (10, 'DOLocationID', 'allowed', true),
+  (11, 'payment_type', 'banned', false), (12, 'fare_amount', 'target', false),
+  (13, 'tip_amount', 'banned', false), (14, 'duration_minutes', 'target', false)),
+cnt as (select count(trip_id) a1, count(VendorID) a2, count(tpep_pickup_datetime) a3,
+  count(tpep_dropoff_datetime) a4, count(passenger_count) a5, count(trip_distance) a6, count(RatecodeID) a7,
+  count(store_and_fwd_flag) a8, count(PULocationID) a9, count(DOLocationID) a10, count(payment_type) a11,
+  count(fare_amount) a12, count(tip_amount) a13, count(duration_minutes) a14 from tr)
+select c.position, c.column_name, c.role, c.usable,
+  case c.position when 1 then a1 when 2 then a2 when 3 then a3 when 4 then a4 when 5 then a5 when 6 then a6
+    when 7 then a7 when 8 then a8 when 9 then a9 when 10 then a10 when 11 then a11 when 12 then a12
+    when 13 then a13 else a14 end as non_null_rows
+from cols c, cnt""", "tr")
+
+sql("outlier_rules_union", f"""
+, flags as (
+  select coalesce(duration_minutes <= 0, false) f1, coalesce(duration_minutes > 360, false) f2,
+         coalesce(fare_amount <= 0, false) f3, coalesce(fare_amount > 500, false) f4,
+         coalesce(trip_distance = 0, false) f5, coalesce(trip_distance > 100, false) f6,
+         coalesce(passenger_count = 0, false) f7, coalesce(passenger_count > 6, false) f8,
+         not coalesce(tpep_pickup_datetime between timestamp '{MONTH_START}' and timestamp '{MONTH_END}', false) f9
+  from tr),
+u as (
+  select 1::bigint as rule_order, 'duration <= 0' as rule, f1 as hit from flags union all
+  select 2, 'duration > 360 min', f2 from flags union all
+  select 3, 'fare <= 0', f3 from flags union all
+  select 4, 'fare > 500', f4 from flags union all
+  select 5, 'distance == 0', f5 from flags union all
+  select 6, 'distance > 100 mi', f6 from flags union all
+  select 7, 'passenger_count == 0', f7 from flags union all
+  select 8, 'passenger_count > 6', f8 from flags union all
+  select 9, 'pickup outside month', f9 from flags union all
+  select 10, 'UNION (any rule)', f1 or f2 or f3 or f4 or f5 or f6 or f7 or f8 or f9 from flags)
+select rule_order, rule, count(*) filter (where hit) as rows,
+       round(count(*) filter (where hit) * 100.0e0 / count(*), 6) as pct
+from u group by rule_order, rule""", "tr")
+
+KEPT_COLS = """tpep_pickup_datetime, PULocationID, DOLocationID, passenger_count, RatecodeID,
+       round(trip_distance, 6) as trip_distance, VendorID, round(fare_amount, 6) as fare_amount,
+       round(duration_minutes, 6) as duration_minutes, trip_id"""
+
+sql("temporal_split", f"select {KEPT_COLS}, split from kept_split", "kept_split")
+
+sql("split_summary", """
+select split, count(*) as rows, min(tpep_pickup_datetime) as first_pickup, max(tpep_pickup_datetime) as last_pickup,
+       round(count(*) * 100.0e0 / sum(count(*)) over (), 6) as share_pct
+from kept_split group by split""", "kept_split")
+
+sql("split_overlap_audit", """
+, a as (select max(tpep_pickup_datetime) as train_last_pickup from kept_split where split = 'train'),
+b as (select min(tpep_pickup_datetime) as test_first_pickup from kept_split where split = 'test')
+select train_last_pickup, test_first_pickup, coalesce(train_last_pickup >= test_first_pickup, false) as overlap
+from a, b""", "kept_split")
+
+sql("clean_and_split", f"select {KEPT_COLS}, split from kept_split", "kept_split")
+
+sql("sanity_window_corr", f"""
+, d as (select *, coalesce(fare_amount between 2.5 and 250.0 and trip_distance between 0.1 and 100.0
+                           and duration_minutes between 1.0 and 360.0, false) as m
+        from tr where tpep_pickup_datetime >= timestamp '{MONTH_START}' and tpep_pickup_datetime < timestamp '{MONTH_END}')
+select round(corr(trip_distance, fare_amount) filter (where trip_distance is not null and fare_amount is not null), 6)
+         as corr_distance_fare_raw,
+       round(corr(trip_distance, fare_amount) filter (where m), 6) as corr_distance_fare_sane,
+       round(corr(passenger_count, fare_amount) filter (where m and passenger_count is not null), 6)
+         as corr_passenger_fare_sane,
+       count(*) as rows, count(*) filter (where m) as sane_rows,
+       round(count(*) filter (where m) * 100.0e0 / count(*), 6) as sane_pct
+from d""", "tr")
+
+sql("out_of_window_by_period", f"""
+select year(tpep_pickup_datetime) as year, count(*) as rows, min(tpep_pickup_datetime) as first_pickup,
+       max(tpep_pickup_datetime) as last_pickup
+from tr where not coalesce(tpep_pickup_datetime between timestamp '{MONTH_START}' and timestamp '{MONTH_END}', false)
+group by 1""", "tr")
+
+from .oracle_base import register  # noqa: E402
+
+register("req", """req as (
+  select trip_id as request_id, PULocationID,
+    case when trip_id % 53 = 0 then 0 else DOLocationID end as DOLocationID,
+    case when trip_id % 97 = 0 then 'not-a-date' else strftime(tpep_pickup_datetime, '%Y-%m-%dT%H:%M:%S') end
+      as tpep_pickup_datetime,
+    cast(coalesce(passenger_count, 0.0) as bigint) as passenger_count,
+    cast(coalesce(RatecodeID, 99.0) as bigint) as RatecodeID,
+    trip_distance, VendorID
+  from raw)""", ["raw"])
+
+register("req_checked", """req_checked as (
+  select *, try_strptime(tpep_pickup_datetime, '%Y-%m-%dT%H:%M:%S') as pickup_ts,
+    list_filter([
+      case when not coalesce(PULocationID between 1 and 265, false) then 'PULocationID' end,
+      case when not coalesce(DOLocationID between 1 and 265, false) then 'DOLocationID' end,
+      case when try_strptime(tpep_pickup_datetime, '%Y-%m-%dT%H:%M:%S') is null then 'tpep_pickup_datetime' end,
+      case when not coalesce(passenger_count between 1 and 9, false) then 'passenger_count' end,
+      case when not coalesce(RatecodeID between 1 and 6, false) then 'RatecodeID' end,
+      case when not coalesce(trip_distance > 0 and trip_distance <= 150.0, false) then 'trip_distance' end
+    ], lambda x: x is not null) as failed
+  from req)""", ["req"])
+
+sql("request_validation", """
+select request_id, array_to_string(failed, ',') as failed_fields, cast(len(failed) as bigint) as n_failed,
+       len(failed) = 0 as valid, pickup_ts
+from req_checked""", "req_checked")
+
+SQL["row_count_audit"] = ("""
+select table_name, rows, case when table_name = 'events' then 1000 else 1 end::bigint as min_rows,
+       rows >= case when table_name = 'events' then 1000 else 1 end as ok
+from (
+  select 'region' as table_name, count(*) as rows from region union all
+  select 'nation', count(*) from nation union all select 'customer', count(*) from customer union all
+  select 'supplier', count(*) from supplier union all select 'part', count(*) from part union all
+  select 'orders', count(*) from orders union all select 'lineitem', count(*) from lineitem union all
+  select 'events', count(*) from events union all select 'documents', count(*) from documents union all
+  select 'embeddings', count(*) from embeddings union all select 'pages', count(*) from pages union all
+  select 'benchmark', count(*) from benchmark union all select 'labels', count(*) from labels union all
+  select 'conversations', count(*) from conversations) t""")
+
+# --- features -----------------------------------------------------------------------
+
+HAV = """(2.0e0 * 3958.8e0 * asin(sqrt(least(greatest(
+   pow(sin(radians({b}.latitude - {a}.latitude) / 2.0e0), 2)
+   + cos(radians({a}.latitude)) * cos(radians({b}.latitude)) * pow(sin(radians({b}.longitude - {a}.longitude) / 2.0e0), 2),
+   0.0e0), 1.0e0))))"""
+MAN = """(abs({b}.latitude - {a}.latitude) * 69.0e0
+   + abs({b}.longitude - {a}.longitude) * 69.0e0 * cos(radians(({a}.latitude + {b}.latitude) / 2.0e0)))"""
+
+sql("temporal_parts", """
+select trip_id, hour(tpep_pickup_datetime)::integer as pickup_hour,
+       (isodow(tpep_pickup_datetime) - 1)::integer as pickup_dayofweek,
+       day(tpep_pickup_datetime)::integer as pickup_day
+from raw""", "raw")
+
+sql("temporal_cyclic", """
+select trip_id,
+  round(sin(2.0e0 * pi() * hour(tpep_pickup_datetime) / 24.0e0), 6) as sin_hour,
+  round(cos(2.0e0 * pi() * hour(tpep_pickup_datetime) / 24.0e0), 6) as cos_hour,
+  round(sin(2.0e0 * pi() * (isodow(tpep_pickup_datetime) - 1) / 7.0e0), 6) as sin_dayofweek,
+  round(cos(2.0e0 * pi() * (isodow(tpep_pickup_datetime) - 1) / 7.0e0), 6) as cos_dayofweek
+from raw""", "raw")
+
+sql("temporal_flags", """
+select trip_id,
+  (isodow(tpep_pickup_datetime) in (6, 7))::integer as is_weekend,
+  (isodow(tpep_pickup_datetime) <= 5 and (hour(tpep_pickup_datetime) between 7 and 9
+     or hour(tpep_pickup_datetime) between 16 and 19))::integer as is_rush_hour,
+  (month(tpep_pickup_datetime) = 1 and day(tpep_pickup_datetime) = 15)::integer as is_holiday
+from raw""", "raw")
+
+sql("centroid_lookup", """
+select r.trip_id, r.PULocationID, r.DOLocationID, round(p.latitude, 6) as pu_lat, round(p.longitude, 6) as pu_lon,
+       round(d.latitude, 6) as do_lat, round(d.longitude, 6) as do_lon
+from raw r left join zn p on p.LocationID = r.PULocationID left join zn d on d.LocationID = r.DOLocationID""",
+    "raw", "zn")
+
+sql("zone_haversine", f"""
+select r.trip_id, round({HAV.format(a='p', b='d')}, 6) as haversine_distance
+from raw r left join zn p on p.LocationID = r.PULocationID left join zn d on d.LocationID = r.DOLocationID""",
+    "raw", "zn")
+
+sql("zone_manhattan", f"""
+select r.trip_id, round({MAN.format(a='p', b='d')}, 6) as manhattan_distance
+from raw r left join zn p on p.LocationID = r.PULocationID left join zn d on d.LocationID = r.DOLocationID""",
+    "raw", "zn")
+
+register("spat", f"""spat as (
+  select k.*, p.latitude as pu_lat, p.longitude as pu_lon, d.latitude as do_lat, d.longitude as do_lon,
+    coalesce({HAV.format(a='p', b='d')}, 0.0e0) as haversine_distance,
+    coalesce({MAN.format(a='p', b='d')}, 0.0e0) as manhattan_distance,
+    (PULocationID = DOLocationID)::integer as is_same_zone,
+    coalesce(RatecodeID = 2 or PULocationID = 132 or DOLocationID = 132, false)::integer as is_jfk,
+    coalesce(RatecodeID = 3 or PULocationID = 1 or DOLocationID = 1, false)::integer as is_newark
+  from kept_split k left join zn p on p.LocationID = k.PULocationID left join zn d on d.LocationID = k.DOLocationID)""",
+    ["kept_split", "zn"])
+
+sql("spatial_features", """
+select trip_id, round(haversine_distance, 6) as haversine_distance, round(manhattan_distance, 6) as manhattan_distance,
+       round(least(haversine_distance / (trip_distance + 0.001e0), 10.0e0), 6) as haversine_ratio,
+       is_same_zone, is_jfk, is_newark
+from spat""", "spat")
+
+# smoothed fare encoding fitted on the train split
+FM = gmean("fare_amount")
+register("enc", f"""enc as (
+  select 'PULocationID' as enc_column, cast(PULocationID as double) as category, count(*) as n,
+         {FM} as cat_mean from kept_split where split = 'train' group by 2
+  union all
+  select 'DOLocationID', cast(DOLocationID as double), count(*), {FM}
+  from kept_split where split = 'train' group by 2
+  union all
+  select 'RatecodeID', RatecodeID, count(*), {FM} from kept_split where split = 'train' group by 2)""",
+    ["kept_split"])
+register("gm", f"""gm as (select {FM} as g from kept_split where split = 'train')""", ["kept_split"])
+register("encv", """encv as (
+  select enc.*, (n * cat_mean + 10.0e0 * g) / (n + 10.0e0) as encoded from enc, gm)""", ["enc", "gm"])
+
+sql("target_encode_fit", """
+select enc_column, round(category, 6) as category, n, round(cat_mean, 6) as cat_mean, round(encoded, 6) as encoded
+from encv""", "encv")
+
+sql("target_encode_apply", """
+select k.trip_id,
+  round(coalesce(a.encoded, gm.g), 6) as PULocationID_target_enc,
+  round(coalesce(b.encoded, gm.g), 6) as DOLocationID_target_enc,
+  round(coalesce(c.encoded, gm.g), 6) as RatecodeID_target_enc
+from kept_split k cross join gm
+left join encv a on a.enc_column = 'PULocationID' and a.category = k.PULocationID
+left join encv b on b.enc_column = 'DOLocationID' and b.category = k.DOLocationID
+left join encv c on c.enc_column = 'RatecodeID' and c.category = k.RatecodeID
+where k.split = 'test'""", "kept_split", "encv", "gm")
+
+FEATURES_SELECT = """
+  s.PULocationID, s.DOLocationID, round(s.passenger_count, 6) as passenger_count,
+  round(s.RatecodeID, 6) as RatecodeID, round(s.trip_distance, 6) as trip_distance, s.VendorID,
+  hour(s.tpep_pickup_datetime)::integer as pickup_hour,
+  (isodow(s.tpep_pickup_datetime) - 1)::integer as pickup_dayofweek,
+  day(s.tpep_pickup_datetime)::integer as pickup_day,
+  round(sin(2.0e0 * pi() * hour(s.tpep_pickup_datetime) / 24.0e0), 6) as sin_hour,
+  round(cos(2.0e0 * pi() * hour(s.tpep_pickup_datetime) / 24.0e0), 6) as cos_hour,
+  round(sin(2.0e0 * pi() * (isodow(s.tpep_pickup_datetime) - 1) / 7.0e0), 6) as sin_dayofweek,
+  round(cos(2.0e0 * pi() * (isodow(s.tpep_pickup_datetime) - 1) / 7.0e0), 6) as cos_dayofweek,
+  (isodow(s.tpep_pickup_datetime) >= 6)::integer as is_weekend,
+  (isodow(s.tpep_pickup_datetime) < 6 and (hour(s.tpep_pickup_datetime) between 7 and 9
+     or hour(s.tpep_pickup_datetime) between 16 and 19))::integer as is_rush_hour,
+  (month(s.tpep_pickup_datetime) = 1 and day(s.tpep_pickup_datetime) = 15)::integer as is_holiday,
+  round(s.pu_lat, 6) as pu_lat, round(s.pu_lon, 6) as pu_lon, round(s.do_lat, 6) as do_lat,
+  round(s.do_lon, 6) as do_lon,
+  round(s.haversine_distance, 6) as haversine_distance, round(s.manhattan_distance, 6) as manhattan_distance,
+  round(least(s.haversine_distance / (s.trip_distance + 0.001e0), 10.0e0), 6) as haversine_ratio,
+  s.is_same_zone, s.is_jfk, s.is_newark,
+  round(coalesce(a.encoded, gm.g), 6) as PULocationID_target_enc,
+  round(coalesce(b.encoded, gm.g), 6) as DOLocationID_target_enc,
+  round(coalesce(c.encoded, gm.g), 6) as RatecodeID_target_enc"""
+
+ENC_JOINS = """
+cross join gm
+left join encv a on a.enc_column = 'PULocationID' and a.category = s.PULocationID
+left join encv b on b.enc_column = 'DOLocationID' and b.category = s.DOLocationID
+left join encv c on c.enc_column = 'RatecodeID' and c.category = s.RatecodeID"""
+
+sql("feature_frame", f"select s.trip_id, s.split, {FEATURES_SELECT} from spat s {ENC_JOINS}",
+    "spat", "encv", "gm")
+
+register("req_spat", f"""req_spat as (
+  select q.request_id, q.PULocationID, q.DOLocationID, cast(q.passenger_count as double) as passenger_count,
+    cast(q.RatecodeID as double) as RatecodeID, q.trip_distance, 2::bigint as VendorID,
+    cast(q.pickup_ts as timestamp) as tpep_pickup_datetime,
+    p.latitude as pu_lat, p.longitude as pu_lon, d.latitude as do_lat, d.longitude as do_lon,
+    coalesce({HAV.format(a='p', b='d')}, 0.0e0) as haversine_distance,
+    coalesce({MAN.format(a='p', b='d')}, 0.0e0) as manhattan_distance,
+    (q.PULocationID = q.DOLocationID)::integer as is_same_zone,
+    coalesce(q.RatecodeID = 2 or q.PULocationID = 132 or q.DOLocationID = 132, false)::integer as is_jfk,
+    coalesce(q.RatecodeID = 3 or q.PULocationID = 1 or q.DOLocationID = 1, false)::integer as is_newark
+  from req_checked q left join zn p on p.LocationID = q.PULocationID left join zn d on d.LocationID = q.DOLocationID
+  where len(q.failed) = 0)""", ["req_checked", "zn"])
+
+sql("serving_feature_frame", f"select s.request_id, {FEATURES_SELECT} from req_spat s {ENC_JOINS}",
+    "req_spat", "encv", "gm")
+
+sql("implied_speed", """
+select trip_id, round(case when duration_minutes = 0 then null
+                           else trip_distance / (duration_minutes / 60.0e0) end, 6) as speed_mph
+from tr""", "tr")
+
+sql("inferred_ratecode", """
+select trip_id, cast(RatecodeID as bigint) as RatecodeID,
+  case when PULocationID = 132 or DOLocationID = 132 then 2 when PULocationID = 1 or DOLocationID = 1 then 3
+       else 1 end::bigint as inferred_ratecode,
+  (case when PULocationID = 132 or DOLocationID = 132 then 2 when PULocationID = 1 or DOLocationID = 1 then 3
+       else 1 end) = RatecodeID as matches
+from kept""", "kept")
+
+sql("estimated_trip_distance", f"""
+select r.trip_id, round(r.trip_distance, 6) as trip_distance,
+  round(coalesce(round_even(least(greatest({HAV.format(a='p', b='d')}, 0.1e0), 150.0e0), 2), 3.0e0), 6)
+    as estimated_distance
+from tr r left join zn p on p.LocationID = r.PULocationID left join zn d on d.LocationID = r.DOLocationID""",
+    "tr", "zn")
+
+sql("zone_labels", """
+select z.LocationID, coalesce(z.Zone, 'Unknown') || ' (' || coalesce(z.Borough, 'Unknown') || ')' as label,
+       coalesce(c.pickups, 0)::bigint as pickups
+from zn z left join (select PULocationID, count(*) as pickups from raw group by 1) c on c.PULocationID = z.LocationID""",
+    "zn", "raw")

@@ -103,6 +103,11 @@ DEPS = {
 }
 
 
+def gmean(x: str, unit: str = "1000.0e0") -> str:
+    """Mean from the exact integer sum of x on a 1/unit grid."""
+    return f"(cast(sum(cast(round(({x}) * {unit}) as bigint)) as double) / {unit} / cast(count({x}) as double))"
+
+
 def register(name: str, text: str, deps=()) -> None:
     CTES[name] = text
     DEPS[name] = list(deps)
@@ -122,10 +127,40 @@ def _closure(names) -> list[str]:
     return out
 
 
+def _rewrite_round(text: str) -> str:
+    """``round(expr, 6)`` -> ``floor(expr*1e6 + 0.5)/1e6`` (same IEEE steps as the Spark side)."""
+    out, i = [], 0
+    pat = re.compile(r"(?<![A-Za-z_])round\(")
+    while True:
+        m = pat.search(text, i)
+        if not m:
+            out.append(text[i:])
+            return "".join(out)
+        out.append(text[i:m.start()])
+        depth, j, last_comma = 1, m.end(), None
+        while depth:
+            ch = text[j]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                last_comma = j
+            j += 1
+        inner = text[m.end():j - 1]
+        if last_comma is None or text[last_comma + 1:j - 1].strip() != "6":
+            out.append("round(" + _rewrite_round(inner) + ")")
+        else:
+            expr = _rewrite_round(text[m.end():last_comma])
+            out.append(f"(case when isnan(({expr})::double) or abs({expr}) >= 1e12 then ({expr})::double "
+                       f"else floor(({expr}) * 1000000.0e0 + 0.5e0) / 1000000.0e0 end)")
+        i = j
+
+
 def with_ctes(body: str, *names: str) -> str:
     """Prefix ``body`` with the named CTEs and everything they depend on."""
     if not names:
         names = tuple(n for n in CTES if re.search(rf"\b{n}\b", body))
     order = _closure(names)
     head = "with " + ",\n".join(CTES[n] for n in order)
-    return head + (body if body.lstrip().startswith(",") else "\n" + body)
+    return _rewrite_round(head + (body if body.lstrip().startswith(",") else "\n" + body))
