@@ -296,3 +296,119 @@ def q_zone_labels(spark, sf_dir):
     out = z.join(pickups, "LocationID", "left").select(
         "LocationID", lab.alias("label"), F.coalesce("pickups", F.lit(0)).cast("bigint").alias("pickups"))
     return out.orderBy("label", "LocationID")
+
+
+# --- 2.5 profiles ---------------------------------------------------------------------
+
+from ..operators import profile as PR  # noqa: E402
+
+RAW_COLS = ("VendorID", CL.PU, "tpep_dropoff_datetime", "passenger_count", "trip_distance", "RatecodeID",
+            "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type", "fare_amount", "tip_amount")
+
+
+@query("column_profile")
+def q_column_profile(spark, sf_dir):
+    """AGG-01 over the raw columns (as read, without the synthetic key)."""
+    return checked(PR.column_profile(A.trips(spark, sf_dir).select(*RAW_COLS)))
+
+
+@query("null_block_audit")
+def q_null_block_audit(spark, sf_dir):
+    """AGG-02."""
+    return checked(PR.null_block_audit(A.trips(spark, sf_dir)))
+
+
+@query("null_block_vendors")
+def q_null_block_vendors(spark, sf_dir):
+    """AGG-02 (vendor mix)."""
+    return PR.null_block_vendors(A.trips(spark, sf_dir))
+
+
+@query("duplicate_rate")
+def q_duplicate_rate(spark, sf_dir):
+    """AGG-03 over the raw columns."""
+    return checked(PR.duplicate_rate(A.trips(spark, sf_dir).select(*RAW_COLS)))
+
+
+@query("target_describe")
+def q_target_describe(spark, sf_dir):
+    """AGG-04 over the raw rows."""
+    return checked(PR.describe(raw_trips(spark, sf_dir)))
+
+
+@query("log_target_skew")
+def q_log_target_skew(spark, sf_dir):
+    """AGG-05 / PRJ-19 over the raw rows."""
+    return checked(PR.log_target_skew(raw_trips(spark, sf_dir)))
+
+
+@query("profile_by_hour")
+def q_profile_by_hour(spark, sf_dir):
+    """AGG-06 on the analysis frame (flagship)."""
+    return checked(PR.profile_by_hour(analysis_frame(spark, sf_dir)))
+
+
+@query("profile_by_weekday")
+def q_profile_by_weekday(spark, sf_dir):
+    """AGG-07."""
+    f = analysis_frame(spark, sf_dir)
+    return checked(PR.profile_by(f, "dow", with_trips=False).withColumn("dow", F.col("dow").cast("int")))
+
+
+@query("profile_by_day")
+def q_profile_by_day(spark, sf_dir):
+    """AGG-08."""
+    return checked(PR.profile_by(analysis_frame(spark, sf_dir), "date"))
+
+
+def window_days(cfg=C.DEFAULT) -> float:
+    from datetime import datetime
+    f = "%Y-%m-%d %H:%M:%S"
+    return (datetime.strptime(cfg.month_end, f) - datetime.strptime(cfg.month_start, f)).total_seconds() / 86400.0
+
+
+@query("hourly_peak_trough")
+def q_hourly_peak_trough(spark, sf_dir):
+    """AGG-09 on in-window rows."""
+    return checked(PR.hourly_peak_trough(CL.in_month(raw_trips(spark, sf_dir)), window_days()))
+
+
+@query("ratecode_profile")
+def q_ratecode_profile(spark, sf_dir):
+    """AGG-10 + PRJ-23 on the analysis frame."""
+    return checked(PR.ratecode_profile(analysis_frame(spark, sf_dir)))
+
+
+@query("feature_correlations")
+def q_feature_correlations(spark, sf_dir):
+    """AGG-11: allowed features (and hour, weekday) against both targets."""
+    f = analysis_frame(spark, sf_dir)
+    feats = ["trip_distance", "passenger_count", "PULocationID", "DOLocationID", "RatecodeID", "hour", "dow"]
+    return checked(PR.feature_correlations(f, feats))
+
+
+@query("target_histogram")
+def q_target_histogram(spark, sf_dir):
+    """FLT-16 + AGG-13: display window, then 80 equal-width bins raw and log1p."""
+    t = raw_trips(spark, sf_dir)
+    shown = t.where(F.col("fare_amount").between(*C.DISPLAY_FARE)
+                    & F.col("duration_minutes").between(*C.DISPLAY_DURATION))
+    return checked(PR.histogram(shown))
+
+
+@query("target_headline")
+def q_target_headline(spark, sf_dir):
+    """AGG-14 on in-window rows."""
+    return checked(PR.target_headline(CL.in_month(raw_trips(spark, sf_dir))))
+
+
+@query("zone_coverage")
+def q_zone_coverage(spark, sf_dir):
+    """AGG-15."""
+    return PR.zone_coverage(analysis_frame(spark, sf_dir), A.zones(spark))
+
+
+@query("top_pickup_zones")
+def q_top_pickup_zones(spark, sf_dir):
+    """SRT-03 + JOIN-05."""
+    return checked(PR.top_pickup_zones(analysis_frame(spark, sf_dir), A.zones(spark)))

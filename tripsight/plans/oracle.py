@@ -345,3 +345,177 @@ select z.LocationID, coalesce(z.Zone, 'Unknown') || ' (' || coalesce(z.Borough,
        coalesce(c.pickups, 0)::bigint as pickups
 from zn z left join (select PULocationID, count(*) as pickups from raw group by 1) c on c.PULocationID = z.LocationID""",
     "zn", "raw")
+
+# --- profiles -------------------------------------------------------------------------
+
+from .oracle_base import qsql  # noqa: E402
+
+MIN = "6.0e7"
+
+sql("column_profile", """
+, a as (select count(*) as n,
+  count(VendorID) c1, count(distinct VendorID) d1, count(tpep_pickup_datetime) c2, count(distinct tpep_pickup_datetime) d2,
+  count(tpep_dropoff_datetime) c3, count(distinct tpep_dropoff_datetime) d3,
+  count(passenger_count) c4, count(distinct passenger_count) d4, count(trip_distance) c5, count(distinct trip_distance) d5,
+  count(RatecodeID) c6, count(distinct RatecodeID) d6, count(store_and_fwd_flag) c7, count(distinct store_and_fwd_flag) d7,
+  count(PULocationID) c8, count(distinct PULocationID) d8, count(DOLocationID) c9, count(distinct DOLocationID) d9,
+  count(payment_type) c10, count(distinct payment_type) d10, count(fare_amount) c11, count(distinct fare_amount) d11,
+  count(tip_amount) c12, count(distinct tip_amount) d12 from raw),
+l as (
+  select 1::bigint as position, 'VendorID' as column_name, 'bigint' as dtype, n - c1 as nulls, d1 as distinct_values, n from a union all
+  select 2, 'tpep_pickup_datetime', 'timestamp_ntz', n - c2, d2, n from a union all
+  select 3, 'tpep_dropoff_datetime', 'timestamp_ntz', n - c3, d3, n from a union all
+  select 4, 'passenger_count', 'double', n - c4, d4, n from a union all
+  select 5, 'trip_distance', 'double', n - c5, d5, n from a union all
+  select 6, 'RatecodeID', 'double', n - c6, d6, n from a union all
+  select 7, 'store_and_fwd_flag', 'string', n - c7, d7, n from a union all
+  select 8, 'PULocationID', 'bigint', n - c8, d8, n from a union all
+  select 9, 'DOLocationID', 'bigint', n - c9, d9, n from a union all
+  select 10, 'payment_type', 'bigint', n - c10, d10, n from a union all
+  select 11, 'fare_amount', 'double', n - c11, d11, n from a union all
+  select 12, 'tip_amount', 'double', n - c12, d12, n from a)
+select position, column_name, dtype, nulls, round(nulls * 100.0e0 / n, 6) as null_pct, distinct_values from l""",
+    "raw")
+
+sql("null_block_audit", """
+select count(*) filter (where passenger_count is null) as block_rows,
+  round(count(*) filter (where passenger_count is null) * 100.0e0 / count(*), 6) as block_pct,
+  coalesce(bool_and((passenger_count is null) = (RatecodeID is null)), true) as same_mask_RatecodeID,
+  coalesce(bool_and((passenger_count is null) = (store_and_fwd_flag is null)), true) as same_mask_store_and_fwd_flag,
+  coalesce(bool_and(payment_type = 0) filter (where passenger_count is null), true) as block_all_payment_0,
+  count(*) filter (where payment_type = 0 and passenger_count is not null) as payment_0_outside_block
+from raw""", "raw")
+
+sql("null_block_vendors", """
+select VendorID, count(*) as rows from raw where passenger_count is null group by VendorID""", "raw")
+
+sql("duplicate_rate", """
+, g as (select count(*) as c from raw group by VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count,
+        trip_distance, RatecodeID, store_and_fwd_flag, PULocationID, DOLocationID, payment_type, fare_amount, tip_amount)
+select coalesce(sum(c), 0)::bigint as rows, coalesce(sum(c - 1), 0)::bigint as duplicate_rows,
+       round(sum(c - 1) * 100.0e0 / sum(c), 6) as duplicate_pct from g""", "raw")
+
+_DESC_Q = qsql("(select 'fare_amount' as column_name, fare_amount as x from tr union all "
+               "select 'duration_minutes', duration_minutes from tr union all "
+               "select 'trip_distance', trip_distance from tr)", "x",
+               [0.01, 0.25, 0.5, 0.75, 0.95, 0.99], ["column_name"])
+sql("target_describe", f"""
+, q as {_DESC_Q},
+qw as (select column_name, max(q) filter (where p = 0.01) as p01, max(q) filter (where p = 0.25) as p25,
+          max(q) filter (where p = 0.5) as p50, max(q) filter (where p = 0.75) as p75,
+          max(q) filter (where p = 0.95) as p95, max(q) filter (where p = 0.99) as p99 from q group by 1),
+b as (
+  select 'fare_amount' as column_name, count(fare_amount) as count, {gmean('fare_amount')} as mean,
+         stddev_samp(fare_amount) as std, min(fare_amount) as min, max(fare_amount) as max from tr union all
+  select 'duration_minutes', count(duration_minutes), {gmean('duration_minutes', MIN)}, stddev_samp(duration_minutes),
+         min(duration_minutes), max(duration_minutes) from tr union all
+  select 'trip_distance', count(trip_distance), {gmean('trip_distance')}, stddev_samp(trip_distance),
+         min(trip_distance), max(trip_distance) from tr)
+select b.column_name, b.count, round(b.mean, 6) as mean, round(b.std, 6) as std, round(b.min, 6) as min,
+  round(p01, 6) as p01, round(p25, 6) as p25, round(p50, 6) as p50, round(p75, 6) as p75, round(p95, 6) as p95,
+  round(p99, 6) as p99, round(b.max, 6) as max
+from b left join qw using (column_name)""", "tr")
+
+sql("log_target_skew", """
+select * from (
+  select 'fare_amount' as column_name, round(skewness(fare_amount), 6) as raw_skew,
+    round(skewness(ln(1 + greatest(fare_amount, 0.0e0))), 6) as log1p_skew,
+    round(skewness(ln(1 + fare_amount)) filter (where fare_amount > 0), 6) as log1p_positive_skew from tr
+  union all
+  select 'duration_minutes', round(skewness(duration_minutes), 6), round(skewness(ln(1 + greatest(duration_minutes, 0.0e0))), 6),
+    round(skewness(ln(1 + duration_minutes)) filter (where duration_minutes > 0), 6) from tr
+  union all
+  select 'trip_distance', round(skewness(trip_distance), 6), round(skewness(ln(1 + greatest(trip_distance, 0.0e0))), 6),
+    round(skewness(ln(1 + trip_distance)) filter (where trip_distance > 0), 6) from tr)""", "tr")
+
+sql("profile_by_hour", f"""
+, m as (select hr, {gmean('fare_amount')} as mean_fare, {gmean('duration_minutes', MIN)} as mean_duration,
+               count(*) as trips from eda group by hr),
+med as {qsql('eda', 'speed_mph', [0.5], ['hr'])}
+select m.hr::integer as hour, round(mean_fare, 6) as mean_fare, round(mean_duration, 6) as mean_duration,
+       round(med.q, 6) as median_speed_mph, trips
+from m left join med on med.hr = m.hr""", "eda")
+
+sql("profile_by_weekday", f"""
+select dw::integer as dow, round({gmean('fare_amount')}, 6) as mean_fare,
+       round({gmean('duration_minutes', MIN)}, 6) as mean_duration
+from eda group by dw""", "eda")
+
+sql("profile_by_day", f"""
+select dt as date, round({gmean('fare_amount')}, 6) as mean_fare,
+       round({gmean('duration_minutes', MIN)}, 6) as mean_duration, count(*) as trips
+from eda group by dt""", "eda")
+
+sql("hourly_peak_trough", f"""
+, ph as (select hour(tpep_pickup_datetime) as hr, count(*) / 29.0e0 as rate from tr
+         where tpep_pickup_datetime >= timestamp '{MONTH_START}' and tpep_pickup_datetime < timestamp '{MONTH_END}'
+         group by 1),
+pk as (select hr, rate from ph order by rate desc, hr limit 1),
+tg as (select hr, rate from ph order by rate asc, hr limit 1)
+select pk.hr::integer as peak_hour, round(pk.rate, 6) as peak_per_hour, tg.hr::integer as trough_hour,
+       round(tg.rate, 6) as trough_per_hour, round(pk.rate / tg.rate, 6) as peak_trough_ratio,
+       round((select sum(rate) from ph), 6) as rides_per_day
+from pk, tg""", "tr")
+
+sql("ratecode_profile", f"""
+select RatecodeID,
+  case cast(RatecodeID as integer) when 1 then 'Standard' when 2 then 'JFK' when 3 then 'Newark'
+    when 4 then 'Nassau/Westchester' when 5 then 'Negotiated' when 6 then 'Group ride'
+    when 99 then 'Undocumented (99)' else '?' end as name,
+  count(*) as trips, round({gmean('fare_amount')}, 6) as mean_fare,
+  round({gmean('duration_minutes', MIN)}, 6) as mean_duration, round({gmean('trip_distance')}, 6) as mean_distance
+from eda where RatecodeID is not null group by RatecodeID""", "eda")
+
+sql("feature_correlations", """
+select * from (
+  select 'trip_distance' as feature, round(corr(trip_distance, fare_amount), 6) as corr_fare_amount,
+         round(corr(trip_distance, duration_minutes), 6) as corr_duration_minutes from eda union all
+  select 'passenger_count', round(corr(passenger_count, fare_amount), 6), round(corr(passenger_count, duration_minutes), 6) from eda union all
+  select 'PULocationID', round(corr(PULocationID, fare_amount), 6), round(corr(PULocationID, duration_minutes), 6) from eda union all
+  select 'DOLocationID', round(corr(DOLocationID, fare_amount), 6), round(corr(DOLocationID, duration_minutes), 6) from eda union all
+  select 'RatecodeID', round(corr(RatecodeID, fare_amount), 6), round(corr(RatecodeID, duration_minutes), 6) from eda union all
+  select 'hour', round(corr(hr, fare_amount), 6), round(corr(hr, duration_minutes), 6) from eda union all
+  select 'dow', round(corr(dw, fare_amount), 6), round(corr(dw, duration_minutes), 6) from eda)""", "eda")
+
+sql("target_histogram", """
+, shown as (select * from tr where coalesce(fare_amount between 0.01 and 100.0 and duration_minutes between 0.5 and 120.0, false)),
+l as (select 'fare_amount' as target, 'raw' as scale, fare_amount as x from shown union all
+      select 'fare_amount', 'log1p', ln(1 + fare_amount) from shown union all
+      select 'duration_minutes', 'raw', duration_minutes from shown union all
+      select 'duration_minutes', 'log1p', ln(1 + duration_minutes) from shown),
+rg as (select target, scale, min(x) as lo, max(x) as hi from l group by 1, 2),
+c as (select l.target, l.scale,
+        case when hi = lo then 0 else least(floor((x - lo) * (80.0e0 / (hi - lo))), 79) end::integer as bin,
+        count(*) as rows
+      from l join rg using (target, scale) group by 1, 2, 3),
+d as (select target, scale, lo, hi, unnest(range(0, 80)) as bin from rg)
+select d.target, d.scale, d.bin::integer as bin, round(lo + d.bin * ((hi - lo) / 80.0e0), 6) as bin_lo,
+       round(lo + (d.bin + 1) * ((hi - lo) / 80.0e0), 6) as bin_hi, coalesce(c.rows, 0)::bigint as rows,
+       round(coalesce(c.rows, 0) * 1.0e0 / max(coalesce(c.rows, 0)) over (partition by d.target, d.scale), 6) as share_of_mode
+from d left join c on c.target = d.target and c.scale = d.scale and c.bin = d.bin""", "tr")
+
+_HEAD_Q = qsql(f"(select 'fare' as k, fare_amount as v from tr where tpep_pickup_datetime >= timestamp '{MONTH_START}' "
+               f"and tpep_pickup_datetime < timestamp '{MONTH_END}' union all "
+               f"select 'duration', duration_minutes from tr where tpep_pickup_datetime >= timestamp '{MONTH_START}' "
+               f"and tpep_pickup_datetime < timestamp '{MONTH_END}')", "v", [0.5, 0.99, 1.0], ["k"])
+sql("target_headline", f"""
+, q as {_HEAD_Q}
+select round(max(q) filter (where k = 'fare' and p = 0.5), 6) as fare_median,
+       round(max(q) filter (where k = 'fare' and p = 0.99), 6) as fare_p99,
+       round(max(q) filter (where k = 'fare' and p = 1.0), 6) as fare_max,
+       round(max(q) filter (where k = 'duration' and p = 0.5), 6) as duration_median
+from q""", "tr")
+
+sql("zone_coverage", """
+select (select min(PULocationID) from eda) as pu_min, (select max(PULocationID) from eda) as pu_max,
+       (select min(DOLocationID) from eda) as do_min, (select max(DOLocationID) from eda) as do_max,
+       (select count(distinct PULocationID) from eda) as pickup_zones_used,
+       (select count(*) from zn) as zones_in_lookup, (select count(distinct Borough) from zn) as boroughs""",
+    "eda", "zn")
+
+sql("top_pickup_zones", f"""
+, g as (select PULocationID, count(*) as trips, {gmean('fare_amount')} as mean_fare from eda group by 1
+        order by trips desc, PULocationID limit 10)
+select g.PULocationID, g.trips, coalesce(z.Zone, '-') as zone, coalesce(z.Borough, '-') as borough,
+       round(g.mean_fare, 6) as mean_fare
+from g left join zn z on z.LocationID = g.PULocationID""", "eda", "zn")

@@ -164,3 +164,22 @@ def with_ctes(body: str, *names: str) -> str:
     order = _closure(names)
     head = "with " + ",\n".join(CTES[n] for n in order)
     return _rewrite_round(head + (body if body.lstrip().startswith(",") else "\n" + body))
+
+
+def qsql(src: str, value: str, probs, groups=()) -> str:
+    """Quantiles by explicit ranks: (groups..., p, q) with numpy's linear lerp."""
+    g = list(groups)
+    gsel = "".join(f"{c}, " for c in g)
+    part = f"partition by {', '.join(g)}" if g else ""
+    pv = ", ".join(f"({float(p)!r}::double)" for p in probs)
+    join_g = " and ".join([f"r.{c} = a.{c}" for c in g] + [f"r.{c} = b.{c}" for c in g]) or "true"
+    return f"""(
+  with r0 as (select {gsel}cast({value} as double) as v from {src} where {value} is not null and not isnan({value})),
+  r as (select {gsel}v, row_number() over ({part} order by v) - 1 as pos, count(*) over ({part}) as n from r0),
+  ps(p) as (values {pv}),
+  w as (select distinct {gsel}n, p, (n - 1)::double * p as h from r, ps)
+  select {''.join(f'w.{c}, ' for c in g)}w.p,
+    case when w.h - floor(w.h) < 0.5 then a.v + (b.v - a.v) * (w.h - floor(w.h))
+         else b.v - (b.v - a.v) * (1.0e0 - (w.h - floor(w.h))) end as q
+  from w join r a on a.pos = floor(w.h) {''.join(f'and a.{c} = w.{c} ' for c in g)}
+         join r b on b.pos = ceil(w.h) {''.join(f'and b.{c} = w.{c} ' for c in g)})"""
