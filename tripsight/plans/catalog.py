@@ -412,3 +412,111 @@ def q_zone_coverage(spark, sf_dir):
 def q_top_pickup_zones(spark, sf_dir):
     """SRT-03 + JOIN-05."""
     return checked(PR.top_pickup_zones(analysis_frame(spark, sf_dir), A.zones(spark)))
+
+
+# --- 2.8 evaluation on SQL-expressible predictors -----------------------------------------
+
+from ..operators import evaluation as EV  # noqa: E402
+
+
+def train_test(spark, sf_dir, cfg=C.DEFAULT):
+    return CL.split_frames(kept_trips(spark, sf_dir, cfg), cfg)
+
+
+def zone_mean_test(spark, sf_dir):
+    train, test = train_test(spark, sf_dir)
+    return EV.with_residuals(EV.ZoneMeanPredictor.fit(train).predict(test))
+
+
+@query("mean_baseline_eval")
+def q_mean_baseline(spark, sf_dir):
+    """MOD-01: train mean of each target scored on test."""
+    train, test = train_test(spark, sf_dir)
+    return checked(EV.regression_metrics(EV.MeanPredictor.fit(train).predict(test), "mean"))
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    """AGG-21 for the smoothed zone-mean predictor."""
+    train, test = train_test(spark, sf_dir)
+    return checked(EV.regression_metrics(EV.ZoneMeanPredictor.fit(train).predict(test), "zone_mean"))
+
+
+@query("regression_metrics_eps")
+def q_regression_metrics_eps(spark, sf_dir):
+    """AGG-22: same with the epsilon-floored MAPE."""
+    train, test = train_test(spark, sf_dir)
+    return checked(EV.regression_metrics(EV.ZoneMeanPredictor.fit(train).predict(test), "zone_mean", eps_mape=True))
+
+
+@query("residuals_by_hour")
+def q_res_hour(spark, sf_dir):
+    """AGG-16."""
+    sl = EV.slice_frame(zone_mean_test(spark, sf_dir), A.zones(spark))
+    return checked(EV.residuals_by(sl, "pickup_hour").withColumn("pickup_hour", F.col("pickup_hour").cast("int")))
+
+
+@query("residuals_by_borough")
+def q_res_borough(spark, sf_dir):
+    """AGG-17 + JOIN-03."""
+    sl = EV.slice_frame(zone_mean_test(spark, sf_dir), A.zones(spark))
+    return checked(EV.residuals_by(sl, "pu_borough"))
+
+
+@query("residuals_by_distance")
+def q_res_distance(spark, sf_dir):
+    """AGG-18 + PRJ-24 + JOIN-07."""
+    sl = EV.slice_frame(zone_mean_test(spark, sf_dir), A.zones(spark))
+    return checked(EV.residuals_by_distance(sl))
+
+
+@query("residuals_by_ratecode")
+def q_res_ratecode(spark, sf_dir):
+    """AGG-19."""
+    sl = EV.slice_frame(zone_mean_test(spark, sf_dir), A.zones(spark))
+    return checked(EV.residuals_by(sl, "RatecodeID"))
+
+
+@query("residual_slices")
+def q_residual_slices(spark, sf_dir):
+    """AGG-20: four slices in one grouping-sets pass."""
+    sl = EV.slice_frame(zone_mean_test(spark, sf_dir), A.zones(spark))
+    return checked(EV.residual_slices(sl))
+
+
+@query("time_series_folds")
+def q_time_series_folds(spark, sf_dir):
+    """MOD-07 / SRT-02: three forward-only folds over the train split."""
+    train, _ = train_test(spark, sf_dir)
+    return EV.fold_summary(EV.fold_assignment(train, 3))
+
+
+def sql_model_metrics(spark, sf_dir) -> DataFrame:
+    train, test = train_test(spark, sf_dir)
+    m1 = EV.regression_metrics(EV.MeanPredictor.fit(train).predict(test), "mean")
+    m2 = EV.regression_metrics(EV.ZoneMeanPredictor.fit(train).predict(test), "zone_mean")
+    return m1.unionByName(m2)
+
+
+@query("model_leaderboard")
+def q_model_leaderboard(spark, sf_dir):
+    """SRT-06 over the SQL-expressible predictors."""
+    return checked(EV.leaderboard(sql_model_metrics(spark, sf_dir)))
+
+
+@query("model_winner")
+def q_model_winner(spark, sf_dir):
+    """SRT-07: best MAE per target and the margin over the runner-up."""
+    return checked(EV.winner(sql_model_metrics(spark, sf_dir)))
+
+
+@query("score_trips")
+def q_score_trips(spark, sf_dir):
+    """MOD-14 + PRJ-25 with the zone-mean predictor: valid requests, floors, version."""
+    train, _ = train_test(spark, sf_dir)
+    r = CL.request_failures(A.requests(spark, sf_dir)).where("valid")
+    p = EV.ZoneMeanPredictor.fit(train).predict(r)
+    return checked(p.select("request_id",
+                            F.greatest("pred_fare", F.lit(C.FARE_FLOOR)).alias("predicted_fare"),
+                            F.greatest("pred_duration", F.lit(C.DURATION_FLOOR)).alias("predicted_duration_minutes"),
+                            F.lit(C.DEFAULT.model_version).alias("model_version")))

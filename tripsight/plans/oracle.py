@@ -519,3 +519,104 @@ sql("top_pickup_zones", f"""
 select g.PULocationID, g.trips, coalesce(z.Zone, '-') as zone, coalesce(z.Borough, '-') as borough,
        round(g.mean_fare, 6) as mean_fare
 from g left join zn z on z.LocationID = g.PULocationID""", "eda", "zn")
+
+# --- evaluation -----------------------------------------------------------------------
+
+register("gm2", f"""gm2 as (select {gmean('fare_amount')} as g_fare, {gmean('duration_minutes', MIN)} as g_dur
+  from kept_split where split = 'train')""", ["kept_split"])
+register("zmap", f"""zmap as (
+  select PULocationID as zone,
+    (count(*) * {gmean('fare_amount')} + 10.0e0 * any_value(g_fare)) / (count(*) + 10.0e0) as zp_fare,
+    (count(*) * {gmean('duration_minutes', MIN)} + 10.0e0 * any_value(g_dur)) / (count(*) + 10.0e0) as zp_dur
+  from kept_split, gm2 where split = 'train' group by PULocationID)""", ["kept_split", "gm2"])
+register("zpred", """zpred as (
+  select t.*, coalesce(z.zp_fare, gm2.g_fare) as p_fare, coalesce(z.zp_dur, gm2.g_dur) as p_dur
+  from kept_split t cross join gm2 left join zmap z on z.zone = t.PULocationID where t.split = 'test')""",
+    ["kept_split", "gm2", "zmap"])
+register("mpred", """mpred as (
+  select t.*, gm2.g_fare as p_fare, gm2.g_dur as p_dur from kept_split t cross join gm2 where t.split = 'test')""",
+    ["kept_split", "gm2"])
+
+
+def _metrics(src: str, model: str, eps: bool = False, rnd: bool = True) -> str:
+    def one(target, y, p):
+        if eps:
+            mape = f"avg(abs({y} - {p}) / greatest(abs({y}), 2.220446049250313e-16)) * 100.0e0"
+        else:
+            mape = f"coalesce(avg(abs(({y} - {p}) / {y})) filter (where {y} <> 0) * 100.0e0, 0.0e0)"
+        r = (lambda x: f"round({x}, 6)") if rnd else (lambda x: x)
+        return (f"select '{model}' as model, '{target}' as target, {r(f'avg(abs({y} - {p}))')} as mae, "
+                f"{r(f'sqrt(avg(({y} - {p}) * ({y} - {p})))')} as rmse, {r(mape)} as mape_pct, "
+                f"{r(f'1.0e0 - sum(({y} - {p}) * ({y} - {p})) / (var_pop({y}) * count({y}))')} as r2, "
+                f"count({y}) as rows from {src}")
+    return one("fare", "fare_amount", "p_fare") + " union all " + one("duration", "duration_minutes", "p_dur")
+
+
+sql("mean_baseline_eval", _metrics("mpred", "mean"), "mpred")
+sql("regression_metrics", _metrics("zpred", "zone_mean"), "zpred")
+sql("regression_metrics_eps", _metrics("zpred", "zone_mean", eps=True), "zpred")
+
+register("sl", """sl as (
+  select z.*, hour(z.tpep_pickup_datetime) as pickup_hour, coalesce(zn.Borough, 'Unknown') as pu_borough,
+    case when trip_distance > 0 and trip_distance <= 2 then 'Short (<2 mi)'
+         when trip_distance > 2 and trip_distance <= 10 then 'Medium (2-10 mi)'
+         when trip_distance > 10 and trip_distance <= 1000 then 'Long (>10 mi)' end as distance_bucket,
+    fare_amount - p_fare as r_fare, abs(fare_amount - p_fare) as a_fare,
+    duration_minutes - p_dur as r_dur, abs(duration_minutes - p_dur) as a_dur
+  from zpred z left join zn on zn.LocationID = z.PULocationID)""", ["zpred", "zn"])
+
+SLICE_AGGS = """count(*) as trips, round(avg(a_fare), 6) as fare_mae, round(avg(r_fare), 6) as fare_mean_res,
+  round(avg(a_dur), 6) as dur_mae, round(avg(r_dur), 6) as dur_mean_res"""
+
+sql("residuals_by_hour", f"select pickup_hour::integer as pickup_hour, {SLICE_AGGS} from sl group by 1", "sl")
+sql("residuals_by_borough", f"select pu_borough, {SLICE_AGGS} from sl group by 1", "sl")
+sql("residuals_by_ratecode", f"select RatecodeID, {SLICE_AGGS} from sl where RatecodeID is not null group by 1",
+    "sl")
+sql("residuals_by_distance", """
+, b(bucket_order, distance_bucket) as (values (0, 'Short (<2 mi)'), (1, 'Medium (2-10 mi)'), (2, 'Long (>10 mi)')),
+a as (select distance_bucket, count(*) as trips, avg(a_fare) as fare_mae, avg(a_dur) as dur_mae from sl
+      where distance_bucket is not null group by 1)
+select b.bucket_order::integer as bucket_order, b.distance_bucket, coalesce(a.trips, 0)::bigint as trips,
+       round(a.fare_mae, 6) as fare_mae, round(a.dur_mae, 6) as dur_mae
+from b left join a using (distance_bucket)""", "sl")
+
+sql("residual_slices", f"""
+, s as (
+  select 'hour' as slice, cast(pickup_hour as varchar) as slice_key, {SLICE_AGGS} from sl group by 2
+  union all select 'borough', pu_borough, {SLICE_AGGS} from sl group by 2
+  union all select 'distance_bucket', distance_bucket, {SLICE_AGGS} from sl where distance_bucket is not null group by 2
+  union all select 'ratecode', cast(RatecodeID as varchar), {SLICE_AGGS} from sl where RatecodeID is not null group by 2),
+b(k) as (values ('Short (<2 mi)'), ('Medium (2-10 mi)'), ('Long (>10 mi)'))
+select * from s
+union all
+select 'distance_bucket', k, 0::bigint, null::double, null::double, null::double, null::double from b
+where k not in (select slice_key from s where slice = 'distance_bucket')""", "sl")
+
+sql("time_series_folds", """
+, r as (select tpep_pickup_datetime, row_number() over (order by tpep_pickup_datetime, trip_id) - 1 as pos,
+               count(*) over () as n from kept_split where split = 'train'),
+f as (select *, n // 4 as size, n - 3 * (n // 4) as first_test from r),
+g as (select *, case when pos >= first_test then (pos - first_test) // size end as fold from f)
+select fold::integer as fold, min(pos) as train_rows, count(*) as test_rows, min(tpep_pickup_datetime) as test_first_pickup,
+       max(tpep_pickup_datetime) as test_last_pickup
+from g where fold is not null group by fold""", "kept_split")
+
+_BOARD = "(" + _metrics("mpred", "mean") + " union all " + _metrics("zpred", "zone_mean") + ")"
+sql("model_leaderboard", f"""
+select *, rank() over (partition by target order by mae) as rank from {_BOARD}""", "mpred", "zpred")
+
+_BOARD_RAW = "(" + _metrics("mpred", "mean", rnd=False) + " union all " + _metrics("zpred", "zone_mean", rnd=False) + ")"
+sql("model_winner", f"""
+, m as {_BOARD_RAW},
+r as (select target, model, mae, row_number() over (partition by target order by mae, model) as rn,
+             lead(mae) over (partition by target order by mae, model) as nxt from m)
+select target, model, round(mae, 6) as best_mae, round(nxt, 6) as runner_up_mae,
+       round((nxt - mae) * 100.0e0 / nxt, 6) as improvement_pct
+from r where rn = 1""", "mpred", "zpred")
+
+sql("score_trips", """
+select q.request_id, round(greatest(coalesce(z.zp_fare, gm2.g_fare), 2.5e0), 6) as predicted_fare,
+       round(greatest(coalesce(z.zp_dur, gm2.g_dur), 0.5e0), 6) as predicted_duration_minutes,
+       'tripsight-0.1.0' as model_version
+from req_checked q cross join gm2 left join zmap z on z.zone = q.PULocationID where len(q.failed) = 0""",
+    "req_checked", "gm2", "zmap")
