@@ -520,3 +520,148 @@ def q_score_trips(spark, sf_dir):
                             F.greatest("pred_fare", F.lit(C.FARE_FLOOR)).alias("predicted_fare"),
                             F.greatest("pred_duration", F.lit(C.DURATION_FLOOR)).alias("predicted_duration_minutes"),
                             F.lit(C.DEFAULT.model_version).alias("model_version")))
+
+
+# --- latency reports ---------------------------------------------------------------------
+
+from ..operators import latency as LT  # noqa: E402
+
+COMPONENTS = ("view", "click", "purchase", "signup", "error")
+
+
+@query("latency_report")
+def q_latency_report(spark, sf_dir):
+    """AGG-23."""
+    return checked(LT.latency_report(A.request_log(spark, sf_dir)))
+
+
+@query("latency_components")
+def q_latency_components(spark, sf_dir):
+    """AGG-24: mean latency per component, pivoted."""
+    return checked(LT.latency_components(A.request_log(spark, sf_dir), COMPONENTS))
+
+
+@query("latency_before_after")
+def q_latency_before_after(spark, sf_dir):
+    """AGG-25: unoptimised -> optimised."""
+    return checked(LT.before_after(LT.latency_report(A.request_log(spark, sf_dir)), "unoptimised", "optimised"))
+
+
+# --- zones ---------------------------------------------------------------------------------
+
+from ..operators import zones as ZN  # noqa: E402
+
+
+def used_zones(spark, sf_dir) -> DataFrame:
+    t = raw_trips(spark, sf_dir)
+    return t.groupBy(F.col("PULocationID").alias("LocationID")).agg(F.count(F.lit(1)).alias("pickups"))
+
+
+@query("zone_polygon_centroid")
+def q_zone_polygon_centroid(spark, sf_dir):
+    """SRC-08: area-weighted centroids of the zones that trips start in."""
+    c = ZN.polygon_centroids(A.zone_vertices(spark))
+    return checked(c.join(used_zones(spark, sf_dir), "LocationID", "left_semi"))
+
+
+@query("zone_dimension")
+def q_zone_dimension(spark, sf_dir):
+    """SRC-07 / JOIN-02 / SRT-01: look-up LEFT JOIN polygon centroids, pickups, ordered by id."""
+    d = ZN.zone_dimension(A.zone_lookup(spark), ZN.polygon_centroids(A.zone_vertices(spark)))
+    d = d.join(used_zones(spark, sf_dir), "LocationID", "left").withColumn(
+        "pickups", F.coalesce("pickups", F.lit(0)).cast("bigint"))
+    return checked(d.orderBy("LocationID"))
+
+
+@query("linear_single_eval")
+def q_linear_single(spark, sf_dir):
+    """MOD-13 (single feature): least squares on trip_distance per target, scored on test."""
+    from ..operators.models import SingleLinear
+    train, test = train_test(spark, sf_dir)
+    return checked(EV.regression_metrics(SingleLinear.fit(train).predict(test), "linear_distance"))
+
+
+@query("od_fare_grid")
+def q_od_fare_grid(spark, sf_dir, pickup_zone: int = C.JFK_ZONE):
+    """JOIN-06 + PRJ-21/22 + FLT-17: one pickup zone to every dropoff zone with coordinates.
+
+    The dropoff side is the 265-row dimension with the pickup as a constant
+    column (no cross join); fares come from the distance model fitted on trips.
+    """
+    from ..operators.models import SingleLinear
+    from ..operators import features as FE
+    train, _ = train_test(spark, sf_dir)
+    model = SingleLinear.fit(train)
+    z = A.zones(spark).dropna(subset=["longitude", "latitude"])
+    pu, do = F.lit(pickup_zone).cast("bigint"), F.col("LocationID")
+    grid = z.select(pu.alias("PULocationID"), do.alias("DOLocationID"))
+    g = FE.with_centroids(grid, A.zones(spark))
+    est = F.coalesce(F.bround(F.least(F.greatest(FE.haversine_col(), F.lit(C.ESTIMATE_MIN_MILES)),
+                                      F.lit(C.ESTIMATE_MAX_MILES)), 2), F.lit(C.ESTIMATE_DEFAULT_MILES))
+    rc = (F.when((F.col("PULocationID") == C.JFK_ZONE) | (F.col("DOLocationID") == C.JFK_ZONE), F.lit(2))
+          .when((F.col("PULocationID") == C.NEWARK_ZONE) | (F.col("DOLocationID") == C.NEWARK_ZONE), F.lit(3))
+          .otherwise(F.lit(1)))
+    g = g.select("PULocationID", "DOLocationID", rc.cast("bigint").alias("inferred_ratecode"),
+                 est.alias("trip_distance"))
+    p = model.predict(g)
+    return checked(p.select("PULocationID", "DOLocationID", "inferred_ratecode",
+                            F.col("trip_distance").alias("estimated_distance"),
+                            F.greatest("pred_fare", F.lit(C.FARE_FLOOR)).alias("predicted_fare"),
+                            F.greatest("pred_duration", F.lit(C.DURATION_FLOOR)).alias("predicted_duration_minutes")))
+
+
+# --- second-priority operators (2.10) --------------------------------------------------------
+
+from ..operators import demand as DM  # noqa: E402
+
+
+def demand_panel(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
+    return DM.zone_demand(kept_trips(spark, sf_dir, cfg), A.zones(spark), cfg.month_start, cfg.month_end)
+
+
+@query("zone_demand")
+def q_zone_demand(spark, sf_dir):
+    """OPT-01: zero-filled pickups per zone and hour of the window."""
+    return demand_panel(spark, sf_dir)
+
+
+@query("demand_naive")
+def q_demand_naive(spark, sf_dir):
+    """OPT-02 (seasonal naive): same hour of the previous day, error on test hours."""
+    return checked(DM.seasonal_naive_eval(demand_panel(spark, sf_dir), C.DEFAULT.split_at))
+
+
+@query("weather_hour_join")
+def q_weather_hour_join(spark, sf_dir):
+    """OPT-03: hourly weather joined on the pickup hour (window-sized side: broadcast)."""
+    from ..operators.broadcast import bounded_broadcast
+    k = kept_trips(spark, sf_dir)
+    w = bounded_broadcast(A.weather(spark), 24 * 366)
+    j = k.join(w, F.date_trunc("hour", CL.PU) == w["hour_ts"], "left")
+    return checked(j.select("trip_id", "hour_ts", "temp_c", "precip_mm"))
+
+
+@query("cleaning_cost_speed")
+def q_cleaning_cost_speed(spark, sf_dir):
+    """OPT-05: the sequential cleaning cost with an eighth rule on implied speed."""
+    return checked(CL.cleaning_cost(raw_trips(spark, sf_dir), extra_rules=[CL.speed_rule(100.0)]))
+
+
+@query("hourly_traffic_proxy")
+def q_traffic_proxy(spark, sf_dir):
+    """OPT-06: hour-of-week proxies learned on train, attached to test trips."""
+    train, test = train_test(spark, sf_dir)
+    out = DM.attach_traffic_proxy(test, DM.hourly_traffic_proxy(train))
+    return checked(out.select("trip_id", F.col("dow").cast("int").alias("dow"), F.col("hour").cast("int").alias("hour"),
+                              "proxy_pickups_per_hour", "proxy_mean_speed"))
+
+
+@query("impute_and_scale")
+def q_impute_and_scale(spark, sf_dir):
+    """ENC-04/05: exact-median imputation, population-std scaling, fitted on train."""
+    from ..operators.scaling import ImputeScale
+    from ..operators import features as FE
+    train, _ = train_test(spark, sf_dir)
+    t = FE.with_centroids(train, A.zones(spark))
+    cols = ["pu_lat", "pu_lon", "trip_distance", "passenger_count"]
+    return checked(ImputeScale.fit(t, cols).transform(t, keep=("trip_id",)))

@@ -620,3 +620,191 @@ select q.request_id, round(greatest(coalesce(z.zp_fare, gm2.g_fare), 2.5e0), 6)
        'tripsight-0.1.0' as model_version
 from req_checked q cross join gm2 left join zmap z on z.zone = q.PULocationID where len(q.failed) = 0""",
     "req_checked", "gm2", "zmap")
+
+# --- latency --------------------------------------------------------------------------
+
+register("rl", """rl as (
+  select case when user_id % 2 = 0 then 'unoptimised' else 'optimised' end as scenario, event_id as request_id,
+         ts, event_type <> 'error' as ok, value as latency_ms, event_type as component from events)""")
+
+_LAT_Q = qsql("(select * from rl where ok)", "latency_ms", [0.5, 0.9, 0.95, 0.99], ["scenario"])
+register("lrep", f"""lrep as (
+  with b as (select scenario, count(*) as total_requests, count(*) filter (where ok) as success,
+                    count(*) filter (where not ok) as errors,
+                    date_diff('microsecond', min(ts), max(ts)) / 1.0e6 as elapsed_s,
+                    arg_min(latency_ms, ts) as cold_start_ms from rl group by 1),
+  s as (select scenario, {gmean('latency_ms')} as mean_ms, stddev_pop(latency_ms) as std_ms,
+               min(latency_ms) as min_ms, max(latency_ms) as max_ms from rl where ok group by 1),
+  q as {_LAT_Q},
+  qw as (select scenario, max(q) filter (where p = 0.5) as p50_ms, max(q) filter (where p = 0.9) as p90_ms,
+                max(q) filter (where p = 0.95) as p95_ms, max(q) filter (where p = 0.99) as p99_ms from q group by 1)
+  select b.scenario, total_requests, success, errors, elapsed_s, success / elapsed_s as throughput_rps,
+    cold_start_ms, mean_ms, std_ms, min_ms, p50_ms, p90_ms, p95_ms, p99_ms, max_ms,
+    coalesce(cold_start_ms <= 50 and p50_ms <= 5 and p95_ms <= 15 and p99_ms <= 30, false) as sla_passed
+  from b left join s using (scenario) left join qw using (scenario))""", ["rl"])
+
+sql("latency_report", """
+select scenario, total_requests, success, errors, round(elapsed_s, 6) as elapsed_s,
+  round(throughput_rps, 6) as throughput_rps, round(cold_start_ms, 6) as cold_start_ms, round(mean_ms, 6) as mean_ms,
+  round(std_ms, 6) as std_ms, round(min_ms, 6) as min_ms, round(p50_ms, 6) as p50_ms, round(p90_ms, 6) as p90_ms,
+  round(p95_ms, 6) as p95_ms, round(p99_ms, 6) as p99_ms, round(max_ms, 6) as max_ms, sla_passed from lrep""", "lrep")
+
+def _cmean(c):
+    return (f"round(cast(sum(cast(round(latency_ms * 1000.0e0) as bigint)) filter (where component = '{c}') as double)"
+            f" / 1000.0e0 / cast(count(latency_ms) filter (where component = '{c}') as double), 6) as {c}")
+
+
+sql("latency_components", "select scenario, " + ", ".join(_cmean(c) for c in
+                                                          ("view", "click", "purchase", "signup", "error"))
+    + " from rl group by scenario", "rl")
+
+sql("latency_before_after", """
+, p as (select
+   max(mean_ms) filter (where scenario = 'unoptimised') as b1, max(mean_ms) filter (where scenario = 'optimised') as a1,
+   max(p50_ms) filter (where scenario = 'unoptimised') as b2, max(p50_ms) filter (where scenario = 'optimised') as a2,
+   max(p95_ms) filter (where scenario = 'unoptimised') as b3, max(p95_ms) filter (where scenario = 'optimised') as a3,
+   max(p99_ms) filter (where scenario = 'unoptimised') as b4, max(p99_ms) filter (where scenario = 'optimised') as a4,
+   max(max_ms) filter (where scenario = 'unoptimised') as b5, max(max_ms) filter (where scenario = 'optimised') as a5,
+   max(cold_start_ms) filter (where scenario = 'unoptimised') as b6, max(cold_start_ms) filter (where scenario = 'optimised') as a6,
+   max(throughput_rps) filter (where scenario = 'unoptimised') as b7, max(throughput_rps) filter (where scenario = 'optimised') as a7
+ from lrep),
+l as (select 'mean_ms' as metric, b1 as before, a1 as after from p union all select 'p50_ms', b2, a2 from p union all
+      select 'p95_ms', b3, a3 from p union all select 'p99_ms', b4, a4 from p union all select 'max_ms', b5, a5 from p
+      union all select 'cold_start_ms', b6, a6 from p union all select 'throughput_rps', b7, a7 from p)
+select metric, round(before, 6) as before, round(after, 6) as after,
+  round(case when metric = 'throughput_rps' then (after - before) * 100.0e0 / before
+             else (before - after) * 100.0e0 / before end, 6) as improvement_pct
+from l""", "lrep")
+
+# --- zones ----------------------------------------------------------------------------
+
+register("vx", """vx as (
+  with b as (select LocationID as zid, longitude as x, latitude as y,
+                    0.004e0 + cast(LocationID % 7 as double) * 0.001e0 as w,
+                    0.003e0 + cast(LocationID % 3 as double) * 0.001e0 as hh
+             from zn where longitude is not null)
+  select zid as LocationID, 0::bigint as ring, 0::bigint as seq, x - w as x, y - hh as y from b union all
+  select zid, 0, 1, x + w, y - hh from b union all
+  select zid, 0, 2, x + w / 2.0e0, y + hh from b union all
+  select zid, 0, 3, x - w / 2.0e0, y + hh from b union all
+  select zid, 0, 4, x - w, y - hh from b)""", ["zn"])
+register("cent", """cent as (
+  with o as (select *, min(x) over (partition by LocationID) as ox, min(y) over (partition by LocationID) as oy from vx),
+  e as (select LocationID, seq, x, y, ox, oy, x - ox as x0, y - oy as y0,
+               lead(x - ox) over (partition by LocationID, ring order by seq) as x1,
+               lead(y - oy) over (partition by LocationID, ring order by seq) as y1 from o),
+  g as (select LocationID, sum(x0 * y1 - x1 * y0) as c2, sum((x0 + x1) * (x0 * y1 - x1 * y0)) as sx,
+               sum((y0 + y1) * (x0 * y1 - x1 * y0)) as sy, max(ox) as ox, max(oy) as oy,
+               avg(x) filter (where x1 is not null) as vertex_mean_x, avg(y) filter (where x1 is not null) as vertex_mean_y
+        from e group by LocationID)
+  select LocationID, ox + sx / (3.0e0 * c2) as longitude, oy + sy / (3.0e0 * c2) as latitude, abs(c2 / 2.0e0) as area,
+         vertex_mean_x, vertex_mean_y from g)""", ["vx"])
+
+sql("zone_polygon_centroid", """
+select LocationID, round(longitude, 6) as longitude, round(latitude, 6) as latitude, round(area, 6) as area,
+       round(vertex_mean_x, 6) as vertex_mean_x, round(vertex_mean_y, 6) as vertex_mean_y
+from cent where LocationID in (select PULocationID from raw)""", "cent", "raw")
+
+sql("zone_dimension", """
+select z.LocationID, z.Borough, z.Zone, z.service_zone, round(c.longitude, 6) as longitude,
+       round(c.latitude, 6) as latitude, coalesce(u.pickups, 0)::bigint as pickups
+from zn z left join cent c on c.LocationID = z.LocationID
+left join (select PULocationID, count(*) as pickups from raw group by 1) u on u.PULocationID = z.LocationID""",
+    "zn", "cent", "raw")
+
+register("lin", """lin as (
+  select regr_intercept(fare_amount, trip_distance) as a_fare, regr_slope(fare_amount, trip_distance) as b_fare,
+         regr_intercept(duration_minutes, trip_distance) as a_dur, regr_slope(duration_minutes, trip_distance) as b_dur
+  from kept_split where split = 'train')""", ["kept_split"])
+register("lpred", """lpred as (
+  select t.*, a_fare + b_fare * trip_distance as p_fare, a_dur + b_dur * trip_distance as p_dur
+  from kept_split t cross join lin where t.split = 'test')""", ["kept_split", "lin"])
+sql("linear_single_eval", _metrics("lpred", "linear_distance"), "lpred")
+
+sql("od_fare_grid", f"""
+, g as (select 132::bigint as PULocationID, d.LocationID as DOLocationID,
+          2::bigint as inferred_ratecode,
+          coalesce(round_even(least(greatest({HAV.format(a='p', b='d')}, 0.1e0), 150.0e0), 2), 3.0e0) as est
+        from zn d left join zn p on p.LocationID = 132
+        where d.longitude is not null and d.latitude is not null)
+select PULocationID, DOLocationID, inferred_ratecode, round(est, 6) as estimated_distance,
+       round(greatest(a_fare + b_fare * est, 2.5e0), 6) as predicted_fare,
+       round(greatest(a_dur + b_dur * est, 0.5e0), 6) as predicted_duration_minutes
+from g cross join lin""", "zn", "lin")
+
+# --- second priority ------------------------------------------------------------------
+
+register("panel", f"""panel as (
+  with hrs as (select unnest(generate_series(timestamp '{MONTH_START}', timestamp '{MONTH_END}' - interval 1 hour,
+                                             interval 1 hour)) as hour_ts),
+  c as (select PULocationID as zone, date_trunc('hour', tpep_pickup_datetime) as hour_ts, count(*) as pickups
+        from kept group by 1, 2)
+  select z.LocationID as zone, h.hour_ts, coalesce(c.pickups, 0)::bigint as pickups
+  from zn z cross join hrs h left join c on c.zone = z.LocationID and c.hour_ts = h.hour_ts)""", ["zn", "kept"])
+
+sql("zone_demand", "select zone, hour_ts, pickups from panel", "panel")
+
+sql("demand_naive", f"""
+, l as (select *, lag(pickups, 24) over (partition by zone order by hour_ts) as lag_24 from panel)
+select count(*) as rows, round(avg(abs(pickups - lag_24)), 6) as mae,
+       round(sqrt(avg((pickups - lag_24) * (pickups - lag_24))), 6) as rmse,
+       sum(pickups) as actual_pickups, sum(lag_24) as forecast_pickups
+from l where hour_ts >= timestamp '{SPLIT_AT}' and lag_24 is not null""", "panel")
+
+sql("weather_hour_join", f"""
+, w as (select hour_ts, -5.0e0 + cast(n % 24 as double) * 0.5e0 as temp_c,
+               case when n % 7 = 0 then cast(n % 5 as double) * 1.5e0 else 0.0e0 end as precip_mm
+        from (select hour_ts, epoch_us(hour_ts) // 3600000000 as n
+              from (select unnest(generate_series(timestamp '{MONTH_START}', timestamp '{MONTH_END}' - interval 1 hour,
+                                                  interval 1 hour)) as hour_ts)))
+select k.trip_id, w.hour_ts, round(w.temp_c, 6) as temp_c, round(w.precip_mm, 6) as precip_mm
+from kept k left join w on w.hour_ts = date_trunc('hour', k.tpep_pickup_datetime)""", "kept")
+
+sql("cleaning_cost_speed", """
+, r8 as (select *, case when rule_no = 0 and not coalesce(
+            (case when duration_minutes = 0 then null else trip_distance / (duration_minutes / 60.0e0) end) <= 100.0e0,
+            false) then 8 else rule_no end as rn from ruled),
+counts as (select count(*) as n, count(*) filter (where rn = 0) as kept_n,
+  count(*) filter (where rn = 1) c1, count(*) filter (where rn = 2) c2, count(*) filter (where rn = 3) c3,
+  count(*) filter (where rn = 4) c4, count(*) filter (where rn = 5) c5, count(*) filter (where rn = 6) c6,
+  count(*) filter (where rn = 7) c7, count(*) filter (where rn = 8) c8 from r8)
+select * from (
+  select 1::bigint as stat_order, 'out_of_bound_timestamps' as stat, c1::double as value from counts union all
+  select 2, 'invalid_durations', c2 from counts union all select 3, 'invalid_fares', c3 from counts union all
+  select 4, 'invalid_trip_distances', c4 from counts union all select 5, 'invalid_passenger_counts', c5 from counts union all
+  select 6, 'invalid_ratecodes', c6 from counts union all select 7, 'invalid_location_ids', c7 from counts union all
+  select 8, 'implausible_speeds', c8 from counts union all select 9, 'total_initial_rows', n from counts union all
+  select 10, 'total_final_rows', kept_n from counts union all select 11, 'total_dropped_rows', n - kept_n from counts union all
+  select 12, 'retention_rate_pct', round(kept_n * 100.0e0 / n, 6) from counts)""", "ruled")
+
+sql("hourly_traffic_proxy", """
+, tr2 as (select *, case when duration_minutes = 0 then null else trip_distance / (duration_minutes / 60.0e0) end as sp
+          from kept_split where split = 'train'),
+ph as (select cast(tpep_pickup_datetime as date) as d, isodow(tpep_pickup_datetime) - 1 as dw,
+              hour(tpep_pickup_datetime) as hr, count(*) as n, sum(sp) as s, count(sp) as ns from tr2 group by 1, 2, 3),
+px as (select dw, hr, avg(n) as pp, sum(s) / sum(ns) as ps from ph group by 1, 2)
+select t.trip_id, (isodow(t.tpep_pickup_datetime) - 1)::integer as dow, hour(t.tpep_pickup_datetime)::integer as hour,
+       round(px.pp, 6) as proxy_pickups_per_hour, round(px.ps, 6) as proxy_mean_speed
+from kept_split t left join px on px.dw = isodow(t.tpep_pickup_datetime) - 1 and px.hr = hour(t.tpep_pickup_datetime)
+where t.split = 'test'""", "kept_split")
+
+_IMP_SRC = """(select k.trip_id, p.latitude as pu_lat, p.longitude as pu_lon, k.trip_distance, k.passenger_count
+   from kept_split k left join zn p on p.LocationID = k.PULocationID where k.split = 'train')"""
+_IMP_Q = qsql("(select 'pu_lat' as c, pu_lat as v from src union all select 'pu_lon', pu_lon from src union all "
+              "select 'trip_distance', trip_distance from src union all "
+              "select 'passenger_count', passenger_count from src)", "v", [0.5], ["c"])
+sql("impute_and_scale", f"""
+, src as {_IMP_SRC},
+q as {_IMP_Q},
+f as (select trip_id,
+        coalesce(pu_lat, (select q from q where c = 'pu_lat')) as pu_lat,
+        coalesce(pu_lon, (select q from q where c = 'pu_lon')) as pu_lon,
+        coalesce(trip_distance, (select q from q where c = 'trip_distance')) as trip_distance,
+        coalesce(passenger_count, (select q from q where c = 'passenger_count')) as passenger_count from src),
+m as (select avg(pu_lat) m1, avg(pu_lon) m2, avg(trip_distance) m3, avg(passenger_count) m4,
+             coalesce(nullif(stddev_pop(pu_lat), 0), 1) s1, coalesce(nullif(stddev_pop(pu_lon), 0), 1) s2,
+             coalesce(nullif(stddev_pop(trip_distance), 0), 1) s3, coalesce(nullif(stddev_pop(passenger_count), 0), 1) s4
+      from f)
+select trip_id, round((pu_lat - m1) / s1, 6) as pu_lat, round((pu_lon - m2) / s2, 6) as pu_lon,
+       round((trip_distance - m3) / s3, 6) as trip_distance, round((passenger_count - m4) / s4, 6) as passenger_count
+from f, m""", "kept_split", "zn")
