@@ -665,3 +665,104 @@ def q_impute_and_scale(spark, sf_dir):
     t = FE.with_centroids(train, A.zones(spark))
     cols = ["pu_lat", "pu_lon", "trip_distance", "passenger_count"]
     return checked(ImputeScale.fit(t, cols).transform(t, keep=("trip_id",)))
+
+
+# --- 2.8 Spark ML (rows-only: model output depends on the engine) ------------------------------
+
+from ..operators import ml as ML  # noqa: E402
+
+
+def ml_eval(spark, sf_dir, family, log_target=False, name=None):
+    train, test = train_test(spark, sf_dir)
+    run = ML.fit_run(train, A.zones(spark), family, log_target=log_target)
+    return ML.evaluate_run(run, test, name)
+
+
+@query("decision_tree_eval")
+def q_decision_tree(spark, sf_dir):
+    """MOD-02: depth 12, min leaf 50."""
+    return ml_eval(spark, sf_dir, "decision_tree")
+
+
+@query("gbt_l1_eval")
+def q_gbt_l1(spark, sf_dir):
+    """MOD-04: boosted trees, absolute loss."""
+    return ml_eval(spark, sf_dir, "gbt_l1")
+
+
+@query("gbt_depthwise_eval")
+def q_gbt_depthwise(spark, sf_dir):
+    """MOD-05: second boosted preset (depth 6, row subsampling)."""
+    return ml_eval(spark, sf_dir, "gbt_depthwise")
+
+
+@query("winner_eval")
+def q_winner(spark, sf_dir):
+    """MOD-06: squared loss, rate 0.05, depth 6 (rounds capped at test scale)."""
+    return ml_eval(spark, sf_dir, "winner")
+
+
+@query("linear_baseline_eval")
+def q_linear_baseline(spark, sf_dir):
+    """MOD-13: least squares on all 29 features."""
+    return ml_eval(spark, sf_dir, "linear")
+
+
+@query("forest_eval")
+def q_forest(spark, sf_dir):
+    """OPT-07: random forest."""
+    return ml_eval(spark, sf_dir, "forest")
+
+
+@query("log_target_eval")
+def q_log_target(spark, sf_dir):
+    """OPT-04: trained on log1p(target), scored after expm1 in original units."""
+    return ml_eval(spark, sf_dir, "winner", log_target=True, name="winner_log_target")
+
+
+@query("baseline_summary")
+def q_baseline_summary(spark, sf_dir):
+    """MOD-03: mean baseline and decision tree side by side."""
+    train, test = train_test(spark, sf_dir)
+    mean = EV.regression_metrics(EV.MeanPredictor.fit(train).predict(test), "mean").withColumn(
+        "train_seconds", F.lit(None).cast("double"))
+    return mean.unionByName(ml_eval(spark, sf_dir, "decision_tree"))
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """MOD-09 / SRT-04: normalised importances of the winner preset, flag >= 0.65."""
+    train, _ = train_test(spark, sf_dir)
+    return ML.importances(ML.fit_run(train, A.zones(spark), "winner"))
+
+
+@query("feature_splits")
+def q_feature_splits(spark, sf_dir):
+    """MOD-10: split count and gain per feature from the saved node tables."""
+    train, _ = train_test(spark, sf_dir)
+    return ML.split_counts(ML.fit_run(train, A.zones(spark), "winner"))
+
+
+@query("hyperparameter_search")
+def q_hyperparameter_search(spark, sf_dir):
+    """MOD-08: seeded random search, forward folds, mean fold MAE per config."""
+    train, _ = train_test(spark, sf_dir)
+    rows, _ = ML.random_search(train, A.zones(spark), "gbt_l1", n_configs=2, n_folds=2)
+    return spark.createDataFrame(rows, "family string, target string, config_id int, params string, "
+                                       "mean_fold_mae double, rank int, chosen boolean")
+
+
+@query("experiment_report")
+def q_experiment_report(spark, sf_dir):
+    """MOD-11: both boosted families x both targets: metrics, fit time, top feature, flag."""
+    train, test = train_test(spark, sf_dir)
+    out = None
+    for fam in ("gbt_l1", "gbt_depthwise"):
+        run = ML.fit_run(train, A.zones(spark), fam)
+        m = ML.evaluate_run(run, test)
+        imp = ML.importances(run).where("rank = 1").select(F.col("target"), F.col("feature").alias("top_feature"),
+                                                            F.col("importance").alias("top_importance"),
+                                                            F.col("flagged").alias("importance_flag"))
+        r = m.join(imp, "target", "left")
+        out = r if out is None else out.unionByName(r)
+    return out
