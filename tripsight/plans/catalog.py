@@ -766,3 +766,53 @@ def q_experiment_report(spark, sf_dir):
         r = m.join(imp, "target", "left")
         out = r if out is None else out.unionByName(r)
     return out
+
+
+# --- 2.9 streaming ----------------------------------------------------------------------------
+
+from ..streaming import jobs as SJ  # noqa: E402
+
+
+def scoring_run(spark, sf_dir):
+    train, _ = train_test(spark, sf_dir)
+    return ML.fit_run(train, A.zones(spark), "winner")
+
+
+@query("stream_score")
+def q_stream_score(spark, sf_dir):
+    """STR-01: streaming validation and scoring with the fitted pipeline; rejects kept apart."""
+    scored, _ = SJ.stream_score(spark, sf_dir, scoring_run(spark, sf_dir))
+    return spark.read.parquet(scored).drop("batch_id")
+
+
+@query("stream_latency_window")
+def q_stream_latency_window(spark, sf_dir):
+    """STR-02: daily windows per scenario with a watermark."""
+    return checked(SJ.stream_latency_window(spark, sf_dir))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """STR-03: doubled delivery, each request kept once."""
+    return SJ.stream_dedup(spark, sf_dir)
+
+
+@query("scoring_parity")
+def q_scoring_parity(spark, sf_dir):
+    """MOD-18: batch and stream scoring of the same requests agree within tolerance."""
+    run = scoring_run(spark, sf_dir)
+    scored, _ = SJ.stream_score(spark, sf_dir, run)
+    stream = spark.read.parquet(scored).select("request_id", F.col("predicted_fare").alias("s_fare"),
+                                               F.col("predicted_duration_minutes").alias("s_dur"))
+    valid = CL.request_failures(A.requests(spark, sf_dir)).where("valid")
+    batch = run.predict(SJ.model_input(valid)).select(
+        "request_id", F.greatest("pred_fare", F.lit(C.FARE_FLOOR)).alias("b_fare"),
+        F.greatest("pred_duration", F.lit(C.DURATION_FLOOR)).alias("b_dur"))
+    j = batch.join(stream, "request_id", "full_outer")
+    tol = C.PARITY_TOLERANCE
+    bad = (F.col("s_fare").isNull() | F.col("b_fare").isNull()
+           | (F.abs(F.col("b_fare") - F.col("s_fare")) > tol["fare"])
+           | (F.abs(F.col("b_dur") - F.col("s_dur")) > tol["duration"]))
+    return j.agg(F.count(F.lit(1)).alias("compared"), F.count_if(bad).alias("mismatches"),
+                 F.max(F.abs(F.col("b_fare") - F.col("s_fare"))).alias("max_fare_diff"),
+                 F.max(F.abs(F.col("b_dur") - F.col("s_dur"))).alias("max_duration_diff"))

@@ -808,3 +808,14 @@ m as (select avg(pu_lat) m1, avg(pu_lon) m2, avg(trip_distance) m3, avg(passenge
 select trip_id, round((pu_lat - m1) / s1, 6) as pu_lat, round((pu_lon - m2) / s2, 6) as pu_lon,
        round((trip_distance - m3) / s3, 6) as trip_distance, round((passenger_count - m4) / s4, 6) as passenger_count
 from f, m""", "kept_split", "zn")
+
+# --- streaming --------------------------------------------------------------------------
+
+sql("stream_latency_window", """
+select time_bucket(interval 1 day, ts) as window_start, time_bucket(interval 1 day, ts) + interval 1 day as window_end,
+       scenario, count(*) as requests, count(*) filter (where not ok) as rejects,
+       round(cast(sum(cast(round(latency_ms * 1000.0e0) as bigint)) as double) / 1000.0e0 / count(latency_ms), 6)
+         as mean_latency_ms
+from rl group by 1, 2, 3""", "rl")
+
+sql("stream_dedup", "select event_id as request_id, ts from events")

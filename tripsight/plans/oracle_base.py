@@ -162,6 +162,8 @@ def with_ctes(body: str, *names: str) -> str:
     if not names:
         names = tuple(n for n in CTES if re.search(rf"\b{n}\b", body))
     order = _closure(names)
+    if not order:
+        return _rewrite_round(body)
     head = "with " + ",\n".join(CTES[n] for n in order)
     return _rewrite_round(head + (body if body.lstrip().startswith(",") else "\n" + body))
 
