@@ -816,3 +816,43 @@ def q_scoring_parity(spark, sf_dir):
     return j.agg(F.count(F.lit(1)).alias("compared"), F.count_if(bad).alias("mismatches"),
                  F.max(F.abs(F.col("b_fare") - F.col("s_fare"))).alias("max_fare_diff"),
                  F.max(F.abs(F.col("b_dur") - F.col("s_dur"))).alias("max_duration_diff"))
+
+
+# --- MLP (MOD-12) -------------------------------------------------------------------------------
+
+def mlp_runs(spark, sf_dir, max_epochs=20, batch=256):
+    """Feature state and exact impute/scale fitted on train; one MLP per target."""
+    from ..operators.mlp import fit_mlp
+    from ..operators.scaling import ImputeScale
+    train, test = train_test(spark, sf_dir)
+    fm = ML.feature_pipeline(A.zones(spark)).fit(train)
+    cols = list(C.FEATURE_ORDER)
+    tr = fm.transform(train)
+    scaler = ImputeScale.fit(tr, cols)
+    def arr(df):
+        s = scaler.transform(df, keep=("trip_id", "fare_amount", "duration_minutes"))
+        return s.select("trip_id", "fare_amount", "duration_minutes", F.array(*cols).alias("x"))
+    tr_a, te_a = arr(tr).cache(), arr(fm.transform(test))
+    models = {}
+    for k, t in EV.TARGET_KEYS.items():
+        models[k] = fit_mlp(tr_a.withColumn("y", F.col(t)), max_epochs=max_epochs, batch=batch)
+    return models, te_a
+
+
+@query("mlp_eval")
+def q_mlp_eval(spark, sf_dir):
+    """MOD-12: (64, 32) ReLU MLP per target, metrics on test."""
+    models, te = mlp_runs(spark, sf_dir)
+    pred = te
+    for k, m in models.items():
+        p = m.predict(te, ["trip_id"]).withColumnRenamed("prediction", f"pred_{k}")
+        pred = pred.join(p, "trip_id")
+    return EV.regression_metrics(pred, "mlp")
+
+
+@query("mlp_curve")
+def q_mlp_curve(spark, sf_dir):
+    """MOD-12: training loss and validation R2 per epoch until early stop."""
+    models, _ = mlp_runs(spark, sf_dir)
+    rows = [(k, e, l, r) for k, m in models.items() for e, l, r in m.curve]
+    return spark.createDataFrame(rows, "target string, epoch int, train_loss double, val_r2 double")
