@@ -53,10 +53,13 @@ class ZoneMeanPredictor:
         m = F.lit(float(smoothing))
         aggs = [F.count(F.lit(1)).alias("n")]
         aggs += [grid_mean(F.col(t), UNITS[t]).alias(f"mean_{k}") for k, t in TARGET_KEYS.items()]
-        maps = train.groupBy("PULocationID").agg(*aggs).select(
+        fitted = train.groupBy("PULocationID").agg(*aggs).select(
             "PULocationID",
             *[((F.col("n") * F.col(f"mean_{k}") + m * F.lit(g[k])) / (F.col("n") + m)).alias(f"pred_{k}")
               for k in TARGET_KEYS])
+        # fitted state: one row per pickup zone (bounded by the zone domain)
+        maps = train.sparkSession.createDataFrame(
+            fitted.collect(), "PULocationID bigint, " + ", ".join(f"pred_{k} double" for k in TARGET_KEYS))
         return cls(maps, g, smoothing)
 
     def predict(self, df: DataFrame) -> DataFrame:

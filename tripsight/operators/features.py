@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -118,13 +118,20 @@ def encoding_stats(train: DataFrame, target: str = "fare_amount", cols=C.ENCODED
 def fit_target_encoding(train: DataFrame, target: str = "fare_amount", cols=C.ENCODED_COLUMNS,
                         smoothing: float = C.ENCODING_SMOOTHING) -> TargetEncoding:
     """ENC-01: ``(n*mean + m*global)/(n+m)`` fitted on train only (always on fare)."""
-    stats = encoding_stats(train, target, cols, smoothing).cache()
-    glob = stats.where(F.col("enc_column").isNull()).select("cat_mean").first()
-    gmean = glob[0] if glob is not None else None
+    stats = encoding_stats(train, target, cols, smoothing)
+    gm = F.max(F.when(F.col("enc_column").isNull(), F.col("cat_mean"))).over(Window.partitionBy())
     m = F.lit(float(smoothing))
-    maps = (stats.where(F.col("enc_column").isNotNull() & F.col("category").isNotNull())
-            .select("enc_column", "category", "n", "cat_mean",
-                    ((F.col("n") * F.col("cat_mean") + m * F.lit(gmean)) / (F.col("n") + m)).alias("encoded")))
+    # the aggregate output is small (one row per category of bounded domains
+    # plus the global row), so a window over it is cheap
+    fitted = stats.select("enc_column", "category", "n", "cat_mean", gm.alias("_g")).select(
+        "*", ((F.col("n") * F.col("cat_mean") + m * F.col("_g")) / (F.col("n") + m)).alias("encoded"))
+    # fitted state, like an ML model's coefficients: bounded by the category domains
+    rows = fitted.collect()
+    gmean = next((r["cat_mean"] for r in rows if r["enc_column"] is None), None)
+    keep = [(r["enc_column"], r["category"], r["n"], r["cat_mean"], r["encoded"]) for r in rows
+            if r["enc_column"] is not None and r["category"] is not None]
+    maps = train.sparkSession.createDataFrame(
+        keep, "enc_column string, category double, n bigint, cat_mean double, encoded double")
     return TargetEncoding(maps=maps, global_mean=gmean)
 
 

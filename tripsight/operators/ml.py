@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.calendar import temporal_columns
-from ..functions.geo import haversine_miles, manhattan_miles
+from . import features as FE
 from ..session import scratch_path, shared_dir
 from .evaluation import TARGET_KEYS, regression_metrics
 
@@ -59,30 +58,17 @@ class TripFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return cls(zoneTable=json.dumps(rows), holidays=json.dumps([list(h) for h in cfg.holidays]))
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        # the same operators as the checked feature frame: one code path for
+        # training, batch scoring and streaming (stream-static broadcast join)
         table = json.loads(self.getOrDefault(self.zoneTable))
-        lat = F.create_map(*[x for zid, la, _ in table for x in (F.lit(zid).cast("bigint"), F.lit(la).cast("double"))])
-        lon = F.create_map(*[x for zid, _, lo in table for x in (F.lit(zid).cast("bigint"), F.lit(lo).cast("double"))])
-        hol = [tuple(h) for h in json.loads(self.getOrDefault(self.holidays))]
+        zones = df.sparkSession.createDataFrame([tuple(r) for r in table],
+                                                "LocationID bigint, latitude double, longitude double")
+        hol = tuple(tuple(h) for h in json.loads(self.getOrDefault(self.holidays)))
         vendor = F.col("VendorID") if "VendorID" in df.columns else F.lit(None)
         d = df.withColumn("VendorID", F.coalesce(vendor.cast("bigint"),
                                                  F.lit(self.getOrDefault(self.defaultVendor)).cast("bigint")))
-        d = d.select("*", *temporal_columns(F.col(PU), hol),
-                     F.try_element_at(lat, F.col("PULocationID")).alias("pu_lat"),
-                     F.try_element_at(lon, F.col("PULocationID")).alias("pu_lon"),
-                     F.try_element_at(lat, F.col("DOLocationID")).alias("do_lat"),
-                     F.try_element_at(lon, F.col("DOLocationID")).alias("do_lon"))
-        a = [F.col(c) for c in COORDS]
-        hav = F.coalesce(haversine_miles(a[0], a[1], a[2], a[3]), F.lit(0.0))
-        airport = lambda rc, z: F.coalesce((F.col("RatecodeID") == rc) | (F.col("PULocationID") == z)
-                                           | (F.col("DOLocationID") == z), F.lit(False)).cast("int")
-        return d.select(
-            "*", hav.alias("haversine_distance"),
-            F.coalesce(manhattan_miles(a[0], a[1], a[2], a[3]), F.lit(0.0)).alias("manhattan_distance"),
-            F.least(hav / (F.col("trip_distance") + F.lit(C.EPSILON_DISTANCE)), F.lit(C.MAX_HAVERSINE_RATIO))
-            .alias("haversine_ratio"),
-            F.coalesce(F.col("PULocationID") == F.col("DOLocationID"), F.lit(False)).cast("int").alias("is_same_zone"),
-            airport(C.JFK_RATECODE, C.JFK_ZONE).alias("is_jfk"),
-            airport(C.NEWARK_RATECODE, C.NEWARK_ZONE).alias("is_newark"))
+        d = FE.with_temporal(d, C.DEFAULT.with_(holidays=hol))
+        return FE.with_spatial(d, zones)
 
 
 class PlainColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):

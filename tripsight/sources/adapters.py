@@ -32,10 +32,13 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     fares, zero distances, negative and multi-day durations, zone id 266 and
     rate code 99.
     """
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    b = events.select(
+    # json_tuple is a generator: the document is parsed once per row, instead of
+    # once per reference after the optimizer inlines the projections
+    parsed = events.select("event_id", "ts", "user_id", "event_type", "value",
+                           F.json_tuple("props", "k").alias("k_txt"))
+    b = parsed.select(
         "event_id", "ts", "user_id", "event_type", "value",
-        k.alias("k"),
+        F.col("k_txt").cast("bigint").alias("k"),
         ((F.col("event_id") * 7919 + F.col("user_id") * 104729) % 1000003).alias("h"),
     )
     c = b.select(
