@@ -38,9 +38,37 @@ def raw_trips(spark, sf_dir) -> DataFrame:
     return CL.with_duration(A.trips(spark, sf_dir))
 
 
+def clean_plan(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
+    """FLT-13 as a plan: cleaned, leakage-safe rows plus ``trip_id`` and ``split``."""
+    return CL.with_split(CL.leakage_safe(CL.clean(raw_trips(spark, sf_dir), cfg), keys=("trip_id",)), cfg)
+
+
+_SPLITS: dict = {}
+
+
+def cleaned_split(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
+    """The cleaned table, written once per session into the shared folder and read back.
+
+    Partitioned by ``split``: readers of one side prune the other's files, and
+    every later job starts from the written table (a lineage cut that survives
+    executor loss) instead of re-running the scan and the rules.
+    """
+    from ..sources.sinks import write_split
+    key = (spark.sparkContext.applicationId, sf_dir, repr(cfg))
+    path = _SPLITS.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - folder removed: write it again
+            path = None
+    path = write_split(clean_plan(spark, sf_dir, cfg), spark)
+    _SPLITS[key] = path
+    return spark.read.parquet(path)
+
+
 def kept_trips(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
-    """FLT-13 without the write: cleaned, leakage-safe rows plus ``trip_id``."""
-    return CL.leakage_safe(CL.clean(raw_trips(spark, sf_dir), cfg), keys=("trip_id",))
+    """Cleaned, leakage-safe rows plus ``trip_id`` (from the materialised split)."""
+    return cleaned_split(spark, sf_dir, cfg).drop("split")
 
 
 def analysis_frame(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
@@ -111,20 +139,20 @@ def q_temporal_split(spark, sf_dir):
 @query("split_summary")
 def q_split_summary(spark, sf_dir):
     """FLT-11."""
-    return checked(CL.split_summary(CL.with_split(kept_trips(spark, sf_dir))))
+    return checked(CL.split_summary(cleaned_split(spark, sf_dir)))
 
 
 @query("split_overlap_audit")
 def q_split_overlap(spark, sf_dir):
     """FLT-12."""
-    return checked(CL.split_overlap(CL.with_split(kept_trips(spark, sf_dir))))
+    return checked(CL.split_overlap(cleaned_split(spark, sf_dir)))
 
 
 @query("clean_and_split")
 def q_clean_and_split(spark, sf_dir):
     """FLT-13 + SRC-09: clean, project, split, write partitioned by split, read back."""
     from ..sources.sinks import write_split, read_split
-    path = write_split(CL.with_split(kept_trips(spark, sf_dir)), spark)
+    path = write_split(clean_plan(spark, sf_dir), spark)
     return checked(read_split(spark, path))
 
 
@@ -168,7 +196,7 @@ from ..operators import features as FE  # noqa: E402
 
 
 def encoding_for(spark, sf_dir, cfg=C.DEFAULT) -> FE.TargetEncoding:
-    train, _ = CL.split_frames(kept_trips(spark, sf_dir, cfg), cfg)
+    train, _ = train_test(spark, sf_dir, cfg)
     return FE.fit_target_encoding(train, "fare_amount", smoothing=cfg.smoothing)
 
 
@@ -231,7 +259,7 @@ def q_target_encode_fit(spark, sf_dir):
 def q_target_encode_apply(spark, sf_dir):
     """ENC-02 / JOIN-04 on the test split; unseen categories get the global mean."""
     enc = encoding_for(spark, sf_dir)
-    _, test = CL.split_frames(kept_trips(spark, sf_dir))
+    _, test = train_test(spark, sf_dir)
     out = enc.apply(test)
     return checked(out.select("trip_id", *[f"{c}_target_enc" for c in C.ENCODED_COLUMNS]))
 
@@ -240,7 +268,7 @@ def q_target_encode_apply(spark, sf_dir):
 def q_feature_frame(spark, sf_dir):
     """PRJ-15 / ENC-03: 29 features for both splits, state fitted on train."""
     enc = encoding_for(spark, sf_dir)
-    k = CL.with_split(kept_trips(spark, sf_dir))
+    k = cleaned_split(spark, sf_dir)
     return checked(FE.build_features(k, A.zones(spark), enc, keep=("trip_id", "split")))
 
 
@@ -420,7 +448,9 @@ from ..operators import evaluation as EV  # noqa: E402
 
 
 def train_test(spark, sf_dir, cfg=C.DEFAULT):
-    return CL.split_frames(kept_trips(spark, sf_dir, cfg), cfg)
+    """Train and test sides; each read prunes to its own ``split=`` folder."""
+    t = cleaned_split(spark, sf_dir, cfg)
+    return t.where(F.col("split") == "train").drop("split"), t.where(F.col("split") == "test").drop("split")
 
 
 def zone_mean_test(spark, sf_dir):
