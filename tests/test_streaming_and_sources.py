@@ -54,3 +54,33 @@ def test_polygon_centroid_of_unit_square_and_l_shape(spark):
     got = {r.LocationID: r for r in polygon_centroids(v).collect()}
     assert (got[1].longitude, got[1].latitude, got[1].area) == pytest.approx((1.0, 1.0, 4.0))
     assert (got[2].longitude, got[2].latitude) == pytest.approx((5 / 6, 5 / 6))
+
+
+def test_json_report_and_csv_cache_round_trip(spark):
+    from tripsight.sources.sinks import read_csv_dimension, write_csv_cache, write_json_report
+    path = scratch_path(spark, "report")
+    df = spark.createDataFrame([("fare", 1.5), ("duration", None)], "target string, mae double")
+    write_json_report(df, path)
+    assert sorted(r.target for r in spark.read.json(path).collect()) == ["duration", "fare"]
+    csv = scratch_path(spark, "csv")
+    write_csv_cache(A.zone_lookup(spark), csv)
+    z = read_csv_dimension(spark, csv, "LocationID bigint, Borough string, Zone string, service_zone string")
+    assert z.count() == 265 and z.where("Borough is null").count() == 2
+
+
+def test_require_columns_raises(spark):
+    from tripsight.operators.cleaning import require_columns
+    df = spark.createDataFrame([(1.0,)], "trip_distance double")
+    with pytest.raises(ValueError, match="fare_amount"):
+        require_columns(df, ["fare_amount"])
+
+
+def test_fit_or_load_reuses(spark):
+    from tripsight.operators import ml as ML
+    from tripsight.operators.bundle import fit_or_load
+    from tripsight.plans.catalog import train_test
+    train, _ = train_test(spark, SF)
+    path = scratch_path(spark, "bundle")
+    _, how1 = fit_or_load(path, lambda: ML.fit_run(train, A.zones(spark), "linear"))
+    _, how2 = fit_or_load(path, lambda: ML.fit_run(train, A.zones(spark), "linear"))
+    assert (how1, how2) == ("fitted", "loaded")

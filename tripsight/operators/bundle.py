@@ -54,3 +54,13 @@ def load_bundle(path: str) -> dict:
         return {"status": "ok", "detail": "", "run": run, "version": meta["model_version"]}
     except Exception as e:  # noqa: BLE001 - a broken bundle degrades the service
         return {"status": "degraded", "detail": repr(e)[:500], "run": None, "version": None}
+
+
+def fit_or_load(path: str, fit) -> tuple[FittedRun, str]:
+    """SRC-13: reuse a valid bundle at ``path``; otherwise ``fit()``, export, and return it."""
+    got = load_bundle(path)
+    if got["status"] == "ok":
+        return got["run"], "loaded"
+    run = fit()
+    export_bundle(run, path)
+    return run, "fitted"

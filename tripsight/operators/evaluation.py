@@ -127,6 +127,7 @@ def bucket_dimension(spark) -> DataFrame:
 def slice_frame(res: DataFrame, zones: DataFrame) -> DataFrame:
     """Adds the four slicing keys: hour, pickup borough ('Unknown' default), bucket, code."""
     z = bounded_broadcast(zones.select(F.col("LocationID").alias("_z"), F.col("Borough").alias("_b")), 265)
+    res = res.drop("pickup_hour", "pu_borough", "distance_bucket")  # model outputs may carry the hour already
     out = res.join(z, res["PULocationID"] == z["_z"], "left")
     return out.select("*", F.hour(PU).alias("pickup_hour"), F.coalesce("_b", F.lit("Unknown")).alias("pu_borough"),
                       distance_bucket(F.col("trip_distance")).alias("distance_bucket")).drop("_z", "_b")

@@ -886,3 +886,108 @@ def q_mlp_curve(spark, sf_dir):
     models, _ = mlp_runs(spark, sf_dir)
     rows = [(k, e, l, r) for k, m in models.items() for e, l, r in m.curve]
     return spark.createDataFrame(rows, "target string, epoch int, train_loss double, val_r2 double")
+
+
+# --- remaining sources, scoring and runs -----------------------------------------------------
+
+ZONE_LOOKUP_SCHEMA = "LocationID bigint, Borough string, Zone string, service_zone string"
+
+
+@query("zones_scan")
+def q_zones_scan(spark, sf_dir):
+    """SRC-02 + SRC-10: the look-up cached as CSV ('N/A' for missing), scanned back, pickups attached."""
+    from ..session import scratch_path
+    from ..sources.sinks import read_csv_dimension, write_csv_cache
+    path = scratch_path(spark, "zone_lookup_csv")
+    write_csv_cache(A.zone_lookup(spark), path)
+    z = read_csv_dimension(spark, path, ZONE_LOOKUP_SCHEMA)
+    return z.join(used_zones(spark, sf_dir), "LocationID", "left").select(
+        "LocationID", "Borough", "Zone", "service_zone", F.coalesce("pickups", F.lit(0)).cast("bigint").alias("pickups"))
+
+
+@query("lookup_contract_audit")
+def q_lookup_contract(spark, sf_dir):
+    """SRC-05: required columns, row minimum, and pickup zones the look-up does not know."""
+    from ..sources.guards import LOOKUP_COLUMNS, MIN_LOOKUP_ROWS
+    z = A.zone_lookup(spark)
+    has_cols = not (set(LOOKUP_COLUMNS) - set(z.columns))
+    unknown = used_zones(spark, sf_dir).join(z, "LocationID", "left_anti").select(
+        F.lit(None).cast("bigint").alias("zone_row"), F.col("LocationID").alias("unknown_zone"))
+    rows = z.select(F.col("LocationID").alias("zone_row"), F.lit(None).cast("bigint").alias("unknown_zone"))
+    one = rows.unionByName(unknown).agg(F.count("zone_row").alias("lookup_rows"),
+                                        F.count("unknown_zone").alias("pickup_zones_missing"))
+    return one.select(F.lit(has_cols).alias("has_required_columns"), "lookup_rows",
+                      F.lit(MIN_LOOKUP_ROWS).cast("bigint").alias("min_rows"),
+                      (F.lit(has_cols) & (F.col("lookup_rows") >= MIN_LOOKUP_ROWS)).alias("ok"),
+                      "pickup_zones_missing")
+
+
+@query("ingest_manifest")
+def q_ingest_manifest(spark, sf_dir):
+    """SRC-06: landing is idempotent: a second attempt without ``force`` skips."""
+    from ..session import scratch_path
+    from ..sources.sinks import write_ingest
+    from ..sources.tables import read_table
+    path = scratch_path(spark, "landing_events")
+    ev = read_table(spark, sf_dir, "events")
+    first, second = write_ingest(ev, path), write_ingest(ev, path)
+    return spark.createDataFrame([(1, "events", first["status"], first["rows"]),
+                                  (2, "events", second["status"], second["rows"])],
+                                 "attempt int, table_name string, status string, rows bigint")
+
+
+@query("bundle_contract")
+def q_bundle_contract(spark, sf_dir):
+    """MOD-15 / SRC-12 / SRC-14: export the bundle, load it back under its contract."""
+    from ..operators.bundle import export_bundle, load_bundle
+    from ..session import scratch_path
+    train, _ = train_test(spark, sf_dir)
+    path = export_bundle(ML.fit_run(train, A.zones(spark), "decision_tree"), scratch_path(spark, "bundle"))
+    got = load_bundle(path)
+    n = len(got["run"].features.stages[-1].getInputCols()) if got["run"] else 0
+    return spark.createDataFrame([(got["status"], got["version"], n, ",".join(sorted(got["run"].models)) if
+                                   got["run"] else "")], "status string, model_version string, n_features int, "
+                                                         "targets string")
+
+
+@query("score_trips_ml")
+def q_score_trips_ml(spark, sf_dir):
+    """MOD-14 with the boosted pipeline: valid requests, floors, version."""
+    run = scoring_run(spark, sf_dir)
+    valid = CL.request_failures(A.requests(spark, sf_dir)).where("valid")
+    p = run.predict(SJ.model_input(valid))
+    return p.select("request_id", F.greatest("pred_fare", F.lit(C.FARE_FLOOR)).alias("predicted_fare"),
+                    F.greatest("pred_duration", F.lit(C.DURATION_FLOOR)).alias("predicted_duration_minutes"),
+                    F.lit(C.DEFAULT.model_version).alias("model_version"))
+
+
+@query("demand_forecast")
+def q_demand_forecast(spark, sf_dir):
+    """OPT-02: linear model on lagged demand (1 h, 1 day, 1 week) with a temporal hold-out."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from ..functions.literals import ts_ntz
+    p = DM.with_lags(demand_panel(spark, sf_dir)).select(
+        "*", F.hour("hour_ts").alias("hour"), F.weekday("hour_ts").alias("dow")).dropna()
+    asm = VectorAssembler(inputCols=["lag_1", "lag_24", "lag_168", "hour", "dow"], outputCol="features")
+    b = ts_ntz(C.DEFAULT.split_at)
+    train, test = asm.transform(p.where(F.col("hour_ts") < b)), asm.transform(p.where(F.col("hour_ts") >= b))
+    model = LinearRegression(labelCol="pickups", solver="normal").fit(train)
+    e = F.col("pickups") - F.col("prediction")
+    return model.transform(test).agg(F.lit("linear_lags").alias("model"), F.count(F.lit(1)).alias("rows"),
+                                      F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
+
+
+@query("stacked_eval")
+def q_stacked_eval(spark, sf_dir):
+    """OPT-07: tree and linear base models stacked by a linear model on out-of-fold predictions."""
+    from ..operators.stacking import stacked_predict
+    train, test = train_test(spark, sf_dir)
+    return EV.regression_metrics(stacked_predict(train, test, A.zones(spark)), "stacked")
+
+
+@query("selection_summary")
+def q_selection_summary(spark, sf_dir):
+    """MOD-17 / MOD-19: the offline run end to end, one row per step."""
+    from .runs import offline_run, steps_frame
+    return steps_frame(spark, offline_run(spark, sf_dir))

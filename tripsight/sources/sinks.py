@@ -26,9 +26,14 @@ def read_split(spark: SparkSession, path: str, split: str | None = None) -> Data
     return df.where(F.col("split") == split) if split else df
 
 
-def write_csv_cache(df: DataFrame, path: str) -> None:
-    """SRC-10: small dimension cache with header (one file, the dimension is bounded)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv_cache(df: DataFrame, path: str, null_value: str = "N/A") -> None:
+    """SRC-10: small dimension cache with header (one file: the dimension is bounded)."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).option("nullValue", null_value).csv(path)
+
+
+def read_csv_dimension(spark: SparkSession, path: str, schema: str, null_value: str = "N/A") -> DataFrame:
+    """SRC-02: CSV look-up with an explicit schema; ``N/A`` reads as missing."""
+    return spark.read.option("header", True).option("nullValue", null_value).schema(schema).csv(path)
 
 
 def write_json_report(df: DataFrame, path: str) -> None:
