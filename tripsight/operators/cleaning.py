@@ -22,25 +22,31 @@ def _ok(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def cleaning_rules(cfg: C.RunConfig = C.DEFAULT) -> list[tuple[str, Column]]:
-    """FLT-01..07: (stat key, keep-condition) in rule order."""
+def cleaning_rules(cfg: C.RunConfig = C.DEFAULT, null_safe: bool = True) -> list[tuple[str, Column]]:
+    """FLT-01..07: (stat key, keep-condition) in rule order.
+
+    ``null_safe`` turns a missing value into a failed rule (pandas compares NaN
+    as False); a WHERE clause already drops NULL, so the filter path uses the
+    bare predicates, which the scan can push down to parquet statistics.
+    """
     ts = F.col(PU)
+    ok = _ok if null_safe else (lambda c: c)
     return [
-        ("out_of_bound_timestamps", _ok((ts >= ts_ntz(cfg.month_start)) & (ts < ts_ntz(cfg.month_end)))),
-        ("invalid_durations", _ok(F.col("duration_minutes").between(C.MIN_DURATION, C.MAX_DURATION))),
-        ("invalid_fares", _ok(F.col("fare_amount").between(C.MIN_FARE, C.MAX_FARE))),
-        ("invalid_trip_distances", _ok(F.col("trip_distance").between(C.MIN_DISTANCE, C.MAX_DISTANCE))),
-        ("invalid_passenger_counts", _ok(F.col("passenger_count").between(C.MIN_PASSENGERS, C.MAX_PASSENGERS))),
-        ("invalid_ratecodes", _ok(F.col("RatecodeID").isin(*C.VALID_RATECODES))),
-        ("invalid_location_ids", _ok(F.col("PULocationID").between(C.MIN_LOCATION_ID, C.MAX_LOCATION_ID)
-                                     & F.col("DOLocationID").between(C.MIN_LOCATION_ID, C.MAX_LOCATION_ID))),
+        ("out_of_bound_timestamps", ok((ts >= ts_ntz(cfg.month_start)) & (ts < ts_ntz(cfg.month_end)))),
+        ("invalid_durations", ok(F.col("duration_minutes").between(C.MIN_DURATION, C.MAX_DURATION))),
+        ("invalid_fares", ok(F.col("fare_amount").between(C.MIN_FARE, C.MAX_FARE))),
+        ("invalid_trip_distances", ok(F.col("trip_distance").between(C.MIN_DISTANCE, C.MAX_DISTANCE))),
+        ("invalid_passenger_counts", ok(F.col("passenger_count").between(C.MIN_PASSENGERS, C.MAX_PASSENGERS))),
+        ("invalid_ratecodes", ok(F.col("RatecodeID").isin(*C.VALID_RATECODES))),
+        ("invalid_location_ids", ok(F.col("PULocationID").between(C.MIN_LOCATION_ID, C.MAX_LOCATION_ID)
+                                    & F.col("DOLocationID").between(C.MIN_LOCATION_ID, C.MAX_LOCATION_ID))),
     ]
 
 
-def speed_rule(max_mph: float = 100.0) -> tuple[str, Column]:
+def speed_rule(max_mph: float = 100.0, null_safe: bool = True) -> tuple[str, Column]:
     """OPT-05: implied speed plausibility as an eighth rule (off by default)."""
     mph = F.try_divide(F.col("trip_distance"), F.col("duration_minutes") / 60.0)
-    return ("implausible_speeds", _ok(mph <= max_mph))
+    return ("implausible_speeds", _ok(mph <= max_mph) if null_safe else mph <= max_mph)
 
 
 def first_failing_rule(rules: list[tuple[str, Column]]) -> Column:
@@ -57,9 +63,10 @@ def first_failing_rule(rules: list[tuple[str, Column]]) -> Column:
 
 def clean(df: DataFrame, cfg: C.RunConfig = C.DEFAULT, extra_rules=()) -> DataFrame:
     """Rows passing every rule (a plain conjunction, so filters can reach the scan)."""
-    cond = F.lit(True)
-    for _, keep in cleaning_rules(cfg) + list(extra_rules):
-        cond = cond & keep
+    conds = [keep for _, keep in cleaning_rules(cfg, null_safe=False)] + [k for _, k in extra_rules]
+    cond = conds[0]
+    for c in conds[1:]:
+        cond = cond & c
     return df.where(cond)
 
 
