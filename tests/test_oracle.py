@@ -22,6 +22,7 @@ def test_every_query_has_a_callable():
 def test_matches_oracle(spark, con, name):
     r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF, con)
     assert r["columns_match"], r
+    assert r["types_match"], r
     assert r["values_match"], r
 
 

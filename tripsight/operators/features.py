@@ -147,7 +147,4 @@ def build_features(df: DataFrame, zones: DataFrame, enc: TargetEncoding,
 def serving_input(req: DataFrame) -> DataFrame:
     """PRJ-16: request columns to the trip shape; a missing vendor defaults to 2."""
     vendor = F.col("VendorID") if "VendorID" in req.columns else F.lit(None)
-    return req.select(
-        "*" if "VendorID" not in req.columns else F.col("*"),
-        F.coalesce(vendor.cast("bigint"), F.lit(C.DEFAULT_VENDOR_ID).cast("bigint")).alias("_vendor"),
-    ).drop("VendorID").withColumnRenamed("_vendor", "VendorID")
+    return req.withColumn("VendorID", F.coalesce(vendor.cast("bigint"), F.lit(C.DEFAULT_VENDOR_ID).cast("bigint")))

@@ -277,7 +277,9 @@ def q_serving_feature_frame(spark, sf_dir):
     """PRJ-16/17: the same 29 features from valid requests (vendor defaults to 2)."""
     enc = encoding_for(spark, sf_dir)
     r = CL.request_failures(A.requests(spark, sf_dir)).where("valid")
-    r = FE.serving_input(r.drop("VendorID")).withColumn(CL.PU, F.col("pickup_ts"))
+    r = (FE.serving_input(r.drop("VendorID")).withColumn(CL.PU, F.col("pickup_ts"))
+         .withColumn("passenger_count", F.col("passenger_count").cast("double"))
+         .withColumn("RatecodeID", F.col("RatecodeID").cast("double")))
     return checked(FE.build_features(r, A.zones(spark), enc, keep=("request_id",)))
 
 

@@ -50,15 +50,26 @@ def _rows(pdf: pd.DataFrame):
     return cols, rows
 
 
+SPARK_TYPES = {"bigint": "int64", "int": "int32", "double": "float64", "string": "str", "boolean": "bool",
+               "timestamp_ntz": "ts", "timestamp": "ts", "date": "date"}
+DUCK_TYPES = {"BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "float64", "VARCHAR": "str", "BOOLEAN": "bool",
+              "TIMESTAMP": "ts", "DATE": "date"}
+
+
 def compare(spark, name: str, query_fn, sql: str, sf_dir: str, con=None) -> dict:
     sdf = query_fn(spark, sf_dir)
     left = sdf.toPandas()
     con = con or duck(sf_dir)
-    right = con.execute(sql).df()
+    rel = con.sql(sql)
+    right = rel.df()
+    st = {f.name: SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    dt = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     lc, lr = _rows(left)
     rc, rr = _rows(right)
     res = {"name": name, "spark_rows": len(lr), "oracle_rows": len(rr),
-           "columns_match": lc == rc, "values_match": False, "diff": None}
+           "columns_match": lc == rc, "types_match": st == dt, "values_match": False, "diff": None}
+    if st != dt:
+        res["type_diff"] = {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
     if lc != rc:
         res["diff"] = f"columns spark={lc} oracle={rc}"
         return res

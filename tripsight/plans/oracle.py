@@ -132,7 +132,7 @@ select round(corr(trip_distance, fare_amount) filter (where trip_distance is not
 from d""", "tr")
 
 sql("out_of_window_by_period", f"""
-select year(tpep_pickup_datetime) as year, count(*) as rows, min(tpep_pickup_datetime) as first_pickup,
+select year(tpep_pickup_datetime)::integer as year, count(*) as rows, min(tpep_pickup_datetime) as first_pickup,
        max(tpep_pickup_datetime) as last_pickup
 from tr where not coalesce(tpep_pickup_datetime between timestamp '{MONTH_START}' and timestamp '{MONTH_END}', false)
 group by 1""", "tr")
@@ -603,7 +603,7 @@ from g where fold is not null group by fold""", "kept_split")
 
 _BOARD = "(" + _metrics("mpred", "mean") + " union all " + _metrics("zpred", "zone_mean") + ")"
 sql("model_leaderboard", f"""
-select *, rank() over (partition by target order by mae) as rank from {_BOARD}""", "mpred", "zpred")
+select *, (rank() over (partition by target order by mae))::integer as rank from {_BOARD}""", "mpred", "zpred")
 
 _BOARD_RAW = "(" + _metrics("mpred", "mean", rnd=False) + " union all " + _metrics("zpred", "zone_mean", rnd=False) + ")"
 sql("model_winner", f"""
@@ -748,7 +748,7 @@ sql("demand_naive", f"""
 , l as (select *, lag(pickups, 24) over (partition by zone order by hour_ts) as lag_24 from panel)
 select count(*) as rows, round(avg(abs(pickups - lag_24)), 6) as mae,
        round(sqrt(avg((pickups - lag_24) * (pickups - lag_24))), 6) as rmse,
-       sum(pickups) as actual_pickups, sum(lag_24) as forecast_pickups
+       sum(pickups)::bigint as actual_pickups, sum(lag_24)::bigint as forecast_pickups
 from l where hour_ts >= timestamp '{SPLIT_AT}' and lag_24 is not null""", "panel")
 
 sql("weather_hour_join", f"""
