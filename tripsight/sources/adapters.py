@@ -1,6 +1,6 @@
 """Trip-shaped views over the given tables.
 
-There is no taxi table in the test data; ``events`` (unique id, one month of
+There is no trip table in the test data; ``events`` (unique id, one month of
 timestamps) stands in for the raw trip file. Every column is a deterministic
 function of an event row, written with integer arithmetic and double literals so
 that an independent SQL engine derives exactly the same values. The derivation
