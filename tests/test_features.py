@@ -84,3 +84,24 @@ def test_unknown_zone_gives_zero_distance(spark):
                                                    "RatecodeID double")
     r = FE.with_spatial(df, zones(spark)).first()
     assert r.haversine_distance == 0.0 and r.manhattan_distance == 0.0 and r.pu_lat is None
+
+
+def test_distributed_encoding_path_matches_collected(spark, monkeypatch):
+    from tripsight.plans.catalog import train_test
+    train, test = train_test(spark, "/root/testdata/sf0.001")
+    a = {r.trip_id: (r.PULocationID_target_enc, r.RatecodeID_target_enc)
+         for r in FE.fit_target_encoding(train).apply(test).collect()}
+    monkeypatch.setattr(FE, "MAX_COLLECTED_CATEGORIES", 0)
+    enc = FE.fit_target_encoding(train)
+    b = {r.trip_id: (r.PULocationID_target_enc, r.RatecodeID_target_enc) for r in enc.apply(test).collect()}
+    assert a == b
+
+
+def test_distributed_zone_mean_path_matches_collected(spark, monkeypatch):
+    from tripsight.operators import evaluation as EV
+    from tripsight.plans.catalog import train_test
+    train, test = train_test(spark, "/root/testdata/sf0.001")
+    a = {r.trip_id: r.pred_fare for r in EV.ZoneMeanPredictor.fit(train).predict(test).collect()}
+    monkeypatch.setattr(EV, "MAX_COLLECTED_ZONES", 0)
+    b = {r.trip_id: r.pred_fare for r in EV.ZoneMeanPredictor.fit(train).predict(test).collect()}
+    assert a == b

@@ -84,3 +84,14 @@ def test_fit_or_load_reuses(spark):
     _, how1 = fit_or_load(path, lambda: ML.fit_run(train, A.zones(spark), "linear"))
     _, how2 = fit_or_load(path, lambda: ML.fit_run(train, A.zones(spark), "linear"))
     assert (how1, how2) == ("fitted", "loaded")
+
+
+def test_append_mode_withholds_open_window(spark):
+    from tripsight.streaming.jobs import stream_latency_window
+    complete = stream_latency_window(spark, SF, mode="complete")
+    append = stream_latency_window(spark, SF, mode="append")
+    # append emits a window only after the watermark passes its end: the last day stays open
+    last = complete.agg({"window_start": "max"}).first()[0]
+    assert append.where(append.window_start == last).count() == 0
+    assert append.count() == complete.where(complete.window_start < last).count()
+    assert complete.agg({"requests": "sum"}).first()[0] == 1000

@@ -16,6 +16,7 @@ PU = "tpep_pickup_datetime"
 TARGET_KEYS = {"fare": "fare_amount", "duration": "duration_minutes"}
 UNITS = {"fare_amount": MONEY_UNIT, "duration_minutes": MINUTE_UNIT}
 EPS = 2.220446049250313e-16
+MAX_COLLECTED_ZONES = 100_000
 
 
 # --- predictors ------------------------------------------------------------------------
@@ -46,6 +47,7 @@ class ZoneMeanPredictor:
     maps: DataFrame           # PULocationID, pred_fare, pred_duration
     means: dict
     smoothing: float = C.ENCODING_SMOOTHING
+    row_bound: int = C.MAX_LOCATION_ID + 1
 
     @classmethod
     def fit(cls, train: DataFrame, smoothing: float = C.ENCODING_SMOOTHING) -> "ZoneMeanPredictor":
@@ -57,13 +59,19 @@ class ZoneMeanPredictor:
             "PULocationID",
             *[((F.col("n") * F.col(f"mean_{k}") + m * F.lit(g[k])) / (F.col("n") + m)).alias(f"pred_{k}")
               for k in TARGET_KEYS])
-        # fitted state: one row per pickup zone (bounded by the zone domain)
-        maps = train.sparkSession.createDataFrame(
-            fitted.collect(), "PULocationID bigint, " + ", ".join(f"pred_{k} double" for k in TARGET_KEYS))
-        return cls(maps, g, smoothing)
+        fitted = fitted.cache()
+        n = fitted.count()
+        if n <= MAX_COLLECTED_ZONES:
+            # fitted state: one row per pickup zone (bounded by the zone domain)
+            maps = train.sparkSession.createDataFrame(
+                fitted.collect(), "PULocationID bigint, " + ", ".join(f"pred_{k} double" for k in TARGET_KEYS))
+            fitted.unpersist()
+            return cls(maps, g, smoothing, n)
+        return cls(fitted, g, smoothing, n)  # unbounded ids: distributed map, AQE picks the join
 
     def predict(self, df: DataFrame) -> DataFrame:
-        mp = bounded_broadcast(self.maps.withColumnRenamed("PULocationID", "_zone"), C.MAX_LOCATION_ID + 1)
+        mp = self.maps.withColumnRenamed("PULocationID", "_zone")
+        mp = bounded_broadcast(mp, self.row_bound) if self.row_bound <= MAX_COLLECTED_ZONES else mp
         out = df.join(mp, df["PULocationID"] == mp["_zone"], "left").drop("_zone")
         for k in TARGET_KEYS:
             out = out.withColumn(f"pred_{k}", F.coalesce(F.col(f"pred_{k}"), F.lit(self.means[k]).cast("double")))

@@ -15,6 +15,8 @@ from .broadcast import bounded_broadcast
 
 PU = "tpep_pickup_datetime"
 ZONE_ROWS = 265  # size of the zone dimension (fixed)
+# fitted maps up to this size are collected (and broadcast); larger ones stay distributed
+MAX_COLLECTED_CATEGORIES = 100_000
 
 
 def with_temporal(df: DataFrame, cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
@@ -121,18 +123,25 @@ def fit_target_encoding(train: DataFrame, target: str = "fare_amount", cols=C.EN
     stats = encoding_stats(train, target, cols, smoothing)
     gm = F.max(F.when(F.col("enc_column").isNull(), F.col("cat_mean"))).over(Window.partitionBy())
     m = F.lit(float(smoothing))
-    # the aggregate output is small (one row per category of bounded domains
-    # plus the global row), so a window over it is cheap
     fitted = stats.select("enc_column", "category", "n", "cat_mean", gm.alias("_g")).select(
-        "*", ((F.col("n") * F.col("cat_mean") + m * F.col("_g")) / (F.col("n") + m)).alias("encoded"))
-    # fitted state, like an ML model's coefficients: bounded by the category domains
-    rows = fitted.collect()
-    gmean = next((r["cat_mean"] for r in rows if r["enc_column"] is None), None)
-    keep = [(r["enc_column"], r["category"], r["n"], r["cat_mean"], r["encoded"]) for r in rows
-            if r["enc_column"] is not None and r["category"] is not None]
-    maps = train.sparkSession.createDataFrame(
-        keep, "enc_column string, category double, n bigint, cat_mean double, encoded double")
-    return TargetEncoding(maps=maps, global_mean=gmean)
+        "*", ((F.col("n") * F.col("cat_mean") + m * F.col("_g")) / (F.col("n") + m)).alias("encoded")).cache()
+    n_rows = fitted.count()
+    if n_rows <= MAX_COLLECTED_CATEGORIES:
+        # fitted state, like an ML model's coefficients: bounded by the category domains
+        rows = fitted.collect()
+        gmean = next((r["cat_mean"] for r in rows if r["enc_column"] is None), None)
+        keep = [(r["enc_column"], r["category"], r["n"], r["cat_mean"], r["encoded"]) for r in rows
+                if r["enc_column"] is not None and r["category"] is not None]
+        maps = train.sparkSession.createDataFrame(
+            keep, "enc_column string, category double, n bigint, cat_mean double, encoded double")
+        fitted.unpersist()
+        return TargetEncoding(maps=maps, global_mean=gmean, row_bound=n_rows)
+    # unbounded categories: the map stays distributed and joins are left to AQE
+    g = fitted.where(F.col("enc_column").isNull()).select("cat_mean").first()
+    maps = fitted.where(F.col("enc_column").isNotNull() & F.col("category").isNotNull()).select(
+        "enc_column", "category", "n", "cat_mean", "encoded")
+    gmean = g[0] if g else None
+    return TargetEncoding(maps=maps, global_mean=gmean, row_bound=n_rows)
 
 
 def build_features(df: DataFrame, zones: DataFrame, enc: TargetEncoding,
