@@ -43,42 +43,56 @@ def clean_plan(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
     return CL.with_split(CL.leakage_safe(CL.clean(raw_trips(spark, sf_dir), cfg), keys=("trip_id",)), cfg)
 
 
-_SPLITS: dict = {}
+_WRITTEN: dict = {}
 
 
-def cleaned_split(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
-    """The cleaned table, written once per session into the shared folder and read back.
+def materialized(spark, name: str, sf_dir: str, cfg, build, partition_by: str) -> DataFrame:
+    """Write ``build()`` once per session into the shared folder and read it back.
 
-    Partitioned by ``split``: readers of one side prune the other's files, and
-    every later job starts from the written table (a lineage cut that survives
-    executor loss) instead of re-running the scan and the rules.
+    Later jobs start from the written table (a lineage cut that survives
+    executor loss) instead of re-running scan and rules; partitioning lets
+    readers prune. A folder that disappeared is written again.
     """
-    from ..sources.sinks import write_split
-    key = (spark.sparkContext.applicationId, sf_dir, repr(cfg))
-    path = _SPLITS.get(key)
+    from ..session import scratch_path
+    key = (name, spark.sparkContext.applicationId, sf_dir, repr(cfg))
+    path = _WRITTEN.get(key)
     if path is not None:
         try:
             return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - folder removed: write it again
-            path = None
-    path = write_split(clean_plan(spark, sf_dir, cfg), spark)
-    _SPLITS[key] = path
+        except Exception:  # noqa: BLE001 - removed: write again
+            pass
+    path = scratch_path(spark, name)
+    build().write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    _WRITTEN[key] = path
     return spark.read.parquet(path)
 
 
+def cleaned_split(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
+    """FLT-13 materialised: cleaned, leakage-safe rows partitioned by ``split``."""
+    return materialized(spark, "clean_split", sf_dir, cfg, lambda: clean_plan(spark, sf_dir, cfg), "split")
+
+
 def kept_trips(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
     """Cleaned, leakage-safe rows plus ``trip_id`` (from the materialised split)."""
     return cleaned_split(spark, sf_dir, cfg).drop("split")
 
 
-def analysis_frame(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
-    """Notebook frame: no EDA outlier rule hit, with hour, weekday, date, speed."""
+def analysis_plan(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
+    """Notebook frame as a plan: no EDA outlier rule hit, with hour, weekday, date, speed."""
     t = CL.eda_clean(raw_trips(spark, sf_dir), cfg)
     ts = F.col(CL.PU)
-    return t.select("*", F.hour(ts).alias("hour"), F.weekday(ts).alias("dow"), F.to_date(ts).alias("date"),
+    return t.select("trip_id", CL.PU, "PULocationID", "DOLocationID", "passenger_count", "RatecodeID",
+                    "trip_distance", "VendorID", "fare_amount", "duration_minutes",
+                    F.hour(ts).alias("hour"), F.weekday(ts).alias("dow"), F.to_date(ts).alias("date"),
                     F.try_divide(F.col("trip_distance"), F.col("duration_minutes") / 60.0).alias("speed_mph"))
 
 
+def analysis_frame(spark, sf_dir, cfg=C.DEFAULT) -> DataFrame:
+    """The notebook frame materialised once per session, partitioned by pickup date."""
+    f = materialized(spark, "analysis_frame", sf_dir, cfg, lambda: analysis_plan(spark, sf_dir, cfg), "date")
+    return f.withColumn("date", F.col("date").cast("date"))
+
+
 # --- 2.1 / 2.2 / 2.3 cleaning ------------------------------------------------------
 
 @query("cleaning_cost")
