@@ -73,3 +73,28 @@ def test_residual_slices_cover_every_bucket(spark):
     out = REGISTRY["residuals_by_distance"](spark, "/root/testdata/sf0.001").collect()
     assert [r.distance_bucket for r in sorted(out, key=lambda r: r.bucket_order)] == [
         "Short (<2 mi)", "Medium (2-10 mi)", "Long (>10 mi)"]
+
+
+@pytest.mark.parametrize("method", ["count", "sort", "auto"])
+def test_quantile_methods_agree_with_numpy(spark, method):
+    rng = np.random.default_rng(11)
+    rows = [("hot" if rng.random() < 0.4 else str(rng.integers(0, 3)), float(rng.integers(0, 200)) / 2.0)
+            for _ in range(2500)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.01, 0.5, 0.95, 0.99, 1.0]
+    got = {(r.g, r.p): r.q for r in quantiles(df, "v", probs, ["g"], method=method).collect()}
+    glob = {r.p: r.q for r in quantiles(df, "v", probs, method=method).collect()}
+    for g in {r[0] for r in rows}:
+        vals = np.array([v for gg, v in rows if gg == g])
+        for p in probs:
+            assert got[(g, p)] == pytest.approx(float(np.percentile(vals, p * 100)), abs=1e-12)
+    allv = np.array([v for _, v in rows])
+    for p in probs:
+        assert glob[p] == pytest.approx(float(np.percentile(allv, p * 100)), abs=1e-12)
+
+
+def test_auto_picks_sort_for_many_distinct_values(spark, monkeypatch):
+    from tripsight.operators import quantiles as Q
+    monkeypatch.setattr(Q, "COUNT_PATH_MAX_DISTINCT", 10)
+    df = spark.createDataFrame([(float(i) / 7.0,) for i in range(500)], "v double")
+    assert Q.quantiles(df, "v", [0.5]).first().q == pytest.approx(float(np.median([i / 7.0 for i in range(500)])))

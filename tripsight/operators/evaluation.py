@@ -59,15 +59,13 @@ class ZoneMeanPredictor:
             "PULocationID",
             *[((F.col("n") * F.col(f"mean_{k}") + m * F.lit(g[k])) / (F.col("n") + m)).alias(f"pred_{k}")
               for k in TARGET_KEYS])
-        fitted = fitted.cache()
-        n = fitted.count()
-        if n <= MAX_COLLECTED_ZONES:
+        rows = fitted.limit(MAX_COLLECTED_ZONES + 1).collect()  # one job, at most bound+1 rows
+        if len(rows) <= MAX_COLLECTED_ZONES:
             # fitted state: one row per pickup zone (bounded by the zone domain)
             maps = train.sparkSession.createDataFrame(
-                fitted.collect(), "PULocationID bigint, " + ", ".join(f"pred_{k} double" for k in TARGET_KEYS))
-            fitted.unpersist()
-            return cls(maps, g, smoothing, n)
-        return cls(fitted, g, smoothing, n)  # unbounded ids: distributed map, AQE picks the join
+                rows, "PULocationID bigint, " + ", ".join(f"pred_{k} double" for k in TARGET_KEYS))
+            return cls(maps, g, smoothing, len(rows))
+        return cls(fitted, g, smoothing, MAX_COLLECTED_ZONES + 1)  # unbounded ids: AQE picks the join
 
     def predict(self, df: DataFrame) -> DataFrame:
         mp = self.maps.withColumnRenamed("PULocationID", "_zone")

@@ -11,7 +11,7 @@ from .. import config as C
 from ..functions.calendar import temporal_columns
 from ..functions.geo import haversine_miles, manhattan_miles
 from ..functions.stats import MONEY_UNIT, grid_mean
-from .broadcast import bounded_broadcast
+from .broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
 
 PU = "tpep_pickup_datetime"
 ZONE_ROWS = 265  # size of the zone dimension (fixed)
@@ -125,10 +125,11 @@ def fit_target_encoding(train: DataFrame, target: str = "fare_amount", cols=C.EN
     m = F.lit(float(smoothing))
     fitted = stats.select("enc_column", "category", "n", "cat_mean", gm.alias("_g")).select(
         "*", ((F.col("n") * F.col("cat_mean") + m * F.col("_g")) / (F.col("n") + m)).alias("encoded")).cache()
-    n_rows = fitted.count()
+    # one job: fetch at most bound+1 rows; more means the map stays distributed
+    rows = fitted.limit(MAX_COLLECTED_CATEGORIES + 1).collect()
+    n_rows = len(rows)
     if n_rows <= MAX_COLLECTED_CATEGORIES:
         # fitted state, like an ML model's coefficients: bounded by the category domains
-        rows = fitted.collect()
         gmean = next((r["cat_mean"] for r in rows if r["enc_column"] is None), None)
         keep = [(r["enc_column"], r["category"], r["n"], r["cat_mean"], r["encoded"]) for r in rows
                 if r["enc_column"] is not None and r["category"] is not None]
@@ -141,7 +142,7 @@ def fit_target_encoding(train: DataFrame, target: str = "fare_amount", cols=C.EN
     maps = fitted.where(F.col("enc_column").isNotNull() & F.col("category").isNotNull()).select(
         "enc_column", "category", "n", "cat_mean", "encoded")
     gmean = g[0] if g else None
-    return TargetEncoding(maps=maps, global_mean=gmean, row_bound=n_rows)
+    return TargetEncoding(maps=maps, global_mean=gmean, row_bound=MAX_BROADCAST_ROWS + 1)
 
 
 def build_features(df: DataFrame, zones: DataFrame, enc: TargetEncoding,
