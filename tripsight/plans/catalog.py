@@ -635,19 +635,23 @@ def q_od_fare_grid(spark, sf_dir, pickup_zone: int = C.JFK_ZONE):
     column (no cross join); fares come from the distance model fitted on trips.
     """
     from ..operators.models import SingleLinear
-    from ..operators import features as FE
+    from ..functions.geo import haversine_miles
     train, _ = train_test(spark, sf_dir)
     model = SingleLinear.fit(train)
-    z = A.zones(spark).dropna(subset=["longitude", "latitude"])
+    zones = A.zones(spark)
+    # the pickup centroid is one row of the fixed dimension: read it once, then
+    # every grid row is a dropoff zone row (no join at all)
+    pu_row = zones.where(F.col("LocationID") == pickup_zone).select("latitude", "longitude").first()
+    pu_lat = F.lit(pu_row["latitude"] if pu_row else None).cast("double")
+    pu_lon = F.lit(pu_row["longitude"] if pu_row else None).cast("double")
+    z = zones.dropna(subset=["longitude", "latitude"])
+    hav = haversine_miles(pu_lat, pu_lon, F.col("latitude"), F.col("longitude"))
+    est = F.coalesce(F.bround(F.least(F.greatest(hav, F.lit(C.ESTIMATE_MIN_MILES)), F.lit(C.ESTIMATE_MAX_MILES)), 2),
+                     F.lit(C.ESTIMATE_DEFAULT_MILES))
     pu, do = F.lit(pickup_zone).cast("bigint"), F.col("LocationID")
-    grid = z.select(pu.alias("PULocationID"), do.alias("DOLocationID"))
-    g = FE.with_centroids(grid, A.zones(spark))
-    est = F.coalesce(F.bround(F.least(F.greatest(FE.haversine_col(), F.lit(C.ESTIMATE_MIN_MILES)),
-                                      F.lit(C.ESTIMATE_MAX_MILES)), 2), F.lit(C.ESTIMATE_DEFAULT_MILES))
-    rc = (F.when((F.col("PULocationID") == C.JFK_ZONE) | (F.col("DOLocationID") == C.JFK_ZONE), F.lit(2))
-          .when((F.col("PULocationID") == C.NEWARK_ZONE) | (F.col("DOLocationID") == C.NEWARK_ZONE), F.lit(3))
-          .otherwise(F.lit(1)))
-    g = g.select("PULocationID", "DOLocationID", rc.cast("bigint").alias("inferred_ratecode"),
+    rc = (F.when((pu == C.JFK_ZONE) | (do == C.JFK_ZONE), F.lit(2))
+          .when((pu == C.NEWARK_ZONE) | (do == C.NEWARK_ZONE), F.lit(3)).otherwise(F.lit(1)))
+    g = z.select(pu.alias("PULocationID"), do.alias("DOLocationID"), rc.cast("bigint").alias("inferred_ratecode"),
                  est.alias("trip_distance"))
     p = model.predict(g)
     return checked(p.select("PULocationID", "DOLocationID", "inferred_ratecode",
