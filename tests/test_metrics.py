@@ -98,3 +98,16 @@ def test_auto_picks_sort_for_many_distinct_values(spark, monkeypatch):
     monkeypatch.setattr(Q, "COUNT_PATH_MAX_DISTINCT", 10)
     df = spark.createDataFrame([(float(i) / 7.0,) for i in range(500)], "v double")
     assert Q.quantiles(df, "v", [0.5]).first().q == pytest.approx(float(np.median([i / 7.0 for i in range(500)])))
+
+
+def test_hot_group_is_ranked_by_many_tasks(spark):
+    """A group holding half the rows is spread over several range partitions."""
+    from tripsight.operators.quantiles import positions
+    rows = [("hot" if i % 2 == 0 else f"g{i % 7}", float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    pos = positions(df, ["v"], ["g"], partitions=8)
+    from pyspark.sql import functions as F
+    tasks = pos.where("g = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 3
+    ranks = sorted(r._pos for r in pos.where("g = 'hot'").select("_pos").collect())
+    assert ranks == list(range(2000))
