@@ -1011,3 +1011,39 @@ def q_selection_summary(spark, sf_dir):
     """MOD-17 / MOD-19: the offline run end to end, one row per step."""
     from .runs import offline_run, steps_frame
     return steps_frame(spark, offline_run(spark, sf_dir))
+
+
+# --- leaderboard over every model family (SRT-06/07 rows-only, MOD-16 timings) -------------------
+
+ML_FAMILIES = ("linear", "decision_tree", "forest", "gbt_l1", "winner")
+
+
+def ml_board(spark, sf_dir, families=ML_FAMILIES) -> DataFrame:
+    """Metrics of the mean baseline and each family, with fit and batch-scoring seconds."""
+    import time as _time
+    train, test = train_test(spark, sf_dir)
+    test = test.cache()
+    n = test.count()
+    rows = EV.regression_metrics(EV.MeanPredictor.fit(train).predict(test), "mean").withColumns(
+        {"train_seconds": F.lit(0.0), "score_ms_per_1k_rows": F.lit(0.0)})
+    for fam in families:
+        run = ML.fit_run(train, A.zones(spark), fam)
+        t0 = _time.perf_counter()
+        run.predict(test).write.format("noop").mode("overwrite").save()  # full batch transform, no collect
+        per_1k = (_time.perf_counter() - t0) * 1000.0 / max(n, 1) * 1000.0
+        m = ML.evaluate_run(run, test).withColumn("score_ms_per_1k_rows", F.lit(per_1k))
+        rows = rows.unionByName(m)
+    return rows
+
+
+@query("model_leaderboard_ml")
+def q_model_leaderboard_ml(spark, sf_dir):
+    """SRT-06 over the baseline and the ML families, ranked by MAE per target."""
+    return EV.leaderboard(ml_board(spark, sf_dir))
+
+
+@query("model_winner_ml")
+def q_model_winner_ml(spark, sf_dir, budget_ms_per_1k_rows: float = 10_000.0):
+    """SRT-07: best MAE per target among models scoring within the latency budget."""
+    board = ml_board(spark, sf_dir).where(F.col("score_ms_per_1k_rows") <= budget_ms_per_1k_rows)
+    return EV.winner(board)
