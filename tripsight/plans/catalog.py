@@ -1047,3 +1047,10 @@ def q_model_winner_ml(spark, sf_dir, budget_ms_per_1k_rows: float = 10_000.0):
     """SRT-07: best MAE per target among models scoring within the latency budget."""
     board = ml_board(spark, sf_dir).where(F.col("score_ms_per_1k_rows") <= budget_ms_per_1k_rows)
     return EV.winner(board)
+
+
+@query("ratecode_profile_deck")
+def q_ratecode_profile_deck(spark, sf_dir, min_trips: int = 500):
+    """AGG-10 (deck form): in-window rows, rate codes with more than ``min_trips`` trips."""
+    d = CL.in_month(raw_trips(spark, sf_dir))
+    return checked(PR.ratecode_profile(d, min_trips=min_trips).drop("mean_distance"))

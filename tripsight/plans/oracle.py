@@ -836,3 +836,15 @@ select true as has_required_columns, (select count(*) from zn) as lookup_rows, 2
 sql("ingest_manifest", """
 select 1 as attempt, 'events' as table_name, 'written' as status, count(*) as rows from events
 union all select 2, 'events', 'skipped', count(*) from events""")
+
+sql("ratecode_profile_deck", f"""
+select RatecodeID,
+  case cast(RatecodeID as integer) when 1 then 'Standard' when 2 then 'JFK' when 3 then 'Newark'
+    when 4 then 'Nassau/Westchester' when 5 then 'Negotiated' when 6 then 'Group ride'
+    when 99 then 'Undocumented (99)' else '?' end as name,
+  count(*) as trips, round({gmean('fare_amount')}, 6) as mean_fare,
+  round({gmean('duration_minutes', MIN)}, 6) as mean_duration
+from tr
+where tpep_pickup_datetime >= timestamp '{MONTH_START}' and tpep_pickup_datetime < timestamp '{MONTH_END}'
+  and RatecodeID is not null
+group by RatecodeID having count(*) > 500""", "tr")
