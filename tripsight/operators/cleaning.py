@@ -251,9 +251,16 @@ def in_month(df: DataFrame, cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
 
 # --- request validation (FLT-15) -------------------------------------------------
 
+ISO_SECONDS = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})$"
+
+
 def parse_pickup(s: Column) -> Column:
-    """ISO text to TIMESTAMP_NTZ; unparsable text gives NULL instead of failing."""
-    return F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp_ntz")
+    """ISO text (yyyy-MM-ddTHH:mm:ss) to TIMESTAMP_NTZ; anything else, or an impossible
+    date, gives NULL instead of failing. No session time zone is involved."""
+    part = lambda i: F.regexp_extract(s, ISO_SECONDS, i).cast("int")
+    ok = s.rlike(ISO_SECONDS)
+    return F.when(ok, F.try_make_timestamp_ntz(part(1), part(2), part(3), part(4), part(5),
+                                              part(6).cast("decimal(16,6)")))
 
 
 def request_failures(req: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.literals import ts_ntz
 from .tables import read_table
 
 # Five borough names of the zone adapter, picked by id % 5.
@@ -173,7 +174,7 @@ def weather(spark: SparkSession, cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
     hours = F.expr(
         f"sequence(timestamp_ntz'{cfg.month_start}', timestamp_ntz'{cfg.month_end}' - interval 1 hour, interval 1 hour)")
     base = spark.range(1).select(F.explode(hours).alias("hour_ts"))
-    n = (F.unix_micros(F.col("hour_ts").cast("timestamp")) / F.lit(3600000000)).cast("bigint")
+    n = F.timestamp_diff("HOUR", ts_ntz("1970-01-01 00:00:00"), F.col("hour_ts"))
     return base.select(
         "hour_ts",
         (_d(-5.0) + (n % 24).cast("double") * _d(0.5)).alias("temp_c"),

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.literals import instant_to_ntz, ntz_to_instant
 from ..functions.stats import grid_mean
 from ..operators import cleaning as CL
 from ..session import scratch_path
@@ -81,15 +82,15 @@ def stream_latency_window(spark: SparkSession, sf_dir: str, window: str = "1 day
                           mode: str = "complete") -> DataFrame:
     """STR-02: requests, rejects and mean latency per scenario and tumbling window.
 
-    Watermarks need TIMESTAMP (not NTZ) event time: the NTZ column is read as
-    UTC. ``append`` emits a window once the watermark passes it (production);
+    Watermarks need TIMESTAMP (not NTZ) event time: the NTZ wall clock is read
+    as UTC through epoch microseconds, independent of the session time zone. ``append`` emits a window once the watermark passes it (production);
     ``complete`` re-emits all windows, so the last window of a finite input is
     included (what a comparison with a batch engine needs).
     """
     ev = event_stream(spark, sf_dir)
     log = ev.select(
         F.element_at(F.array(*[F.lit(s) for s in A.SCENARIOS]), (F.col("user_id") % 2 + 1).cast("int")).alias("scenario"),
-        F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") != "error").alias("ok"),
+        ntz_to_instant(F.col("ts")).alias("ts"), (F.col("event_type") != "error").alias("ok"),
         F.col("value").alias("latency_ms"))
     agg = (log.withWatermark("ts", watermark)
            .groupBy(F.window("ts", window).alias("w"), "scenario")
@@ -98,8 +99,8 @@ def stream_latency_window(spark: SparkSession, sf_dir: str, window: str = "1 day
     out = scratch_path(spark, "stream_latency")
     _run(agg, out, mode=mode, keyed_batches=(mode != "complete"))
     res = spark.read.parquet(out)
-    return res.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+    return res.select(instant_to_ntz(F.col("w.start")).alias("window_start"),
+                      instant_to_ntz(F.col("w.end")).alias("window_end"),
                       "scenario", "requests", "rejects", "mean_latency_ms")
 
 
@@ -112,9 +113,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str, copies: int = 2, watermark: s
     s = None
     for _ in range(copies):
         one = event_stream(spark, sf_dir).select(F.col("event_id").alias("request_id"),
-                                                 F.col("ts").cast("timestamp").alias("ts"))
+                                                 ntz_to_instant(F.col("ts")).alias("ts"))
         s = one if s is None else s.unionByName(one)
     d = s.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["request_id"])
     out = scratch_path(spark, "stream_dedup")
     _run(d, out)
-    return spark.read.parquet(out).select("request_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    return spark.read.parquet(out).select("request_id", instant_to_ntz(F.col("ts")).alias("ts"))
