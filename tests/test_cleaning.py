@@ -125,3 +125,16 @@ def test_train_plus_test_is_clean(spark):
     train, test = CL.split_frames(k)
     assert (train.count(), test.count()) == (5444, 2073)
     assert train.agg(F.max("tpep_pickup_datetime")).first()[0] < test.agg(F.min("tpep_pickup_datetime")).first()[0]
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from tripsight.plans.catalog import REGISTRY
+    names = ["request_validation", "weather_hour_join", "stream_latency_window"]
+    before = {n: sorted(map(tuple, REGISTRY[n](spark, "/root/testdata/sf0.001").collect())) for n in names}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        after = {n: sorted(map(tuple, REGISTRY[n](spark, "/root/testdata/sf0.001").collect())) for n in names}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert before == after
