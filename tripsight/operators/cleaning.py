@@ -113,20 +113,6 @@ def validate_feature_contract(columns) -> None:
         raise ValueError(f"Feature contract violated; forbidden columns present: {bad}")
 
 
-def contract_audit(df: DataFrame) -> DataFrame:
-    """PRJ-03 as data: one row per column of ``df`` with its role.
-
-    Reads nothing but the schema; the result has one row per column.
-    """
-    spark = df.sparkSession
-    rows = []
-    for pos, c in enumerate(df.columns, start=1):
-        role = ("allowed" if c in C.ALLOWED_FEATURES else "target" if c in C.TARGETS
-                else "banned" if c in C.BANNED_COLUMNS else "other")
-        rows.append((pos, c, role, role == "allowed"))
-    return spark.createDataFrame(rows, "position bigint, column_name string, role string, usable boolean")
-
-
 def eda_outlier_rules(cfg: C.RunConfig = C.DEFAULT) -> list[tuple[str, Column]]:
     """FLT-09: the nine independent notebook rules (True = outlier)."""
     dur, fare, dist, pax, ts = (F.col("duration_minutes"), F.col("fare_amount"), F.col("trip_distance"),

@@ -863,9 +863,9 @@ def q_scoring_parity(spark, sf_dir):
     bad = (F.col("s_fare").isNull() | F.col("b_fare").isNull()
            | (F.abs(F.col("b_fare") - F.col("s_fare")) > tol["fare"])
            | (F.abs(F.col("b_dur") - F.col("s_dur")) > tol["duration"]))
-    return j.agg(F.count(F.lit(1)).alias("compared"), F.count_if(bad).alias("mismatches"),
-                 F.max(F.abs(F.col("b_fare") - F.col("s_fare"))).alias("max_fare_diff"),
-                 F.max(F.abs(F.col("b_dur") - F.col("s_dur"))).alias("max_duration_diff"))
+    return checked(j.agg(F.count(F.lit(1)).alias("compared"), F.count_if(bad).alias("mismatches"),
+                         F.max(F.abs(F.col("b_fare") - F.col("s_fare"))).alias("max_fare_diff"),
+                         F.max(F.abs(F.col("b_dur") - F.col("s_dur"))).alias("max_duration_diff")))
 
 
 # --- MLP (MOD-12) -------------------------------------------------------------------------------
