@@ -153,11 +153,19 @@ def fit_run(train: DataFrame, zones: DataFrame, family: str, rounds: int | None
     if log_target:
         feats = feats.select("features", *[F.log1p(F.col(t)).alias(t) for t in TARGET_KEYS.values()])
     feats = feats.cache()
-    models, secs = {}, {}
-    for k, t in TARGET_KEYS.items():
+
+    def fit_one(kt):
+        k, t = kt
         t0 = time.time()
-        models[k] = make_model(family, t, rounds, **(params or {})).fit(feats)
-        secs[k] = time.time() - t0
+        m = make_model(family, t, rounds, **(params or {})).fit(feats)
+        return k, m, time.time() - t0
+
+    # the two targets are independent fits over the same cached features: submit
+    # them together so one fit's small stages do not leave the executors idle
+    with ThreadPoolExecutor(max_workers=len(TARGET_KEYS)) as ex:
+        done = list(ex.map(fit_one, TARGET_KEYS.items()))
+    models = {k: m for k, m, _ in done}
+    secs = {k: s for k, _, s in done}
     feats.unpersist()
     return FittedRun(family, fm, models, secs, log_target)
 
