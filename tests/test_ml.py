@@ -49,10 +49,12 @@ def test_bundle_round_trip(spark, run):
     assert a == b
 
 
-def test_broken_bundle_degrades(spark, tmp_path):
-    (tmp_path / "metadata.json").write_text('{"feature_order": []}')
-    got = load_bundle(str(tmp_path))
-    assert got["status"] == "degraded" and got["run"] is None
+def test_broken_bundle_degrades(spark):
+    path = scratch_path(spark, "broken_bundle")
+    spark.createDataFrame([('{"feature_order": []}',)], "value string").write.text(f"{path}/metadata")
+    got = load_bundle(path)
+    assert got["status"] == "degraded" and got["run"] is None and "lacks keys" in got["detail"]
+    assert load_bundle(scratch_path(spark, "missing"))["status"] == "degraded"
 
 
 def test_folds_are_forward_only(spark):

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import (DecisionTreeRegressionModel, GBTRegressionModel, LinearRegressionModel,
                                    RandomForestRegressionModel)
+from pyspark.sql import SparkSession
 
 from .. import config as C
-from ..session import local_path
 from .ml import FittedRun
 
 REQUIRED_KEYS = ("feature_order", "model_version", "targets", "family", "models")
@@ -26,21 +25,25 @@ def export_bundle(run: FittedRun, path: str, version: str = C.DEFAULT.model_vers
         m.write().overwrite().save(f"{path}/model_{k}")
     meta = {"feature_order": list(C.FEATURE_ORDER), "model_version": version, "targets": list(run.models),
             "family": run.family, "models": {k: f"model_{k}" for k in run.models}, "log_target": run.log_target}
-    p = local_path(path)
-    os.makedirs(p, exist_ok=True)
-    with open(f"{p}/metadata.json", "w") as fh:
-        json.dump(meta, fh, indent=2)
+    # written through Spark, so the bundle lives on whatever filesystem the shared folder is on
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{path}/metadata")
     return path
 
 
+def read_metadata(path: str) -> dict:
+    spark = SparkSession.getActiveSession()
+    return json.loads(spark.read.text(f"{path}/metadata").first()["value"])
+
+
 def load_bundle(path: str) -> dict:
     """SRC-14: load with contract checks; failures are reported, not raised.
 
     Returns {"status": "ok"|"degraded", "detail": str, "run": FittedRun|None, "version": str|None}.
     """
     try:
-        with open(f"{local_path(path)}/metadata.json") as fh:
-            meta = json.load(fh)
+        meta = read_metadata(path)
         missing = [k for k in REQUIRED_KEYS if k not in meta]
         if missing:
             return {"status": "degraded", "detail": f"bundle lacks keys {missing}", "run": None, "version": None}

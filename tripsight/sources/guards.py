@@ -38,13 +38,16 @@ def file_size_audit(spark: SparkSession, sf_dir: str, tables=GIVEN_TABLES) -> Da
 
 
 def assert_file_size(spark: SparkSession, path: str, min_bytes: int) -> int:
-    """Raise when the table is missing or smaller than ``min_bytes``; return its size."""
-    import os
-    p = path[5:] if path.startswith("file:") else path
-    if not os.path.exists(p):
-        raise FileNotFoundError(p)
-    size = (spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
-            .agg(F.sum("file_size")).first()[0] or 0)
+    """Raise when the table is missing or smaller than ``min_bytes``; return its size.
+
+    Sizes come from the scan's file metadata, so any Hadoop filesystem works.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
+        size = files.agg(F.sum("file_size")).first()[0] or 0
+    except AnalysisException as e:
+        raise FileNotFoundError(path) from e
     if size < min_bytes:
         raise ValueError(f"{path}: {size} bytes < required {min_bytes}")
     return int(size)
