@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.stats import grid_mean
-from .broadcast import bounded_broadcast
 from .quantiles import quantile_columns
 
 PCTS = (0.5, 0.9, 0.95, 0.99)
 PCT_NAMES = ("p50_ms", "p90_ms", "p95_ms", "p99_ms")
 
 
-def latency_report(log: DataFrame, scenario_bound: int = 16) -> DataFrame:
+def latency_report(log: DataFrame) -> DataFrame:
     """Per scenario: counts, throughput, cold start, mean, population std, min, percentiles, max, SLO.
 
     Statistics are over successful requests; the verdict checks cold start and
@@ -30,9 +29,10 @@ def latency_report(log: DataFrame, scenario_bound: int = 16) -> DataFrame:
     stats = ok.groupBy("scenario").agg(
         grid_mean(F.col("latency_ms")).alias("mean_ms"), F.stddev_pop("latency_ms").alias("std_ms"),
         F.min("latency_ms").alias("min_ms"), F.max("latency_ms").alias("max_ms"))
-    pct = quantile_columns(ok, "latency_ms", PCTS, PCT_NAMES, groups=["scenario"], group_bound=scenario_bound)
-    out = (base.join(bounded_broadcast(stats, scenario_bound), "scenario", "left")
-           .join(bounded_broadcast(pct, scenario_bound), "scenario", "left"))
+    # scenarios come from the data (no proven bound): no broadcast hints, AQE
+    # turns these joins of per-scenario aggregates into broadcasts after measuring
+    pct = quantile_columns(ok, "latency_ms", PCTS, PCT_NAMES, groups=["scenario"])
+    out = base.join(stats, "scenario", "left").join(pct, "scenario", "left")
     b = C.LATENCY_BUDGET_MS
     sla = ((F.col("cold_start_ms") <= b["cold_start_ms"]) & (F.col("p50_ms") <= b["p50_ms"])
            & (F.col("p95_ms") <= b["p95_ms"]) & (F.col("p99_ms") <= b["p99_ms"]))
