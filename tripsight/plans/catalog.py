@@ -686,7 +686,7 @@ def q_weather_hour_join(spark, sf_dir):
     """OPT-03: hourly weather joined on the pickup hour (window-sized side: broadcast)."""
     from ..operators.broadcast import bounded_broadcast
     k = kept_trips(spark, sf_dir)
-    w = bounded_broadcast(A.weather(spark), 24 * 366)
+    w = bounded_broadcast(A.weather(spark), int(window_days() * 24) + 1)  # one row per hour of the window
     j = k.join(w, F.date_trunc("hour", CL.PU) == w["hour_ts"], "left")
     return checked(j.select("trip_id", "hour_ts", "temp_c", "precip_mm"))
 
