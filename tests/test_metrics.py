@@ -111,3 +111,20 @@ def test_hot_group_is_ranked_by_many_tasks(spark):
     assert tasks >= 3
     ranks = sorted(r._pos for r in pos.where("g = 'hot'").select("_pos").collect())
     assert ranks == list(range(2000))
+
+
+def test_tiny_and_degenerate_inputs_do_not_fail(spark):
+    from datetime import datetime
+    from tripsight.operators.evaluation import fold_assignment
+    from tripsight.operators.zones import polygon_centroids
+    from tripsight.operators import features as FE
+    from tripsight.sources.adapters import zones
+    two = spark.createDataFrame([(1, datetime(2024, 1, 1)), (2, datetime(2024, 1, 2))],
+                                "trip_id long, tpep_pickup_datetime timestamp_ntz")
+    assert [r.test_fold for r in fold_assignment(two, 3).collect()] == [None, None]
+    flat = spark.createDataFrame([(1, 0, i, 0.0, 0.0) for i in range(4)], "LocationID long, ring long, seq long, "
+                                                                         "x double, y double")
+    assert polygon_centroids(flat).first().longitude is None
+    odd = spark.createDataFrame([(132, 236, -0.001, 1.0)], "PULocationID long, DOLocationID long, "
+                                                          "trip_distance double, RatecodeID double")
+    assert FE.with_spatial(odd, zones(spark)).first().haversine_ratio == 10.0

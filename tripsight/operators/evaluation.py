@@ -199,7 +199,8 @@ def fold_assignment(df: DataFrame, n_splits: int = 3, order=(PU, "trip_id")) ->
     p = positions(df, list(order))
     size = F.floor(F.col("_n") / F.lit(k + 1))
     first_test = F.col("_n") - size * k
-    fold = F.when(F.col("_pos") >= first_test, F.floor((F.col("_pos") - first_test) / size))
+    # fewer rows than folds gives size 0: no test windows (instead of a division error)
+    fold = F.when((size > 0) & (F.col("_pos") >= first_test), F.floor(F.try_divide(F.col("_pos") - first_test, size)))
     return p.select(*df.columns, F.col("_pos").alias("row_index"), F.col("_n").alias("rows"),
                     size.cast("bigint").alias("fold_size"), fold.cast("int").alias("test_fold"))
 

@@ -57,8 +57,10 @@ def with_spatial(df: DataFrame, zones: DataFrame) -> DataFrame:
         "*",
         hav.alias("haversine_distance"),
         F.coalesce(manhattan_col(), F.lit(0.0)).alias("manhattan_distance"),
-        F.least(hav / (F.col("trip_distance") + F.lit(C.EPSILON_DISTANCE)), F.lit(C.MAX_HAVERSINE_RATIO))
-        .alias("haversine_ratio"),
+        # a zero denominator gives +inf in the reference, clipped to the cap; 0/0 stays missing
+        F.when((F.col("trip_distance") + F.lit(C.EPSILON_DISTANCE) == 0) & (hav > 0), F.lit(C.MAX_HAVERSINE_RATIO))
+        .otherwise(F.least(F.try_divide(hav, F.col("trip_distance") + F.lit(C.EPSILON_DISTANCE)),
+                           F.lit(C.MAX_HAVERSINE_RATIO))).alias("haversine_ratio"),
         F.coalesce(F.col("PULocationID") == F.col("DOLocationID"), F.lit(False)).cast("int").alias("is_same_zone"),
         airport_flag(C.JFK_RATECODE, C.JFK_ZONE).alias("is_jfk"),
         airport_flag(C.NEWARK_RATECODE, C.NEWARK_ZONE).alias("is_newark"),

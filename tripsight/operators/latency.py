@@ -56,6 +56,7 @@ def before_after(report: DataFrame, before: str, after: str) -> DataFrame:
     rows = ", ".join(f"'{m}', b_{m}, a_{m}" for m in metrics)
     long = one.selectExpr(f"stack({len(metrics)}, {rows}) as (metric, before, after)")
     # lower is better for latencies, higher for throughput
-    imp = F.when(F.col("metric") == "throughput_rps", (F.col("after") - F.col("before")) * 100.0 / F.col("before")) \
-        .otherwise((F.col("before") - F.col("after")) * 100.0 / F.col("before"))
+    imp = F.when(F.col("metric") == "throughput_rps", F.try_divide((F.col("after") - F.col("before")) * 100.0,
+                                                                   F.col("before"))) \
+        .otherwise(F.try_divide((F.col("before") - F.col("after")) * 100.0, F.col("before")))
     return long.withColumn("improvement_pct", imp)

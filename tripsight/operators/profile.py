@@ -184,7 +184,7 @@ def histogram(df: DataFrame, cols=("fare_amount", "duration_minutes"), bins: int
     out = dim.join(counts, ["target", "scale", "bin"], "left").select(
         "target", "scale", "bin", "bin_lo", "bin_hi", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
     w = Window.partitionBy("target", "scale")
-    return out.withColumn("share_of_mode", F.col("rows") / F.max("rows").over(w))
+    return out.withColumn("share_of_mode", F.try_divide(F.col("rows").cast("double"), F.max("rows").over(w)))
 
 
 def target_headline(in_month: DataFrame, approx: bool = False) -> DataFrame:

@@ -30,8 +30,9 @@ def polygon_centroids(vertices: DataFrame) -> DataFrame:
         F.sum((F.col("y0") + F.col("y1")) * c).alias("_sy"), F.max("_ox").alias("_ox"), F.max("_oy").alias("_oy"),
         F.avg(F.when(F.col("_edge"), F.col("x"))).alias("vertex_mean_x"),
         F.avg(F.when(F.col("_edge"), F.col("y"))).alias("vertex_mean_y"))
-    return g.select("LocationID", (F.col("_ox") + F.col("_sx") / (F.lit(3.0) * F.col("_c2"))).alias("longitude"),
-                    (F.col("_oy") + F.col("_sy") / (F.lit(3.0) * F.col("_c2"))).alias("latitude"),
+    # a degenerate ring (zero area) has no centroid: null instead of a division error
+    return g.select("LocationID", (F.col("_ox") + F.try_divide(F.col("_sx"), F.lit(3.0) * F.col("_c2"))).alias("longitude"),
+                    (F.col("_oy") + F.try_divide(F.col("_sy"), F.lit(3.0) * F.col("_c2"))).alias("latitude"),
                     F.abs(F.col("_c2") / 2.0).alias("area"), "vertex_mean_x", "vertex_mean_y")
 
 
