@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripsight.llm.common import handover, read_table
+from tripsight.llm.decontamination import contamination
 from tripsight.llm.exact_dedup import exact_dedup
 from tripsight.llm.minhash import near_dedup
 from tripsight.llm.packing import pack, piece_digests
@@ -42,11 +43,17 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept.distinct(), "doc_id", "left_semi").select(*COLUMNS)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = contamination(docs.select("doc_id", "text"), read_table(spark, sf_dir, "benchmark")).select("doc_id")
+    return docs.join(found.distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return piece_digests(pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("packing", packing)]
+STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near),
+          ("decontamination", decontaminate), ("packing", packing)]
 
 #: The learned and near-duplicate stages have no SQL form; tests hold each stage against brute force.
 ORACLE_SQL = None

@@ -9,3 +9,49 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n
 FROM n JOIN g USING (t)
 """,
 }
+
+SQL["op4_phrase_automata"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), p AS (
+  SELECT doc_id, unnest(range(1, len(words) - 18)) AS s, words FROM w WHERE len(words) >= 20
+), k AS (
+  SELECT doc_id, s, sha256(array_to_string(list_slice(words, s, s + 19), ' ')) AS seq FROM p
+), f AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY seq ORDER BY doc_id, s) AS nth FROM k
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM f WHERE nth > 1
+), each AS (
+  SELECT doc_id, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM w
+), kept AS (
+  SELECT each.doc_id, string_agg(each.word, ' ' ORDER BY each.i) AS t, count(*) AS n
+  FROM each ANTI JOIN gone ON each.doc_id = gone.doc_id AND each.i = gone.i GROUP BY each.doc_id
+)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words,
+       CAST(len(w.words) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+SQL["op2_minhash_bayes"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+hits AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT hits.a, hits.b FROM hits JOIN n x ON x.doc_id = hits.a JOIN n y ON y.doc_id = hits.b
+  WHERE 100 * hits.c >= 75 * (x.n + y.n - hits.c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.c AS component_id, d.doc_id = r.c AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""

@@ -2,20 +2,52 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripsight.llm.common import held_out_remainder, read_table
+from tripsight.llm.decontamination import contamination
 from tripsight.llm.exact_dedup import exact_dedup
+from tripsight.llm.html_extract import extract_pages
+from tripsight.llm.licenses import scan_licenses, train_licenses
 from tripsight.llm.minhash import near_dedup
 from tripsight.llm.packing import pack, piece_digests
 from tripsight.llm.quality import score_quality, train_quality
+from tripsight.llm.substring_dedup import substring_dedup
+from tripsight.llm.token_counts import count_tokens
+from tripsight.llm.toxicity import score_toxicity, train_toxicity
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licenses(docs, train_licenses(docs))
 
 
 def op2_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+            .withColumn("over_limit", F.col("n_tokens") > 512))
+
+
+def op4_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.col("kept_sha").alias("kept_sha256"))
+
+
+def op5_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = train_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, lexicon, ["doc_id"]).select(
+        "doc_id", F.coalesce(held_out_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        F.col("_toxicity").alias("score"), (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"),
+        F.col("_toxic_words").alias("toxic_words"))
+
+
 def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train_quality(docs, read_table(spark, sf_dir, "labels"))
@@ -28,10 +60,20 @@ def op7_patricia_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_smith_waterman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                         read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op9_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return piece_digests(pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_bayes, op6_quality_fm, op7_patricia_dedup, op9_mixture_packing)}
+def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_minhash_bayes, op3_token_counts, op4_phrase_automata, op5_toxicity_lexicon, op6_quality_fm,
+    op7_patricia_dedup, op8_smith_waterman, op9_mixture_packing, op10_text_density)}
