@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -106,3 +107,50 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
 def as_long(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit hashes as the signed longs Spark stores."""
     return x.view(np.int64)
+
+
+#: Bits of an id filter (its size is fixed, whatever the number of ids) and probes per id.
+FILTER_BITS, PROBES = 1 << 25, 4
+_WORDS = pa.schema([("word", pa.int64()), ("bits", pa.int64())])
+
+
+def _probe(ids: np.ndarray) -> list[np.ndarray]:
+    h = mix64(ids.astype(np.int64).view(np.uint64))
+    a, b = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
+    return [((a + b * np.uint64(i)) % np.uint64(FILTER_BITS)).astype(np.int64) for i in range(PROBES)]
+
+
+def _filter_words(batches):
+    bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for (ids,) in rows_of(batches, "id"):
+        for at in _probe(np.array(ids, dtype=np.int64)):
+            np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+    words = bits.view(np.int64)
+    at = np.flatnonzero(words)
+    for lo in range(0, len(at), 100_000):
+        yield batch(_WORDS, word=at[lo:lo + 100_000], bits=words[at[lo:lo + 100_000]])
+
+
+def only_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``col`` is among ``ids(id)``.
+
+    A Bloom filter of fixed size (4 MB, built by a distributed OR) thins the rows before the exact
+    semi-join, so that wide rows that aren't asked for are not shuffled. When there are more ids
+    than the filter separates, it lets more rows through and the join still decides.
+    """
+    got = (ids.select("id").mapInArrow(_filter_words, "word long, bits long")
+           .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
+    words = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    if got.num_rows:
+        words[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    packed = words.view(np.uint8)
+
+    @F.pandas_udf("boolean")
+    def maybe(x: pd.Series) -> pd.Series:
+        known = x.notna().to_numpy()
+        out = known.copy()
+        for at in _probe(x.fillna(0).to_numpy().astype(np.int64)):
+            out &= (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        return pd.Series(out)
+
+    return df.where(maybe(F.col(col))).join(ids.select(F.col("id").alias(col)).distinct(), col, "left_semi")

@@ -6,10 +6,11 @@
    hub, and every member is a candidate pair with it (links, not all pairs). Confirmed links give
    first components.
 3. Buckets whose other members still lie in different components are compared further, in blocks:
-   only pairs across components, each pair in the first band that it shares, and their signatures
-   batch by batch. After each batch a pair is dropped if the posterior chance (uniform prior) that
-   its similarity reaches the threshold is below ``MISS``. Survivors are confirmed.
-4. Confirming is exact: the full shingle sets of both documents are intersected.
+   only pairs across components, each pair in the first band that it shares. Full sets travel with
+   a block's rows, so survivors are confirmed there and only links leave the task.
+4. Candidates are verified sequentially: signatures are compared batch by batch, and after each batch
+   a pair is dropped if the posterior chance (uniform prior) that its similarity reaches the
+   threshold is below ``MISS``. Survivors are confirmed by intersecting the full shingle sets.
 
 No pair is emitted for members already connected, and no bucket is capped: a large bucket is cut
 into blocks, and pairs of blocks are separate groups of rows.
@@ -33,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsight.llm.common import as_long, batch, handover, mix64, ngram_hashes, parts, rows_of, word_hashes
+from tripsight.llm.common import (as_long, batch, handover, mix64, ngram_hashes, only_ids, parts, rows_of,
+                                  word_hashes)
 from tripsight.llm.components import components
 
 #: Words of a shingle; similarity threshold as a ratio of whole numbers.
@@ -45,7 +47,7 @@ PERMS = BANDS * ROWS
 LOOK = 32
 MISS = 1e-5
 #: Members of one block of a bucket, and partners of a document confirmed in one go.
-BLOCK = 1024
+BLOCK = 512
 CONFIRM = 128
 #: Shingles hashed at a time when signatures are made.
 STRIP = 1 << 15
@@ -179,31 +181,6 @@ def _runs(batches, keys: list[str], names: list[str]) -> Iterator[tuple[list, ..
         yield now, held
 
 
-def _across(batches):
-    """Pairs within a block (or across two) that share this band first and pass the test."""
-    for (band, _, i, j), (ids, comps, side, sigs) in _runs(batches, ["band", "key", "i", "j"],
-                                                          ["id", "comp", "side", "sig"]):
-        sig, comp, ident, sd = _as_sig(sigs), np.array(comps), np.array(ids, dtype=np.int64), np.array(side)
-        n = len(ident)
-        bands = np.ascontiguousarray(sig).view([("", np.uint32)] * ROWS).reshape(n, BANDS)
-        pa_, pb_ = [], []
-        for x in range(n):
-            other = np.flatnonzero(comp[x + 1:] != comp[x]) + x + 1 if i == j else \
-                np.flatnonzero((comp != comp[x]) & (sd == 1)) if sd[x] == 0 else ()
-            if not len(other):
-                continue
-            if band:
-                seen = (bands[other, :band] == bands[x, :band]).any(axis=1)
-                other = other[~seen]
-                if not len(other):
-                    continue
-            got = other[sequential(np.broadcast_to(sig[x], (len(other), PERMS)), sig[other])]
-            pa_.append(np.minimum(ident[x], ident[got]))
-            pb_.append(np.maximum(ident[x], ident[got]))
-        if pa_:
-            yield batch(_PAIRS, a=np.concatenate(pa_), b=np.concatenate(pb_))
-
-
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether two sorted sets reach the threshold, by exact counts."""
     t, of = THRESHOLD
@@ -213,6 +190,49 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
     return of * n >= t * (len(x) + len(y) - n)
 
 
+_SETS = pa.schema([("id", pa.int64()), ("set", pa.binary())])
+
+
+def _sets(batches):
+    for ids, texts in rows_of(batches, "doc_id", "text"):
+        for lo in range(0, len(ids), 1024):
+            yield batch(_SETS, id=ids[lo:lo + 1024], set=[shingles(t).tobytes() for t in texts[lo:lo + 1024]])
+
+
+def _across(batches):
+    """Links between components within a block, or across two blocks, of one bucket.
+
+    A pair is looked at in the first band that it shares, if its components still differ, by the
+    sequential test and then by the full sets. Links found here merge components at once.
+    """
+    for (band, _, i, j), (ids, comps, side, raws) in _runs(batches, ["band", "key", "i", "j"],
+                                                          ["id", "comp", "side", "set"]):
+        comp, ident, sd = np.array(comps), np.array(ids, dtype=np.int64), np.array(side)
+        if (comp == comp[0]).all():
+            continue
+        sets = [np.frombuffer(r, dtype=np.uint64) for r in raws]
+        sig = signatures(sets)
+        n = len(ident)
+        bands = sig.view([("", np.uint32)] * ROWS).reshape(n, BANDS)
+        ok_a, ok_b = [], []
+        for x in range(n):
+            if i == j:
+                other = np.flatnonzero(comp[x + 1:] != comp[x]) + x + 1
+            else:
+                other = np.flatnonzero((comp != comp[x]) & (sd == 1)) if sd[x] == 0 else ()
+            if len(other) and band:
+                other = other[~(bands[other, :band] == bands[x, :band]).any(axis=1)]
+            if not len(other):
+                continue
+            for y in other[sequential(np.broadcast_to(sig[x], (len(other), PERMS)), sig[other])]:
+                if comp[x] != comp[y] and linked(sets[x], sets[y]):
+                    ok_a.append(min(ident[x], ident[y]))
+                    ok_b.append(max(ident[x], ident[y]))
+                    comp[comp == comp[y]] = comp[x]
+        if ok_a:
+            yield batch(_PAIRS, a=ok_a, b=ok_b)
+
+
 def _confirm(batches):
     """Pairs whose full sets reach the threshold; rows of one first document mostly come together."""
     now, own = None, None
@@ -261,8 +281,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sa = rep_sig.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
     sb = rep_sig.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
     tested = handover(stars.join(sb, "b").join(sa, "a").mapInArrow(_survivors, "a long, b long"), "star-survivors")
-    used = (tested.select(F.col("a").alias("doc_id")).unionByName(tested.select(F.col("b").alias("doc_id"))).distinct())
-    near = handover(src.join(used, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "star-texts")
+    used = tested.select(F.col("a").alias("id")).unionByName(tested.select(F.col("b").alias("id"))).distinct()
+    near = handover(only_ids(src, "doc_id", used).dropDuplicates(["doc_id"]), "star-texts")
     links = _confirmed(tested, near, "star-links")
     comp = handover(components(links), "star-components")
     # buckets with members, besides the hub, in more than one component
@@ -271,23 +291,22 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     mixed = (labelled.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                                  F.count("*").alias("size"))
              .where(F.col("lo") != F.col("hi")).select("band", "key", "size"))
-    open_ = labelled.join(mixed, ["band", "key"])
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    dealt = (open_.withColumn("nb", blocks).withColumn("own", own)
-             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-             .select("band", "key", "id", "comp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"),
-                     F.when(F.col("own") <= F.col("o"), 0).otherwise(1).alias("side")))
-    rows = (dealt.join(rep_sig, "id").repartition(n, "band", "key", "i", "j")
-            .sortWithinPartitions("band", "key", "i", "j", "id")
-            .select("band", "key", "i", "j", "id", "comp", "side", "sig"))
-    more = handover(rows.mapInArrow(_across, "a long, b long"), "cross-survivors").distinct()
-    more = handover(more.join(tested, ["a", "b"], "left_anti"), "cross-pairs")
-    if not more.isEmpty():
-        used = more.select(F.col("a").alias("doc_id")).unionByName(more.select(F.col("b").alias("doc_id"))).distinct()
-        near = handover(src.join(used, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "cross-texts")
-        links = links.unionByName(_confirmed(more, near, "cross-links"))
-        comp = handover(components(links), "all-components")
+    open_ = handover(labelled.join(mixed, ["band", "key"]), "open-buckets")
+    if not open_.isEmpty():
+        rare = only_ids(src, "doc_id", open_.select("id").distinct()).dropDuplicates(["doc_id"])
+        sets = handover(rare.mapInArrow(_sets, "id long, set binary"), "open-sets")
+        blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+        dealt = (open_.withColumn("nb", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+                 .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+                 .select("band", "key", "id", "comp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"),
+                         F.when(F.col("own") <= F.col("o"), 0).otherwise(1).alias("side")))
+        rows = (dealt.join(sets, "id").repartition(n, "band", "key", "i", "j")
+                .sortWithinPartitions("band", "key", "i", "j", "id")
+                .select("band", "key", "i", "j", "id", "comp", "side", "set"))
+        more = handover(rows.mapInArrow(_across, "a long, b long"), "cross-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            comp = handover(components(links), "all-components")
     named = (reps.join(comp, "id", "left")
              .select("d1", "d2", "n_shingles", F.coalesce("component_id", "id").alias("c")))
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
