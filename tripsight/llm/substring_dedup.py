@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -31,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsight.llm.common import as_long, batch, handover, mix64, ngram_hashes, parts, rows_of, word_hashes
+from tripsight.llm.common import (as_long, batch, handover, mix64, ngram_hashes, only_ids, parts, rows_of,
+                                  word_hashes)
 
 #: Words of a window and of an anchor phrase.
 WINDOW, PHRASE = 20, 8
@@ -92,15 +94,15 @@ def repeated(stretches: list[tuple[int, int, list[bytes]]]) -> list[np.ndarray]:
     """For each stretch (id, start, words), in order of id and start: the offsets of its windows
     whose words also stand earlier in the list."""
     out = [np.empty(0, dtype=np.int64)] * len(stretches)
-    ids: dict[bytes, int] = {}
-    seqs = [[ids.setdefault(w, len(ids) + 1) for w in words] for _, _, words in stretches]
-    sizes = np.array([len(s) for s in seqs], dtype=np.int64)
+    sizes = np.array([len(words) for _, _, words in stretches], dtype=np.int64)
     if not len(sizes) or sizes.sum() < WINDOW:
         return out
-    flat = np.fromiter((i for s in seqs for i in s), dtype=np.uint64, count=int(sizes.sum()))
+    words = list(chain.from_iterable(w for _, _, w in stretches))
+    ids = {w: i for i, w in enumerate(dict.fromkeys(words), 1)}
+    seq = list(map(ids.__getitem__, words))
     begin = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(seqs)), sizes)
-    windows = ngram_hashes(mix64(flat), WINDOW)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    windows = ngram_hashes(mix64(np.array(seq, dtype=np.uint64)), WINDOW)
     valid = np.flatnonzero(owner[:len(windows)] == owner[WINDOW - 1:WINDOW - 1 + len(windows)])
     if len(valid) < 2:
         return out
@@ -111,13 +113,12 @@ def repeated(stretches: list[tuple[int, int, list[bytes]]]) -> list[np.ndarray]:
         return out
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for p in valid[first[again]].tolist():
-        o = owner[p]
-        at = p - begin[o]
-        automaton.add_word(tuple(seqs[o][at:at + WINDOW]), p + 1)
+        automaton.add_word(tuple(seq[p:p + WINDOW]), p + 1)
     automaton.make_automaton()
     for s in np.unique(owner[valid[count[inverse] > 1]]).tolist():
         b = int(begin[s])
-        hits = [end - WINDOW + 1 for end, p in automaton.iter(tuple(seqs[s])) if p - 1 != b + end - WINDOW + 1]
+        hits = [end - WINDOW + 1 for end, p in automaton.iter(tuple(seq[b:b + int(sizes[s])]))
+                if p - 1 != b + end - WINDOW + 1]
         if hits:
             out[s] = np.array(hits, dtype=np.int64)
     return out
@@ -133,22 +134,34 @@ def _starts(x: np.ndarray) -> bytes:
 
 
 def _cut(batches):
-    """Stretches around recurring anchors, less what repeats within the task's own batch."""
-    def flush(held: list[tuple[int, int, list[bytes], int, bool]]):
-        held.sort(key=lambda x: (x[0], x[1]))
+    """Stretches around recurring anchors, less what repeats within the task's own batch.
+
+    The task's batch is judged on whole runs of windows with recurring anchors; what is left is cut
+    by anchor, since anchors decide the shard.
+    """
+    def flush(held: list[tuple]):
+        held.sort(key=lambda x: x[:2])
         rows, size = [], 0
-        for (doc, start, words, key, hot), bad in zip(held, repeated([x[:3] for x in held])):
+        for (doc, start, words, at, key, hot), bad in zip(held, repeated([x[:3] for x in held])):
+            good = np.ones(len(at), dtype=bool)
             if len(bad):
                 rows.append((None, doc, None, None, _starts(start + bad)))
-            good = np.setdiff1d(np.arange(len(words) - WINDOW + 1), bad, assume_unique=True)
-            if not len(good):
+                good[bad] = False
+            w = np.flatnonzero(good)
+            if not len(w):
                 continue
-            if hot:
-                keys = as_long(ngram_hashes(word_hashes(words), WINDOW)[good]).tolist()
-                new = [(k, doc, start + int(o), b" ".join(words[o:o + WINDOW]), None) for k, o in zip(keys, good)]
+            if hot[w].any():
+                single = as_long(ngram_hashes(word_hashes(words), WINDOW))
+                new = [(int(single[o]), doc, start + o, b" ".join(words[o:o + WINDOW]), None)
+                       for o in w[hot[w]].tolist()]
+                w = w[~hot[w]]
             else:
-                runs = np.split(good, np.flatnonzero(np.diff(good) > 1) + 1)
-                new = [(key, doc, start + int(r[0]), b" ".join(words[r[0]:r[-1] + WINDOW]), None) for r in runs]
+                new = []
+            if len(w):
+                first = np.flatnonzero(np.r_[True, (np.diff(w) > 1) | (np.diff(at[w]) != 0)])
+                last = np.r_[first[1:], len(w)] - 1
+                new += [(int(key[x]), doc, start + x, b" ".join(words[x:y + WINDOW]), None)
+                        for x, y in zip(w[first].tolist(), w[last].tolist())]
             rows += new
             size += sum(len(r[3]) + 40 for r in new)
             if size > OUT_BYTES:
@@ -168,12 +181,11 @@ def _cut(batches):
             w = np.flatnonzero(mark[a] > 0)
             if not len(w):
                 continue
-            first = np.flatnonzero(np.r_[True, a[w][1:] != a[w][:-1]])
-            last = np.r_[first[1:], len(w)] - 1
-            for x, y in zip(w[first].tolist(), w[last].tolist()):
-                part = words[x:y + WINDOW]
-                held.append((doc, x, part, int(as_long(g[a[x]:a[x] + 1])[0]), mark[a[x]] == 2))
-                size += sum(map(len, part)) + 60
+            for run in np.split(w, np.flatnonzero(np.diff(w) > 1) + 1):
+                x, y = int(run[0]), int(run[-1])
+                own = a[x:y + 1]
+                held.append((doc, x, words[x:y + WINDOW], own, as_long(g[own]), mark[own] == 2))
+                size += 8 * (y + WINDOW - x) + 100
             if size > SHARD_BYTES:
                 yield from flush(held)
                 held, size = [], 0
@@ -258,14 +270,16 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
               .select("doc_id", (F.col("at") * 2 + (F.col("n") > HOT).cast("int")).alias("place"))
               .groupBy("doc_id").agg(F.collect_list("place").alias("places")))
     marked = handover(marked, "recurring-anchors")
-    texts = src.dropDuplicates(["doc_id"]).join(marked, "doc_id")
+    texts = (only_ids(src, "doc_id", marked.select(F.col("doc_id").alias("id"))).dropDuplicates(["doc_id"])
+             .join(marked, "doc_id"))
     cut = handover(texts.mapInArrow(_cut, _CUT_DDL), "stretches")
     dealt = (cut.where(F.col("key").isNotNull()).select("key", "doc_id", "start", "words")
              .repartition(n, "key").sortWithinPartitions("key", "doc_id", "start"))
     removed = handover(dealt.mapInArrow(_shard, "doc_id long, removed binary")
                        .unionByName(cut.where(F.col("removed").isNotNull()).select("doc_id", "removed"))
                        .groupBy("doc_id").agg(F.collect_list("removed").alias("removed")), "removed-windows")
-    changed = (src.dropDuplicates(["doc_id"]).join(removed, "doc_id")
+    changed = (only_ids(src, "doc_id", removed.select(F.col("doc_id").alias("id"))).dropDuplicates(["doc_id"])
+               .join(removed, "doc_id")
                .mapInArrow(_drop, "doc_id long, n_removed long, kept_text string"))
     all_ = seen.select("doc_id", "n_words", "sha").join(own, ["sha", "n_words"])
     copy = (F.col("n_words") >= WINDOW) & (F.col("doc_id") != F.col("owner"))
