@@ -75,15 +75,14 @@ def test_residual_slices_cover_every_bucket(spark):
         "Short (<2 mi)", "Medium (2-10 mi)", "Long (>10 mi)"]
 
 
-@pytest.mark.parametrize("method", ["count", "sort", "auto"])
-def test_quantile_methods_agree_with_numpy(spark, method):
+def test_quantiles_agree_with_numpy(spark):
     rng = np.random.default_rng(11)
     rows = [("hot" if rng.random() < 0.4 else str(rng.integers(0, 3)), float(rng.integers(0, 200)) / 2.0)
             for _ in range(2500)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.01, 0.5, 0.95, 0.99, 1.0]
-    got = {(r.g, r.p): r.q for r in quantiles(df, "v", probs, ["g"], method=method).collect()}
-    glob = {r.p: r.q for r in quantiles(df, "v", probs, method=method).collect()}
+    got = {(r.g, r.p): r.q for r in quantiles(df, "v", probs, ["g"]).collect()}
+    glob = {r.p: r.q for r in quantiles(df, "v", probs).collect()}
     for g in {r[0] for r in rows}:
         vals = np.array([v for gg, v in rows if gg == g])
         for p in probs:
@@ -93,24 +92,58 @@ def test_quantile_methods_agree_with_numpy(spark, method):
         assert glob[p] == pytest.approx(float(np.percentile(allv, p * 100)), abs=1e-12)
 
 
-def test_auto_picks_sort_for_many_distinct_values(spark, monkeypatch):
-    from tripsight.operators import quantiles as Q
-    monkeypatch.setattr(Q, "COUNT_PATH_MAX_DISTINCT", 10)
-    df = spark.createDataFrame([(float(i) / 7.0,) for i in range(500)], "v double")
-    assert Q.quantiles(df, "v", [0.5]).first().q == pytest.approx(float(np.median([i / 7.0 for i in range(500)])))
-
-
 def test_hot_group_is_ranked_by_many_tasks(spark):
     """A group holding half the rows is spread over several range partitions."""
-    from tripsight.operators.quantiles import positions
+    from tripsight.operators.quantiles import _ranked_counts
     rows = [("hot" if i % 2 == 0 else f"g{i % 7}", float(i)) for i in range(4000)]
     df = spark.createDataFrame(rows, "g string, v double")
-    pos = positions(df, ["v"], ["g"], partitions=8)
+    v = df.withColumnRenamed("v", "_v")
+    from pyspark.sql import functions as F
+    ranked = _ranked_counts(v, ["g"], 8)
+    hot = ranked.where("g = 'hot'").collect()
+    assert sorted((r._start, r._end) for r in hot) == [(i, i + 1) for i in range(2000)]
+    assert {r._n for r in hot} == {2000}
+
+
+def test_one_value_holding_half_the_rows(spark):
+    import numpy as np
+    from tripsight.operators.quantiles import quantiles
+    x = [52.0] * 2000 + [i / 7.0 for i in range(2000)]
+    df = spark.createDataFrame([(None if i % 3 else "a", v) for i, v in enumerate(x)], "g string, v double")
+    got = {(r.g, r.p): r.q for r in quantiles(df, "v", [0.25, 0.5, 0.9], ["g"]).collect()}
+    for g in (None, "a"):
+        own = [v for i, v in enumerate(x) if (None if i % 3 else "a") == g]
+        for p in (0.25, 0.5, 0.9):
+            assert got[(g, p)] == float(np.quantile(own, p))
+
+
+def test_sums_beyond_a_long(spark):
+    from tripsight.functions.stats import MINUTE_UNIT, decimal_mean, grid_sum
+    from pyspark.sql import functions as F
+    big = spark.createDataFrame([(1.2e11,), (1.3e11,), (1.4e11,)], "m double")
+    assert big.agg(grid_sum(F.col("m"), MINUTE_UNIT)).first()[0] == 3.9e11
+    tiny = spark.createDataFrame([(0.00041,), (0.00042,)], "ms double")
+    assert abs(tiny.agg(decimal_mean(F.col("ms"))).first()[0] - 0.000415) < 1e-12
+
+
+def test_folds_with_extra_columns_and_any_partitioning(spark):
     from pyspark.sql import functions as F
-    tasks = pos.where("g = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert tasks >= 3
-    ranks = sorted(r._pos for r in pos.where("g = 'hot'").select("_pos").collect())
-    assert ranks == list(range(2000))
+    from tripsight.operators.evaluation import before_fold, fold_assignment
+    n = 20_011
+    df = spark.range(n).select(
+        F.col("id").alias("trip_id"),
+        F.timestamp_add("SECOND", (F.xxhash64("id") % 4000).cast("int"), F.lit("2024-01-01 05:00:00").cast("timestamp_ntz"))
+        .alias("tpep_pickup_datetime"), F.rand(1).alias("x"), F.lit("text").alias("y"))
+    for parts in ("3", "64"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        a = fold_assignment(df.repartition(int(parts)), 3)
+        rows = sorted((r.tpep_pickup_datetime, r.trip_id, r.test_fold) for r in a.collect())
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        size = n // 4
+        want = [None] * (n - 3 * size) + [f for f in range(3) for _ in range(size)]
+        assert [f for _, _, f in rows] == want
+    assert before_fold(a, 1).count() == n - 2 * size
 
 
 def test_tiny_and_degenerate_inputs_do_not_fail(spark):

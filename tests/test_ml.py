@@ -66,8 +66,12 @@ def test_folds_are_forward_only(spark):
     counts = {r.test_fold: r.c for r in a.groupBy("test_fold").agg(F.count("*").alias("c")).collect()}
     assert counts[0] == counts[1] == counts[2] == size
     assert counts[None] == n - 3 * size
-    idx = sorted(r.row_index for r in a.select("row_index").collect())
-    assert idx == list(range(n))
+    last = None
+    for f in (None, 0, 1, 2):  # no fold reaches back behind an earlier one
+        keys = [(r.tpep_pickup_datetime, r.trip_id) for r in a.where(F.col("test_fold").eqNullSafe(F.lit(f).cast("int")))
+                .select("tpep_pickup_datetime", "trip_id").collect()]
+        assert last is None or min(keys) > last
+        last = max(keys)
 
 
 def test_sample_configs_distinct_and_seeded():

@@ -48,14 +48,20 @@ MINUTE_UNIT = 6.0e7        # durations in minutes: exact in microseconds
 
 
 def grid_sum(x: Column, unit: float) -> Column:
-    """Exact sum of values on a 1/unit grid: integer sum of ``round(x*unit)``.
+    """Exact sum of values on a 1/unit grid: decimal sum of ``round(x*unit)``.
 
-    A long sum is associative, so every partitioning (and every engine) gets
-    the same result; a double sum depends on the order rows arrive in.
+    A decimal sum is associative, so every partitioning (and every engine) gets
+    the same result; a double sum depends on the order rows arrive in, and a
+    long sum of microseconds overflows near 1e10 rows.
     """
-    return F.sum(F.round(x * F.lit(unit)).cast("bigint")).cast("double") / F.lit(unit)
+    return F.sum(F.round(x * F.lit(unit)).cast("decimal(28,0)")).cast("double") / F.lit(unit)
 
 
 def grid_mean(x: Column, unit: float = MONEY_UNIT) -> Column:
     """Mean of grid values from the exact sum (null on no rows)."""
     return F.try_divide(grid_sum(x, unit), F.count(x).cast("double"))
+
+
+def decimal_mean(x: Column) -> Column:
+    """Mean of measurements without a grid (latencies), summed exactly to nine places."""
+    return F.try_divide(F.sum(x.cast("decimal(28,9)")).cast("double"), F.count(x).cast("double"))

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.literals import ts_ntz
 from ..functions.stats import MINUTE_UNIT, MONEY_UNIT, grid_mean
 from .broadcast import bounded_broadcast
-from .quantiles import positions
 
 PU = "tpep_pickup_datetime"
 TARGET_KEYS = {"fare": "fare_amount", "duration": "duration_minutes"}
@@ -189,26 +189,73 @@ def residual_slices(sl: DataFrame) -> DataFrame:
 
 # --- forward-only folds (MOD-07 / SRT-02) -----------------------------------------------
 
+FOLD_COLS = ("rows", "test_start", "test_fold")
+
+def fold_cuts(df: DataFrame, n_splits: int, time_col: str, id_col: str) -> tuple[int, list[tuple]]:
+    """Row count and, for each fold, (rows before its test window, first time, first id).
+
+    Hourly counts place every cut in an hour, then counts by second inside those hours place it
+    in a second; only the rows of those seconds are ranked. The driver sees one row per cut.
+    """
+    n = df.count()
+    size = n // (n_splits + 1)
+    if not size:
+        return n, []
+    ranks = [n - (n_splits - f) * size for f in range(n_splits)]
+    cuts = [(r, None, r) for r in ranks]  # (global rank, span that holds it, rank inside the span)
+    rows = df
+    for unit in ("hour", "second"):
+        spans = rows.groupBy(F.date_trunc(unit, F.col(time_col)).cast("timestamp_ntz").alias("_s"))
+        counts = spans.agg(F.count(F.lit(1)).alias("_c"))
+        # one row per hour of the data, or per second of at most n_splits hours
+        w = Window.partitionBy(F.date_trunc("hour", "_s")).orderBy("_s") if unit == "second" else Window.orderBy("_s")
+        ends = counts.withColumn("_end", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        found = []
+        for rank, span, inner in cuts:
+            here = ends if span is None else ends.where(F.date_trunc("hour", "_s").cast("timestamp_ntz") == ts_ntz(span))
+            r = here.where(F.col("_end") > inner).orderBy("_s").first()
+            found.append((rank, r["_s"], inner - (r["_end"] - r["_c"])))
+        cuts = found
+        keep = F.lit(False)
+        for span in {s for _, s, _ in cuts}:
+            keep = keep | (F.date_trunc(unit, F.col(time_col)).cast("timestamp_ntz") == ts_ntz(span))
+        rows = rows.where(keep)
+    out = []
+    for rank, span, inner in cuts:
+        second = rows.where(F.date_trunc("second", F.col(time_col)).cast("timestamp_ntz") == ts_ntz(span))
+        r = second.select(time_col, id_col).orderBy(time_col, id_col).limit(inner + 1).orderBy(
+            F.desc(time_col), F.desc(id_col)).first()
+        out.append((rank, r[time_col], r[id_col]))
+    return n, out
+
+
 def fold_assignment(df: DataFrame, n_splits: int = 3, order=(PU, "trip_id")) -> DataFrame:
-    """Row index by pickup time (id breaks ties) and the fold whose test window holds it.
+    """The fold whose test window holds each row, by pickup time (id breaks ties).
 
     Fold size is n // (k+1) (``TimeSeriesSplit``); fold f tests rows
-    [n - (k-f)*size, n - (k-f-1)*size) and trains on every earlier row.
+    [n - (k-f)*size, n - (k-f-1)*size) and trains on every earlier row, that is on
+    ``test_fold`` null or less than f. Folds follow from comparing each row with
+    the k cut keys: no global sort, no second read of the rows.
     """
-    k = n_splits
-    p = positions(df, list(order))
-    size = F.floor(F.col("_n") / F.lit(k + 1))
-    first_test = F.col("_n") - size * k
-    # fewer rows than folds gives size 0: no test windows (instead of a division error)
-    fold = F.when((size > 0) & (F.col("_pos") >= first_test), F.floor(F.try_divide(F.col("_pos") - first_test, size)))
-    return p.select(*df.columns, F.col("_pos").alias("row_index"), F.col("_n").alias("rows"),
-                    size.cast("bigint").alias("fold_size"), fold.cast("int").alias("test_fold"))
+    time_col, id_col = order
+    n, cuts = fold_cuts(df, n_splits, time_col, id_col)
+    fold, start = F.lit(None).cast("int"), F.lit(None).cast("bigint")
+    for f, (rank, at, key) in enumerate(cuts):
+        reached = (F.col(time_col) > ts_ntz(at)) | ((F.col(time_col) == ts_ntz(at)) & (F.col(id_col) >= F.lit(key)))
+        fold = F.when(reached, F.lit(f)).otherwise(fold)
+        start = F.when(reached, F.lit(rank)).otherwise(start)
+    return df.withColumns({"rows": F.lit(n).cast("bigint"), "test_start": start, "test_fold": fold})
+
+
+def before_fold(assigned: DataFrame, f: int) -> DataFrame:
+    """Training rows of fold ``f``: everything before its test window."""
+    return assigned.where(F.col("test_fold").isNull() | (F.col("test_fold") < f)).drop(*FOLD_COLS)
 
 
 def fold_summary(assigned: DataFrame, n_splits: int = 3) -> DataFrame:
     """Per fold: train rows, test rows, last train pickup and first/last test pickup."""
     per_fold = assigned.where(F.col("test_fold").isNotNull()).groupBy("test_fold").agg(
-        F.count(F.lit(1)).alias("test_rows"), F.min("row_index").alias("test_start"),
+        F.count(F.lit(1)).alias("test_rows"), F.min("test_start").alias("test_start"),
         F.min(PU).alias("test_first_pickup"), F.max(PU).alias("test_last_pickup"))
     return per_fold.select(F.col("test_fold").alias("fold"), F.col("test_start").alias("train_rows"), "test_rows",
                            "test_first_pickup", "test_last_pickup")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.stats import grid_mean
+from ..functions.stats import decimal_mean
 from .quantiles import quantile_columns
 
 PCTS = (0.5, 0.9, 0.95, 0.99)
@@ -27,7 +27,7 @@ def latency_report(log: DataFrame) -> DataFrame:
         # ordering by the timestamp alone keeps a hash aggregate (a struct key forces a sort aggregate)
         F.min_by("latency_ms", "ts").alias("cold_start_ms"))
     stats = ok.groupBy("scenario").agg(
-        grid_mean(F.col("latency_ms")).alias("mean_ms"), F.stddev_pop("latency_ms").alias("std_ms"),
+        decimal_mean(F.col("latency_ms")).alias("mean_ms"), F.stddev_pop("latency_ms").alias("std_ms"),
         F.min("latency_ms").alias("min_ms"), F.max("latency_ms").alias("max_ms"))
     # scenarios come from the data (no proven bound): no broadcast hints, AQE
     # turns these joins of per-scenario aggregates into broadcasts after measuring
@@ -44,7 +44,7 @@ def latency_report(log: DataFrame) -> DataFrame:
 
 def latency_components(log: DataFrame, components) -> DataFrame:
     """Mean latency per component, one column per component (pivot with fixed values)."""
-    return log.groupBy("scenario").pivot("component", list(components)).agg(grid_mean(F.col("latency_ms")))
+    return log.groupBy("scenario").pivot("component", list(components)).agg(decimal_mean(F.col("latency_ms")))
 
 
 def before_after(report: DataFrame, before: str, after: str) -> DataFrame:

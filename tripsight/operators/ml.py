@@ -242,18 +242,16 @@ def random_search(train: DataFrame, zones: DataFrame, family: str, n_configs: in
     Fits run from a small driver thread pool; each fit is itself a distributed
     job. Returns (rows for the report, best config per target).
     """
-    from .evaluation import fold_assignment
+    from .evaluation import FOLD_COLS, before_fold, fold_assignment
     assigned = fold_assignment(train, n_folds).cache()
     configs = sample_configs(SEARCH_SPACE[family], n_configs)
 
     def one(ci_fold):
         ci, f = ci_fold
         # forward only: fold f trains on every row before its test window
-        fold_train = assigned.where(F.col("row_index") < F.col("rows") - F.col("fold_size") * (n_folds - f))
-        fold_test = assigned.where(F.col("test_fold") == f)
-        run = fit_run(fold_train.drop("row_index", "rows", "fold_size", "test_fold"), zones, family, rounds,
-                      params=configs[ci])
-        m = evaluate_run(run, fold_test.drop("row_index", "rows", "fold_size", "test_fold")).collect()
+        fold_test = assigned.where(F.col("test_fold") == f).drop(*FOLD_COLS)
+        run = fit_run(before_fold(assigned, f), zones, family, rounds, params=configs[ci])
+        m = evaluate_run(run, fold_test).collect()
         return ci, f, {r["target"]: r["mae"] for r in m}
 
     jobs = [(ci, f) for ci in range(len(configs)) for f in range(n_folds)]

@@ -81,7 +81,7 @@ def describe(df: DataFrame, cols=("fare_amount", "duration_minutes", "trip_dista
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
                                          for c in cols])).alias("_s")).select("_s.*")
     names = [f"p{int(round(p * 100)):02d}" for p in probs]
-    qs = quantile_columns(long, "v", probs, names, groups=["column_name"], group_bound=len(cols), approx=approx)
+    qs = quantile_columns(long, "v", probs, names, groups=["column_name"], approx=approx)
     return base.join(bounded_broadcast(qs, len(cols)), "column_name", "left").select(
         "column_name", "count", "mean", "std", "min", *names, "max")
 
@@ -104,7 +104,7 @@ def profile_by_hour(frame: DataFrame, approx: bool = False) -> DataFrame:
     means = frame.groupBy("hour").agg(grid_mean(F.col("fare_amount")).alias("mean_fare"),
                                       grid_mean(F.col("duration_minutes"), MINUTE_UNIT).alias("mean_duration"),
                                       F.count(F.lit(1)).alias("trips"))
-    med = quantile_columns(frame, "speed_mph", [0.5], ["median_speed_mph"], groups=["hour"], group_bound=24,
+    med = quantile_columns(frame, "speed_mph", [0.5], ["median_speed_mph"], groups=["hour"],
                            approx=approx)
     return means.join(bounded_broadcast(med, 24), "hour", "left").select(
         F.col("hour").cast("int").alias("hour"), "mean_fare", "mean_duration", "median_speed_mph", "trips")
@@ -192,7 +192,7 @@ def target_headline(in_month: DataFrame, approx: bool = False) -> DataFrame:
     long = in_month.select(F.explode(F.array(
         F.struct(F.lit("fare").alias("k"), F.col("fare_amount").alias("v")),
         F.struct(F.lit("duration").alias("k"), F.col("duration_minutes").alias("v")))).alias("_s")).select("_s.*")
-    q = quantiles(long, "v", [0.5, 0.99, 1.0], ["k"], group_bound=2, approx=approx)
+    q = quantiles(long, "v", [0.5, 0.99, 1.0], ["k"], approx=approx)
     pick = lambda k, p: F.max(F.when((F.col("k") == k) & (F.col("p") == p), F.col("q")))
     return q.agg(pick("fare", 0.5).alias("fare_median"), pick("fare", 0.99).alias("fare_p99"),
                  pick("fare", 1.0).alias("fare_max"), pick("duration", 0.5).alias("duration_median"))

@@ -870,7 +870,7 @@ def q_scoring_parity(spark, sf_dir):
 
 # --- MLP (MOD-12) -------------------------------------------------------------------------------
 
-def mlp_runs(spark, sf_dir, max_epochs=20, batch=256):
+def mlp_runs(spark, sf_dir, max_epochs=20, batch=4096):
     """Feature state and exact impute/scale fitted on train; one MLP per target."""
     from ..operators.mlp import fit_mlp
     from ..operators.scaling import ImputeScale

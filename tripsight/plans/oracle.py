@@ -633,7 +633,7 @@ register("lrep", f"""lrep as (
                     count(*) filter (where not ok) as errors,
                     date_diff('microsecond', min(ts), max(ts)) / 1.0e6 as elapsed_s,
                     arg_min(latency_ms, ts) as cold_start_ms from rl group by 1),
-  s as (select scenario, {gmean('latency_ms')} as mean_ms, stddev_pop(latency_ms) as std_ms,
+  s as (select scenario, avg(latency_ms) as mean_ms, stddev_pop(latency_ms) as std_ms,
                min(latency_ms) as min_ms, max(latency_ms) as max_ms from rl where ok group by 1),
   q as {_LAT_Q},
   qw as (select scenario, max(q) filter (where p = 0.5) as p50_ms, max(q) filter (where p = 0.9) as p90_ms,
@@ -650,8 +650,7 @@ select scenario, total_requests, success, errors, round(elapsed_s, 6) as elapsed
   round(p95_ms, 6) as p95_ms, round(p99_ms, 6) as p99_ms, round(max_ms, 6) as max_ms, sla_passed from lrep""", "lrep")
 
 def _cmean(c):
-    return (f"round(cast(sum(cast(round(latency_ms * 1000.0e0) as bigint)) filter (where component = '{c}') as double)"
-            f" / 1000.0e0 / cast(count(latency_ms) filter (where component = '{c}') as double), 6) as {c}")
+    return f"round(avg(latency_ms) filter (where component = '{c}'), 6) as {c}"
 
 
 sql("latency_components", "select scenario, " + ", ".join(_cmean(c) for c in
@@ -814,8 +813,7 @@ from f, m""", "kept_split", "zn")
 sql("stream_latency_window", """
 select time_bucket(interval 1 day, ts) as window_start, time_bucket(interval 1 day, ts) + interval 1 day as window_end,
        scenario, count(*) as requests, count(*) filter (where not ok) as rejects,
-       round(cast(sum(cast(round(latency_ms * 1000.0e0) as bigint)) as double) / 1000.0e0 / count(latency_ms), 6)
-         as mean_latency_ms
+       round(avg(latency_ms), 6) as mean_latency_ms
 from rl group by 1, 2, 3""", "rl")
 
 sql("stream_dedup", "select event_id as request_id, ts from events")

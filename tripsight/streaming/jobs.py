@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.literals import instant_to_ntz, ntz_to_instant
-from ..functions.stats import grid_mean
+from ..functions.stats import decimal_mean
 from ..operators import cleaning as CL
 from ..session import scratch_path
 from ..sources import adapters as A
@@ -95,7 +95,7 @@ def stream_latency_window(spark: SparkSession, sf_dir: str, window: str = "1 day
     agg = (log.withWatermark("ts", watermark)
            .groupBy(F.window("ts", window).alias("w"), "scenario")
            .agg(F.count(F.lit(1)).alias("requests"), F.count_if(~F.col("ok")).alias("rejects"),
-                grid_mean(F.col("latency_ms")).alias("mean_latency_ms")))
+                decimal_mean(F.col("latency_ms")).alias("mean_latency_ms")))
     out = scratch_path(spark, "stream_latency")
     _run(agg, out, mode=mode, keyed_batches=(mode != "complete"))
     res = spark.read.parquet(out)
@@ -104,18 +104,29 @@ def stream_latency_window(spark: SparkSession, sf_dir: str, window: str = "1 day
                       "scenario", "requests", "rejects", "mean_latency_ms")
 
 
-def stream_dedup(spark: SparkSession, sf_dir: str, copies: int = 2, watermark: str = "1 hour") -> DataFrame:
-    """STR-03: the same requests delivered ``copies`` times are kept once.
+def stream_dedup(spark: SparkSession, sf_dir: str, copies: int = 2,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """STR-03: requests delivered several times, in any order and batch, are kept once.
 
-    ``dropDuplicatesWithinWatermark`` keeps state only for the watermark
-    delay, so state stays bounded however long the stream runs.
+    Every batch is merged into the sink by key: ids that earlier batches wrote are
+    left out. Nothing is dropped for being late, and the state is the sink itself,
+    read by a shuffled (spillable) anti-join. A replayed batch replaces its own
+    folder and looks only at the others.
     """
     s = None
     for _ in range(copies):
-        one = event_stream(spark, sf_dir).select(F.col("event_id").alias("request_id"),
-                                                 ntz_to_instant(F.col("ts")).alias("ts"))
+        one = event_stream(spark, sf_dir, max_files_per_trigger).select(F.col("event_id").alias("request_id"), "ts")
         s = one if s is None else s.unionByName(one)
-    d = s.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["request_id"])
     out = scratch_path(spark, "stream_dedup")
-    _run(d, out)
-    return spark.read.parquet(out).select("request_id", instant_to_ntz(F.col("ts")).alias("ts"))
+
+    def write(batch: DataFrame, batch_id: int):
+        new = batch.groupBy("request_id").agg(F.min("ts").alias("ts"))
+        if batch_id:
+            earlier = spark.read.schema("request_id long, batch_id long").parquet(out)
+            new = new.join(earlier.where(F.col("batch_id") < batch_id).select("request_id"), "request_id", "left_anti")
+        new.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = (s.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("request_id", "ts")
