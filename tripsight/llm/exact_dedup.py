@@ -67,12 +67,17 @@ class PatriciaTrie:
         self.budget, self.spilling, self.bytes = budget, spill, 0
 
     def insert(self, key: bytes, ident: int, copies: int = 1) -> None:
+        self._insert(key, ident, copies)
+        if self.spilling and self.bytes > self.budget:  # between inserts, never within one
+            self._spill()
+
+    def _insert(self, key: bytes, ident: int, copies: int) -> None:
         at, node = 0, self.root
         while at < len(key):
             child = node[1].get(key[at])
             if child is None:
                 node[1][key[at]] = [key[at:], {}, [ident, copies]]
-                self._grow(len(key) - at)
+                self.bytes += len(key) - at + NODE_BYTES
                 return
             if child[1] is None:
                 pickle.dump((key, ident, copies), child[2])
@@ -81,7 +86,7 @@ class PatriciaTrie:
             if n < len(child[0]):  # split the edge
                 lower = [child[0][n:], child[1], child[2]]
                 child[0], child[1], child[2] = child[0][:n], {lower[0][0]: lower}, None
-                self._grow(0)
+                self.bytes += NODE_BYTES
             at += n
             node = child
         if node[2] is None:
@@ -89,11 +94,6 @@ class PatriciaTrie:
         else:
             node[2] = [min(ident, node[2][0]), copies + node[2][1]]
 
-    def _grow(self, n: int) -> None:
-        self.bytes += n + NODE_BYTES
-        if self.spilling and self.bytes > self.budget:
-            self._spill()
-
     def _spill(self) -> None:
         node, prefix = self.root, b""
         while len(node[1]) == 1 and node[2] is None:  # down to the topmost fork
@@ -108,6 +108,9 @@ class PatriciaTrie:
         f = tempfile.TemporaryFile()
         for item in _strings(node[1][top], prefix):
             pickle.dump(item, f)
+        for stub in [x for x in _nodes(node[1][top]) if x[1] is None]:  # spilled before, further down
+            for item in _records(stub[2]):
+                pickle.dump(item, f)
         node[1][top] = [bytes([top]), None, f]
         self.bytes -= held[top]
 
@@ -116,16 +119,22 @@ class PatriciaTrie:
         root, self.root = self.root, [b"", {}, None]
         yield from _strings(root, b"")
         for f in [x[2] for x in _nodes(root) if x[1] is None]:
-            f.seek(0)
             sub = PatriciaTrie(self.budget, True)
-            try:
-                while True:
-                    sub.insert(*pickle.load(f))
-            except EOFError:
-                f.close()
+            for item in _records(f):
+                sub.insert(*item)
             yield from sub.items()
 
 
+def _records(f) -> Iterator[tuple[bytes, int, int]]:
+    """The strings of a spill file, which is closed after the last."""
+    f.seek(0)
+    try:
+        while True:
+            yield pickle.load(f)
+    except EOFError:
+        f.close()
+
+
 def _nodes(node: list) -> Iterator[list]:
     stack = [node]
     while stack:
