@@ -26,6 +26,7 @@ pieces; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,6 +61,7 @@ CLOSING = ",.;:!?"
 SPECIALS = ("<|startoftext|>", "<|endoftext|>")
 
 _tokenizers: dict[str, object] = {}
+_letters: dict[str, dict[int, str]] = {}
 _words: dict[str, dict[str, bytes]] = {}
 
 
@@ -68,7 +70,9 @@ def load_tokenizer(path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _tokenizers[path] = Tokenizer.from_file(path)
+        tk = _tokenizers[path] = Tokenizer.from_file(path)
+        # how the vocabulary writes the bytes of each Latin-1 letter
+        _letters[path] = {c: tk.pre_tokenizer.pre_tokenize_str(chr(c))[0][0] for c in range(128, 256) if chr(c).isalpha()}
     return _tokenizers[path]
 
 
@@ -102,6 +106,15 @@ def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     # a word of letters and its closing mark are always separate pre-tokens
     marked = [w for w in missing if w[-1] in CLOSING and w[:-1].isalpha() and w == w.lower()]
     plain = list(missing.difference(marked).union([w[:-1] for w in marked], CLOSING).difference(cache))
+    # lower-case words of Latin-1 letters are one pre-token; the model takes them without the rest
+    letters, pieces, code = _letters[path], tk.model.tokenize, "H" if width == "<u2" else "I"  # little-endian hosts
+    rest = []
+    for w in plain:
+        if w.isalpha() and max(w) <= "\xff" and w == w.lower():
+            cache[w] = array(code, [x.id for x in pieces(w if w.isascii() else w.translate(letters))]).tobytes()
+        else:
+            rest.append(w)
+    plain = rest
     for at in range(0, len(plain), 20_000):
         some = plain[at:at + 20_000]
         for w, e in zip(some, tk.encode_batch_fast(some, add_special_tokens=False)):
@@ -114,7 +127,7 @@ def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
             out.append(np.array(tk.encode(t, add_special_tokens=False).ids, dtype=width))
         else:
             out.append(np.frombuffer(b"".join(map(cache.__getitem__, ws)), dtype=width))
-    for w in missing.union(plain):
+    for w in missing:
         if len(w) > CACHED_WORD:
             cache.pop(w, None)
     return out
