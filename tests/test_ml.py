@@ -29,7 +29,7 @@ def test_tree_beats_mean_on_mae(spark, run):
 
 def test_importances_sum_to_one(spark):
     train, _ = train_test(spark, SF)
-    r = ML.fit_run(train, A.zones(spark), "winner", rounds=3)
+    r = ML.fit_run(train, A.zones(spark), "winner", params={"maxIter": 3})
     imp = ML.importances(r).groupBy("target").agg(F.sum("importance").alias("s")).collect()
     assert {x.target for x in imp} == {"fare", "duration"}
     for x in imp:
@@ -74,6 +74,21 @@ def test_folds_are_forward_only(spark):
         last = max(keys)
 
 
+def test_search_scores_every_config_and_refits_the_best(spark):
+    train, test = train_test(spark, SF)
+    space = dict(ML.SEARCH_SPACE["gbt_l1"], maxIter=[2])
+    rows, best = ML.random_search(train, A.zones(spark), "gbt_l1", space, n_configs=2, n_folds=2,
+                                  refit_params={"maxIter": 3})
+    assert len(rows) == 4 and {(r[1], r[5]) for r in rows} == {(t, k) for t in ("fare", "duration") for k in (1, 2)}
+    got = ML.evaluate_run(best, test).collect()
+    assert {r.rounds for r in got} == {3} and all(r.mae > 0 for r in got)
+
+
+def test_presets_have_the_documented_rounds():
+    assert {f: ML.make_model(f, "fare_amount").getMaxIter() for f in ("gbt_l1", "gbt_depthwise", "winner")} == {
+        "gbt_l1": 300, "gbt_depthwise": 300, "winner": 300}
+
+
 def test_sample_configs_distinct_and_seeded():
     a = ML.sample_configs(ML.SEARCH_SPACE["gbt_l1"], 5)
     b = ML.sample_configs(ML.SEARCH_SPACE["gbt_l1"], 5)

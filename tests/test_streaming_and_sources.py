@@ -106,3 +106,23 @@ def test_append_mode_withholds_open_window(spark):
     assert append.where(append.window_start == last).count() == 0
     assert append.count() == complete.where(complete.window_start < last).count()
     assert complete.agg({"requests": "sum"}).first()[0] == 1000
+
+
+def test_ingest_keeps_a_valid_target_and_rewrites_a_truncated_one(spark):
+    from tripsight.sources.sinks import write_ingest
+    path = scratch_path(spark, "landing")
+    df = spark.range(100).toDF("id")
+    assert write_ingest(df, path, min_rows=100) == {"path": path, "status": "written", "rows": 100}
+    assert write_ingest(df, path, min_rows=100)["status"] == "skipped"
+    df.limit(3).write.mode("overwrite").parquet(path)
+    assert write_ingest(df, path, min_rows=100) == {"path": path, "status": "written", "rows": 100}
+
+
+def test_table_version_changes_with_the_files(spark):
+    from tripsight.sources.tables import table_version
+    folder = scratch_path(spark, "versioned")
+    spark.range(10).write.parquet(f"{folder}/t.parquet")
+    a = table_version(spark, folder, "t")
+    spark.range(20).write.mode("append").parquet(f"{folder}/t.parquet")
+    b = table_version(spark, folder, "t")
+    assert a != b and b[0] > a[0]

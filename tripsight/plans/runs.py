@@ -17,21 +17,23 @@ from ..sources import guards as G
 def offline_run(spark: SparkSession, sf_dir: str, family: str = "winner", bundle_path: str | None = None) -> list:
     """Guards -> clean and split (written) -> fit or reuse -> evaluate -> slices -> export -> verify.
 
-    Returns (step, status, detail) rows; the last step fails the run when the
-    exported bundle does not load under its contract.
+    Returns (step, status, detail) rows; a guard that does not hold stops the run, and so
+    does the last step when the exported bundle does not load under its contract.
     """
-    from .catalog import cleaned_split, train_test
+    from .catalog import cleaned_split, fitted, train_test
     steps = []
     rows = G.row_count_audit(spark, sf_dir, tables=("events",)).first()
-    steps.append(("ingest_guard", "ok" if rows.ok else "failed", f"events rows={rows.rows}"))
-    G.assert_lookup_contract(A.zone_lookup(spark))
-    steps.append(("lookup_guard", "ok", "265 zones"))
+    if not rows.ok:
+        raise ValueError(f"events has {rows.rows} rows < {rows.min_rows}")
+    steps.append(("ingest_guard", "ok", f"events rows={rows.rows}"))
+    zones = G.assert_lookup_contract(A.zone_lookup(spark))
+    steps.append(("lookup_guard", "ok", f"{zones} zones"))
     split = cleaned_split(spark, sf_dir)
     counts = {r.split: r["count"] for r in split.groupBy("split").count().collect()}
     steps.append(("clean_and_split", "ok", f"train={counts.get('train', 0)} test={counts.get('test', 0)}"))
-    train, test = train_test(spark, sf_dir)
+    _, test = train_test(spark, sf_dir)
     path = bundle_path or scratch_path(spark, "bundle")
-    run, how = fit_or_load(path, lambda: ML.fit_run(train, A.zones(spark), family))
+    run, how = fit_or_load(path, lambda: fitted(spark, sf_dir, family))
     steps.append(("train", "ok", f"{family} {how}"))
     metrics = {r.target: r.mae for r in EV.regression_metrics(run.predict(test), family).collect()}
     steps.append(("evaluate", "ok", " ".join(f"{k}_mae={v:.4f}" for k, v in sorted(metrics.items()))))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,10 +60,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-def is_local_dir(p: str) -> bool:
-    return os.path.isdir(local_path(p))

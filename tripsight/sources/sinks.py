@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,20 +40,22 @@ def write_json_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_ingest(df: DataFrame, path: str, force: bool = False) -> dict:
-    """SRC-06: land a table once; ``force`` rewrites. Returns a manifest row."""
+def write_ingest(df: DataFrame, path: str, force: bool = False, min_rows: int = 1) -> dict:
+    """SRC-06: land a table once; ``force`` rewrites. Returns a manifest row.
+
+    A target is kept when it holds ``min_rows`` rows (the guard of the table); a truncated one is
+    written again. Only an absent path or one without Parquet files counts as absent: any other
+    failure is raised.
+    """
     spark = df.sparkSession
     existing = None
     try:
         existing = spark.read.parquet(path).count()
-    except Exception:  # noqa: BLE001 - missing or unreadable target
-        existing = None
-    if existing is not None and existing > 0 and not force:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    if existing is not None and existing >= min_rows and not force:
         return {"path": path, "status": "skipped", "rows": existing}
     df.write.mode("overwrite").parquet(path)
     return {"path": path, "status": "written", "rows": spark.read.parquet(path).count()}
 
-
-def write_json_file(obj, path: str) -> None:
-    with open(path, "w") as fh:
-        json.dump(obj, fh, indent=2, default=str)
