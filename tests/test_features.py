@@ -86,22 +86,26 @@ def test_unknown_zone_gives_zero_distance(spark):
     assert r.haversine_distance == 0.0 and r.manhattan_distance == 0.0 and r.pu_lat is None
 
 
-def test_distributed_encoding_path_matches_collected(spark, monkeypatch):
-    from tripsight.plans.catalog import train_test
-    train, test = train_test(spark, "/root/testdata/sf0.001")
-    a = {r.trip_id: (r.PULocationID_target_enc, r.RatecodeID_target_enc)
-         for r in FE.fit_target_encoding(train).apply(test).collect()}
-    monkeypatch.setattr(FE, "MAX_COLLECTED_CATEGORIES", 0)
-    enc = FE.fit_target_encoding(train)
-    b = {r.trip_id: (r.PULocationID_target_enc, r.RatecodeID_target_enc) for r in enc.apply(test).collect()}
-    assert a == b
-
-
-def test_distributed_zone_mean_path_matches_collected(spark, monkeypatch):
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_fitted_maps_join_alike_with_and_without_broadcast(spark, threshold):
     from tripsight.operators import evaluation as EV
     from tripsight.plans.catalog import train_test
     train, test = train_test(spark, "/root/testdata/sf0.001")
-    a = {r.trip_id: r.pred_fare for r in EV.ZoneMeanPredictor.fit(train).predict(test).collect()}
-    monkeypatch.setattr(EV, "MAX_COLLECTED_ZONES", 0)
-    b = {r.trip_id: r.pred_fare for r in EV.ZoneMeanPredictor.fit(train).predict(test).collect()}
-    assert a == b
+    rows = train.collect()
+    mean = sum(r.fare_amount for r in rows) / len(rows)
+    zones = {}
+    for r in rows:
+        zones.setdefault(r.PULocationID, []).append(r.fare_amount)
+    want = {z: (sum(v) + 10 * mean) / (len(v) + 10) for z, v in zones.items()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        enc = FE.fit_target_encoding(train).apply(test).collect()
+        zm = EV.ZoneMeanPredictor.fit(train).predict(test).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(enc) == len(zm) == test.count()
+    for r in enc:
+        assert r.PULocationID_target_enc == pytest.approx(want.get(r.PULocationID, mean))
+    for r in zm:
+        assert r.pred_fare == pytest.approx(want.get(r.PULocationID, mean))

@@ -16,7 +16,7 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, row_bound: int) -> DataFrame:
-    """Hint a broadcast when ``row_bound`` (a proven upper bound) is small enough."""
-    if row_bound <= MAX_BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
+    """Hint a broadcast of a side with a proven ``row_bound`` that doesn't depend on the data."""
+    if row_bound > MAX_BROADCAST_ROWS:
+        raise ValueError(f"{row_bound} rows are too many to hint a broadcast for")
+    return F.broadcast(df)

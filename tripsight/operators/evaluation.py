@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.literals import ts_ntz
 from ..functions.stats import MINUTE_UNIT, MONEY_UNIT, grid_mean
+from ..session import scratch_path
 from .broadcast import bounded_broadcast
 
 PU = "tpep_pickup_datetime"
 TARGET_KEYS = {"fare": "fare_amount", "duration": "duration_minutes"}
 UNITS = {"fare_amount": MONEY_UNIT, "duration_minutes": MINUTE_UNIT}
 EPS = 2.220446049250313e-16
-MAX_COLLECTED_ZONES = 100_000
 
 
 # --- predictors ------------------------------------------------------------------------
@@ -41,16 +41,17 @@ class ZoneMeanPredictor:
     """Smoothed pickup-zone mean of each target, fitted on train (m = 10).
 
     For fare this is exactly the ``PULocationID`` target encoding; unseen zones
-    get the train mean. The map has at most 265 rows per target.
+    get the train mean. The map is a written table of one row per zone, joined
+    without a hint: Spark decides on a broadcast by its written size.
     """
 
     maps: DataFrame           # PULocationID, pred_fare, pred_duration
     means: dict
     smoothing: float = C.ENCODING_SMOOTHING
-    row_bound: int = C.MAX_LOCATION_ID + 1
 
     @classmethod
     def fit(cls, train: DataFrame, smoothing: float = C.ENCODING_SMOOTHING) -> "ZoneMeanPredictor":
+        spark = train.sparkSession
         g = MeanPredictor.fit(train).means
         m = F.lit(float(smoothing))
         aggs = [F.count(F.lit(1)).alias("n")]
@@ -59,17 +60,12 @@ class ZoneMeanPredictor:
             "PULocationID",
             *[((F.col("n") * F.col(f"mean_{k}") + m * F.lit(g[k])) / (F.col("n") + m)).alias(f"pred_{k}")
               for k in TARGET_KEYS])
-        rows = fitted.limit(MAX_COLLECTED_ZONES + 1).collect()  # one job, at most bound+1 rows
-        if len(rows) <= MAX_COLLECTED_ZONES:
-            # fitted state: one row per pickup zone (bounded by the zone domain)
-            maps = train.sparkSession.createDataFrame(
-                rows, "PULocationID bigint, " + ", ".join(f"pred_{k} double" for k in TARGET_KEYS))
-            return cls(maps, g, smoothing, len(rows))
-        return cls(fitted, g, smoothing, MAX_COLLECTED_ZONES + 1)  # unbounded ids: AQE picks the join
+        path = scratch_path(spark, "zone-means")
+        fitted.write.parquet(path)
+        return cls(spark.read.schema(fitted.schema).parquet(path), g, smoothing)
 
     def predict(self, df: DataFrame) -> DataFrame:
         mp = self.maps.withColumnRenamed("PULocationID", "_zone")
-        mp = bounded_broadcast(mp, self.row_bound) if self.row_bound <= MAX_COLLECTED_ZONES else mp
         out = df.join(mp, df["PULocationID"] == mp["_zone"], "left").drop("_zone")
         for k in TARGET_KEYS:
             out = out.withColumn(f"pred_{k}", F.coalesce(F.col(f"pred_{k}"), F.lit(self.means[k]).cast("double")))
@@ -261,6 +257,16 @@ def fold_summary(assigned: DataFrame, n_splits: int = 3) -> DataFrame:
                            "test_first_pickup", "test_last_pickup")
 
 
+def fold_sizes(assigned: DataFrame) -> DataFrame:
+    """Per fold: train rows, test rows, and the first and last (pickup, id) key of its test window."""
+    key = F.struct(F.col(PU).alias("at"), F.col("trip_id").alias("id"))
+    g = assigned.where(F.col("test_fold").isNotNull()).groupBy(F.col("test_fold").alias("fold")).agg(
+        F.min("test_start").alias("train_rows"), F.count(F.lit(1)).alias("test_rows"),
+        F.min(key).alias("lo"), F.max(key).alias("hi"))
+    return g.select("fold", "train_rows", "test_rows", F.col("lo.at").alias("first_pickup"),
+                    F.col("lo.id").alias("first_id"), F.col("hi.at").alias("last_pickup"), F.col("hi.id").alias("last_id"))
+
+
 # --- leaderboard (SRT-06/07) ------------------------------------------------------------
 
 def leaderboard(metrics: DataFrame) -> DataFrame:

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.calendar import temporal_columns
 from ..functions.geo import haversine_miles, manhattan_miles
 from ..functions.stats import MONEY_UNIT, grid_mean
-from .broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
+from ..session import scratch_path
+from .broadcast import bounded_broadcast
 
 PU = "tpep_pickup_datetime"
 ZONE_ROWS = 265  # size of the zone dimension (fixed)
-# fitted maps up to this size are collected (and broadcast); larger ones stay distributed
-MAX_COLLECTED_CATEGORIES = 100_000
 
 
 def with_temporal(df: DataFrame, cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
@@ -71,16 +70,15 @@ def with_spatial(df: DataFrame, zones: DataFrame) -> DataFrame:
 
 @dataclass
 class TargetEncoding:
-    """Fitted smoothed-mean encoding of three columns against one target.
+    """Fitted smoothed-mean encoding of the encoded columns against one target.
 
-    ``maps`` has one row per (column, category): columns enc_column, category
-    (double), n, cat_mean, encoded. Its size is bounded by the category domains
-    (zone ids and rate codes after cleaning), so applying it is a broadcast join.
+    ``maps`` is a written table of one row per (column, category): enc_column, category (double),
+    n, cat_mean, encoded. Its joins carry no hint: Spark broadcasts a map whose written size is
+    small and shuffles a larger one, so the number of categories needs no bound.
     """
 
     maps: DataFrame
     global_mean: float | None
-    row_bound: int = 2 * (C.MAX_LOCATION_ID + 1) + 8
 
     def column_map(self, col: str) -> DataFrame:
         return (self.maps.where(F.col("enc_column") == col)
@@ -90,61 +88,32 @@ class TargetEncoding:
         fallback = F.lit(self.global_mean).cast("double")
         out = df
         for c in cols:
-            m = bounded_broadcast(self.column_map(c), self.row_bound)
+            m = self.column_map(c)
             out = out.join(m, out[c].cast("double") == m[f"_{c}_cat"], "left").drop(f"_{c}_cat")
             out = out.withColumn(f"{c}_target_enc", F.coalesce(F.col(f"{c}_target_enc"), fallback))
         return out
 
 
-def encoding_stats(train: DataFrame, target: str = "fare_amount", cols=C.ENCODED_COLUMNS,
-                   smoothing: float = C.ENCODING_SMOOTHING) -> DataFrame:
-    """ENC-01 as one grouping-sets pass: per-category count/mean and the global row.
-
-    Partial aggregation runs before the shuffle, so a hot category costs no
-    more than a cold one.
-    """
-    keyed = train.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(target).alias("_y"))
-    sets = [[c] for c in cols] + [[]]
-    g = keyed.groupingSets(sets, *cols).agg(F.grouping_id().alias("gid"), F.count("_y").alias("n"),
-                                           grid_mean(F.col("_y"), MONEY_UNIT).alias("cat_mean"))
-    full = (1 << len(cols)) - 1
-    # grouping_id bit i (from the left) is 1 when column i is aggregated away
-    parts = []
-    for i, c in enumerate(cols):
-        gid = full & ~(1 << (len(cols) - 1 - i))
-        parts.append(F.when(F.col("gid") == gid, F.lit(c)))
-    enc_col = F.coalesce(*parts)
-    cat = F.coalesce(*[F.when(F.col("gid") == (full & ~(1 << (len(cols) - 1 - i))), F.col(c))
-                       for i, c in enumerate(cols)])
-    return g.select(enc_col.alias("enc_column"), cat.alias("category"), "gid", "n", "cat_mean")
-
-
 def fit_target_encoding(train: DataFrame, target: str = "fare_amount", cols=C.ENCODED_COLUMNS,
                         smoothing: float = C.ENCODING_SMOOTHING) -> TargetEncoding:
-    """ENC-01: ``(n*mean + m*global)/(n+m)`` fitted on train only (always on fare)."""
-    stats = encoding_stats(train, target, cols, smoothing)
-    gm = F.max(F.when(F.col("enc_column").isNull(), F.col("cat_mean"))).over(Window.partitionBy())
-    m = F.lit(float(smoothing))
-    fitted = stats.select("enc_column", "category", "n", "cat_mean", gm.alias("_g")).select(
-        "*", ((F.col("n") * F.col("cat_mean") + m * F.col("_g")) / (F.col("n") + m)).alias("encoded")).cache()
-    # one job: fetch at most bound+1 rows; more means the map stays distributed
-    rows = fitted.limit(MAX_COLLECTED_CATEGORIES + 1).collect()
-    n_rows = len(rows)
-    if n_rows <= MAX_COLLECTED_CATEGORIES:
-        # fitted state, like an ML model's coefficients: bounded by the category domains
-        gmean = next((r["cat_mean"] for r in rows if r["enc_column"] is None), None)
-        keep = [(r["enc_column"], r["category"], r["n"], r["cat_mean"], r["encoded"]) for r in rows
-                if r["enc_column"] is not None and r["category"] is not None]
-        maps = train.sparkSession.createDataFrame(
-            keep, "enc_column string, category double, n bigint, cat_mean double, encoded double")
-        fitted.unpersist()
-        return TargetEncoding(maps=maps, global_mean=gmean, row_bound=n_rows)
-    # unbounded categories: the map stays distributed and joins are left to AQE
-    g = fitted.where(F.col("enc_column").isNull()).select("cat_mean").first()
-    maps = fitted.where(F.col("enc_column").isNotNull() & F.col("category").isNotNull()).select(
-        "enc_column", "category", "n", "cat_mean", "encoded")
-    gmean = g[0] if g else None
-    return TargetEncoding(maps=maps, global_mean=gmean, row_bound=MAX_BROADCAST_ROWS + 1)
+    """ENC-01: ``(n*mean + m*global)/(n+m)`` fitted on train only (always on fare).
+
+    The global mean is a plain aggregate; the categories of each column are one group-by over a
+    pruned scan with map-side combine, so a hot category costs no more than a cold one.
+    """
+    spark = train.sparkSession
+    y = F.col(target)
+    gmean = train.agg(grid_mean(y, MONEY_UNIT).alias("g")).first()["g"]
+    m, path = F.lit(float(smoothing)), scratch_path(spark, "target-encoding")
+    smoothed = (F.col("n") * F.col("cat_mean") + m * F.lit(gmean).cast("double")) / (F.col("n") + m)
+    fitted = None
+    for c in cols:
+        one = (train.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("category"))
+               .agg(F.count(y).alias("n"), grid_mean(y, MONEY_UNIT).alias("cat_mean"))
+               .select(F.lit(c).alias("enc_column"), "category", "n", "cat_mean", smoothed.alias("encoded")))
+        fitted = one if fitted is None else fitted.unionByName(one)
+    fitted.write.parquet(path)
+    return TargetEncoding(maps=spark.read.schema(fitted.schema).parquet(path), global_mean=gmean)
 
 
 def build_features(df: DataFrame, zones: DataFrame, enc: TargetEncoding,

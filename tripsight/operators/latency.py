@@ -43,8 +43,11 @@ def latency_report(log: DataFrame) -> DataFrame:
 
 
 def latency_components(log: DataFrame, components) -> DataFrame:
-    """Mean latency per component, one column per component (pivot with fixed values)."""
-    return log.groupBy("scenario").pivot("component", list(components)).agg(decimal_mean(F.col("latency_ms")))
+    """Mean latency per component, one column per listed component; requests of others are counted in ``unlisted``."""
+    known = F.col("component").isin(*components)
+    return log.groupBy("scenario").agg(
+        *[decimal_mean(F.when(F.col("component") == c, F.col("latency_ms"))).alias(c) for c in components],
+        F.count_if(~F.coalesce(known, F.lit(False))).alias("unlisted"))
 
 
 def before_after(report: DataFrame, before: str, after: str) -> DataFrame:

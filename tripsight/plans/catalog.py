@@ -542,6 +542,13 @@ def q_time_series_folds(spark, sf_dir):
     return EV.fold_summary(EV.fold_assignment(train, 3))
 
 
+@query("fold_sizes")
+def q_fold_sizes(spark, sf_dir, folds: int = 5):
+    """MOD-07: sizes and first and last keys of five forward-only folds."""
+    train, _ = train_test(spark, sf_dir)
+    return EV.fold_sizes(EV.fold_assignment(train, folds))
+
+
 def sql_model_metrics(spark, sf_dir) -> DataFrame:
     train, test = train_test(spark, sf_dir)
     m1 = EV.regression_metrics(EV.MeanPredictor.fit(train).predict(test), "mean")
@@ -867,6 +874,14 @@ def q_stream_score(spark, sf_dir):
     return spark.read.parquet(scored).drop("batch_id")
 
 
+@query("stream_score_zone_mean")
+def q_stream_score_zone_mean(spark, sf_dir):
+    """STR-01 with the zone-mean predictor, whose every streamed prediction SQL can check."""
+    train, _ = train_test(spark, sf_dir)
+    scored, _ = SJ.stream_score(spark, sf_dir, EV.ZoneMeanPredictor.fit(train))
+    return checked(spark.read.parquet(scored).drop("batch_id"))
+
+
 @query("stream_latency_window")
 def q_stream_latency_window(spark, sf_dir):
     """STR-02: daily windows per scenario with a watermark."""
@@ -1025,8 +1040,8 @@ def q_demand_forecast(spark, sf_dir):
     train, test = asm.transform(p.where(F.col("hour_ts") < b)), asm.transform(p.where(F.col("hour_ts") >= b))
     model = LinearRegression(labelCol="pickups", solver="normal").fit(train)
     e = F.col("pickups") - F.col("prediction")
-    return model.transform(test).agg(F.lit("linear_lags").alias("model"), F.count(F.lit(1)).alias("rows"),
-                                      F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
+    return checked(model.transform(test).agg(F.lit("linear_lags").alias("model"), F.count(F.lit(1)).alias("rows"),
+                                             F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse")))
 
 
 @query("stacked_eval")

@@ -601,6 +601,15 @@ select fold::integer as fold, min(pos) as train_rows, count(*) as test_rows, min
        max(tpep_pickup_datetime) as test_last_pickup
 from g where fold is not null group by fold""", "kept_split")
 
+sql("fold_sizes", """
+, r as (select tpep_pickup_datetime, trip_id, row_number() over (order by tpep_pickup_datetime, trip_id) - 1 as pos,
+               count(*) over () as n from kept_split where split = 'train'),
+e as (select f.fold, n - (5 - f.fold) * (n // 6) as train_rows, n // 6 as test_rows
+      from range(0, 5) f(fold) cross join (select max(n) as n from r) where n // 6 > 0)
+select e.fold::integer as fold, e.train_rows, e.test_rows, a.tpep_pickup_datetime as first_pickup, a.trip_id as first_id,
+       b.tpep_pickup_datetime as last_pickup, b.trip_id as last_id
+from e join r a on a.pos = e.train_rows join r b on b.pos = e.train_rows + e.test_rows - 1""", "kept_split")
+
 _BOARD = "(" + _metrics("mpred", "mean") + " union all " + _metrics("zpred", "zone_mean") + ")"
 sql("model_leaderboard", f"""
 select *, (rank() over (partition by target order by mae))::integer as rank from {_BOARD}""", "mpred", "zpred")
@@ -621,6 +630,8 @@ select q.request_id, round(greatest(coalesce(z.zp_fare, gm2.g_fare), 2.5e0), 6)
 from req_checked q cross join gm2 left join zmap z on z.zone = q.PULocationID where len(q.failed) = 0""",
     "req_checked", "gm2", "zmap")
 
+SQL["stream_score_zone_mean"] = SQL["score_trips"]
+
 # --- latency --------------------------------------------------------------------------
 
 register("rl", """rl as (
@@ -655,7 +666,8 @@ def _cmean(c):
 
 sql("latency_components", "select scenario, " + ", ".join(_cmean(c) for c in
                                                           ("view", "click", "purchase", "signup", "error"))
-    + " from rl group by scenario", "rl")
+    + ", count(*) filter (where coalesce(component not in ('view', 'click', 'purchase', 'signup', 'error'), true)) as unlisted"
+    " from rl group by scenario", "rl")
 
 sql("latency_before_after", """
 , p as (select
@@ -750,6 +762,31 @@ select count(*) as rows, round(avg(abs(pickups - lag_24)), 6) as mae,
        sum(pickups)::bigint as actual_pickups, sum(lag_24)::bigint as forecast_pickups
 from l where hour_ts >= timestamp '{SPLIT_AT}' and lag_24 is not null""", "panel")
 
+_LAGS = [f"x{i}" for i in range(1, 6)]
+
+
+def _residual_steps() -> str:
+    """Least squares by orthogonalisation: each step takes one feature, with slopes of the train rows, out of the rest."""
+    out = ["""z0 as (select tr, """ + ", ".join(f"{c} - avg({c}) filter (where tr) over () as {c}" for c in ["y", *_LAGS])
+           + " from lagged where x3 is not null)"]
+    for i, x in enumerate(_LAGS):
+        rest = ["y", *_LAGS[i + 1:]]
+        out.append(f"s{i} as (select sum({x} * {x}) as d, " + ", ".join(f"sum({c} * {x}) as n_{c}" for c in rest)
+                   + f" from z{i} where tr)")
+        out.append(f"z{i + 1} as (select tr, " + ", ".join(f"{c} - {x} * n_{c} / d as {c}" for c in rest)
+                   + f" from z{i} cross join s{i})")
+    return ",\n".join(out)
+
+
+sql("demand_forecast", f"""
+, lagged as (select hour_ts < timestamp '{SPLIT_AT}' as tr, pickups::double as y, lag(pickups, 1) over w as x1,
+                    lag(pickups, 24) over w as x2, lag(pickups, 168) over w as x3,
+                    hour(hour_ts) as x4, isodow(hour_ts) - 1 as x5
+             from panel window w as (partition by zone order by hour_ts)),
+{_residual_steps()}
+select 'linear_lags' as model, count(*) as rows, round(avg(abs(y)), 6) as mae, round(sqrt(avg(y * y)), 6) as rmse
+from z5 where not tr""", "panel")
+
 sql("weather_hour_join", f"""
 , w as (select hour_ts, -5.0e0 + cast(n % 24 as double) * 0.5e0 as temp_c,
                case when n % 7 = 0 then cast(n % 5 as double) * 1.5e0 else 0.0e0 end as precip_mm
