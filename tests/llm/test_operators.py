@@ -288,6 +288,36 @@ def test_contamination(spark):
     assert contamination(frame(spark, texts), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("verbatim", [1, 5])
+def test_contamination_of_a_frequent_edited_copy(spark, verbatim):
+    from tripsight.llm.decontamination import contamination
+    rng = np.random.default_rng(9)
+    word = lambda k: [f"w{rng.integers(0, 900)}" for _ in range(k)]
+    item = [f"t{i}" for i in range(37)]
+    edited = ["changed" if i % 5 == 4 else w for i, w in enumerate(item)]
+    texts = [(i, " ".join(word(20) + edited + word(20))) for i in range(30)]  # 7 of 34 seeds, score 53/74
+    texts += [(100 + i, " ".join(word(20) + item + word(20))) for i in range(verbatim)]
+    texts += [(200 + i, " ".join(word(20) + edited[:4] + word(20))) for i in range(30)]
+    # a verbatim seed at one place and the edited copy at another, in a longer text
+    texts += [(300, " ".join(item[7:13] + word(400) + edited + word(90)))]
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in contamination(frame(spark, texts), bench).collect()}
+    assert set(got) == {*range(30), *range(100, 100 + verbatim), 300}
+    assert {round(got[i] * 74) for i in (*range(30), 300)} == {53}
+
+
+def test_bound_on_matches():
+    from tripsight.llm.decontamination import align, most_matches
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        a, g = rng.integers(0, 6, rng.integers(1, 12)), rng.integers(-1, 6, (4, rng.integers(1, 20)))
+        a = np.unique(a, return_inverse=True)[1]
+        g = np.where(g > a.max(), -1, g)
+        score, hits, _ = align(a, g)
+        most = most_matches(a, g)
+        assert (hits <= most).all() and (score <= 2 * most).all()
+
+
 # --- html
 
 @pytest.mark.parametrize("html,text", [

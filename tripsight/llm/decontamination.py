@@ -1,16 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. Items and documents are lower-cased, stripped of ASCII punctuation and split into words. Every
    run of ``SEED`` words of an item is a possible seed (a shorter item is its own seed).
 2. One scan of the documents looks their runs up in a Bloom filter of fixed size over the items'
    seeds, so only runs that an item very likely holds leave the scan, as (hash, document, place).
    Each task first joins the hits of one document and seed into one row.
-3. A join with the seed table makes them exact. Seeds are rare if the number of documents that
-   hold them is at most ``RARE_DOCS`` or within twice the item's median; so every item keeps at
-   least half of its seeds, however often it was copied.
-4. Rare seeds give (document, item, diagonal) candidates. Word-level Smith-Waterman aligns the item
-   with the stretch of the document around each diagonal, and a document is contaminated if the
-   best local alignment scores at least ``MIN_SCORE`` of a perfect one.
+3. A join with the seed table makes them exact and gives (document, item, diagonal) candidates.
+   Every pair that shares a seed is a candidate, with all its diagonals: how many documents hold a
+   seed says nothing about the one pair at hand, so no seed is dropped for being frequent.
+4. A stretch of the document around each diagonal is passed over if it holds too few words of the
+   item for any alignment to reach the score (a bound, so nothing is lost). Word-level
+   Smith-Waterman aligns the item with the others, and a document is contaminated if the best local
+   alignment scores at least ``MIN_SCORE`` of a perfect one.
 
 Only the bounded filter is broadcast. The item side of every join is a shuffled (or measured)
 side; an item that a third of all documents hold has its pairs dealt by (item, document salt).
@@ -30,8 +31,6 @@ from tripsight.llm.common import as_long, batch, handover, ngram_hashes, rows_of
 
 #: Words of a seed.
 SEED = 4
-#: Documents that may hold a rare seed, whatever its item's median.
-RARE_DOCS = 20
 #: Part of a perfect alignment's score that makes a document contaminated, and its fewest matches
 #: (items with fewer words need all of theirs).
 MIN_SCORE = 0.5
@@ -163,6 +162,17 @@ def align(item: np.ndarray, stretches: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return best, hits, end
 
 
+def most_matches(item: np.ndarray, stretches: np.ndarray) -> np.ndarray:
+    """No alignment of the item with a stretch (rows; -1 pads) has more matches than this.
+
+    Words of the item that the stretch holds, each at most as often as it stands in either.
+    """
+    own = np.bincount(item)
+    row, col = np.nonzero(stretches >= 0)
+    held = np.bincount(row * len(own) + stretches[row, col], minlength=len(stretches) * len(own))
+    return np.minimum(held.reshape(len(stretches), len(own)), own).sum(axis=1)
+
+
 _FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("matches", pa.int64()),
                     ("item_words", pa.int64()), ("doc_start", pa.int64()), ("doc_end", pa.int64())])
 _FOUND_DDL = "doc_id long, item_id long, score double, matches long, item_words long, doc_start long, doc_end long"
@@ -189,10 +199,14 @@ def _align_rows(min_score: float, min_matches: int):
             grid = np.full((len(some), max(b - a for a, b in some)), -1)
             for r, (a, b) in enumerate(some):
                 grid[r, :b - a] = [ids.get(w, -1) for w in doc[a:b]]
-            score, hits, end = align(own, grid)
-            r = int(score.argmax())
-            best = max(best, (int(score[r]), int(hits[r]), some[r][0] + int(end[r])))
             at += len(some)
+            most = most_matches(own, grid)
+            able = np.flatnonzero((most >= min_score * k) & (most >= min(min_matches, k)))
+            if not len(able):
+                continue
+            score, hits, end = align(own, grid[able])
+            r = int(score.argmax())
+            best = max(best, (int(score[r]), int(hits[r]), some[able[r]][0] + int(end[r])))
         return best
 
     def run(batches):
@@ -214,7 +228,7 @@ def _align_rows(min_score: float, min_matches: int):
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE,
-                  min_matches: int = MIN_MATCHES, rare_docs: int = RARE_DOCS) -> DataFrame:
+                  min_matches: int = MIN_MATCHES) -> DataFrame:
     """One row per contaminated pair: doc_id, item_id, score, matches, item_words, doc_start, doc_end.
 
     ``doc_start`` and ``doc_end`` bound the aligned words of the document (the start assumes an
@@ -234,13 +248,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_
         packed[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     hits = src.mapInArrow(_scan_with(packed, sizes), "seed long, doc_id long, places array<int>")
     hits = handover(hits, "seed-hits")
-    held = hits.groupBy("seed").agg(F.count("*").alias("df"))
-    known = seeds.join(held, "seed")
-    middle = known.groupBy("item_id").agg(F.percentile_approx("df", 0.5).alias("mid"))
-    rare = handover(known.join(middle, "item_id")
-                    .where((F.col("df") <= rare_docs) | (F.col("df") <= 2 * F.col("mid")))
-                    .select("item_id", "seed", "at"), "rare-seeds")
-    places = (hits.join(rare, "seed").select("doc_id", "item_id", F.explode("places").alias("p"), "at")
+    places = (hits.join(seeds.select("item_id", "seed", "at"), "seed").select("doc_id", "item_id", F.explode("places").alias("p"), "at")
               .select("doc_id", "item_id", (F.col("p") - F.col("at")).alias("diagonal")))
     pairs = handover(places.groupBy("doc_id", "item_id").agg(F.collect_set("diagonal").alias("diagonals")),
                      "seed-pairs")
