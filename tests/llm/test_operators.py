@@ -335,6 +335,27 @@ def test_html(html, text):
     assert extract_text(html) == text
 
 
+PARAGRAPHS = [f"Paragraph {i} tells at some length how the harbour of the small town was rebuilt after the storm, who paid "
+              f"for the stones and why the work took {i + 3} years." for i in range(5)]
+STORY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<body><div class='banner'>Buy two, get one</div><article><h1>T</h1>%s</article><div class='legal'>All rights "
+     "reserved</div><div class='tags'>sea harbour storm</div></body>", ["T", *PARAGRAPHS]),
+    ("<body><div id='wrap'><div class='banner'>Buy two</div><h1>Title</h1><div class='c1'>%s</div><div class='c2'><p>"
+     + PARAGRAPHS[0] * 2 + "</p></div>Printed on paper<div class='x9'><p>Call us</p><p>Visit us</p></div></div></body>",
+     ["Title", *PARAGRAPHS, PARAGRAPHS[0] * 2]),
+    ("<body><app-root><div class='strip'>Hot deals</div><app-page><section>%s</section></app-page></app-root></body>",
+     PARAGRAPHS),
+    ("<body><article><div class='lead'><p>Short lead.</p></div><div>%s</div><p>End.</p></article></body>",
+     ["Short lead.", *PARAGRAPHS, "End."]),
+    ("<body><p>Hi</p></body><div>%s</div>", PARAGRAPHS)])
+def test_html_of_unlisted_classes(html, text):
+    from tripsight.llm.html_extract import extract_text
+    assert extract_text(html % STORY) == "\n\n".join(text)
+
+
 def test_html_of_all_pages(spark):
     import html as H
     from tripsight.llm.queries import op10_text_density

@@ -4,9 +4,10 @@ Each page is parsed into a DOM. Elements that never hold an article's text (scri
 adverts, notices, comments; by tag, role or class word) are cut out. Every remaining node gets a
 density: its characters per tag, weighted down by the share of characters and tags in links
 relative to the whole body. A node's density sum adds up its children's densities; the node of the
-largest sum holds the article. The least density on the path from it to the body is the threshold:
-the selection grows from the node towards the body over ancestors that are mostly text, and
-leaves out link-dense branches below that threshold.
+largest sum, or the article element around it, holds the article. The least density on the path from
+that node to the body is the threshold: beside the article, only branches of its ancestors that reach
+it are added, with a heading right before them or before the article. Within what is selected,
+link-dense branches below the threshold are left out.
 
 Text is decoded, white space inside a block becomes one space, blocks are trimmed and joined in
 page order by an empty line. Nothing is capped.
@@ -47,6 +48,7 @@ BLOCKS = {"address", "article", "blockquote", "body", "caption", "center", "dd",
 CLOSES_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "div", "dl", "fieldset",
             "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr",
             "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 #: An open element of the key ends at a start tag of the value, within the given container.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "td": ({"td", "th", "tr", "tbody", "tfoot"}, {"table"}), "th": ({"td", "th", "tr", "tbody", "tfoot"}, {"table"}),
@@ -164,21 +166,26 @@ class _Builder(HTMLParser):
             self.at.children.append(data)
 
 
+def _count(n: Node) -> None:
+    """Characters and tags of a node from its measured children."""
+    for c in n.children:
+        if isinstance(c, str):
+            n.chars += len("".join(c.split()))
+        elif not c.cut:
+            n.chars += c.chars
+            n.tags += c.tags + 1
+            n.links += c.links
+            n.link_tags += c.link_tags + (c.tag == "a")
+    if n.tag == "a":
+        n.links = n.chars
+
+
 def _measure(nodes: list[Node]) -> Node:
     """Fill in counts, densities and sums; children stand behind their parents in ``nodes``."""
     for n in reversed(nodes):
         if n.cut:
             continue
-        for c in n.children:
-            if isinstance(c, str):
-                n.chars += len("".join(c.split()))
-            elif not c.cut:
-                n.chars += c.chars
-                n.tags += c.tags + 1
-                n.links += c.links
-                n.link_tags += c.link_tags + (c.tag == "a")
-        if n.tag == "a":
-            n.links = n.chars
+        _count(n)
     body = next((n for n in nodes if n.tag == "body"), nodes[0])
     if not body.chars:
         body = nodes[0]
@@ -186,35 +193,80 @@ def _measure(nodes: list[Node]) -> Node:
     for n in nodes:
         if n.cut or not n.chars:
             continue
-        t, lc, lt = max(n.tags, 1), max(n.links, 1), max(n.link_tags, 1)
-        base = math.log(n.chars / max(n.chars - n.links, 1) * n.links + ratio * n.chars + math.e)
-        n.density = n.chars / t * math.log(n.chars / lc * t / lt) / max(math.log(base), LEAST_LOG)
+        n.density = _dense(n, ratio)
         if n.parent is not None:
             n.parent.total += max(n.density, 0.0)
     return body
 
 
-def _select(nodes: list[Node], body: Node) -> tuple[Node, float]:
-    """The subtree of the largest density sum, grown towards the body, and the path's threshold."""
+def _dense(n: Node, ratio: float) -> float:
+    """Composite text density of a node with text."""
+    t, lc, lt = max(n.tags, 1), max(n.links, 1), max(n.link_tags, 1)
+    base = math.log(n.chars / max(n.chars - n.links, 1) * n.links + ratio * n.chars + math.e)
+    return n.chars / t * math.log(n.chars / lc * t / lt) / max(math.log(base), LEAST_LOG)
+
+
+def _branches(n: Node, path: Node) -> list[list]:
+    """The children of a node: blocks and ``path`` alone, text and inline elements between them together."""
+    out: list[list] = []
+    run = False
+    for c in n.children:
+        block = c is path or not isinstance(c, str) and c.tag in BLOCKS
+        if block or not run:
+            out.append([])
+        out[-1].append(c)
+        run = not block
+    return out
+
+
+def _joined(branch: list) -> Node:
+    """A branch as one node: the block itself, or a run of text and inline elements counted together."""
+    if len(branch) == 1 and not isinstance(branch[0], str):
+        return branch[0]
+    n = Node("", None, False)
+    n.children = branch
+    _count(n)
+    return n
+
+
+def _select(nodes: list[Node], body: Node) -> tuple[Node, Node, dict[Node, list], float]:
+    """The body, the subtree of the largest density sum, what stays of its ancestors, and the threshold.
+
+    Each ancestor up to the body is mapped to the children that stay: the branch that leads to the
+    subtree, branches as dense as the threshold, and headings right before a branch that stays. The
+    root takes the body's place if the subtree stands outside it.
+    """
     best = body
     for n in nodes:
         if not n.cut and n.tag in BLOCKS and n.total > best.total:
             best = n
     threshold, n = best.density, best
-    while n is not None and n is not body:
+    while n is not body and n.parent is not None:
         n = n.parent
-        if n is not None:
-            threshold = min(threshold, n.density)
-    top = best
+        threshold = min(threshold, n.density)
     n = best
-    while n.parent is not None and n is not body:
+    while n is not body and n.tag != "article" and n.parent is not None:
         n = n.parent
-        if n.links < LINK_SHARE * n.chars:
-            top = n
-    return top, threshold
-
-
-def _blocks(top: Node, threshold: float) -> list[str]:
+    if n.tag == "article" and n is not body:
+        best = n
+    ratio = body.links / max(body.chars, 1)
+    kept: dict[Node, list] = {}
+    n = best
+    while n is not body and n.parent is not None:
+        up, stay, after = n.parent, [], False
+        for branch in reversed(_branches(up, n)):
+            x = _joined(branch)
+            if x.cut or not x.chars:
+                continue
+            after = x is n or _dense(x, ratio) >= threshold or after and x.tag in HEADINGS
+            if after:
+                stay.append(branch)
+        kept[up] = [c for branch in reversed(stay) for c in branch]
+        n = up
+    return n, best, kept, threshold
+
+
+def _blocks(top: Node, best: Node, kept: dict[Node, list], threshold: float) -> list[str]:
     out: list[str] = []
     run: list[str] = []
 
@@ -242,14 +294,14 @@ def _blocks(top: Node, threshold: float) -> list[str]:
             if block:
                 end()
             continue
-        if block and x is not top and x.links >= LINK_SHARE * x.chars and x.chars and x.density < threshold \
+        if block and x is not best and x not in kept and x.links >= LINK_SHARE * x.chars and x.chars and x.density < threshold \
                 and x.link_tags > 1:
             end()
             continue
         if block:
             end()
         stack.append((x, True))
-        stack.extend((c, False) for c in reversed(x.children))
+        stack.extend((c, False) for c in reversed(kept.get(x, x.children)))
     end()
     return out
 
