@@ -356,6 +356,27 @@ def test_html_of_unlisted_classes(html, text):
     assert extract_text(html % STORY) == "\n\n".join(text)
 
 
+@pytest.mark.parametrize("html", [
+    "<body><div class='content has-sidebar'>%s<div class='sidebar'><p>Side note</p></div></div></body>",
+    "<body><div id='page' class='no-sidebar'><div class='nav'><p>Go</p></div><article>%s</article></div></body>",
+    "<body><article class='post comments-open'>%s<section class='comments'><p>Nice.</p></section></article></body>",
+    "<body><main class='nav-fixed'>%s</main><div class='cookie'>We use them</div></body>",
+    "<body><form id='aspnet'><div class='menu'>Menu</div><div>%s</div><form><p>Mail</p></form></form></body>",
+    "<body><div role='dialog' class='ad-free'>%s</div></body>",
+    "<body><div class='no-sidebar'><article>%s</article></div><div>" + "<p>Short line here.</p>" * 60 + "</div></body>",
+    "<body><article>%s<article class='comment'><p>Well said.</p></article></article></body>"])
+def test_html_of_wrappers(html):
+    from tripsight.llm.html_extract import extract_text
+    assert extract_text(html % STORY).split("\n\n")[:5] == PARAGRAPHS
+    assert not re.search("Side note|Go$|Nice|We use|Menu|Mail|Well said", extract_text(html % STORY))
+
+
+def test_html_of_nothing_but_doubt():
+    from tripsight.llm.html_extract import extract_text
+    parts = [f"<div class='content sidebar-{i}'><p>{p}</p></div>" for i, p in enumerate(PARAGRAPHS[:2])]
+    assert extract_text(f"<body>{''.join(parts)}</body>") == "\n\n".join(PARAGRAPHS[:2])
+
+
 def test_html_of_all_pages(spark):
     import html as H
     from tripsight.llm.queries import op10_text_density

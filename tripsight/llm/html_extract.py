@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
-Each page is parsed into a DOM. Elements that never hold an article's text (scripts, menus, forms,
-adverts, notices, comments; by tag, role or class word) are cut out. Every remaining node gets a
-density: its characters per tag, weighted down by the share of characters and tags in links
+Each page is parsed into a DOM. Elements that never hold an article's text (scripts, menus, hidden
+parts; by tag or attribute) are cut out. Forms, adverts, notices, comments and the like (by tag, role or
+class word) are cut out too, but never a main element, an article outside others, or a wrapper: what
+holds the page's main element, its only such article or, where none stands beside it, most of the
+characters outside links. If nothing is left, these cuts are dropped. Every remaining node gets a density: its characters per tag, weighted down by the share of characters and tags in links
 relative to the whole body. A node's density sum adds up its children's densities; the node of the
 largest sum, or the article element around it, holds the article. The least density on the path from
 that node to the body is the threshold: beside the article, only branches of its ancestors that reach
@@ -37,10 +39,11 @@ LEAST_LOG = 0.1
 #: Bytes of text beyond which an Arrow batch leaves the task.
 OUT_BYTES = 8 << 20
 
-#: HTML element classes.
+#: HTML element classes (``DOUBT``: tags of ``CUT`` that may wrap a whole page).
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CUT = {"head", "title", "script", "style", "noscript", "template", "iframe", "svg", "canvas", "object", "audio",
        "video", "nav", "aside", "footer", "form", "button", "select", "textarea", "dialog", "menu"}
+DOUBT = {"form"}
 BLOCKS = {"address", "article", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt",
           "fieldset", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html",
           "legend", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th",
@@ -67,10 +70,10 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "cut", "doubt", "chars", "links", "tags", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: "Node | None", cut: bool):
-        self.tag, self.parent, self.cut = tag, parent, cut
+        self.tag, self.parent, self.cut, self.doubt = tag, parent, cut, False
         self.children: list = []  # nodes and strings
         self.chars = self.links = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
@@ -91,28 +94,44 @@ class _Builder(HTMLParser):
         return False
 
     def _cut(self, tag: str, attrs) -> bool:
-        if tag in CUT:
+        """Whether an element never shows article text, whatever it holds."""
+        if tag in CUT - DOUBT:
             return True
         if tag in ("html", "body"):
             return False
         article = tag in ("article", "main") or self._inside(("article", "main"))
         if tag == "header" and not article:
             return True
-        words: set[str] = set()
         for name, value in attrs:
             value = value or ""
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 return True
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
+        return False
+
+    def _doubt(self, tag: str, attrs) -> bool:
+        """Whether a tag, role or class word speaks against an element; ``_settle`` decides."""
+        if tag in DOUBT:
+            return True
+        if tag in ("html", "body", "main"):
+            return False
+        role, words = False, set()
+        for name, value in attrs:
+            value = value or ""
             if name == "role" and value.lower() in CUT_ROLES:
-                return True
+                role = True
             if name in ("class", "id"):
                 words.update(w.lower() for w in _WORD.findall(value))
+        if not role and not words & CUT_WORDS and "header" not in words \
+                or tag == "article" and not self._inside(("article",)):
+            return False
+        if role:
+            return True
         if words & CUT_WORDS:
             strong = words & {"comment", "comments", "ad", "ads", "sidebar", "nav", "menu"}
             return bool(strong) or not words & KEEP_WORDS
-        return bool("header" in words and not article and not words & KEEP_WORDS)
+        return not words & KEEP_WORDS and tag != "article" and not self._inside(("article", "main"))
 
     def _close(self, tags, stop) -> None:
         """End the nearest open element among ``tags``, looking no further up than ``stop``."""
@@ -141,6 +160,7 @@ class _Builder(HTMLParser):
             if tag in starts:
                 self._close({open_tag}, stop)
         node = Node(tag, self.at, self.at.cut or self._cut(tag, attrs))
+        node.doubt = not node.cut and self._doubt(tag, attrs)
         self.at.children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -166,6 +186,45 @@ class _Builder(HTMLParser):
             self.at.children.append(data)
 
 
+def _settle(nodes: list[Node]) -> None:
+    """Cut the elements in doubt, except those that wrap the page; density judges what is in these.
+
+    A wrapper holds the page's main element, or the only article that no other article holds, or most
+    of the page's characters outside links; the last doesn't count beside a main element or article.
+    """
+    plain: dict[Node, int] = {}
+    for n in reversed(nodes):
+        if not n.cut and n.tag != "a":
+            plain[n] = sum(len("".join(c.split())) if isinstance(c, str) else plain.get(c, 0) for c in n.children)
+    mains = [n for n in nodes if n.tag == "main" and plain.get(n)]
+    outer = [n for n in nodes if n.tag == "article" and plain.get(n) and "article" not in _above(n)]
+    wrappers = _holders(mains + (outer if len(outer) == 1 else []))
+    marked = _holders(mains + outer)
+    for n in nodes:
+        if n.doubt and n not in wrappers:
+            beside = marked and n not in marked and not _above(n) & {"article", "main"}
+            n.cut = bool(beside) or 2 * plain.get(n, 0) <= plain[nodes[0]]
+        n.cut = n.cut or n.parent is not None and n.parent.cut
+
+
+def _holders(nodes: list[Node]) -> set[Node]:
+    """The nodes and all their ancestors."""
+    out: set[Node] = set()
+    for n in nodes:
+        while n is not None and n not in out:
+            out.add(n)
+            n = n.parent
+    return out
+
+
+def _above(n: Node) -> set[str]:
+    """Tags of a node's ancestors."""
+    out = set()
+    while (n := n.parent) is not None:
+        out.add(n.tag)
+    return out
+
+
 def _count(n: Node) -> None:
     """Characters and tags of a node from its measured children."""
     for c in n.children:
@@ -310,13 +369,16 @@ def extract_text(html: str | None) -> str:
     """Main text of one page."""
     if not html:
         return ""
-    b = _Builder()
-    b.feed(html)
-    b.close()
-    body = _measure(b.nodes)
-    if body.cut or not body.chars:
-        return ""
-    return "\n\n".join(_blocks(*_select(b.nodes, body)))
+    for doubt in (True, False):  # if nothing is left, once more without the cuts in doubt
+        b = _Builder()
+        b.feed(html)
+        b.close()
+        if doubt:
+            _settle(b.nodes)
+        body = _measure(b.nodes)
+        if body.chars and not body.cut:
+            return "\n\n".join(_blocks(*_select(b.nodes, body)))
+    return ""
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
