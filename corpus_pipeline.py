@@ -5,7 +5,10 @@ columns of ``documents``; the last returns packed pieces. ``run`` writes every s
 the shared folder and reads it again, so a lost executor costs one stage's task at most.
 
 Null and empty texts go through like others (the quality score decides on them); an empty table
-gives an empty result with the last stage's columns.
+gives an empty result with the last stage's columns. Stages judge rows, not identifiers: each row has
+a key of its own within a stage, so a null ``doc_id`` is no reason to drop or to pass a row, and rows
+that share a ``doc_id`` are judged one by one, each on its own text. Of a group of copies or near copies
+(rows that repeat a document included) one row stays: the smallest ``doc_id``, null ids last.
 """
 
 from __future__ import annotations
@@ -33,19 +36,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_quality_score") >= QUALITY_THRESHOLD).select(*COLUMNS)
 
 
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a key of their own, written so that every later reading sees the same keys."""
+    return handover(docs.withColumn("_row", F.monotonically_increasing_id()), f"pipeline-{name}-rows")
+
+
+def _one_of_each(keyed: DataFrame, groups: DataFrame) -> DataFrame:
+    """The first row of each group of ``groups(_row, group)``: smallest doc_id, null last, then row key."""
+    ids = groups.join(keyed.select("_row", "doc_id"), "_row")
+    first = ids.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("m"))
+    return keyed.join(first.select(F.col("m._row").alias("_row")), "_row", "left_semi").select(*COLUMNS)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = exact_dedup(docs.select("doc_id", "text")).where("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    keyed = _keyed(docs, "exact")
+    found = exact_dedup(keyed.select("_row", "text"), id_col="_row")
+    return _one_of_each(keyed, found.select(F.col("doc_id").alias("_row"), F.col("text_sha256").alias("group")))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_dedup(docs.select("doc_id", "text")).where("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    keyed = _keyed(docs, "near")
+    found = near_dedup(keyed.select("_row", "text"), id_col="_row")
+    return _one_of_each(keyed, found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("group")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = contamination(docs.select("doc_id", "text"), read_table(spark, sf_dir, "benchmark")).select("doc_id")
-    return docs.join(found.distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    keyed = _keyed(docs, "decontamination")
+    found = contamination(keyed.select(F.col("_row").alias("doc_id"), "text"),
+                          read_table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_row"))
+    return keyed.join(found.distinct(), "_row", "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -443,3 +443,32 @@ def test_pipeline(spark):
     assert len(set(texts)) == len(texts)
     got = P.run(spark, SF).select("doc_id", F.lit(1)).distinct().collect()
     assert {r.doc_id for r in got} == before
+
+
+def test_pipeline_of_null_and_repeated_ids(spark, tmp_path):
+    import shutil
+    import corpus_pipeline as P
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*P.COLUMNS)
+    item = max((r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()), key=lambda t: len(t.split()))
+    rows = docs.where("n_chars between 800 and 3000").dropDuplicates(["text"]).orderBy("doc_id").limit(60).collect()
+    texts = [(10 ** 9 + k, " ".join(r.text.split()[::-1] + [item] * (k % 2))) for k, r in enumerate(rows)]  # new texts
+    put = lambda some: docs.unionByName(
+        spark.createDataFrame([(i, t, "en", "s0", len(t)) for i, t in some], docs.schema))
+    good = {r.doc_id: r.text for r in P.quality(spark, put(texts), SF).where("doc_id >= 1000000000").collect()}
+    a, b, c, d = [t for i, t in sorted(good.items()) if i % 2 == 0][:4]
+    leak, leak2 = [t for i, t in sorted(good.items()) if i % 2][:2]
+    odd = [(None, a), (None, a), (10 ** 9 + 2, a), (None, b), (None, b + " afterword"), (None, b), (None, leak),
+           (10 ** 9 + 1, c), (10 ** 9 + 1, c), (10 ** 9 + 1, d), (10 ** 9 + 1, leak2), (10 ** 9 + 1, c.replace(" ", "  "))]
+    for name in ("labels", "benchmark"):
+        shutil.copy(f"{SF}/{name}.parquet", tmp_path)
+    put(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    new = F.col("doc_id").isNull() | (F.col("doc_id") >= 10 ** 9)
+    kept = P.read_table(spark, str(tmp_path), "documents")
+    for _, stage in P.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path)).cache()
+    got = sorted((str(r.doc_id), " ".join(r.text.split()).replace(" afterword", "")) for r in kept.where(new).collect())
+    assert got == sorted([("1000000002", a), ("None", b), ("1000000001", c), ("1000000001", d)])
+    first = P.run(spark, str(tmp_path)).where("start = 0")
+    assert first.count() == kept.count()
+    count = {r.doc_id: r["count"] for r in first.where(new).groupBy("doc_id").count().collect()}
+    assert count == {None: 1, 10 ** 9 + 1: 2, 10 ** 9 + 2: 1}
