@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripsight.llm.alignment import align
 from tripsight.llm.common import held_out_remainder, read_table
+from tripsight.llm.curriculum import curriculum
 from tripsight.llm.decontamination import contamination
 from tripsight.llm.exact_dedup import exact_dedup
+from tripsight.llm.hard_negatives import mine
 from tripsight.llm.html_extract import extract_pages
 from tripsight.llm.licenses import scan_licenses, train_licenses
 from tripsight.llm.minhash import near_dedup
@@ -74,6 +77,26 @@ def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = curriculum(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken",
+                      F.get("positions", F.lit(0)).alias("first_position"))
+
+
+def op12_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model")).drop("groups")
+
+
+def op13_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"),
+                                                          F.col("embedding").alias("vec"))
+    return mine(rows, F.col("id") % 100 == 0).drop("positive_rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_minhash_bayes, op3_token_counts, op4_phrase_automata, op5_toxicity_lexicon, op6_quality_fm,
-    op7_patricia_dedup, op8_smith_waterman, op9_mixture_packing, op10_text_density)}
+    op7_patricia_dedup, op8_smith_waterman, op9_mixture_packing, op10_text_density, op11_curriculum,
+    op12_galloping_alignment, op13_tree_negatives)}
