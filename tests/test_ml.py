@@ -29,7 +29,7 @@ def test_tree_beats_mean_on_mae(spark, run):
 
 def test_importances_sum_to_one(spark):
     train, _ = train_test(spark, SF)
-    r = ML.fit_run(train, A.zones(spark), "winner", params={"maxIter": 3})
+    r = ML.fit_run(train, A.zones(spark), "winner", params={"rounds": 3})
     imp = ML.importances(r).groupBy("target").agg(F.sum("importance").alias("s")).collect()
     assert {x.target for x in imp} == {"fare", "duration"}
     for x in imp:
@@ -76,17 +76,36 @@ def test_folds_are_forward_only(spark):
 
 def test_search_scores_every_config_and_refits_the_best(spark):
     train, test = train_test(spark, SF)
-    space = dict(ML.SEARCH_SPACE["gbt_l1"], maxIter=[2])
-    rows, best = ML.random_search(train, A.zones(spark), "gbt_l1", space, n_configs=2, n_folds=2,
-                                  refit_params={"maxIter": 3})
-    assert len(rows) == 4 and {(r[1], r[5]) for r in rows} == {(t, k) for t in ("fare", "duration") for k in (1, 2)}
-    got = ML.evaluate_run(best, test).collect()
-    assert {r.rounds for r in got} == {3} and all(r.mae > 0 for r in got)
+    for family in ML.SEARCH_SPACE:
+        space = dict(ML.SEARCH_SPACE[family], rounds=[3])
+        got = ML.random_search(train, A.zones(spark), family, space, n_configs=2, n_folds=2)
+        assert len(got.rows) == 4 and {(r[1], r[5]) for r in got.rows} == {(t, k) for t in ("fare", "duration")
+                                                                            for k in (1, 2)}
+        for k, cv in got.cv_mae.items():
+            assert cv == min(r[4] for r in got.rows if r[1] == k) > 0
+        scored = ML.evaluate_run(got.run, test).collect()
+        assert {r.rounds for r in scored} == {3} and all(r.mae > 0 for r in scored)
+
+
+def test_search_error_is_that_of_a_single_fit(spark):
+    """A fold's error inside the shared search equals fitting that fold alone and scoring its test rows."""
+    from tripsight.operators.evaluation import FOLD_COLS, before_fold, fold_assignment
+    train, _ = train_test(spark, SF)
+    space = {"rounds": [4], "leaves": [15], "columns_share": [0.8]}
+    got = ML.random_search(train, A.zones(spark), "gbt_l1", space, n_configs=1, n_folds=2)
+    assigned = fold_assignment(train, 2)
+    mae = {"fare": 0.0, "duration": 0.0}
+    for f in range(2):
+        run = ML.fit_run(before_fold(assigned, f), A.zones(spark), "gbt_l1",
+                         params={"rounds": 4, "leaves": 15, "columns_share": 0.8})
+        for r in ML.evaluate_run(run, assigned.where(F.col("test_fold") == f).drop(*FOLD_COLS)).collect():
+            mae[r.target] += r.mae / 2
+    assert got.cv_mae == pytest.approx(mae, abs=1e-4)
 
 
 def test_presets_have_the_documented_rounds():
-    assert {f: ML.make_model(f, "fare_amount").getMaxIter() for f in ("gbt_l1", "gbt_depthwise", "winner")} == {
-        "gbt_l1": 300, "gbt_depthwise": 300, "winner": 300}
+    assert {f: c.rounds for f, c in ML.BOOSTED.items()} == {"gbt_l1": 300, "gbt_depthwise": 300, "winner": 300}
+    assert ML.BOOSTED["winner"].leaves == 63 and ML.BOOSTED["winner"].rate == 0.05
 
 
 def test_sample_configs_distinct_and_seeded():

@@ -5,17 +5,16 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import (DecisionTreeRegressionModel, GBTRegressionModel, LinearRegressionModel,
-                                   RandomForestRegressionModel)
+from pyspark.ml.regression import DecisionTreeRegressionModel, LinearRegressionModel, RandomForestRegressionModel
 from pyspark.sql import SparkSession
 
 from .. import config as C
-from .ml import FittedRun
+from .boosting import BoostedTrees
+from .ml import BOOSTED, FittedRun
 
 REQUIRED_KEYS = ("feature_order", "model_version", "targets", "family", "models")
-MODEL_CLASSES = {"decision_tree": DecisionTreeRegressionModel, "gbt_l1": GBTRegressionModel,
-                 "gbt_depthwise": GBTRegressionModel, "winner": GBTRegressionModel,
-                 "linear": LinearRegressionModel, "forest": RandomForestRegressionModel}
+MODEL_CLASSES = {"decision_tree": DecisionTreeRegressionModel, "linear": LinearRegressionModel,
+                 "forest": RandomForestRegressionModel, **dict.fromkeys(BOOSTED, BoostedTrees)}
 
 
 def export_bundle(run: FittedRun, path: str, version: str = C.DEFAULT.model_version) -> str:

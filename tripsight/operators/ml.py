@@ -1,4 +1,4 @@
-"""Spark ML: feature pipeline, model families, importances, search, reports.
+"""Feature pipeline, model families, importances, search, reports.
 
 The feature stages are the same column expressions as the checked feature
 frame, wrapped as a persistable ``Transformer``; zone coordinates travel inside
@@ -13,20 +13,21 @@ import json
 import random
 import time
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import Imputer, TargetEncoder, VectorAssembler
 from pyspark.ml.param.shared import Param, Params, TypeConverters
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from . import features as FE
+from .boosting import BoostConfig, BoostedTrees, Fit, fit_boosted
 from ..session import scratch_path, shared_dir
 from .evaluation import TARGET_KEYS, regression_metrics
 
@@ -100,22 +101,20 @@ def feature_pipeline(zones: DataFrame, cfg: C.RunConfig = C.DEFAULT) -> Pipeline
 
 # --- model families --------------------------------------------------------------------------
 
-# presets as configured by the reference, boosting rounds included
-ROUNDS = 300
 FAMILIES = {
     "decision_tree": (DecisionTreeRegressor, dict(maxDepth=12, minInstancesPerNode=50, seed=C.SEED)),
-    "gbt_l1": (GBTRegressor, dict(lossType="absolute", maxDepth=5, stepSize=0.1, seed=C.SEED, checkpointInterval=10,
-                                  maxIter=ROUNDS)),
-    "gbt_depthwise": (GBTRegressor, dict(lossType="absolute", maxDepth=6, stepSize=0.1, subsamplingRate=0.8,
-                                         seed=C.SEED, checkpointInterval=10, maxIter=ROUNDS)),
-    "winner": (GBTRegressor, dict(lossType="squared", maxDepth=6, stepSize=0.05, seed=C.SEED, checkpointInterval=10,
-                                  maxIter=ROUNDS)),
     "linear": (LinearRegression, dict(solver="normal")),
     "forest": (RandomForestRegressor, dict(numTrees=20, maxDepth=10, seed=C.SEED)),
 }
-BOOSTED = ("gbt_l1", "gbt_depthwise", "winner")
-#: Training rows to a partition of the cached features. A boosting round is some ten small jobs, so
-#: partitions of a few thousand rows cost more to schedule than to read.
+#: Boosted families: leaf-wise and depth-wise with absolute loss, and the selected preset.
+BOOSTED = {
+    "gbt_l1": BoostConfig("absolute", rounds=300, rate=0.1, leaves=31, min_rows=20),
+    "gbt_depthwise": BoostConfig("absolute", rounds=300, rate=0.1, leaves=0, depth=6, min_rows=0, min_weight=1.0,
+                                 l2=1.0, rows_share=0.8),
+    "winner": BoostConfig("squared", rounds=300, rate=0.05, leaves=63, min_rows=20),
+}
+#: Training rows to a partition of the cached features. A tree level is a small job, so partitions
+#: of a few thousand rows cost more to schedule than to read.
 ROWS_PER_PARTITION = 25_000
 
 
@@ -136,7 +135,7 @@ class FittedRun:
     def rounds(self, key: str) -> int:
         """Trees of a boosted model (1 for models without boosting)."""
         m = self.models[key]
-        return m.getMaxIter() if isinstance(m, GBTRegressionModel) else 1
+        return m.rounds if isinstance(m, BoostedTrees) else 1
 
     def predict(self, df: DataFrame) -> DataFrame:
         out = self.features.transform(df)
@@ -148,17 +147,37 @@ class FittedRun:
         return out
 
 
+def boost_rows(features: DataFrame, log_target: bool = False, data: int = 0, train=None) -> DataFrame:
+    """Feature rows in the form the booster takes; ``train`` (default: all) marks the rows it learns from."""
+    ys = [F.log1p(F.col(t)) if log_target else F.col(t).cast("double") for t in TARGET_KEYS.values()]
+    return features.select(F.lit(data).alias("data"), F.xxhash64("trip_id").alias("key"),
+                           vector_to_array("features").alias("x"), F.array(*ys).alias("y"),
+                           (F.lit(True) if train is None else train).alias("train"))
+
+
 def fit_run(train: DataFrame, zones: DataFrame, family: str, log_target: bool = False, params: dict | None = None,
             cfg: C.RunConfig = C.DEFAULT) -> FittedRun:
     """Fit the feature state once, then one model per target on the cached feature frame.
 
-    ``params`` overrides the preset, boosting rounds (``maxIter``) included; ``{target: params}`` sets
-    them for each target.
+    ``params`` overrides the preset, boosting rounds included; ``{target: params}`` sets them for each target.
     """
     params = params or {}
     spark = train.sparkSession
-    shared_dir(spark)  # GBT checkpoints its lineage there
+    shared_dir(spark)
+
+    def own(k: str) -> dict:
+        return params.get(k, {}) if set(params) & set(TARGET_KEYS) else params
+
     fm = feature_pipeline(zones, cfg).fit(train)
+    if family in BOOSTED:
+        t0 = time.time()
+        fits = [Fit(replace(BOOSTED[family], **own(k)), 0, i) for i, k in enumerate(TARGET_KEYS)]
+        got = fit_boosted(boost_rows(fm.transform(train), log_target), fits, len(C.FEATURE_ORDER), len(TARGET_KEYS))
+        for m, t in zip(got, TARGET_KEYS.values()):
+            m.label = t
+        # the targets share their passes, so each has the time of both
+        return FittedRun(family, fm, dict(zip(TARGET_KEYS, got)), dict.fromkeys(TARGET_KEYS, time.time() - t0),
+                         log_target)
     cols = ["features", *TARGET_KEYS.values()]
     feats = fm.transform(train).select(*cols)
     if log_target:
@@ -170,7 +189,7 @@ def fit_run(train: DataFrame, zones: DataFrame, family: str, log_target: bool =
     def fit_one(kt):
         k, t = kt
         t0 = time.time()
-        m = make_model(family, t, **params.get(k, {} if set(params) & set(TARGET_KEYS) else params)).fit(feats)
+        m = make_model(family, t, **own(k)).fit(feats)
         return k, m, time.time() - t0
 
     # the two targets are independent fits over the same cached features: submit
@@ -197,9 +216,10 @@ def importances(run: FittedRun) -> DataFrame:
     """MOD-09: normalised importances per target, ranked, flagged at >= 0.65."""
     rows = []
     for k, m in run.models.items():
-        imp = m.featureImportances.toArray() if hasattr(m, "featureImportances") else None
-        if imp is None:
+        if not hasattr(m, "featureImportances"):
             continue
+        imp = m.featureImportances
+        imp = imp.toArray() if hasattr(imp, "toArray") else imp
         tot = float(imp.sum()) or 1.0
         ranked = sorted(((float(v) / tot, C.FEATURE_ORDER[i]) for i, v in enumerate(imp)), reverse=True)
         for r, (v, name) in enumerate(ranked, start=1):
@@ -218,12 +238,14 @@ def split_counts(run: FittedRun) -> DataFrame:
     for k, m in run.models.items():
         path = scratch_path(spark, f"model-{run.family}-{k}")
         m.write().overwrite().save(path)
-        nodes = spark.read.parquet(f"{path}/data")
-        if "nodeData" in nodes.columns:
-            nodes = nodes.select("nodeData.*")
-        inner = nodes.where(F.col("leftChild") >= 0)
-        g = inner.groupBy(F.col("split.featureIndex").alias("fi")).agg(F.count(F.lit(1)).alias("splits"),
-                                                                      F.sum("gain").alias("gain"))
+        if isinstance(m, BoostedTrees):
+            inner = spark.read.parquet(f"{path}/nodes").select(F.col("feature").alias("fi"), "gain").where("fi >= 0")
+        else:
+            nodes = spark.read.parquet(f"{path}/data")
+            if "nodeData" in nodes.columns:
+                nodes = nodes.select("nodeData.*")
+            inner = nodes.where(F.col("leftChild") >= 0).select(F.col("split.featureIndex").alias("fi"), "gain")
+        g = inner.groupBy("fi").agg(F.count(F.lit(1)).alias("splits"), F.sum("gain").alias("gain"))
         parts.append(g.select(F.lit(k).alias("target"), F.element_at(names, F.col("fi")).alias("feature"),
                               "splits", "gain"))
     out = parts[0]
@@ -235,18 +257,27 @@ def split_counts(run: FittedRun) -> DataFrame:
 
 # --- random search over forward folds (MOD-08) ----------------------------------------------
 
-# the reference's grid; its leaf counts 31, 63, 127 are depths 5, 6, 7 here, column sampling is
-# sampling of features at each node
+# fixed values: the search spaces of the two families (depth 0: no bound)
 SEARCH_SPACE = {
-    family: {
-        "maxIter": [200, 400, 700],
-        "stepSize": [0.03, 0.05, 0.1],
-        "maxDepth": [5, 6, 7],
-        "minInstancesPerNode": [20, 50, 100],
-        "subsamplingRate": [0.8, 1.0],
-        "featureSubsetStrategy": ["0.8", "all"],
-    }
-    for family in ("gbt_l1", "gbt_depthwise")
+    "gbt_l1": {
+        "rounds": [200, 400, 700],
+        "rate": [0.03, 0.05, 0.1],
+        "leaves": [31, 63, 127],
+        "depth": [0, 8, 12],
+        "min_rows": [20, 50, 100],
+        "rows_share": [0.8, 1.0],
+        "columns_share": [0.8, 1.0],
+        "l2": [0.0, 1.0, 5.0],
+    },
+    "gbt_depthwise": {
+        "rounds": [200, 400, 700],
+        "rate": [0.03, 0.05, 0.1],
+        "depth": [4, 6, 8],
+        "min_weight": [1, 5, 10],
+        "rows_share": [0.8, 1.0],
+        "columns_share": [0.8, 1.0],
+        "l2": [1.0, 5.0, 10.0],
+    },
 }
 SEARCH_CONFIGS = 12
 SEARCH_FOLDS = 3
@@ -261,39 +292,49 @@ def sample_configs(space: dict, n: int, seed: int = C.SEED) -> list[dict]:
     return random.Random(seed).sample(grid, min(n, len(grid)))
 
 
+@dataclass
+class SearchResult:
+    """Of one family: each config's mean fold error by target, the best of each target and its refit on all rows."""
+
+    family: str
+    rows: list                         # family, target, config, params (JSON), mean fold MAE, rank, chosen
+    best: dict                         # target key -> params
+    cv_mae: dict                       # target key -> mean fold MAE of the best
+    run: FittedRun
+    search_seconds: float
+
+
 def random_search(train: DataFrame, zones: DataFrame, family: str, space: dict | None = None,
-                  n_configs: int = SEARCH_CONFIGS, n_folds: int = SEARCH_FOLDS, workers: int = 4,
-                  refit_params: dict | None = None):
+                  n_configs: int = SEARCH_CONFIGS, n_folds: int = SEARCH_FOLDS, cfg: C.RunConfig = C.DEFAULT
+                  ) -> SearchResult:
     """Score every (config, fold) by fold MAE, then refit the best config of each target on all rows.
 
-    ``refit_params`` overrides the best config in the refit. The encoder is refitted inside each fold. Fits run from a small driver thread pool; each fit is
-    itself a distributed job. Returns (rows for the report, the refitted run).
+    The feature state is refitted inside each fold. All fits of all folds, configs and targets share the
+    booster's passes over the binned rows; a fold's test rows travel with its training rows and are scored
+    by the finished model where they are.
     """
     from .evaluation import FOLD_COLS, before_fold, fold_assignment
+    t0 = time.time()
     assigned = fold_assignment(train, n_folds).cache()
     configs = sample_configs(space or SEARCH_SPACE[family], n_configs)
-
-    def one(ci_fold):
-        ci, f = ci_fold
+    rows = None
+    for f in range(n_folds):
         # forward only: fold f trains on every row before its test window
-        fold_test = assigned.where(F.col("test_fold") == f).drop(*FOLD_COLS)
-        run = fit_run(before_fold(assigned, f), zones, family, params=configs[ci])
-        m = evaluate_run(run, fold_test).collect()
-        return ci, f, {r["target"]: r["mae"] for r in m}
-
-    jobs = [(ci, f) for ci in range(len(configs)) for f in range(n_folds)]
-    with ThreadPoolExecutor(max_workers=workers) as ex:
-        results = list(ex.map(one, jobs))
+        before, test = before_fold(assigned, f), assigned.where(F.col("test_fold") == f).drop(*FOLD_COLS)
+        fm = feature_pipeline(zones, cfg).fit(before)
+        both = boost_rows(fm.transform(before), data=f).unionByName(
+            boost_rows(fm.transform(test), data=f, train=F.lit(False)))
+        rows = both if rows is None else rows.unionByName(both)
+    jobs = [(ci, f, k) for ci in range(len(configs)) for f in range(n_folds) for k in range(len(TARGET_KEYS))]
+    got = fit_boosted(rows, [Fit(replace(BOOSTED[family], **configs[ci]), f, k) for ci, f, k in jobs],
+                      len(C.FEATURE_ORDER), len(TARGET_KEYS))
     assigned.unpersist()
-    rows = []
-    best = {}
-    for k in TARGET_KEYS:
-        scores = []
-        for ci, cfg in enumerate(configs):
-            maes = [r[2][k] for r in results if r[0] == ci]
-            scores.append((sum(maes) / len(maes), ci))
-        scores.sort()
+    mae = {j: m.held_error / max(m.held_rows, 1) for j, m in zip(jobs, got)}
+    report, best, cv = [], {}, {}
+    for i, k in enumerate(TARGET_KEYS):
+        scores = sorted((sum(mae[ci, f, i] for f in range(n_folds)) / n_folds, ci) for ci in range(len(configs)))
         for rank, (score, ci) in enumerate(scores, start=1):
-            rows.append((family, k, ci, json.dumps(configs[ci], sort_keys=True), score, rank, rank == 1))
-        best[k] = configs[scores[0][1]]
-    return rows, fit_run(train, zones, family, params={k: dict(p, **(refit_params or {})) for k, p in best.items()})
+            report.append((family, k, ci, json.dumps(configs[ci], sort_keys=True), score, rank, rank == 1))
+        best[k], cv[k] = configs[scores[0][1]], scores[0][0]
+    seconds = time.time() - t0
+    return SearchResult(family, report, best, cv, fit_run(train, zones, family, params=best, cfg=cfg), seconds)

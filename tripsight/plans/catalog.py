@@ -7,6 +7,7 @@ compared value by value.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -735,18 +736,21 @@ from ..operators import ml as ML  # noqa: E402
 
 
 _FITTED: dict = {}
-#: Boosting rounds of the registered queries. The presets of ``ML.FAMILIES`` have 300, which did not
-#: finish in seven minutes on 5,444 rows here (README, differences): a stated cut, not a full model.
-QUERY_ROUNDS = 20
-
-
 def fitted(spark, sf_dir, family, log_target=False):
     """SRC-13 in a session: one fit for each preset and version of the input, shared by the queries."""
     key = (family, log_target, spark.sparkContext.applicationId, sf_dir, table_version(spark, sf_dir, "events"))
     if key not in _FITTED:
         train, _ = train_test(spark, sf_dir)
-        _FITTED[key] = ML.fit_run(train, A.zones(spark), family, log_target=log_target,
-                                  params={"maxIter": QUERY_ROUNDS} if family in ML.BOOSTED else None)
+        _FITTED[key] = ML.fit_run(train, A.zones(spark), family, log_target=log_target)
+    return _FITTED[key]
+
+
+def searched(spark, sf_dir, family) -> "ML.SearchResult":
+    """One search for each family and version of the input, shared by the queries of a session."""
+    key = ("search", family, spark.sparkContext.applicationId, sf_dir, table_version(spark, sf_dir, "events"))
+    if key not in _FITTED:
+        train, _ = train_test(spark, sf_dir)
+        _FITTED[key] = ML.random_search(train, A.zones(spark), family)
     return _FITTED[key]
 
 
@@ -769,19 +773,19 @@ def q_decision_tree(spark, sf_dir):
 
 @query("gbt_l1_eval")
 def q_gbt_l1(spark, sf_dir):
-    """MOD-04: boosted trees, absolute loss."""
+    """MOD-04: leaf-wise boosted trees, absolute loss, leaf medians."""
     return ml_eval(spark, sf_dir, "gbt_l1")
 
 
 @query("gbt_depthwise_eval")
 def q_gbt_depthwise(spark, sf_dir):
-    """MOD-05: second boosted preset (depth 6, row subsampling)."""
+    """MOD-05: depth-wise boosted trees, second-order gains with an L2 penalty, row sampling."""
     return ml_eval(spark, sf_dir, "gbt_depthwise")
 
 
 @query("winner_eval")
 def q_winner(spark, sf_dir):
-    """MOD-06: squared loss, rate 0.05, depth 6 (``QUERY_ROUNDS`` rounds)."""
+    """MOD-06: squared loss, 300 rounds, rate 0.05, 63 leaves."""
     return ml_eval(spark, sf_dir, "winner")
 
 
@@ -825,36 +829,47 @@ def q_feature_splits(spark, sf_dir):
 
 
 @query("hyperparameter_search")
-def q_hyperparameter_search(spark, sf_dir, search_rounds: int = 10):
-    """MOD-08: 12 seeded configs on 3 forward folds, mean fold MAE, best refitted on all of train.
+def q_hyperparameter_search(spark, sf_dir):
+    """MOD-08: for each boosted family 12 seeded configs of its own grid on 3 forward folds, the best refitted.
 
-    Each of the 36 fits has ``search_rounds`` boosting rounds in place of the grid's 200 to 700; the
-    refit has ``QUERY_ROUNDS``.
+    Configs have 200 to 700 rounds; a config's score is its mean fold MAE.
     """
-    train, test = train_test(spark, sf_dir)
-    rows, best = ML.random_search(train, A.zones(spark), "gbt_l1",
-                                  dict(ML.SEARCH_SPACE["gbt_l1"], maxIter=[search_rounds]),
-                                  refit_params={"maxIter": QUERY_ROUNDS})
-    report = spark.createDataFrame(rows, "family string, target string, config_id int, params string, "
-                                         "mean_fold_mae double, rank int, chosen boolean")
-    refit = ML.evaluate_run(best, test).select("target", F.col("mae").alias("refit_test_mae"),
-                                               F.lit(True).alias("chosen"))
-    return report.join(refit, ["target", "chosen"], "left")
+    _, test = train_test(spark, sf_dir)
+    out = None
+    for family in SEARCHED:
+        got = searched(spark, sf_dir, family)
+        report = spark.createDataFrame(got.rows, "family string, target string, config_id int, params string, "
+                                                 "mean_fold_mae double, rank int, chosen boolean")
+        refit = ML.evaluate_run(got.run, test).select("target", F.col("mae").alias("refit_test_mae"),
+                                                      F.lit(True).alias("chosen"))
+        part = report.join(refit, ["target", "chosen"], "left")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+#: Families that are tuned.
+SEARCHED = ("gbt_l1", "gbt_depthwise")
 
 
 @query("experiment_report")
 def q_experiment_report(spark, sf_dir):
-    """MOD-11: both boosted families x both targets: metrics, fit time, top feature, flag."""
+    """MOD-11: each boosted family tuned for each target: best params, fold and test metrics, times, importances."""
     _, test = train_test(spark, sf_dir)
     out = None
-    for fam in ("gbt_l1", "gbt_depthwise"):
-        run = fitted(spark, sf_dir, fam)
-        m = ML.evaluate_run(run, test)
-        imp = ML.importances(run).where("rank = 1").select(F.col("target"), F.col("feature").alias("top_feature"),
-                                                            F.col("importance").alias("top_importance"),
-                                                            F.col("flagged").alias("importance_flag"))
-        r = m.join(imp, "target", "left")
-        out = r if out is None else out.unionByName(r)
+    for family in SEARCHED:
+        got = searched(spark, sf_dir, family)
+        found = spark.createDataFrame(
+            [(k, json.dumps(got.best[k], sort_keys=True), got.cv_mae[k], got.search_seconds) for k in got.best],
+            "target string, best_params string, cv_mae double, search_seconds double")
+        imp = ML.importances(got.run)
+        top = imp.where("rank = 1").select("target", F.col("feature").alias("top_feature"),
+                                           F.col("importance").alias("top_importance"))
+        review = imp.groupBy("target").agg(
+            F.concat_ws(",", F.sort_array(F.collect_list(F.when(F.col("flagged"), F.col("feature")))))
+            .alias("review_features"))
+        part = ML.evaluate_run(got.run, test).join(found, "target").join(top, "target", "left").join(
+            review, "target", "left")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
