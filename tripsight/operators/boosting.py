@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 #: Targets and leaf values are counted in these parts.
 UNIT = 1 << 16
@@ -225,7 +225,7 @@ class Tree:
 # --- rows of a shard ------------------------------------------------------------------------------
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
@@ -240,8 +240,8 @@ class Rows:
     def sampled(self, share: float, seed: int, tree: int) -> np.ndarray:
         if share >= 1:
             return self.train
-        salt = _mix(np.array([seed * 1_000_003 + tree], dtype=np.uint64))
-        return self.train & (_mix(self.key.view(np.uint64) ^ salt) < np.uint64(int(share * 2.0 ** 64)))
+        salt = mix64(np.array([seed * 1_000_003 + tree], dtype=np.uint64))
+        return self.train & (mix64(self.key.view(np.uint64) ^ salt) < np.uint64(int(share * 2.0 ** 64)))
 
     def histogram(self, rows: list[np.ndarray], channels: list[np.ndarray | None]) -> np.ndarray:
         """Sums of each channel (None: the count) by code, for each list of rows."""
@@ -390,6 +390,8 @@ def _small(x):
     """Whole numbers in the narrowest type that holds them."""
     if isinstance(x, Sparse):
         return Sparse(*(_small(v) for v in x))
+    if x.dtype.kind == "f":
+        return x
     top = int(np.abs(x).max(initial=0))
     for kind in (np.int8, np.int16, np.int32):
         if top <= np.iinfo(kind).max:
@@ -398,7 +400,9 @@ def _small(x):
 
 
 def _wide(x):
-    return Sparse(*(v.astype(np.int64) for v in x)) if isinstance(x, Sparse) else x.astype(np.int64)
+    if isinstance(x, Sparse):
+        return Sparse(*(v.astype(np.int64) for v in x))
+    return x if x.dtype.kind == "f" else x.astype(np.int64)
 
 
 def all_gather(local: list) -> list[list]:
@@ -411,19 +415,18 @@ def all_gather(local: list) -> list[list]:
 def in_lock_step(fits: list, gather=None) -> list:
     """Run the fits' generators; each exchange carries the sums of all that are open."""
     out: list = [None] * len(fits)
-    said = {}
-    for i, f in enumerate(fits):
-        said[i] = next(f)
-    while said:
-        local = list(said.values())
-        parts = gather(local) if gather else [local]
-        sums = [_added([p[k] for p in parts]) for k in range(len(local))]
-        for i, s in zip(list(said), sums):
+    said: dict = {}
+    sums = dict.fromkeys(range(len(fits)))  # sending None starts a generator
+    while sums:
+        for i, s in sums.items():
             try:
                 said[i] = fits[i].send(s)
             except StopIteration as e:
                 out[i] = e.value
-                del said[i]
+                said.pop(i, None)
+        local = list(said.values())
+        parts = gather(local) if gather and local else [local]
+        sums = {i: _added([p[k] for p in parts]) for k, i in enumerate(said)}
     return out
 
 
@@ -525,6 +528,7 @@ def fit_boosted(rows: DataFrame, fits: list[Fit], n_features: int, n_targets: in
     groups that run side by side while there are free cores; the fits of a group share each pass.
     """
     spark = rows.sparkSession
+    ship_package(spark)
     whole = rows.where(~F.exists("y", lambda v: v.isNull() | F.isnan(v)))
     raw = scratch_path(spark, "boost-rows")
     whole.write.parquet(raw)
@@ -566,6 +570,18 @@ def fit_boosted(rows: DataFrame, fits: list[Fit], n_features: int, n_targets: in
 # --- the model ------------------------------------------------------------------------------------
 
 
+def _predicted(x: np.ndarray, base: int, trees: list[tuple]) -> np.ndarray:
+    out = np.full(len(x), base, dtype=np.int64)
+    every = np.arange(len(x))
+    for feature, threshold, left, right, value, depth in trees:
+        at = np.zeros(len(x), dtype=np.int64)
+        for _ in range(depth):
+            v = x[every, feature[at]]
+            at = np.where(v > threshold[at], right[at], left[at])  # a missing value goes left
+        out += value[at]
+    return out / UNIT
+
+
 @dataclass
 class BoostedTrees:
     """A fitted model: nodes of all trees, thresholds in the features' own units."""
@@ -612,25 +628,18 @@ class BoostedTrees:
                         t["value"].to_numpy().astype(np.int64), depth))
         return out
 
-    def predict_array(self, x: np.ndarray, trees: list[tuple] | None = None) -> np.ndarray:
-        out = np.full(len(x), self.base, dtype=np.int64)
-        every = np.arange(len(x))
-        for feature, threshold, left, right, value, depth in trees if trees is not None else self.arrays():
-            at = np.zeros(len(x), dtype=np.int64)
-            for _ in range(depth):
-                v = x[every, feature[at]]
-                at = np.where(v > threshold[at], right[at], left[at])  # a missing value goes left
-            out += value[at]
-        return out / UNIT
+    def predict_array(self, x: np.ndarray) -> np.ndarray:
+        return _predicted(x, self.base, self.arrays())
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``pred_<label>`` from the vector column ``features`` (Arrow batches)."""
         from pyspark.ml.functions import vector_to_array
-        trees, predict = self.arrays(), self.predict_array
+        ship_package(df.sparkSession)
+        trees, base = self.arrays(), self.base
 
         @F.pandas_udf("double")
         def score(xs: pd.Series) -> pd.Series:
-            return pd.Series(predict(np.array(xs.tolist(), dtype=np.float64).reshape(len(xs), -1), trees))
+            return pd.Series(_predicted(np.array(xs.tolist(), dtype=np.float64).reshape(len(xs), -1), base, trees))
 
         return df.withColumn(f"pred_{self.label}", score(vector_to_array(F.col("features"))))
 

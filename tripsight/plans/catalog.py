@@ -934,7 +934,7 @@ def q_scoring_parity(spark, sf_dir):
 
 def mlp_runs(spark, sf_dir, max_epochs=20, batch=4096):
     """Feature state and exact impute/scale fitted on train; one MLP per target."""
-    from ..operators.mlp import fit_mlp
+    from ..operators.mlp import fit_mlps
     from ..operators.scaling import ImputeScale
     train, test = train_test(spark, sf_dir)
     fm = ML.feature_pipeline(A.zones(spark)).fit(train)
@@ -945,10 +945,8 @@ def mlp_runs(spark, sf_dir, max_epochs=20, batch=4096):
         s = scaler.transform(df, keep=("trip_id", "fare_amount", "duration_minutes"))
         return s.select("trip_id", "fare_amount", "duration_minutes", F.array(*cols).alias("x"))
     tr_a, te_a = arr(tr).cache(), arr(fm.transform(test))
-    models = {}
-    for k, t in EV.TARGET_KEYS.items():
-        models[k] = fit_mlp(tr_a.withColumn("y", F.col(t)), max_epochs=max_epochs, batch=batch)
-    return models, te_a
+    got = fit_mlps(tr_a, list(EV.TARGET_KEYS.values()), max_epochs=max_epochs, batch=batch)
+    return dict(zip(EV.TARGET_KEYS, got)), te_a
 
 
 @query("mlp_eval")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +62,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per context, so that task code imports it anywhere."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tripsight_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="tripsight-"), "tripsight_package.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "tripsight")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    sc._tripsight_shipped = True
