@@ -12,21 +12,73 @@ SF = "/root/testdata/sf0.001"
 
 def test_stream_dedup_keeps_one_copy(spark):
     from tripsight.streaming.jobs import stream_dedup
-    out = stream_dedup(spark, SF)
-    assert out.count() == 1000 and out.select("request_id").distinct().count() == 1000
+    got = stream_dedup(spark, SF)
+    assert got.rows.count() == 1000 and got.rows.select("request_id").distinct().count() == 1000
+    assert got.late == 0
 
 
 def test_stream_dedup_over_unordered_files(spark, tmp_path):
-    """One file per trigger, in any order: nothing late is lost, nothing comes twice."""
+    """One file per trigger, in any order: what comes behind the watermark is settled, nothing comes twice."""
     from pyspark.sql import functions as F
     from tripsight.streaming.jobs import stream_dedup
     ev = spark.read.parquet(f"{SF}/events.parquet")
     ev.withColumn("k", F.xxhash64("event_id")).repartition(4, "k").drop("k").write.parquet(str(tmp_path / "events.parquet"))
-    out = stream_dedup(spark, str(tmp_path), max_files_per_trigger=1)
+    got = stream_dedup(spark, str(tmp_path), max_files_per_trigger=1)
+    out = got.rows
+    assert got.late > 0
     assert out.count() == 1000 and out.select("request_id").distinct().count() == 1000
     assert out.join(ev.select(F.col("event_id").alias("request_id"), "ts"), ["request_id", "ts"]).count() == 1000
 
 
+def day_files(spark, folder, late=0):
+    """Events dealt to one file per three days, in order; ``late`` rows of the first days come last."""
+    import os
+    import time
+    from pyspark.sql import functions as F
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    day = F.floor(F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01")) / 3)
+    behind = F.col("event_id").isin([r[0] for r in ev.orderBy("ts").select("event_id").limit(late).collect()])
+    parts = ev.withColumn("part", F.when(behind, 99).otherwise(day))
+    now = time.time()
+    target = folder / "events.parquet"
+    target.mkdir(parents=True)
+    for i, (p,) in enumerate(sorted(parts.select("part").distinct().collect())):
+        one = str(folder / f"part{i}")
+        parts.where(F.col("part") == p).drop("part").coalesce(1).write.parquet(one)
+        name = next(n for n in os.listdir(one) if n.endswith(".parquet"))
+        os.rename(f"{one}/{name}", target / f"{i:03}.parquet")
+        os.utime(target / f"{i:03}.parquet", (now - 1000 + i, now - 1000 + i))  # the source reads by file time
+    return ev
+
+
+def test_stream_dedup_state_is_bounded_by_the_watermark(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tripsight.streaming.jobs import stream_dedup
+    ev = day_files(spark, tmp_path)
+    got = stream_dedup(spark, str(tmp_path), max_files_per_trigger=1, watermark="1 day")
+    assert got.rows.count() == 1000
+    # keys are forgotten: what is left lies within the delay (two days here: a key expires a delay after its own time)
+    last = ev.agg(F.max("ts")).first()[0]
+    recent = ev.where(F.col("ts") >= F.lit(last) - F.expr("interval 2 days")).count()
+    assert 0 < got.state_rows <= recent < 1000
+
+
+def test_telemetry_counts_late_rows(spark, tmp_path):
+    """Closed windows come once, and every row is in a closed window, in an open one, or counted as late."""
+    from pyspark.sql import functions as F
+    from tripsight.streaming.jobs import stream_telemetry
+    ev = day_files(spark, tmp_path, late=37)
+    got = stream_telemetry(spark, str(tmp_path), max_files_per_trigger=1)
+    assert (got.seen, got.late) == (1000, 37)
+    closed = got.closed.groupBy("window_start", "scenario").count()
+    assert closed.where("count > 1").count() == 0 and got.open.count() > 0
+    late = [r[0] for r in ev.orderBy("ts").select("event_id").limit(37).collect()]
+    want = (ev.where(~F.col("event_id").isin(late)).groupBy(F.date_trunc("day", F.col("ts")).alias("day")).count())
+    days = got.closed.unionByName(got.open, allowMissingColumns=True).groupBy("window_start").agg(
+        F.sum("requests").alias("n"))
+    assert sorted((str(r[0]), r[1]) for r in days.collect()) == sorted((str(r[0]), r[1]) for r in want.collect())
+
+
 def test_stream_and_batch_scores_agree(spark):
     from tripsight.plans.catalog import REGISTRY
     r = REGISTRY["scoring_parity"](spark, SF).first()

@@ -905,8 +905,14 @@ def q_stream_latency_window(spark, sf_dir):
 
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    """STR-03: doubled delivery, each request kept once."""
-    return SJ.stream_dedup(spark, sf_dir)
+    """STR-03: doubled delivery, each request kept once by state that expires."""
+    return SJ.stream_dedup(spark, sf_dir).rows
+
+
+@query("stream_closed_windows")
+def q_stream_closed_windows(spark, sf_dir):
+    """STR-02 in append mode: daily windows that the watermark has closed, each emitted once."""
+    return checked(SJ.stream_telemetry(spark, sf_dir).closed)
 
 
 @query("scoring_parity")

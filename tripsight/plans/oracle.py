@@ -853,6 +853,13 @@ select time_bucket(interval 1 day, ts) as window_start, time_bucket(interval 1 d
        round(avg(latency_ms), 6) as mean_latency_ms
 from rl group by 1, 2, 3""", "rl")
 
+sql("stream_closed_windows", """
+select time_bucket(interval 1 day, ts) as window_start, time_bucket(interval 1 day, ts) + interval 1 day as window_end,
+       scenario, count(*) as requests, count(*) filter (where not ok) as rejects,
+       round(avg(latency_ms), 6) as mean_latency_ms
+from rl group by 1, 2, 3
+having time_bucket(interval 1 day, ts) + interval 1 day <= (select max(ts) - interval 1 hour from rl)""", "rl")
+
 sql("stream_dedup", "select event_id as request_id, ts from events")
 
 # --- remaining sources ------------------------------------------------------------------

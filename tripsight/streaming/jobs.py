@@ -11,8 +11,12 @@ trigger on the same plan.
 
 from __future__ import annotations
 
+import threading
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from .. import config as C
 from ..functions.literals import instant_to_ntz, ntz_to_instant
@@ -78,55 +82,157 @@ def model_input(valid_requests: DataFrame) -> DataFrame:
         F.col("RatecodeID").cast("double").alias("RatecodeID"), "trip_distance")
 
 
+class _Progress(StreamingQueryListener):
+    """Adds up what a query's batches report: rows observed as ``seen.rows`` and rows dropped as late."""
+
+    def __init__(self):
+        self.rows, self.dropped, self.ended, self.id = 0, 0, threading.Event(), None
+
+    def onQueryStarted(self, event):
+        self.id = str(event.runId)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if str(p.runId) != self.id:
+            return
+        seen = p.observedMetrics.get("seen")
+        self.rows += seen.rows if seen else 0
+        self.dropped += sum(o.numRowsDroppedByWatermark for o in p.stateOperators)
+
+    def onQueryTerminated(self, event):
+        if str(event.runId) == self.id:
+            self.ended.set()
+
+    def onQueryIdle(self, event):
+        pass
+
+
+def _drained(spark: SparkSession, start) -> _Progress:
+    """Run a query to the end of its input and return what its batches reported."""
+    said = _Progress()
+    spark.streams.addListener(said)
+    try:
+        q = start()
+        said.id = str(q.runId)
+        q.awaitTermination()
+        said.ended.wait(60)  # progress is reported behind the query
+    finally:
+        spark.streams.removeListener(said)
+    return said
+
+
+def request_log_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Requests with scenario, outcome and latency. Event time is the NTZ wall clock read as UTC through epoch
+    microseconds (watermarks need TIMESTAMP), independent of the session time zone."""
+    return event_stream(spark, sf_dir, max_files_per_trigger).select(
+        F.element_at(F.array(*[F.lit(s) for s in A.SCENARIOS]), (F.col("user_id") % 2 + 1).cast("int")).alias("scenario"),
+        ntz_to_instant(F.col("ts")).alias("ts"), (F.col("event_type") != "error").alias("ok"),
+        F.col("value").alias("latency_ms"))
+
+
+def _by_window(log: DataFrame, window: str, watermark: str) -> DataFrame:
+    return (log.withWatermark("ts", watermark)
+            .groupBy(F.window("ts", window).alias("w"), "scenario")
+            .agg(F.count(F.lit(1)).alias("requests"), F.count_if(~F.col("ok")).alias("rejects"),
+                 decimal_mean(F.col("latency_ms")).alias("mean_latency_ms")))
+
+
+def _window_rows(df: DataFrame) -> DataFrame:
+    return df.select(instant_to_ntz(F.col("w.start")).alias("window_start"),
+                     instant_to_ntz(F.col("w.end")).alias("window_end"),
+                     "scenario", "requests", "rejects", "mean_latency_ms")
+
+
+@dataclass
+class Telemetry:
+    """Windows the watermark has closed (each emitted once), requests of open windows, and rows that came too late."""
+
+    closed: DataFrame
+    open: DataFrame
+    seen: int
+    late: int
+
+
+def stream_telemetry(spark: SparkSession, sf_dir: str, window: str = "1 day", watermark: str = "1 hour",
+                     max_files_per_trigger: int | None = None) -> Telemetry:
+    """STR-02 in append mode: a window is written once, when the watermark passes its end, and its state goes.
+
+    State holds open windows only. Rows behind the watermark are not added to a closed window; they are
+    counted: rows observed, less those of emitted windows and of the windows still in the state store.
+    """
+    base = scratch_path(spark, "stream_telemetry")
+    log = request_log_stream(spark, sf_dir, max_files_per_trigger).observe("seen", F.count(F.lit(1)).alias("rows"))
+    agg = _by_window(log, window, watermark)
+
+    def write(batch: DataFrame, batch_id: int):
+        batch.write.mode("overwrite").parquet(f"{base}/closed/batch_id={batch_id}")
+
+    said = _drained(spark, lambda: agg.writeStream.outputMode("append").foreachBatch(write).option(
+        "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    closed = _window_rows(spark.read.schema(agg.schema).option("basePath", f"{base}/closed").parquet(f"{base}/closed"))
+    state = spark.read.format("statestore").option("path", f"{base}/checkpoint").load()
+    # the first aggregation buffer is the count of requests
+    state = state.select("key.window.start", "key.window.end", "key.scenario", "value.*").toDF(
+        "start", "end", "scenario", "requests", *[f"buffer_{i}" for i in range(len(state.schema["value"].dataType) - 1)])
+    open_ = state.select(instant_to_ntz(F.col("start")).alias("window_start"),
+                         instant_to_ntz(F.col("end")).alias("window_end"), "scenario", "requests")
+    counted = sum(int(d.agg(F.coalesce(F.sum("requests"), F.lit(0))).first()[0]) for d in (closed, open_))
+    return Telemetry(closed, open_, said.rows, said.rows - counted)
+
+
 def stream_latency_window(spark: SparkSession, sf_dir: str, window: str = "1 day", watermark: str = "1 hour",
                           mode: str = "complete") -> DataFrame:
     """STR-02: requests, rejects and mean latency per scenario and tumbling window.
 
-    Watermarks need TIMESTAMP (not NTZ) event time: the NTZ wall clock is read
-    as UTC through epoch microseconds, independent of the session time zone. ``append`` emits a window once the watermark passes it (production);
-    ``complete`` re-emits all windows, so the last window of a finite input is
+    ``append`` emits a window once the watermark passes it (production: ``stream_telemetry``, which also counts
+    late rows); ``complete`` re-emits all windows, so the last window of a finite input is
     included (what a comparison with a batch engine needs).
     """
-    ev = event_stream(spark, sf_dir)
-    log = ev.select(
-        F.element_at(F.array(*[F.lit(s) for s in A.SCENARIOS]), (F.col("user_id") % 2 + 1).cast("int")).alias("scenario"),
-        ntz_to_instant(F.col("ts")).alias("ts"), (F.col("event_type") != "error").alias("ok"),
-        F.col("value").alias("latency_ms"))
-    agg = (log.withWatermark("ts", watermark)
-           .groupBy(F.window("ts", window).alias("w"), "scenario")
-           .agg(F.count(F.lit(1)).alias("requests"), F.count_if(~F.col("ok")).alias("rejects"),
-                decimal_mean(F.col("latency_ms")).alias("mean_latency_ms")))
+    agg = _by_window(request_log_stream(spark, sf_dir), window, watermark)
     out = scratch_path(spark, "stream_latency")
     _run(agg, out, mode=mode, keyed_batches=(mode != "complete"))
-    res = spark.read.parquet(out)
-    return res.select(instant_to_ntz(F.col("w.start")).alias("window_start"),
-                      instant_to_ntz(F.col("w.end")).alias("window_end"),
-                      "scenario", "requests", "rejects", "mean_latency_ms")
+    return _window_rows(spark.read.parquet(out))
+
+
+@dataclass
+class Deduplicated:
+    """Each request once. ``late`` rows came behind the watermark and were settled against the sink."""
 
+    rows: DataFrame
+    late: int
+    state_rows: int
 
-def stream_dedup(spark: SparkSession, sf_dir: str, copies: int = 2,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """STR-03: requests delivered several times, in any order and batch, are kept once.
 
-    Every batch is merged into the sink by key: ids that earlier batches wrote are
-    left out. Nothing is dropped for being late, and the state is the sink itself,
-    read by a shuffled (spillable) anti-join. A replayed batch replaces its own
-    folder and looks only at the others.
+def stream_dedup(spark: SparkSession, sf_dir: str, copies: int = 2, max_files_per_trigger: int | None = None,
+                 watermark: str = "2 days") -> Deduplicated:
+    """STR-03: requests delivered several times are kept once, by keyed state that expires.
+
+    The state store holds a key for ``watermark`` behind the latest event time and then forgets it, so state
+    and the cost of a batch follow the delay, not the history. Spark drops rows that come behind the
+    watermark; those are not lost: if any were, one pass at the end keeps the source rows whose id the sink
+    doesn't hold. A replayed batch replaces its own folder.
     """
     s = None
     for _ in range(copies):
-        one = event_stream(spark, sf_dir, max_files_per_trigger).select(F.col("event_id").alias("request_id"), "ts")
+        one = event_stream(spark, sf_dir, max_files_per_trigger).select(
+            F.col("event_id").alias("request_id"), "ts", ntz_to_instant(F.col("ts")).alias("at"))
         s = one if s is None else s.unionByName(one)
-    out = scratch_path(spark, "stream_dedup")
+    kept = s.withWatermark("at", watermark).dropDuplicatesWithinWatermark(["request_id"])
+    base = scratch_path(spark, "stream_dedup")
 
     def write(batch: DataFrame, batch_id: int):
-        new = batch.groupBy("request_id").agg(F.min("ts").alias("ts"))
-        if batch_id:
-            earlier = spark.read.schema("request_id long, batch_id long").parquet(out)
-            new = new.join(earlier.where(F.col("batch_id") < batch_id).select("request_id"), "request_id", "left_anti")
-        new.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    q = (s.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}_checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out).select("request_id", "ts")
+        batch.select("request_id", "ts").write.mode("overwrite").parquet(f"{base}/kept/batch_id={batch_id}")
+
+    said = _drained(spark, lambda: kept.writeStream.foreachBatch(write).option(
+        "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    state = spark.read.format("statestore").option("path", f"{base}/checkpoint").load().count()
+    rows = spark.read.schema("request_id long, ts timestamp_ntz").option("basePath", f"{base}/kept").parquet(f"{base}/kept")
+    if said.dropped:
+        source = spark.read.parquet(f"{sf_dir.rstrip('/')}/events*.parquet").select(
+            F.col("event_id").alias("request_id"), "ts")
+        missed = source.join(rows.select("request_id"), "request_id", "left_anti")
+        (missed.groupBy("request_id").agg(F.min("ts").alias("ts"))
+         .write.mode("overwrite").parquet(f"{base}/late"))
+        rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{base}/late"))
+    # a key that came again after its state had expired is in the sink twice
+    return Deduplicated(rows.groupBy("request_id").agg(F.min("ts").alias("ts")), said.dropped, state)
