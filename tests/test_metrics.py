@@ -161,3 +161,31 @@ def test_tiny_and_degenerate_inputs_do_not_fail(spark):
     odd = spark.createDataFrame([(132, 236, -0.001, 1.0)], "PULocationID long, DOLocationID long, "
                                                           "trip_distance double, RatecodeID double")
     assert FE.with_spatial(odd, zones(spark)).first().haversine_ratio == 10.0
+
+
+def test_nth_id_by_counts(spark, monkeypatch):
+    """Rows that share a time are ranked by counts of id ranges, with repeats."""
+    from tripsight.operators import evaluation as EV
+    monkeypatch.setattr(EV, "IDS_SORTED", 20)
+    monkeypatch.setattr(EV, "ID_PARTS", 8)
+    ids = sorted([(i * 7919) % 100_003 - 500 for i in range(700)] + [42] * 60)
+    df = spark.createDataFrame([(i,) for i in ids], "trip_id long")
+    for rank in (0, 1, 77, 400, 758, 759):
+        assert EV.nth_id(df, "trip_id", rank) == ids[rank]
+
+
+def test_folds_of_rows_that_share_one_time(spark):
+    from pyspark.sql import functions as F
+    from tripsight.operators.evaluation import PU, fold_assignment
+    df = spark.range(103).select(F.col("id").alias("trip_id"), F.lit("2024-01-03 10:00:00").cast("timestamp_ntz").alias(PU))
+    got = {r.trip_id: r.test_fold for r in fold_assignment(df, 3).collect()}
+    assert [sum(f == k for f in got.values()) for k in (None, 0, 1, 2)] == [28, 25, 25, 25]
+    assert [got[i] for i in (27, 28, 52, 53, 102)] == [None, 0, 0, 1, 2]
+
+
+def test_cold_start_is_the_smallest_request_of_the_first_time(spark):
+    from tripsight.operators.latency import latency_report
+    rows = [("a", 5, "2024-01-01 00:00:00", True, 9.0), ("a", 3, "2024-01-01 00:00:00", True, 7.0),
+            ("a", 1, "2024-01-01 00:00:01", True, 1.0)]
+    log = spark.createDataFrame(rows, "scenario string, request_id long, ts string, ok boolean, latency_ms double")
+    assert latency_report(log.withColumn("ts", log.ts.cast("timestamp_ntz"))).first().cold_start_ms == 7.0

@@ -219,12 +219,43 @@ def fold_cuts(df: DataFrame, n_splits: int, time_col: str, id_col: str) -> tuple
     out = []
     for rank, span, inner in cuts:
         second = rows.where(F.date_trunc("second", F.col(time_col)).cast("timestamp_ntz") == ts_ntz(span))
-        r = second.select(time_col, id_col).orderBy(time_col, id_col).limit(inner + 1).orderBy(
-            F.desc(time_col), F.desc(id_col)).first()
-        out.append((rank, r[time_col], r[id_col]))
+        # times inside a second: a million at most
+        counts = second.groupBy(time_col).agg(F.count(F.lit(1)).alias("_c"))
+        ends = counts.withColumn("_end", F.sum("_c").over(Window.orderBy(time_col).rowsBetween(
+            Window.unboundedPreceding, 0)))
+        r = ends.where(F.col("_end") > inner).orderBy(time_col).first()
+        same = second.where(F.col(time_col) == F.lit(r[time_col]))
+        out.append((rank, r[time_col], nth_id(same, id_col, inner - (r["_end"] - r["_c"]))))
     return n, out
 
 
+#: Ids that are sorted at once, and parts into which a larger range of ids is counted.
+IDS_SORTED, ID_PARTS = 10_000, 4_096
+
+
+def nth_id(rows: DataFrame, id_col: str, rank: int) -> int:
+    """The id of rank ``rank`` (from 0) among ``rows``: counts by range, down to a range of few rows.
+
+    However many rows share a time, no task sorts more than ``IDS_SORTED`` of them.
+    """
+    lo, hi, n = rows.agg(F.min(id_col), F.max(id_col), F.count(F.lit(1))).first()
+    while n > IDS_SORTED and lo < hi:
+        width = max(1, -(-(hi - lo + 1) // ID_PARTS))
+        part = F.expr(f"({id_col} - ({lo}L)) div {width}L")
+        inside = rows.where(F.col(id_col).between(lo, hi))
+        counts = sorted((r["_p"], r["_c"]) for r in inside.groupBy(part.alias("_p")).agg(
+            F.count(F.lit(1)).alias("_c")).collect())  # at most ID_PARTS rows
+        for p, c in counts:
+            if rank < c:
+                lo, hi, n = lo + p * width, min(hi, lo + (p + 1) * width - 1), c
+                break
+            rank -= c
+    if lo == hi:
+        return lo
+    return rows.where(F.col(id_col).between(lo, hi)).select(id_col).orderBy(id_col).limit(rank + 1).agg(
+        F.max(id_col)).first()[0]
+
+
 def fold_assignment(df: DataFrame, n_splits: int = 3, order=(PU, "trip_id")) -> DataFrame:
     """The fold whose test window holds each row, by pickup time (id breaks ties).
 

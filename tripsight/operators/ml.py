@@ -22,7 +22,7 @@ from pyspark.ml.param.shared import Param, Params, TypeConverters
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -212,6 +212,24 @@ def evaluate_run(run: FittedRun, test: DataFrame, name: str | None = None) -> Da
         "rounds", F.element_at(rounds, F.col("target")))
 
 
+def scoring_cost(predictions: DataFrame) -> dict:
+    """MOD-16: rows scored and rows per second of one whole batch transform (nothing is collected).
+
+    The rows are counted where they are scored, by an observation of the same pass.
+    """
+    seen = Observation()
+    t0 = time.perf_counter()
+    predictions.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    seconds = time.perf_counter() - t0
+    rows = int(seen.get["rows"])
+    return {"scored_rows": rows, "score_seconds": seconds, "rows_per_second": rows / max(seconds, 1e-9)}
+
+
+def with_cost(metrics: DataFrame, cost: dict) -> DataFrame:
+    """Metrics with the scoring cost of the model they belong to (never hashed)."""
+    return metrics.withColumns({k: F.lit(v) for k, v in cost.items()})
+
+
 def importances(run: FittedRun) -> DataFrame:
     """MOD-09: normalised importances per target, ranked, flagged at >= 0.65."""
     rows = []

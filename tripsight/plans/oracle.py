@@ -895,3 +895,20 @@ group by RatecodeID having count(*) > 500""", "tr")
 sql("scoring_parity", """
 select count(*) as compared, 0::bigint as mismatches, 0.0e0 as max_fare_diff, 0.0e0 as max_duration_diff
 from req_checked where len(failed) = 0""", "req_checked")
+
+
+# --- mergeable profiles: exact counts, and the sketches' bounds hold --------------------------
+
+SQL["column_profile_merged"] = ("select column_name, nulls, distinct_values, true as within_bound from ("
+                                + SQL["column_profile"] + ")")
+
+sql("quantiles_merged", """
+select 'all' as group_name, 'fare_amount' as value_name, q, count(fare_amount) as rows, true as within_bound
+from tr, (values (0.01::double), (0.25::double), (0.5::double), (0.75::double), (0.95::double), (0.99::double)) v(q) group by q
+union all select 'all', 'duration_minutes', q, count(duration_minutes), true
+from tr, (values (0.01::double), (0.25::double), (0.5::double), (0.75::double), (0.95::double), (0.99::double)) v(q) group by q
+union all select 'all', 'trip_distance', q, count(trip_distance), true
+from tr, (values (0.01::double), (0.25::double), (0.5::double), (0.75::double), (0.95::double), (0.99::double)) v(q) group by q
+union all select scenario, 'latency_ms', q, count(latency_ms), true
+from rl, (values (0.5::double), (0.9::double), (0.95::double), (0.99::double)) v(q) where ok group by scenario, q""",
+    "tr", "rl")
