@@ -127,3 +127,82 @@ def test_mlp_learns_linear_target(spark):
     pred = m.predict(df, ["trip_id", "y"]).collect()
     assert not any(np.isnan(r.prediction) for r in pred)
     assert m.curve[-1][2] > 0.5
+
+
+def test_log_target_is_a_fit_on_logs_inverted(spark):
+    """OPT-04: the same trees as a fit on log1p of the targets, predictions inverted by expm1."""
+    import numpy as np
+    from tripsight.operators import boosting as B
+    train, test = train_test(spark, SF)
+    run = ML.fit_run(train, A.zones(spark), "winner", log_target=True, params={"rounds": 5})
+    feats = run.features.transform(train)
+    rows = ML.boost_rows(feats).collect()
+    x = np.array([r.x for r in rows])
+    cuts = B.quantile_cuts(ML.boost_rows(feats, log_target=True), x.shape[1])[0]
+    codes = B.encode(x, cuts)
+    key = np.array([r.key for r in rows])
+    got = {r.trip_id: (r.pred_fare, r.pred_duration) for r in run.predict(train).select(
+        "trip_id", "pred_fare", "pred_duration").collect()}
+    ids = [r.trip_id for r in feats.select("trip_id").collect()]
+    for k in range(2):
+        y = np.rint(np.log1p(np.array([r.y[k] for r in rows])) * B.UNIT).astype(np.int64)[:, None]
+        base, trees, _, _ = B.in_lock_step([B.boost(B.Rows(codes, key, y, np.ones(len(x), bool), B.offsets_of(cuts)),
+                                                    ML.BOOSTED["winner"].__class__(rounds=5), 0)])[0]
+        model = run.models["fare" if k == 0 else "duration"]
+        assert model.base == base and model.rounds == len(trees) == 5
+        want = np.expm1(model.predict_array(x))
+        assert [got[i][k] for i in ids] == pytest.approx(want.tolist())
+
+
+def test_stack_is_least_squares_on_out_of_fold_predictions(spark):
+    """OPT-07: the meta model against numpy on the same base predictions."""
+    import numpy as np
+    from tripsight.operators import stacking as ST
+    from tripsight.operators.evaluation import FOLD_COLS, TARGET_KEYS, before_fold, fold_assignment
+    train, test = train_test(spark, SF)
+    zones = A.zones(spark)
+    got = {r.trip_id: (r.pred_fare, r.pred_duration) for r in ST.stacked_predict(train, test, zones).collect()}
+    assigned = fold_assignment(train, 2)
+    oof, rows = [], None
+    for f in range(2):
+        runs = {b: ML.fit_run(before_fold(assigned, f), zones, b) for b in ("decision_tree", "linear")}
+        oof += ST._base_predictions(runs, assigned.where(F.col("test_fold") == f).drop(*FOLD_COLS)).collect()
+    full = {b: ML.fit_run(train, zones, b) for b in ("decision_tree", "linear")}
+    rows = ST._base_predictions(full, test).collect()
+    for i, (k, t) in enumerate(TARGET_KEYS.items()):
+        x = np.array([[1, r[f"decision_tree_{k}"], r[f"linear_{k}"]] for r in oof])
+        w = np.linalg.lstsq(x, np.array([r[t] for r in oof]), rcond=None)[0]
+        for r in rows:
+            assert got[r.trip_id][i] == pytest.approx(w @ [1, r[f"decision_tree_{k}"], r[f"linear_{k}"]], rel=1e-5)
+
+
+def test_decision_tree_against_brute_force(spark):
+    """MOD-02: on few distinct values every split is the one with the least squared error, leaves hold 50 rows."""
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.integers(0, 8, 900), rng.integers(0, 5, 900), rng.integers(0, 2, 900)]).astype(float)
+    y = x[:, 0] * 3 + (x[:, 1] > 2) * 5 * x[:, 2] + rng.normal(size=900) * 0.1
+    df = spark.createDataFrame([(list(map(float, r)), float(t)) for r, t in zip(x, y)], "x array<double>, fare_amount double")
+    model = ML.make_model("decision_tree", "fare_amount").fit(df.withColumn("features", array_to_vector("x")).repartition(1))
+
+    def grow(rows, depth):
+        best = (1e-9, None, None)
+        for c in range(3):
+            for cut in np.unique(x[rows, c])[:-1]:
+                low = rows[x[rows, c] <= cut]
+                if len(low) >= 50 and len(rows) - len(low) >= 50:
+                    high = np.setdiff1d(rows, low)
+                    gain = (rows.size * y[rows].var() - low.size * y[low].var() - high.size * y[high].var()) / rows.size
+                    if gain > best[0]:
+                        best = (gain, low, high)
+        if depth == 12 or best[1] is None:
+            return [(rows, y[rows].mean())]
+        return grow(best[1], depth + 1) + grow(best[2], depth + 1)
+
+    want = np.empty(900)
+    for rows, v in grow(np.arange(900), 0):
+        want[rows] = v
+    out = model.transform(df.withColumn("features", array_to_vector("x"))).select("x", "pred_fare_amount").collect()
+    exact = {tuple(r): w for r, w in zip(x.tolist(), want)}
+    assert [r.pred_fare_amount for r in out] == pytest.approx([exact[tuple(r.x)] for r in out])
