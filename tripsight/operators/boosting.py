@@ -1,9 +1,8 @@
 """Histogram gradient boosting on Spark: leaf-wise and depth-wise trees (MOD-04, MOD-05, MOD-06, MOD-08).
 
-Rows are binned once (quantile cuts from one aggregation) and dealt to row shards. A shard holds its
-binned rows for the length of the fit; what the shards exchange are sums: per-leaf histograms of
-gradients, hessians and counts, and digit counts for medians. Every shard gets the same sums and takes
-the same decisions, so trees never travel.
+Rows are binned once (quantile cuts from one aggregation) and dealt to row shards. What the shards give
+are sums: per-leaf histograms of gradients, hessians and counts, and digit counts for medians; all
+decisions follow from the added sums.
 
 - Best-first growth with a leaf queue. A step splits every leaf that the queue would reach if the
   unknown children had no gain, so a tree takes about as many steps as it is deep. Leaves that were
@@ -17,8 +16,11 @@ the same decisions, so trees never travel.
   the sums of all open fits.
 
 Targets, predictions and leaf values are integers in 1/``UNIT``, so sums are exact and a model is the same
-for every number of shards. Exchange is by barrier tasks (``allGather``); one shard needs none. What a
-shard sends is bounded by leaves and bins, never by rows.
+for every number of shards. A fit is a plan (decisions) over operations on shards (rows). A bounded number
+of rows is one shard, held by one task, which needs no exchange; for more rows every step is a job whose
+tasks hold one block, a shuffle adds up and the driver decides. What a shard sends is bounded by leaves and
+bins, never by rows. (Barrier tasks would save the jobs, but an ``allGather`` takes a second: Spark looks
+for its answer once a second.)
 
 Defined results: a missing feature value goes left (below every cut); rows with a null target take no
 part; without rows a model is its base value 0.
@@ -26,10 +28,7 @@ part; without rows a model is its base value 0.
 
 from __future__ import annotations
 
-import base64
 import heapq
-import pickle
-import zlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import NamedTuple
@@ -37,7 +36,6 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,8 +46,8 @@ from ..session import scratch_path, ship_package
 UNIT = 1 << 16
 #: Bins of a feature at most.
 BINS = 64
-#: Rows of a shard, before there is another; barrier tasks at most.
-SHARD_ROWS, SHARDS = 100_000, 64
+#: Rows that one task holds for the length of a fit (some 100 bytes each), and rows of a block beyond.
+TASK_ROWS, BLOCK_ROWS = 400_000, 100_000
 #: Bits of a digit in the selection of medians.
 DIGIT = 13
 #: A split must gain more than this (sums are exact, but gains are quotients).
@@ -276,101 +274,197 @@ class Sparse(NamedTuple):
     counts: np.ndarray
 
 
-def lower_medians(values: np.ndarray, group: np.ndarray, sizes: np.ndarray, bits: int):
-    """Exact lower median of each group over all shards, by digits from the highest (a generator of sums)."""
-    u = np.clip(values, -(1 << bits - 1), (1 << bits - 1) - 1) + (1 << bits - 1)
+class Selection:
+    """Values of a shard among which the lower median of each group is sought, digit by digit."""
+
+    def __init__(self, values: np.ndarray, group: np.ndarray, bits: int):
+        self.u = np.clip(values, -(1 << bits - 1), (1 << bits - 1) - 1) + (1 << bits - 1)
+        self.group = group
+
+    def digits(self, shift: int, digit: int) -> Sparse:
+        return Sparse(*np.unique(self.group << digit | self.u >> shift & (1 << digit) - 1, return_counts=True))
+
+    def narrow(self, shift: int, prefix: np.ndarray) -> None:
+        keep = self.u >> shift == prefix[self.group]
+        self.u, self.group = self.u[keep], self.group[keep]
+
+
+def medians_plan(start: list, sizes: np.ndarray, bits: int):
+    """Exact lower median of each group (``sizes`` rows each) over all shards, after the operations ``start``."""
     rank = (sizes - 1) // 2
     prefix = np.zeros(len(sizes), dtype=np.int64)
-    shift = bits
+    shift, ops = bits, start
     while shift:
         digit = min(DIGIT, shift)
         shift -= digit
-        key, n = np.unique(group << digit | u >> shift & (1 << digit) - 1, return_counts=True)
-        key, n = yield Sparse(key, n)
+        key, n = yield [*ops, ("digits", shift, digit)]
         run = np.cumsum(n)
         first = np.searchsorted(key, np.arange(len(sizes)) << digit)
         before = np.where(first > 0, run[first - 1], 0)
         at = np.searchsorted(run, before + rank + 1)
         rank = rank + before - np.where(at > 0, run[at - 1], 0)
         prefix = prefix << digit | key[at] & (1 << digit) - 1
-        if shift:
-            keep = u >> shift == prefix[group]
-            u, group = u[keep], group[keep]
+        ops = [("narrow", shift, prefix)]
     return prefix - (1 << bits - 1)
 
 
-def boost(rows: Rows, config: BoostConfig, target: int):
-    """A fit as a generator: yields this shard's sums, is sent those of all shards; returns the model.
-
-    Returns (base, trees, absolute error of the rows held back, their number).
+def lower_medians(values: np.ndarray, group: np.ndarray, sizes: np.ndarray, bits: int):
+    """The same over one shard's values: a generator of its sums."""
+    own = Selection(values, group, bits)
+    plan = medians_plan([], sizes, bits)
+    ops = next(plan)
+    while True:
+        for name, *args in ops:
+            got = getattr(own, name)(*args)
+        try:
+            ops = plan.send((yield got))
+        except StopIteration as e:
+            return e.value
+
+
+def fit_plan(config: BoostConfig, offsets: np.ndarray):
+    """The decisions of a fit: yields lists of operations on the shards, is sent the last one's sums over all shards.
+
+    Returns (base, trees, absolute error of the rows held back, their number). The same operations on the
+    same rows give the same sums, so a shard's state can be made anew at any time.
     """
-    y = rows.y[:, target]
-    n_train, = yield np.array([rows.train.sum()])
+    n_col = len(offsets) - 1
     trees: list[Tree] = []
-    held = ~rows.train
+    n_train, = yield [("size",)]
     if not n_train:
-        error, n = yield np.array([np.abs(y[held]).sum(), held.sum()])
+        error, n = yield [("base", 0), ("error",)]
         return 0, trees, int(error), int(n)
-    # bits that hold every residual with room to spare
-    sizes = np.zeros(64, dtype=np.int64)
-    if len(y):
-        sizes[int(np.abs(y).max()).bit_length()] = 1
-    sizes = yield sizes
-    bits = min(60, int(np.flatnonzero(sizes)[-1]) + 4)
+    bits = min(60, int(np.flatnonzero((yield [("widths",)]))[-1]) + 4)  # hold every residual with room to spare
     if config.loss == "squared":
-        total, = yield np.array([y[rows.train].sum()])
+        total, = yield [("total",)]
         base = round(int(total) / int(n_train))
     else:
-        at = np.flatnonzero(rows.train)
-        base = int((yield from lower_medians(y[at], np.zeros(len(at), dtype=np.int64), np.array([n_train]), bits))[0])
-    pred = np.full(len(y), base, dtype=np.int64)
-    n_col = rows.codes.shape[1]
+        base = int((yield from medians_plan([("select", None, bits)], np.array([n_train]), bits))[0])
+    ops: list = [("base", base)]
     for t in range(config.rounds):
-        mask = rows.sampled(config.rows_share, config.seed, t)
         columns = np.arange(n_col)
         if config.columns_share < 1:
             k = max(1, round(config.columns_share * n_col))
             columns = np.random.default_rng([config.seed, t]).choice(n_col, k, replace=False)
-        channels = gradients(config.loss, pred, y)
-        grower = Grower(config, rows.offsets, columns)
-        node = np.zeros(len(y), dtype=np.int32)
-        members = {0: np.arange(len(y))}
-        asked = [0]
-        while asked:
-            sums = yield rows.histogram([m[mask[m]] for m in (members[a] for a in asked)], channels)
-            if len(grower.hist) == 1 and not sums[0, 1].any():
-                break  # the draw left no row
-            asked = []
-            for parent, code, left, right, counted in grower.feed(sums):
-                m = members.pop(parent)
-                column = grower.column[code]
-                down = rows.codes[m, column] <= code
-                members[left], members[right] = m[down], m[~down]
-                asked.append(counted)
-        if grower.total[0] is None:
-            continue
+        grower = Grower(config, offsets, columns)
+        sums = yield [*ops, ("root", t)]
+        ops = []
+        if not sums[0, 1].any():
+            continue  # the draw left no row
+        while orders := grower.feed(sums):
+            sums = yield [("split", orders)]
         tree, leaf_of = grower.finish()
-        for n, m in members.items():
-            node[m] = leaf_of[n]
+        ops = [("finish", leaf_of)]
+        step = np.zeros(len(tree.column))
+        leaves = np.array([i for i, c in enumerate(tree.column) if c < 0])
         if config.loss == "absolute":
-            leaves = np.array([i for i, c in enumerate(tree.column) if c < 0])
-            at = np.flatnonzero(mask)
-            group = np.searchsorted(leaves, node[at])
-            medians = yield from lower_medians((y - pred)[at], group.astype(np.int64),
-                                               np.array([tree.total[i][2] for i in leaves]), bits)
-            step = np.zeros(len(tree.column))
-            step[leaves] = medians
+            sizes = np.array([tree.total[i][2] for i in leaves])
+            step[leaves] = yield from medians_plan([*ops, ("select", leaves, bits)], sizes, bits)
+            ops = []
         else:
-            step = np.array([-g / (h + config.l2) * UNIT if c < 0 else 0.0
-                             for c, (g, h, _) in zip(tree.column, tree.total)])
+            for i in leaves:
+                g, h, _ = tree.total[i]
+                step[i] = -g / (h + config.l2) * UNIT
         value = np.rint(config.rate * step).astype(np.int64)
         tree.value = value.tolist()
-        pred += value[node]
+        ops.append(("step", value))
         trees.append(tree)
-    error, n = yield np.array([np.abs((y - pred)[held]).sum(), held.sum()])
+    error, n = yield [*ops, ("error",)]
     return base, trees, int(error), int(n)
 
 
+class Shard:
+    """A fit's state over the rows of a shard, and the operations of its plan.
+
+    ``quiet`` operations change the state without counting (to make a state anew).
+    """
+
+    def __init__(self, rows: Rows, config: BoostConfig, target: int, pred: np.ndarray | None = None):
+        self.rows, self.config, self.y, self.pred = rows, config, rows.y[:, target], pred
+        self.members: dict[int, np.ndarray] = {}
+
+    def do(self, op: tuple, quiet: bool = False):
+        name, *args = op
+        if name in ("root", "split"):
+            return getattr(self, name)(*args, quiet)
+        if quiet and name in ("size", "widths", "total", "digits", "error"):
+            return None
+        return getattr(self, name)(*args)
+
+    def size(self) -> np.ndarray:
+        return np.array([self.rows.train.sum()])
+
+    def widths(self) -> np.ndarray:
+        """Marks the bits of the largest target."""
+        out = np.zeros(64, dtype=np.int64)
+        if len(self.y):
+            out[int(np.abs(self.y).max()).bit_length()] = 1
+        return out
+
+    def total(self) -> np.ndarray:
+        return np.array([self.y[self.rows.train].sum()])
+
+    def base(self, value: int) -> None:
+        self.pred = np.full(len(self.y), value, dtype=np.int64)
+
+    def root(self, t: int, quiet: bool):
+        self.mask = self.rows.sampled(self.config.rows_share, self.config.seed, t)
+        self.members = {0: np.arange(len(self.y))}
+        self.channels = gradients(self.config.loss, self.pred, self.y)
+        return None if quiet else self._count([0])
+
+    def split(self, orders: list, quiet: bool):
+        for parent, code, left, right, _ in orders:
+            m = self.members.pop(parent)
+            column = int(np.searchsorted(self.rows.offsets, code, side="right")) - 1
+            down = self.rows.codes[m, column] <= code
+            self.members[left], self.members[right] = m[down], m[~down]
+        return None if quiet else self._count([o[-1] for o in orders])
+
+    def _count(self, nodes: list[int]) -> np.ndarray:
+        return self.rows.histogram([m[self.mask[m]] for m in (self.members[a] for a in nodes)], self.channels)
+
+    def finish(self, leaf_of: np.ndarray) -> None:
+        self.node = np.zeros(len(self.y), dtype=np.int32)
+        for n, m in self.members.items():
+            self.node[m] = leaf_of[n]
+
+    def select(self, leaves: np.ndarray | None, bits: int) -> None:
+        if leaves is None:
+            at = np.flatnonzero(self.rows.train)
+            self.selection = Selection(self.y[at], np.zeros(len(at), dtype=np.int64), bits)
+        else:
+            at = np.flatnonzero(self.mask)
+            group = np.searchsorted(leaves, self.node[at]).astype(np.int64)
+            self.selection = Selection((self.y - self.pred)[at], group, bits)
+
+    def digits(self, shift: int, digit: int) -> Sparse:
+        return self.selection.digits(shift, digit)
+
+    def narrow(self, shift: int, prefix: np.ndarray) -> None:
+        self.selection.narrow(shift, prefix)
+
+    def step(self, value: np.ndarray) -> None:
+        self.pred = self.pred + value[self.node]
+
+    def error(self) -> np.ndarray:
+        held = ~self.rows.train
+        return np.array([np.abs((self.y - self.pred)[held]).sum(), held.sum()])
+
+
+def boost(rows: Rows, config: BoostConfig, target: int):
+    """A fit as a generator: yields this shard's sums, is sent those of all shards; returns what the plan does."""
+    plan, shard = fit_plan(config, rows.offsets), Shard(rows, config, target)
+    ops = next(plan)
+    while True:
+        for op in ops:
+            got = shard.do(op)
+        try:
+            ops = plan.send((yield got))
+        except StopIteration as e:
+            return e.value
+
+
 # --- exchange -------------------------------------------------------------------------------------
 
 
@@ -386,34 +480,8 @@ def _added(parts: list):
     return out
 
 
-def _small(x):
-    """Whole numbers in the narrowest type that holds them."""
-    if isinstance(x, Sparse):
-        return Sparse(*(_small(v) for v in x))
-    if x.dtype.kind == "f":
-        return x
-    top = int(np.abs(x).max(initial=0))
-    for kind in (np.int8, np.int16, np.int32):
-        if top <= np.iinfo(kind).max:
-            return x.astype(kind)
-    return x
-
-
-def _wide(x):
-    if isinstance(x, Sparse):
-        return Sparse(*(v.astype(np.int64) for v in x))
-    return x if x.dtype.kind == "f" else x.astype(np.int64)
-
-
-def all_gather(local: list) -> list[list]:
-    """What every barrier task gives, to each of them."""
-    said = base64.b64encode(zlib.compress(pickle.dumps([_small(x) for x in local], protocol=5), 1)).decode()
-    got = BarrierTaskContext.get().allGather(said)
-    return [[_wide(x) for x in pickle.loads(zlib.decompress(base64.b64decode(s)))] for s in got]
-
-
 def in_lock_step(fits: list, gather=None) -> list:
-    """Run the fits' generators; each exchange carries the sums of all that are open."""
+    """Run the fits' generators; each exchange (``gather``) carries the sums of all that are open."""
     out: list = [None] * len(fits)
     said: dict = {}
     sums = dict.fromkeys(range(len(fits)))  # sending None starts a generator
@@ -477,55 +545,170 @@ def _binned(cuts: dict[int, list[np.ndarray]]):
     return run
 
 
-def _fit_shard(fits: list[Fit], cuts: dict[int, list[np.ndarray]], n_targets: int, shards: int):
+def _rows_of_blocks(blocks: list[dict], cuts: list[np.ndarray], n_targets: int) -> Rows:
+    """Block rows of one data set as the rows of a shard."""
+    offsets = offsets_of(cuts)
+    kind = np.uint16 if offsets[-1] < 1 << 16 else np.int32
+    codes = [np.frombuffer(p["codes"], "<i4").reshape(p["n"], -1).astype(kind) for p in blocks]
+    return Rows(np.concatenate([np.zeros((0, len(cuts)), kind), *codes]),
+                np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(p["keys"], "<i8") for p in blocks)]),
+                np.concatenate([np.zeros((0, n_targets), np.int64),
+                                *(np.frombuffer(p["ys"], "<i8").reshape(-1, n_targets) for p in blocks)]),
+                np.concatenate([np.zeros(0, bool), *(np.frombuffer(p["train"], bool) for p in blocks)]), offsets)
+
+
+def _fit_here(fits: list[Fit], cuts: dict[int, list[np.ndarray]], n_targets: int):
+    """All rows in one task: the fits in lock step, without any exchange."""
     def run(batches):
         held: dict[int, list] = {}
         for b in batches:
             for r in b.to_pylist():
                 held.setdefault(r["data"], []).append(r)
-        rows = {}
-        for data, c in cuts.items():
-            offsets = offsets_of(c)
-            kind = np.uint16 if offsets[-1] < 1 << 16 else np.int32
-            parts = held.get(data, [])
-            rows[data] = Rows(
-                np.concatenate([np.frombuffer(p["codes"], "<i4").reshape(p["n"], -1).astype(kind) for p in parts])
-                if parts else np.zeros((0, len(c)), kind),
-                np.concatenate([np.frombuffer(p["keys"], "<i8") for p in parts] or [np.zeros(0, np.int64)]),
-                np.concatenate([np.frombuffer(p["ys"], "<i8").reshape(-1, n_targets) for p in parts]
-                               or [np.zeros((0, n_targets), np.int64)]),
-                np.concatenate([np.frombuffer(p["train"], bool) for p in parts] or [np.zeros(0, bool)]), offsets)
-        held.clear()
-        got = in_lock_step([boost(rows[f.data], f.config, f.target) for f in fits],
-                           all_gather if shards > 1 else None)
-        if shards > 1 and BarrierTaskContext.get().partitionId():
-            return  # every shard has the same models; the first gives them
-        for i, (base, trees, error, n) in enumerate(got):
-            cols: list = [[] for _ in _NODES]
-            # the fit's own row: base value, error of the rows held back and their number
-            for c, v in zip(cols, (i, -1, 0, -1, 0, -1, -1, base, error / UNIT, n, 0.0)):
+        rows = {data: _rows_of_blocks(held.pop(data, []), c, n_targets) for data, c in cuts.items()}
+        for i, fitted in enumerate(in_lock_step([boost(rows[f.data], f.config, f.target) for f in fits])):
+            yield _node_batch(i, fitted)
+
+    return run
+
+
+def _node_batch(i: int, fitted: tuple) -> pa.RecordBatch:
+    base, trees, error, n = fitted
+    cols: list = [[] for _ in _NODES]
+    # the fit's own row: base value, error of the rows held back and their number
+    for c, v in zip(cols, (i, -1, 0, -1, 0, -1, -1, base, error / UNIT, n, 0.0)):
+        c.append(v)
+    for t, tree in enumerate(trees):
+        for k in range(len(tree.column)):
+            for c, v in zip(cols, (i, t, k, tree.column[k], tree.cut[k], tree.left[k], tree.right[k],
+                                   tree.value[k], tree.gain[k], tree.total[k][2], tree.total[k][1])):
                 c.append(v)
-            for t, tree in enumerate(trees):
-                for k in range(len(tree.column)):
-                    for c, v in zip(cols, (i, t, k, tree.column[k], tree.cut[k], tree.left[k], tree.right[k],
-                                           tree.value[k], tree.gain[k], tree.total[k][2], tree.total[k][1])):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _NODES)], schema=_NODES)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _NODES)], schema=_NODES)
+
+
+_SUMS = pa.schema([("fit", pa.int32()), ("at", pa.int64()), ("v", pa.int64())])
+
+
+def _shards_of(batches, fits: list[Fit], cuts: dict[int, list[np.ndarray]], n_targets: int, done: dict[int, list]):
+    """Blocks one by one, with the state of every open fit made anew from the stored predictions."""
+    for b in batches:
+        for r in b.to_pylist():
+            rows = _rows_of_blocks([r], cuts[r["data"]], n_targets)
+            shards = {}
+            for i, past in done.items():
+                if fits[i].data != r["data"]:
+                    continue
+                raw = (r["preds"] or [None] * len(fits))[i]
+                shard = shards[i] = Shard(rows, fits[i].config, fits[i].target,
+                                          np.frombuffer(raw, "<i8") if raw else None)
+                for op in past:
+                    shard.do(op, quiet=True)
+            yield r, shards
+
+
+def _ask(fits: list[Fit], cuts, n_targets: int, done: dict[int, list], ops: dict[int, list]):
+    """One step of all open fits over a partition's blocks: sums, added up before they leave the task."""
+    def run(batches):
+        total: dict[int, list] = {}
+        for _, shards in _shards_of(batches, fits, cuts, n_targets, done):
+            for i, shard in shards.items():
+                for op in ops[i]:
+                    got = shard.do(op)
+                total[i] = [_merged([*total.get(i, []), got])]
+        for i, (x,) in total.items():
+            at, v = (x.keys, x.counts) if isinstance(x, Sparse) else (np.flatnonzero(x), x.ravel()[np.flatnonzero(x)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i, np.int32)), pa.array(at.astype(np.int64)),
+                                              pa.array(v.astype(np.int64))], schema=_SUMS)
 
     return run
 
 
+def _merged(parts: list):
+    out = _added(parts)
+    return Sparse(*out) if isinstance(out, tuple) else out
+
+
+def _kept(fits: list[Fit], cuts, n_targets: int, done: dict[int, list]):
+    """Blocks with every fit's predictions after the operations ``done``."""
+    def run(batches):
+        for r, shards in _shards_of(batches, fits, cuts, n_targets, done):
+            old = r["preds"] or [None] * len(fits)
+            preds = [shards[i].pred.astype("<i8").tobytes() if i in shards and shards[i].pred is not None else old[i]
+                     for i in range(len(fits))]
+            yield pa.RecordBatch.from_pylist([dict(r, preds=preds)], schema=_STATE_ARROW)
+
+    return run
+
+
+_STATE = _BLOCK + ", preds array<binary>"
+_STATE_ARROW = pa.schema([("data", pa.int32()), ("n", pa.int32()), *((c, pa.binary()) for c in ("codes", "keys", "ys", "train")),
+                          ("preds", pa.list_(pa.binary()))])
+#: Trees after which predictions are stored, when steps are jobs of their own.
+STORED_TREES = 10
+
+
+def fit_by_jobs(blocks: DataFrame, fits: list[Fit], cuts: dict[int, list[np.ndarray]], n_targets: int,
+                stored_trees: int = STORED_TREES) -> list[tuple]:
+    """The same fits, each step a job: tasks count, a shuffle adds up, the driver decides.
+
+    For more rows than barrier tasks hold at once. A task holds one block at a time. Its state is the block's
+    stored predictions and the operations since, so a lost executor costs its tasks only; predictions are
+    stored anew every ``stored_trees`` trees. What the driver gets is bounded by leaves and bins.
+    """
+    spark = blocks.sparkSession
+    state = blocks.withColumn("preds", F.lit(None).cast("array<binary>"))
+    plans = [fit_plan(f.config, offsets_of(cuts[f.data])) for f in fits]
+    ops = {i: next(p) for i, p in enumerate(plans)}
+    done: dict[int, list] = {i: [] for i in ops}
+    out: list = [None] * len(fits)
+    while ops:
+        rows = state.mapInArrow(_ask(fits, cuts, n_targets, done, ops), "fit int, at long, v long")
+        got = rows.groupBy("fit", "at").agg(F.sum("v").alias("v")).toArrow()
+        fit, at, v = (got.column(c).to_numpy() for c in ("fit", "at", "v"))
+        for i in list(ops):
+            mine = fit == i
+            k, x = at[mine], v[mine]
+            last = ops[i][-1]
+            if last[0] == "digits":
+                o = np.argsort(k)
+                sums = (k[o], x[o])
+            else:
+                width = int(offsets_of(cuts[fits[i].data])[-1])
+                channels = 3 if fits[i].config.loss == "pseudohuber" else 2
+                shape = {"root": (1, channels, width), "size": (1,), "total": (1,), "widths": (64,), "error": (2,)}.get(
+                    last[0]) or (len(last[1]), channels, width)
+                sums = np.zeros(int(np.prod(shape)), dtype=np.int64)
+                sums[k] = x
+                sums = sums.reshape(shape)
+            done[i] += ops[i]
+            try:
+                ops[i] = plans[i].send(sums)
+            except StopIteration as e:
+                out[i] = e.value
+                del ops[i], done[i]
+        if any(sum(op[0] == "step" for op in done[i]) >= stored_trees for i in done):
+            # up to each fit's last finished tree; what came after stays to be done again
+            ends = {i: max((k + 1 for k, op in enumerate(past) if op[0] in ("step", "base")), default=0)
+                    for i, past in done.items()}
+            path = scratch_path(spark, "boost-state")
+            state.mapInArrow(_kept(fits, cuts, n_targets, {i: past[:ends[i]] for i, past in done.items()}),
+                             _STATE).write.parquet(path)
+            state = spark.read.schema(_STATE).parquet(path)
+            done = {i: past[ends[i]:] for i, past in done.items()}
+    return out
+
+
 def slots(spark) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
-def fit_boosted(rows: DataFrame, fits: list[Fit], n_features: int, n_targets: int, shards: int | None = None,
-                cuts: dict[int, list[np.ndarray]] | None = None) -> list["BoostedTrees"]:
+def fit_boosted(rows: DataFrame, fits: list[Fit], n_features: int, n_targets: int,
+                cuts: dict[int, list[np.ndarray]] | None = None, by_jobs: bool | None = None) -> list["BoostedTrees"]:
     """Fit all models over ``rows(data int, key long, x array<double>, y array<double>, train boolean)``.
 
     Rows with ``train`` false are scored, not learnt from: their absolute error is in the model's
-    ``held_error`` and ``held_rows``. Data sets are folds with features of their own. Fits are dealt to
-    groups that run side by side while there are free cores; the fits of a group share each pass.
+    ``held_error`` and ``held_rows``. Data sets are folds with features of their own. Up to ``TASK_ROWS``
+    rows, fits are dealt to groups that run side by side while there are free cores, each in one task; the fits
+    of a group share each pass. Beyond, every step of all fits is one job (``by_jobs``), with the same models.
     """
     spark = rows.sparkSession
     ship_package(spark)
@@ -538,12 +721,17 @@ def fit_boosted(rows: DataFrame, fits: list[Fit], n_features: int, n_targets: in
         cuts = quantile_cuts(table, n_features)
     cuts = {f.data: cuts.get(f.data, [np.zeros(0)] * n_features) for f in fits}
     n = sum(sizes.values())
-    if shards is None:
-        shards = max(1, min(SHARDS, slots(spark), -(-n // SHARD_ROWS)))
+    if by_jobs is None:
+        by_jobs = n > TASK_ROWS
     path = scratch_path(spark, "boost-blocks")
-    table.repartition(max(shards, 1), "key").mapInPandas(_binned(cuts), _BLOCK).write.parquet(path)
+    if by_jobs:
+        table.repartition(max(1, -(-n // BLOCK_ROWS)), "key").mapInPandas(_binned(cuts), _BLOCK).write.parquet(path)
+        got = fit_by_jobs(spark.read.schema(_BLOCK).parquet(path), fits, cuts, n_targets)
+        return [BoostedTrees.from_nodes(_node_batch(i, g).to_pandas(), cuts[f.data], f.config)
+                for i, (f, g) in enumerate(zip(fits, got))]
+    table.mapInPandas(_binned(cuts), _BLOCK).write.parquet(path)
     blocks = spark.read.schema(_BLOCK).parquet(path)
-    groups = max(1, min(len(fits), slots(spark) // shards))
+    groups = max(1, min(len(fits), slots(spark)))
     # fits of many rounds and leaves are spread over the groups
     order = sorted(range(len(fits)), key=lambda i: -fits[i].config.rounds * fits[i].config.most_leaves
                    * sizes.get(fits[i].data, 0))
@@ -552,11 +740,9 @@ def fit_boosted(rows: DataFrame, fits: list[Fit], n_features: int, n_targets: in
     def run(mine: list[int]) -> list[tuple[int, pd.DataFrame]]:
         some = [fits[i] for i in mine]
         used = {f.data for f in some}
-        own = blocks.where(F.col("data").isin(sorted(used)))
-        # a row's place in a shard doesn't matter, since all sums are exact
-        own = own.coalesce(1) if shards == 1 else own.repartition(shards)
-        got = own.mapInArrow(_fit_shard(some, {d: c for d, c in cuts.items() if d in used}, n_targets, shards), NODES,
-                             barrier=shards > 1)
+        # at most TASK_ROWS rows (a row's place doesn't matter, since all sums are exact)
+        own = blocks.where(F.col("data").isin(sorted(used))).coalesce(1)
+        got = own.mapInArrow(_fit_here(some, {d: c for d, c in cuts.items() if d in used}, n_targets), NODES)
         out = scratch_path(spark, "boost-nodes")
         got.write.parquet(out)  # the models of a group; bounded by rounds and leaves
         nodes = spark.read.schema(NODES).parquet(out).toPandas()
