@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -26,7 +27,7 @@ def brute_alignment(texts):
         raw = (" " + (t or "")).encode()
         a = voc.a.encode(" " + t, add_special_tokens=False).ids if t else []
         b = voc.b.encode(t) if t else []
-        ea, eb = AL.ends(a, voc.bytes_a), AL.ends(b, voc.bytes_b)
+        ea, eb = (list(accumulate(len(v[i]) for i in x)) for x, v in ((a, voc.bytes_a), (b, voc.bytes_b)))
         if b"".join(voc.bytes_a[i] for i in a) != raw or b"".join(voc.bytes_b[i] for i in b) != raw:
             docs.append(None)
             continue
@@ -62,7 +63,9 @@ def test_gallop_ranks():
     for _ in range(300):
         long = sorted(rng.sample(range(200), rng.randint(1, 60)))
         short = sorted(rng.sample(range(long[-1] + 1), rng.randint(0, min(20, long[-1] + 1))))
-        assert AL.gallop(short, long) == [sum(y < x for y in long) for x in short]
+        start = np.array([rng.randint(0, sum(y < x for y in long)) for x in short], dtype=np.int64)
+        got = AL.gallop(np.array(short, dtype=np.int64), np.array(long), start, np.full(len(short), len(long)))
+        assert got.tolist() == [sum(y < x for y in long) for x in short]
 
 
 def test_alignment_against_all_ranges(spark):
@@ -93,7 +96,8 @@ def test_alignment_small_blocks_and_groups(spark, monkeypatch):
     for t in texts:
         if t:
             a, b = voc.encode([t])
-            want.update(set(AL.align_ids(a[0], b[0], voc)[1]))
+            got = AL.align_tokens(*(np.array(x) for x in (a[0], [len(a[0])], b[0], [len(b[0])])), voc)
+            want.update(set(zip(got.link_a.tolist(), got.link_b.tolist())))
     assert {(int(p) >> AL.B_BITS, int(p) & (1 << AL.B_BITS) - 1): int(n) for p, n in zip(pairs, held)} == dict(want)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in AL.align(docs, A, B, with_groups=True).collect():

@@ -25,7 +25,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from bisect import bisect_left
+from collections import Counter
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +40,15 @@ from tripsight.llm.common import batch, handover, parts, rows_of
 #: (document, piece) entries, distinct pieces and documents of a block.
 BLOCK_ENTRIES, BLOCK_PIECES, BLOCK_DOCS = 1_000_000, 200_000, 60_000
 #: Texts of which the new pieces are encoded together, and (document, pair) entries expanded at a time.
-CHUNK, EXPAND = 256, 4_000_000
+CHUNK, EXPAND = 256, 1_000_000
 #: Bits of the B id in a pair's code.
 B_BITS = 24
 
+#: Pieces encoded as one text, which saves the libraries' overhead for each text.
+TOGETHER = 24
+
 #: White space beside a space, as the pre-token pattern or Python sees it: no cut there.
-_odd = re.compile(r" \s|\s |^\s|\s$")
+_before, _after = re.compile(r"[^\S ] "), re.compile(r" [^\S ]")
 _cut = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -75,10 +80,34 @@ class Vocabularies:
                 if re.search("[^▁]▁", piece):
                     raise ValueError(f"pieces such as {piece!r} join words; this vocabulary can't be cut at spaces")
 
-    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of each piece, a space before it: A gets the space, B adds it."""
-        got = self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
-        return [e.ids for e in got], self.b.encode(pieces, num_threads=1)
+        self.size_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
+        self.size_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
+        # an id with the mark behind it in a group string: another follows, or its side of the group ends
+        self.marks = [f"{i}{m}" for i in range(len(self.bytes_a)) for m in ",|"]
+        self.marks += [f"{i}{m}" for i in range(len(self.bytes_b)) for m in ",;"]
+
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of each text, a space before it: A gets the space, B adds it."""
+        got = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        return [e.ids for e in got], self.b.encode(texts, num_threads=1)
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, ...]:
+        """Ids of all pieces in turn and their numbers by piece, for A and B; None in place of both if any bytes differ.
+
+        Pieces stand between single spaces, so joined by spaces they give the tokens of each in turn.
+        """
+        joined = [" ".join(pieces[i:i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+        raw = "".join([" " + p for p in pieces]).encode()
+        to = np.cumsum(np.fromiter((len(p.encode()) + 1 for p in pieces), np.int64, len(pieces)))
+        out: list[np.ndarray] = []
+        for got, sizes, tokens in zip(self.encode(joined), (self.size_a, self.size_b), (self.bytes_a, self.bytes_b)):
+            flat = list(chain.from_iterable(got))
+            if b"".join(map(tokens.__getitem__, flat)) != raw:
+                return ()
+            ids = np.array(flat, dtype=np.int64)
+            cuts = np.searchsorted(np.cumsum(sizes[ids]), to) + 1
+            out += [ids, np.diff(cuts, prepend=0)]
+        return tuple(out)
 
 
 _loaded: dict[tuple[str, str], Vocabularies] = {}
@@ -91,63 +120,102 @@ def load(path_a: str, path_b: str) -> Vocabularies:
     return _loaded[key]
 
 
-def gallop(short: list[int], long: list[int]) -> list[int]:
-    """Rank of each value of ``short`` in ``long`` (values of ``long`` below it); both ascend."""
-    out, at, n = [], 0, len(long)
-    for x in short:
-        step, hi = 1, at
-        while hi < n and long[hi] < x:
-            at, hi, step = hi + 1, hi + step, step * 2
-        at = bisect_left(long, x, at, min(hi, n))
-        out.append(at)
-    return out
-
-
-def overlaps(short: list[int], long: list[int]) -> list[tuple[int, int, bool]]:
-    """For each token of ``short``: first and last token of ``long`` it overlaps, and whether both end there.
+def gallop(short: np.ndarray, long: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Rank of each value of ``short`` in ``long`` (first index not below it), searched from ``start`` to ``end``.
 
-    The lists hold end offsets of tokens that cover the same bytes.
+    Exponential steps from the start, then a binary search inside the last step; all values advance together.
     """
-    out, first = [], 0
-    for x, rank in zip(short, gallop(short, long)):
-        same = long[rank] == x
-        out.append((first, rank, same))
-        first = rank + same
-    return out
-
-
-def ends(ids: list[int], sizes: list[bytes]) -> list[int]:
-    out, at = [], 0
-    for i in ids:
-        at += len(sizes[i])
-        out.append(at)
-    return out
-
-
-def align_ids(a: list[int], b: list[int], voc: Vocabularies) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups (A ids, B ids) and links (A id, B id) of one text's tokens."""
-    ends_a, ends_b = ends(a, voc.bytes_a), ends(b, voc.bytes_b)
-    swap = len(b) < len(a)
-    found = overlaps(ends_b, ends_a) if swap else overlaps(ends_a, ends_b)
-    groups, links, s0, l0 = [], [], 0, 0
-    for i, (first, last, same) in enumerate(found):
-        if swap:
-            links += [(a[j], b[i]) for j in range(first, last + 1)]
-        else:
-            links += [(a[i], b[j]) for j in range(first, last + 1)]
-        if same:
-            groups.append((a[l0:last + 1], b[s0:i + 1]) if swap else (a[s0:i + 1], b[l0:last + 1]))
-            s0, l0 = i + 1, last + 1
-    return groups, links
-
-
-def group_text(groups: list[tuple[list[int], list[int]]]) -> str:
-    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+    lo, hi = start.copy(), start.copy()
+    step, far = 1, np.flatnonzero(lo < end)
+    far = far[long[hi[far]] < short[far]]
+    while len(far):
+        lo[far] = hi[far] + 1
+        hi[far] = np.minimum(hi[far] + step, end[far])
+        step *= 2
+        far = far[hi[far] < end[far]]
+        far = far[long[hi[far]] < short[far]]
+    near = np.flatnonzero(lo < hi)
+    while len(near):
+        mid = (lo[near] + hi[near]) >> 1
+        below = long[mid] < short[near]
+        lo[near[below]] = mid[below] + 1
+        hi[near[~below]] = mid[~below]
+        near = near[lo[near] < hi[near]]
+    return lo
+
+
+def expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... (``count`` of them) for each element, in turn."""
+    total = np.cumsum(count)
+    return np.arange(total[-1] if len(total) else 0) - np.repeat(total - count - first, count)
+
+
+class Aligned(NamedTuple):
+    """Alignments of several texts: figures and group strings by text, links (A id, B id) in the texts' order."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    link_a: np.ndarray
+    link_b: np.ndarray
+    text: list[str]
+
+
+def align_tokens(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, voc: Vocabularies) -> Aligned:
+    """Align texts whose ids follow one another in ``a`` and ``b``, ``n_a`` and ``n_b`` to a text.
+
+    The tokens of a text cover the same bytes in both. Each text's shorter list drives the search.
+    """
+    n = len(n_a)
+    end_a, end_b = np.cumsum(voc.size_a[a]), np.cumsum(voc.size_b[b])
+    to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
+    of_link, link_a, link_b, cut_a, cut_b = [], [], [], [], []
+    for by_b in (False, True):
+        texts = np.flatnonzero((n_b < n_a) == by_b)
+        count, to, long_n, long_to = (n_b, to_b, n_a, to_a) if by_b else (n_a, to_a, n_b, to_b)
+        ends, long = (end_b, end_a) if by_b else (end_a, end_b)
+        at = expand(to[texts] - count[texts], count[texts])  # driving tokens
+        text = np.repeat(texts, count[texts])
+        start = (long_to - long_n)[text]
+        rank = gallop(ends[at], long, start, long_to[text])
+        same = long[rank] == ends[at]
+        # a token overlaps from where the one before it ended to its own rank
+        first = np.empty(len(at), dtype=np.int64)
+        if len(at):
+            first[1:] = (rank + same)[:-1]
+            opens = np.r_[True, text[1:] != text[:-1]]
+            first[opens] = start[opens]
+        width = rank - first + 1
+        driving, other = np.repeat(at, width), expand(first, width)
+        of_link.append(np.repeat(text, width))
+        link_a.append(other if by_b else driving)
+        link_b.append(driving if by_b else other)
+        cut_a.append(rank[same] if by_b else at[same])
+        cut_b.append(at[same] if by_b else rank[same])
+    of_link = np.concatenate(of_link)
+    order = np.argsort(of_link, kind="stable")
+    link_a, link_b = np.concatenate(link_a)[order], np.concatenate(link_b)[order]
+    cut_a, cut_b = np.sort(np.concatenate(cut_a)), np.sort(np.concatenate(cut_b))
+    # group strings: each id with the mark behind it, A ids of a group before its B ids
+    group_a, group_b = np.searchsorted(cut_a, np.arange(len(a))), np.searchsorted(cut_b, np.arange(len(b)))
+    before_b = np.r_[0, cut_b + 1]
+    marks = np.empty(len(a) + len(b), dtype=np.int64)
+    marks[np.arange(len(a)) + before_b[group_a]] = 2 * a + (cut_a[group_a] == np.arange(len(a)))
+    marks[np.arange(len(b)) + cut_a[group_b] + 1] = 2 * (b + len(voc.size_a)) + (cut_b[group_b] == np.arange(len(b)))
+    said = list(map(voc.marks.__getitem__, marks.tolist()))
+    edges = np.r_[0, to_a + to_b].tolist()
+    text = ["".join(said[i:j])[:-1] for i, j in zip(edges, edges[1:])]
+    n_groups = np.searchsorted(cut_a, to_a) - np.searchsorted(cut_a, to_a - n_a)
+    return Aligned(n_a, n_b, n_groups, np.bincount(of_link, minlength=n), a[link_a], b[link_b], text)
 
 
 def pieces_of(text: str) -> list[str]:
     """The text cut at single spaces between other characters (the space belongs to what follows)."""
-    return _cut.split(text) if _odd.search(text) else text.split(" ")
+    pieces = text.split(" ")
+    if "" in pieces or _before.search(text) or _after.search(text):
+        return _cut.split(text)
+    return pieces
 
 
 _BLOCKS = pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("shas", pa.binary()), ("entries", pa.binary()),
@@ -163,49 +231,50 @@ class _Block:
     def __init__(self, number: int, voc: Vocabularies, with_groups: bool):
         self.number, self.voc, self.with_groups = number, voc, with_groups
         self.at: dict[str, int] = {}
-        self.n_a, self.n_b, self.n_groups, self.n_links = [], [], [], []
-        self.text: list[str | None] = []  # None: the bytes differ
-        self.codes: list[int] = []
-        self.ids, self.figures, self.shas, self.groups = [], [], [], []
+        self.figures: list[np.ndarray] = []  # n_a, n_b, n_groups, n_links by piece
+        self.codes: list[np.ndarray] = []
+        self.text: dict[str, str | None] = {}  # group string by piece; None: the bytes differ
+        self.ids, self.shas, self.groups = [], [], []
         self.sizes, self.units, self.times = [], [], []
         self.entries = 0
 
-    def learn(self, texts: list[list[str]]) -> None:
-        new = set()
-        for ps in texts:
-            new.update(ps)
-        new = list(new.difference(self.at))
+    def learn(self, new: list[str]) -> None:
+        """Encode and align pieces that the block hasn't met."""
         voc = self.voc
-        for p, a, b in zip(new, *voc.encode(new)):
-            raw = (" " + p).encode("utf-8", "surrogatepass")
-            self.at[p] = len(self.text)
-            if b"".join(map(voc.bytes_a.__getitem__, a)) != raw or b"".join(map(voc.bytes_b.__getitem__, b)) != raw:
-                groups, links, text = [], [], None
-            elif len(a) == 1 or len(b) == 1:  # one token against all of the other list
-                groups, links = [(a, b)], [(x, y) for x in a for y in b]
-                text = group_text(groups)
-            else:
-                groups, links = align_ids(a, b, voc)
-                text = group_text(groups)
-            self.text.append(text)
-            self.n_a.append(len(a))
-            self.n_b.append(len(b))
-            self.n_groups.append(len(groups))
-            self.n_links.append(len(links))
-            self.codes += [x << B_BITS | y for x, y in links]
+        got = voc.encode_pieces(new)
+        good = np.ones(len(new), dtype=bool)
+        if got:
+            a, n_a, b, n_b = got
+        else:  # some piece's bytes differ: one by one
+            ids_a, ids_b = voc.encode(new)
+            for i, p in enumerate(new):
+                raw = (" " + p).encode()
+                good[i] = (b"".join(map(voc.bytes_a.__getitem__, ids_a[i])) == raw
+                           == b"".join(map(voc.bytes_b.__getitem__, ids_b[i])))
+            ids_a, ids_b = ([x if g else [] for x, g in zip(ids, good)] for ids in (ids_a, ids_b))
+            n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids_a, ids_b))
+            a, b = (np.array(list(chain.from_iterable(x)), dtype=np.int64) for x in (ids_a, ids_b))
+        done = align_tokens(a, n_a, b, n_b, voc)
+        first = len(self.at)
+        self.at.update(zip(new, range(first, first + len(new))))
+        self.text.update(zip(new, done.text if good.all() else [t if g else None for t, g in zip(done.text, good)]))
+        self.figures.append(np.stack([done.n_a, done.n_b, done.n_groups, done.n_links]))
+        self.codes.append(done.link_a << B_BITS | done.link_b)
 
     def add(self, ids: list, texts: list[str]) -> None:
         cut = [pieces_of(t) if t else [] for t in texts]
-        self.learn(cut)
-        n_a, n_b, n_groups, n_links = (np.array(x, dtype=np.int64) for x in
-                                       (self.n_a, self.n_b, self.n_groups, self.n_links))
+        counts = [Counter(ps) for ps in cut]
+        new = set()
+        for c in counts:
+            new.update(c)
+        new = list(new.difference(self.at))
+        if new:
+            self.learn(new)
         at, text = self.at.__getitem__, self.text.__getitem__
-        for i, ps in zip(ids, cut):
-            held = list(map(at, ps))
-            said = list(map(text, held))
+        for i, ps, c in zip(ids, cut, counts):
+            said = list(map(text, ps))
             self.ids.append(i)
             if not ps or None in said:
-                self.figures.append((0, 0, 0, 0))
                 self.shas.append(b"")
                 self.sizes.append(0)
                 if self.with_groups:
@@ -215,24 +284,24 @@ class _Block:
             self.shas.append(hashlib.sha256(whole.encode()).digest())
             if self.with_groups:
                 self.groups.append(whole)
-            u, m = np.unique(np.array(held, dtype=np.int64), return_counts=True)
-            self.figures.append((int(m @ n_a[u]), int(m @ n_b[u]), int(m @ n_groups[u]), int(m @ n_links[u])))
-            self.sizes.append(len(u))
-            self.units.append(u)
-            self.times.append(m)
-            self.entries += len(u)
+            self.sizes.append(len(c))
+            self.units.append(np.fromiter(map(at, c), np.int64, len(c)))
+            self.times.append(np.fromiter(c.values(), np.int64, len(c)))
+            self.entries += len(c)
 
     def full(self) -> bool:
         return self.entries >= BLOCK_ENTRIES or len(self.at) >= BLOCK_PIECES or len(self.ids) >= BLOCK_DOCS
 
     def row(self) -> pa.RecordBatch:
-        codes = np.array(self.codes, dtype=np.int64)
-        pairs, local = np.unique(codes, return_inverse=True)
-        bounds = np.concatenate([[0], np.cumsum(np.array(self.n_links, dtype=np.int64))])
-        units = np.concatenate(self.units) if self.units else np.zeros(0, dtype=np.int64)
-        times = np.concatenate(self.times) if self.times else np.zeros(0, dtype=np.int64)
+        none = np.zeros(0, dtype=np.int64)
+        pairs, local = np.unique(np.concatenate([none, *self.codes]), return_inverse=True)
+        by_piece = np.concatenate([np.zeros((4, 0), dtype=np.int64), *self.figures], axis=1)
+        n_links = by_piece[3]
+        bounds = np.concatenate([[0], np.cumsum(n_links)])
+        units, times = np.concatenate([none, *self.units]), np.concatenate([none, *self.times])
         sizes = np.array(self.sizes, dtype=np.int64)
         docs = np.repeat(np.arange(len(sizes)), sizes)
+        figures = [np.bincount(docs, weights=times * f[units], minlength=len(sizes)).astype(np.int64) for f in by_piece]
         # documents that hold each pair linked; a document's entries are expanded together
         held = np.zeros(len(pairs), dtype=np.int64)
         load_ = np.cumsum(bounds[units + 1] - bounds[units]) if len(units) else units
@@ -245,18 +314,17 @@ class _Block:
             hi = int(cuts[-1]) if len(cuts) and cuts[-1] > lo else int(last[last > lo][0])
             u, d = units[lo:hi], docs[lo:hi]
             n = bounds[u + 1] - bounds[u]
-            flat = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bounds[u], n)
-            key = np.unique((np.repeat(d, n) - d[0]) * len(pairs) + local[flat])
+            key = np.unique((np.repeat(d, n) - d[0]) * len(pairs) + local[expand(bounds[u], n)])
             held += np.bincount(key % len(pairs), minlength=len(pairs))
             lo = hi
         keep = held > 0  # pieces of documents without tokens leave pairs that no document holds
         null = np.array([i is None for i in self.ids], dtype=np.int64)
-        figures = np.array([[i or 0 for i in self.ids], null, sizes, *zip(*self.figures)], dtype="<i8")
+        figures = np.stack([np.array([i or 0 for i in self.ids], dtype=np.int64), null, sizes, *figures]).astype("<i8")
         return batch(
             _BLOCKS, block=[self.number], docs=[figures.tobytes()],
             shas=[b"".join(s or bytes(32) for s in self.shas)],
             entries=[np.stack([units.astype("<u4"), times.astype("<u4")]).tobytes()],
-            links=[np.concatenate([[len(self.n_links)], self.n_links, local]).astype("<u4").tobytes()],
+            links=[np.concatenate([[len(n_links)], n_links, local]).astype("<u4").tobytes()],
             pairs=[pairs.astype("<i8").tobytes()], pair_docs=[np.where(keep, held, 0).astype("<i8").tobytes()],
             groups=[self.groups if self.with_groups else None])
 
@@ -266,9 +334,9 @@ def _blocks(path_a: str, path_b: str, with_groups: bool):
         voc = load(path_a, path_b)
         task, n = TaskContext.get().partitionId(), 0
         block = _Block(task << 24, voc, with_groups)
-        for ids, texts in rows_of(batches, "doc_id", "text"):
-            for lo in range(0, len(ids), CHUNK):
-                block.add(ids[lo:lo + CHUNK], texts[lo:lo + CHUNK])
+        for b in batches:
+            for lo in range(0, b.num_rows, CHUNK):
+                block.add(*(b.column(c).slice(lo, CHUNK).to_pylist() for c in ("doc_id", "text")))
                 if block.full():
                     yield block.row()
                     n += 1
