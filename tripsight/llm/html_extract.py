@@ -66,32 +66,63 @@ CUT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "adve
              "recommended", "recommendations", "widget", "pagination", "pager", "login", "paywall", "disclaimer"}
 KEEP_WORDS = {"article", "post", "entry", "content", "main", "story", "text"}
 
+_MARKUP = re.compile("<[a-zA-Z!?/]")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "doubt", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "cut", "doubt", "chars", "links", "tags", "link_tags", "density", "total",
+                 "depth", "block", "article", "main")
 
     def __init__(self, tag: str, parent: "Node | None", cut: bool):
         self.tag, self.parent, self.cut, self.doubt = tag, parent, cut, False
         self.children: list = []  # nodes and strings
         self.chars = self.links = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
+        # what stands above, the node itself included: its depth, the depth of the nearest block, article, main
+        self.depth = parent.depth + 1 if parent else 0
+        self.block = self.depth if tag in BLOCKS or not parent else parent.block
+        self.article = tag == "article" or parent is not None and parent.article
+        self.main = tag == "main" or parent is not None and parent.main
 
 
 class _Builder(HTMLParser):
+    """Builds the DOM in time linear in the page, however deep or broken it is."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None, False)
         self.nodes = [self.root]
-
-    def _inside(self, tags) -> bool:
-        n = self.at
-        while n is not None:
-            if n.tag in tags:
-                return True
-            n = n.parent
-        return False
+        self.open: dict[str, list[Node]] = {}  # open elements by tag, innermost last
+
+    def read(self, html: str) -> None:
+        self.feed(html)
+        while self.rawdata and not self.cdata_elem and _MARKUP.match(self.rawdata):
+            # markup without its end: a broken comment or section ends at the next ">", a broken tag is skipped
+            rest, self.rawdata = self.rawdata, ""
+            if rest.startswith(("<!--", "<![")):
+                rest = rest.replace(rest[:3], "<! ")
+            else:
+                rest = rest[rest.find(">") + 1:] if ">" in rest else ""
+            self.feed(rest)
+        self.close()
+
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # a section of no known kind is a comment up to the next ">"
+            end = self.rawdata.find(">", i)
+            return end + 1 if end >= 0 else -1
+
+    def _leave(self, to: Node) -> None:
+        """Make ``to``, an open element, the current one; what is open below it ends."""
+        while self.at is not to:
+            self.open[self.at.tag].pop()
+            self.at = self.at.parent
+
+    def _deepest(self, tags) -> Node:
+        """The innermost open element of these tags, or the root."""
+        return max((held[-1] for t in tags if (held := self.open.get(t))), key=lambda n: n.depth, default=self.root)
 
     def _cut(self, tag: str, attrs) -> bool:
         """Whether an element never shows article text, whatever it holds."""
@@ -99,7 +130,7 @@ class _Builder(HTMLParser):
             return True
         if tag in ("html", "body"):
             return False
-        article = tag in ("article", "main") or self._inside(("article", "main"))
+        article = tag in ("article", "main") or self.at.article or self.at.main
         if tag == "header" and not article:
             return True
         for name, value in attrs:
@@ -124,36 +155,32 @@ class _Builder(HTMLParser):
             if name in ("class", "id"):
                 words.update(w.lower() for w in _WORD.findall(value))
         if not role and not words & CUT_WORDS and "header" not in words \
-                or tag == "article" and not self._inside(("article",)):
+                or tag == "article" and not self.at.article:
             return False
         if role:
             return True
         if words & CUT_WORDS:
             strong = words & {"comment", "comments", "ad", "ads", "sidebar", "nav", "menu"}
             return bool(strong) or not words & KEEP_WORDS
-        return not words & KEEP_WORDS and tag != "article" and not self._inside(("article", "main"))
+        return not words & KEEP_WORDS and tag != "article" and not (self.at.article or self.at.main)
 
     def _close(self, tags, stop) -> None:
         """End the nearest open element among ``tags``, looking no further up than ``stop``."""
-        n = self.at
-        while n is not self.root and n.tag not in stop:
-            if n.tag in tags:
-                self.at = n.parent
-                return
-            n = n.parent
+        n = self._deepest(tags)
+        if n.depth > self._deepest(stop).depth:
+            self._leave(n.parent)
 
     def handle_starttag(self, tag, attrs):
         if tag == "html":
             return
         if tag == "body":
-            while self.at is not self.root:
-                self.at = self.at.parent
+            self._leave(self.root)
         if tag in ("article", "main"):  # a menu or header left open ends here
             n = self.at
             while n is not self.root and n.tag in ("nav", "header", "footer", "ul", "ol", "li", "a", "p", "span"):
                 n = n.parent
                 if n.tag in ("body", "html", "div", "main"):
-                    self.at = n
+                    self._leave(n)
         if tag in CLOSES_P:
             self._close({"p"}, {"td", "th", "li", "button", "article", "section", "div", "body"})
         for open_tag, (starts, stop) in ENDS.items():
@@ -165,6 +192,7 @@ class _Builder(HTMLParser):
         self.nodes.append(node)
         if tag not in VOID:
             self.at = node
+            self.open.setdefault(tag, []).append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -172,14 +200,10 @@ class _Builder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        n = self.at
-        while n is not self.root:
-            if n.tag == tag:
-                self.at = n.parent
-                return
-            if tag not in BLOCKS and n.tag in BLOCKS:  # an inline end tag doesn't end a block
-                return
-            n = n.parent
+        held = self.open.get(tag)
+        # an inline end tag doesn't end a block
+        if held and (tag in BLOCKS or held[-1].depth > self.at.block):
+            self._leave(held[-1].parent)
 
     def handle_data(self, data):
         if not self.at.cut:
@@ -197,12 +221,12 @@ def _settle(nodes: list[Node]) -> None:
         if not n.cut and n.tag != "a":
             plain[n] = sum(len("".join(c.split())) if isinstance(c, str) else plain.get(c, 0) for c in n.children)
     mains = [n for n in nodes if n.tag == "main" and plain.get(n)]
-    outer = [n for n in nodes if n.tag == "article" and plain.get(n) and "article" not in _above(n)]
+    outer = [n for n in nodes if n.tag == "article" and plain.get(n) and not n.parent.article]
     wrappers = _holders(mains + (outer if len(outer) == 1 else []))
     marked = _holders(mains + outer)
     for n in nodes:
         if n.doubt and n not in wrappers:
-            beside = marked and n not in marked and not _above(n) & {"article", "main"}
+            beside = marked and n not in marked and not (n.parent.article or n.parent.main)
             n.cut = bool(beside) or 2 * plain.get(n, 0) <= plain[nodes[0]]
         n.cut = n.cut or n.parent is not None and n.parent.cut
 
@@ -217,14 +241,6 @@ def _holders(nodes: list[Node]) -> set[Node]:
     return out
 
 
-def _above(n: Node) -> set[str]:
-    """Tags of a node's ancestors."""
-    out = set()
-    while (n := n.parent) is not None:
-        out.add(n.tag)
-    return out
-
-
 def _count(n: Node) -> None:
     """Characters and tags of a node from its measured children."""
     for c in n.children:
@@ -371,8 +387,7 @@ def extract_text(html: str | None) -> str:
         return ""
     for doubt in (True, False):  # if nothing is left, once more without the cuts in doubt
         b = _Builder()
-        b.feed(html)
-        b.close()
+        b.read(html)
         if doubt:
             _settle(b.nodes)
         body = _measure(b.nodes)
