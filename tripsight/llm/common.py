@@ -51,9 +51,30 @@ def handover(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Hand-over tables of this driver that are still there, by application.
+_written: dict[str, list[str]] = {}
+
+
+def handovers(spark: SparkSession) -> list[str]:
+    """The hand-over tables that are still there, in the order they were written."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete hand-over tables, for callers that know their results to be committed: a result still to be
+    computed needs its tables."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+        _written[spark.sparkContext.applicationId].remove(path)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -77,8 +98,7 @@ def batch(schema: pa.Schema, **cols) -> pa.RecordBatch:
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hash of each word, the same on every machine."""
-    h = xxhash.xxh64_intdigest
-    return np.fromiter((h(w) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 _MUL = [np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * k & 0xFFFFFFFFFFFFFFFF | 1) for k in range(64)]
@@ -131,12 +151,11 @@ def _filter_words(batches):
         yield batch(_WORDS, word=at[lo:lo + 100_000], bits=words[at[lo:lo + 100_000]])
 
 
-def only_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose ``col`` is among ``ids(id)``.
+def id_filter(ids: DataFrame):
+    """A condition that holds for every value among ``ids(id)`` and for few others (null for none).
 
-    A Bloom filter of fixed size (4 MB, built by a distributed OR) thins the rows before the exact
-    semi-join, so that wide rows that aren't asked for are not shuffled. When there are more ids
-    than the filter separates, it lets more rows through and the join still decides.
+    A Bloom filter of fixed size (4 MB, built by a distributed OR), whatever the number of ids: with more
+    ids than it separates it lets more values through, so an exact join has to follow.
     """
     got = (ids.select("id").mapInArrow(_filter_words, "word long, bits long")
            .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
@@ -153,4 +172,21 @@ def only_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
             out &= (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         return pd.Series(out)
 
+    return maybe
+
+
+def only_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``col`` is among ``ids(id)``.
+
+    ``id_filter`` thins the rows before the exact semi-join, so that wide rows that aren't asked for are
+    not shuffled.
+    """
+    maybe = id_filter(ids)
     return df.where(maybe(F.col(col))).join(ids.select(F.col("id").alias(col)).distinct(), col, "left_semi")
+
+
+def without_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``col`` is not among ``ids(id)``; rows that ``id_filter`` passes over stay where they are."""
+    marked = df.withColumn("_maybe", id_filter(ids)(F.col(col)))
+    judged = marked.where("_maybe").join(ids.select(F.col("id").alias(col)).distinct(), col, "left_anti")
+    return marked.where(~F.col("_maybe")).unionByName(judged).select(*df.columns)

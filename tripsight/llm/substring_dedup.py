@@ -10,9 +10,9 @@ earlier (smaller id, or same document and earlier start) is removed, word by wor
 3. Each document's stretches around recurring anchors are cut out. A task first runs its own
    stretches through step 4, so a passage that very many documents hold leaves it once; then the
    stretches are dealt by anchor (by window for anchors above ``HOT`` occurrences).
-4. In each shard, batch by batch, recurring passages are confirmed and their windows compiled to a
-   word-level Aho-Corasick automaton that carries each window's first place; all stretches are
-   streamed through it, which finds every occurrence by its words, not by a hash.
+4. In each shard, batch by batch, recurring passages are confirmed and their windows compiled to an
+   Aho-Corasick automaton over runs of five words that carries each window's first place; all stretches
+   are streamed through it, which finds every occurrence by its words, not by a hash.
 5. The places found meet the documents, which drop the covered words.
 
 Defined results: null and empty texts have no words; documents under 20 words keep all; rows that
@@ -37,6 +37,8 @@ from tripsight.llm.common import (as_long, batch, handover, mix64, ngram_hashes,
 
 #: Words of a window and of an anchor phrase.
 WINDOW, PHRASE = 20, 8
+#: Words of a symbol of the automata; a window is ``WINDOW / SYMBOL`` symbols.
+SYMBOL = 5
 SPAN = WINDOW - PHRASE + 1
 #: Occurrences above which an anchor's windows are dealt one by one.
 HOT = 20_000
@@ -49,8 +51,13 @@ def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     g = ngram_hashes(h, PHRASE)
     if len(h) < WINDOW:
         return g, np.empty(0, dtype=np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(g, SPAN)
-    return g, view.argmin(axis=1) + np.arange(len(view))
+    n = len(g) - SPAN + 1
+    least, at = g, np.arange(len(g))
+    for step in (1, 2, 4):  # leftmost smallest of 2, 4, 8 phrases, then of SPAN
+        later = least[step:] < least[:-step]
+        at, least = np.where(later, at[step:], at[:-step]), np.where(later, least[step:], least[:-step])
+    later = least[SPAN - 8:SPAN - 8 + n] < least[:n]
+    return g, np.where(later, at[SPAN - 8:SPAN - 8 + n], at[:n])
 
 
 _DOCS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("sha", pa.binary()), ("anchors", pa.binary())])
@@ -90,19 +97,35 @@ def _spread(batches):
                             doc_id=np.repeat(np.array(ids[lo:lo + 500], dtype=np.int64), [len(r) // 16 for r in sub]))
 
 
+def _pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Numbers of the distinct pairs of two numberings (exact: a pair is one whole number)."""
+    return np.unique(x * (int(y.max(initial=0)) + 1) + y, return_inverse=True)[1]
+
+
+def symbols(seq: np.ndarray) -> np.ndarray:
+    """For each place the number of the distinct run of ``SYMBOL`` words that begins there."""
+    two = _pairs(seq[:-1], seq[1:])
+    return _pairs(_pairs(two[:-2], two[2:])[:-1], seq[4:])
+
+
 def repeated(stretches: list[tuple[int, int, list[bytes]]]) -> list[np.ndarray]:
     """For each stretch (id, start, words), in order of id and start: the offsets of its windows
-    whose words also stand earlier in the list."""
+    whose words also stand earlier in the list.
+
+    The automaton reads runs of five words as one symbol, numbered exactly by their words, so a window
+    is four symbols; a stretch is streamed once from each of its first five places. A number is read as
+    two digits (of different kinds), since a node's children are searched one by one.
+    """
     out = [np.empty(0, dtype=np.int64)] * len(stretches)
     sizes = np.array([len(words) for _, _, words in stretches], dtype=np.int64)
     if not len(sizes) or sizes.sum() < WINDOW:
         return out
     words = list(chain.from_iterable(w for _, _, w in stretches))
     ids = {w: i for i, w in enumerate(dict.fromkeys(words), 1)}
-    seq = list(map(ids.__getitem__, words))
+    seq = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
     begin = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    windows = ngram_hashes(mix64(np.array(seq, dtype=np.uint64)), WINDOW)
+    windows = ngram_hashes(mix64(seq.view(np.uint64)), WINDOW)
     valid = np.flatnonzero(owner[:len(windows)] == owner[WINDOW - 1:WINDOW - 1 + len(windows)])
     if len(valid) < 2:
         return out
@@ -111,16 +134,25 @@ def repeated(stretches: list[tuple[int, int, list[bytes]]]) -> list[np.ndarray]:
     again = np.flatnonzero(count > 1)
     if not len(again):
         return out
+    coded = symbols(seq)
+    base = int(np.sqrt(len(coded))) + 1
+    digits = np.stack([coded // base, coded % base + base + 1], axis=1)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for p in valid[first[again]].tolist():
-        automaton.add_word(tuple(seq[p:p + WINDOW]), p + 1)
+    places = valid[first[again]]
+    keys = np.concatenate([digits[places + k] for k in range(0, WINDOW, SYMBOL)], axis=1)
+    for p, key in zip((places + 1).tolist(), map(tuple, keys.tolist())):
+        automaton.add_word(key, p)
     automaton.make_automaton()
     for s in np.unique(owner[valid[count[inverse] > 1]]).tolist():
-        b = int(begin[s])
-        hits = [end - WINDOW + 1 for end, p in automaton.iter(tuple(seq[b:b + int(sizes[s])]))
-                if p - 1 != b + end - WINDOW + 1]
+        b, n = int(begin[s]), int(sizes[s])
+        hits = []
+        for o in range(SYMBOL):
+            for end, p in automaton.iter(tuple(digits[b + o:b + n - SYMBOL + 1:SYMBOL].ravel().tolist())):
+                at = o + SYMBOL * (end // 2 + 1) - WINDOW
+                if p - 1 != b + at:
+                    hits.append(at)
         if hits:
-            out[s] = np.array(hits, dtype=np.int64)
+            out[s] = np.sort(np.array(hits, dtype=np.int64))
     return out
 
 
@@ -265,7 +297,8 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     firsts = (seen.join(owners.withColumnRenamed("owner", "doc_id"), "doc_id", "left_semi")
               .select("doc_id", "anchors").dropDuplicates(["doc_id"]))
     places = firsts.mapInArrow(_spread, "h long, doc_id long, at int")
-    again = places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    # counts are combined in the scan tasks; written, so that the join can split a very common anchor's rows
+    again = handover(places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "anchor-counts")
     marked = (places.join(again, "h")
               .select("doc_id", (F.col("at") * 2 + (F.col("n") > HOT).cast("int")).alias("place"))
               .groupBy("doc_id").agg(F.collect_list("place").alias("places")))
