@@ -154,6 +154,9 @@ def _strings(node: list, prefix: bytes) -> Iterator[tuple[bytes, int, int]]:
         stack.extend((c, key) for c in node[1].values())
 
 
+#: Rows of a run at most (a run of copies adds no bytes to its trie).
+RUN_ROWS = 200_000
+
 _OWNED = pa.schema([("doc_id", pa.int64()), ("owner_id", pa.int64()), ("block", pa.string()), ("sha", pa.binary()),
                     ("norm", pa.string()), ("copies", pa.int64())])
 
@@ -189,7 +192,7 @@ def _local_owners(budget: int):
                 ident = _NO_ID if ident is None else ident
                 trie.insert(key, ident)
                 run.append((ident, key, sha))
-                if trie.bytes > budget:
+                if trie.bytes > budget or len(run) >= RUN_ROWS:
                     yield from flush(run, trie, f"{task}-{n}")
                     run, trie, interned, n = [], PatriciaTrie(budget), {}, n + 1
         if run:
