@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,6 +48,8 @@ SHARED_QUEUES = 64
 CREDIT = 1 << 16
 #: Entries of a worker's word cache before it starts again, and the longest word it keeps.
 CACHE, CACHED_WORD = 700_000, 40
+#: Entries that a worker may keep from one task to the next.
+KEPT_WORDS = 150_000
 #: Texts encoded at a time.
 CHUNK = 512
 #: Bytes of ids beyond which an Arrow batch leaves the task.
@@ -159,6 +160,8 @@ def _tokenised(path: str, end_id: int):
                         rows, size = [], 0
                 if rows:
                     yield batch(_IDS, **dict(zip(_IDS.names, map(list, zip(*rows)))))
+        if len(_words.get(path, ())) > KEPT_WORDS:  # workers outlive the task
+            _words.pop(path)
 
     return run
 
@@ -250,44 +253,52 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
 PIECES_DDL = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
-def cut(start: int, n: int, queue: int, placer: Placer, tails: np.ndarray, granule: int, window: int
-        ) -> Iterator[tuple[int, int, int, int]]:
-    """Pieces (start in document, length, sequence, offset) of queue tokens [start, start + n)."""
-    whole = int(placer.total[queue]) * granule  # tokens of the queue in whole granules
+def cut(start: np.ndarray, n: np.ndarray, queue: np.ndarray, placer: Placer, tails: np.ndarray, granule: int,
+        window: int) -> tuple[np.ndarray, ...]:
+    """Pieces of documents that hold tokens [start, start + n) of their queues.
+
+    Returns document, start in document, length, sequence and offset, ordered by document and start.
+    """
+    docs, los, his, places = [], [], [], []
     end = start + n
-    edges = []
-    if start < whole:
-        j = np.arange(start // granule, (min(end, whole) - 1) // granule + 1, dtype=np.int64)
-        lo = np.maximum(j * granule, start)
-        hi = np.minimum((j + 1) * granule, min(end, whole))
-        edges.append((lo, hi, placer.place(queue, j) * granule + lo - j * granule))
-    if end > whole:  # the queue's last, partial granule lies behind all whole ones
-        lo = max(start, whole)
-        edges.append((np.array([lo]), np.array([end]), np.array([tails[queue] + lo - whole])))
-    lo, hi, pos = (np.concatenate(x) for x in zip(*edges))
-    # granules are cut at the window's edge only if the window isn't a multiple of the granule,
-    # but a tail may cross it
-    seq = pos // window
-    over = np.flatnonzero((pos + hi - lo - 1) // window > seq)
+    for q in np.unique(queue):
+        whole = int(placer.total[q]) * granule  # tokens of the queue in whole granules
+        d = np.flatnonzero((queue == q) & (start < whole))
+        if len(d):
+            first = start[d] // granule
+            count = (np.minimum(end[d], whole) - 1) // granule - first + 1
+            at = np.repeat(d, count)
+            j = np.arange(len(at)) - np.repeat(np.cumsum(count) - count - first, count)
+            lo = np.maximum(j * granule, start[at])
+            docs.append(at)
+            los.append(lo)
+            his.append(np.minimum((j + 1) * granule, np.minimum(end[at], whole)))
+            places.append(placer.place(int(q), j) * granule + lo - j * granule)
+        d = np.flatnonzero((queue == q) & (end > whole))
+        if len(d):  # the queue's last, partial granule lies behind all whole ones
+            lo = np.maximum(start[d], whole)
+            docs.append(d)
+            los.append(lo)
+            his.append(end[d])
+            places.append(tails[q] + lo - whole)
+    doc, lo, hi, pos = (np.concatenate(x) for x in (docs, los, his, places))
+    # a granule lies in one window, but a tail (shorter than one) may cross an edge
+    room = (pos // window + 1) * window - pos
+    over = np.flatnonzero(hi - lo > room)
     if len(over):
-        lo, hi, pos = lo.tolist(), hi.tolist(), pos.tolist()
-        i = 0
-        while i < len(lo):
-            room = (pos[i] // window + 1) * window - pos[i]
-            if hi[i] - lo[i] > room:
-                lo.insert(i + 1, lo[i] + room)
-                hi.insert(i + 1, hi[i])
-                pos.insert(i + 1, pos[i] + room)
-                hi[i] = lo[i] + room
-            i += 1
-        lo, hi, pos = np.array(lo), np.array(hi), np.array(pos)
-        seq = pos // window
+        cross = lo[over] + room[over]
+        doc, lo, hi, pos = (np.concatenate(x) for x in (
+            (doc, doc[over]), (lo, cross), (hi, hi[over]), (pos, pos[over] + room[over])))
+        hi[over] = cross
+    o = np.lexsort((lo, doc))
+    doc, lo, hi, pos = doc[o], lo[o], hi[o], pos[o]
+    seq = pos // window
     # neighbours that follow each other in the same sequence are one piece
-    new = np.r_[True, (pos[1:] != pos[:-1] + hi[:-1] - lo[:-1]) | (seq[1:] != seq[:-1])]
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + hi[:-1] - lo[:-1]) | (seq[1:] != seq[:-1])]
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(lo)] - 1
-    for a, b in zip(first, last):
-        yield int(lo[a]) - start, int(hi[b] - lo[a]), int(seq[a]), int(pos[a] % window)
+    doc = doc[first]
+    return doc, lo[first] - start[doc], hi[last] - lo[first], seq[first], pos[first] % window
 
 
 def _pieces(totals: np.ndarray, granule: int, window: int, weights: np.ndarray):
@@ -296,18 +307,24 @@ def _pieces(totals: np.ndarray, granule: int, window: int, weights: np.ndarray):
         placer = Placer(totals // granule, phases)
         rest = totals % granule
         tails = int((totals // granule).sum()) * granule + np.r_[0, np.cumsum(rest)[:-1]]
-        rows, size = [], 0
-        for doc_ids, queues, starts, ns, raws in rows_of(batches, "doc_id", "queue", "begin", "n", "ids"):
-            for d, q, s, n, raw in zip(doc_ids, queues, starts, ns, raws):
-                ids = np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * n else "<u4").astype("<u4")
-                for at, length, seq, off in cut(s, n, q, placer, tails, granule, window):
-                    rows.append((d, at, length, n, seq, off, ids[at:at + length].tobytes()))
-                    size += 4 * length + 60
-                    if size > OUT_BYTES:
-                        yield batch(_PIECES, **dict(zip(_PIECES.names, map(list, zip(*rows)))))
-                        rows, size = [], 0
-        if rows:
-            yield batch(_PIECES, **dict(zip(_PIECES.names, map(list, zip(*rows)))))
+        for b in batches:
+            names = ("queue", "begin", "n")
+            queue, begin, n = (b.column(b.schema.get_field_index(c)).to_numpy() for c in names)
+            doc_ids, raws = (b.column(b.schema.get_field_index(c)) for c in ("doc_id", "ids"))
+            edges = np.r_[0, np.cumsum(4 * n + 60)]
+            lo = 0
+            while lo < b.num_rows:  # as many documents as fit an Arrow batch, one at least
+                hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + OUT_BYTES, side="right")) - 1)
+                doc, at, length, seq, off = cut(begin[lo:hi], n[lo:hi], queue[lo:hi], placer, tails, granule, window)
+                # a document's pieces cover its ids in order, so all ids of the batch are one buffer
+                ids = b"".join(np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * k else "<u4").astype("<u4").tobytes()
+                               for raw, k in zip(raws.slice(lo, hi - lo).to_pylist(), n[lo:hi].tolist()))
+                bounds = np.r_[0, np.cumsum(4 * length)].astype(np.int32)
+                yield batch(_PIECES, doc_id=doc_ids.slice(lo, hi - lo).take(pa.array(doc)), start=at, length=length,
+                            doc_tokens=n[lo:hi][doc], sequence_id=seq, offset=off,
+                            ids=pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(bounds),
+                                                                                pa.py_buffer(ids)]))
+                lo = hi
 
     return run
 
