@@ -69,7 +69,9 @@ def materialized(spark, name: str, sf_dir: str, cfg, build, partition_by: str) -
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
     path = scratch_path(spark, name)
-    build().write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    # rows of a folder come together in partitions of the advisory size (large folders are split), so a
+    # folder holds files of that size and not one for each scan task
+    build().hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     _WRITTEN[key] = path
     return spark.read.parquet(path)
 
