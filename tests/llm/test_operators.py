@@ -49,6 +49,23 @@ def norm(t):
     return re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
 
 
+def test_exact_dedup_of_many_equal_rows(spark, monkeypatch):
+    """A run of copies is flushed by its rows, although its trie stays small."""
+    from tripsight.llm import exact_dedup as X
+    taken = []
+    real = X.PatriciaTrie
+    monkeypatch.setattr(X, "RUN_ROWS", 500)
+    monkeypatch.setattr(X, "PatriciaTrie", lambda *a, **k: taken.append(1) or real(*a, **k))
+    rows = X.pa.RecordBatch.from_pylist([{"doc_id": i, "norm": "", "sha": b"s"} for i in range(2_100)])
+    monkeypatch.setattr(X.TaskContext, "get", staticmethod(lambda: type("T", (), {"partitionId": lambda self: 3})()))
+    out = [r for b in X._local_owners(1 << 20)([rows]) for r in b.to_pylist()]
+    assert len(out) == 2_100 and len({r["block"] for r in out}) == 5
+    assert [r["owner_id"] for r in out] == [i // 500 * 500 for i in range(2_100)]
+    docs = spark.range(300_000).selectExpr("id as doc_id", "'' as text").coalesce(1)
+    got = X.exact_dedup(docs)
+    assert got.where("kept").count() == 1 and got.where("group_size = 300000 and keep_id = 0").count() == 300_000
+
+
 @pytest.mark.parametrize("budget", [1 << 20, 2000])
 def test_exact_dedup(spark, budget):
     from tripsight.llm.exact_dedup import exact_dedup
@@ -404,6 +421,43 @@ def test_licenses(spark):
                    (5, 2, "proprietary")]
 
 
+BROKEN = ["<![foo[ bar ]]><p>a</p>", "<![ x", "<p>a</p><!", "<p>a</p><!-- b", "<p>a</p><b", "<p>a</p></", "<", "</", "<!-", "&#x;",
+          "<a href=\"", "<p a='>b", "<?", "<?x <p>a</p>", "<![CDATA[ x <p>a</p>", "<!DOCTYPE [ <!ELEMENT ", "<\x00", "&#99999999;"]
+
+
+def test_broken_markup_never_stops(spark):
+    """Random cuts and marks in pages, and as one Spark job with the known broken ones."""
+    import random
+    from tripsight.llm.html_extract import extract_pages, extract_text
+    pages = [r.html or "" for r in spark.read.parquet(f"{SF}/pages.parquet").limit(60).collect()]
+    rng = random.Random(8)
+    marks = ["<", ">", '"', "<![foo[", "<!--", "]]>", "</p>", "<div>", "&", "<script>", "<![", "\x00", "<article>", "</b>"]
+    cut = list(BROKEN)
+    for _ in range(400):
+        h = rng.choice(pages)
+        for _ in range(rng.randint(1, 8)):
+            i = rng.randrange(len(h) + 1)
+            h = h[:i] + (rng.choice(marks) if rng.random() < 0.6 else "") + h[i + rng.randint(0, 30):]
+        cut.append(h)
+    for h in cut:
+        assert isinstance(extract_text(h), str)
+    df = spark.createDataFrame([(i, None, h) for i, h in enumerate(cut)], "page_id long, url string, html string")
+    assert extract_pages(df).count() == len(cut)
+    assert extract_text("<p>before</p><!-- open <p>after</p>").startswith("before")
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<b>" * 100_000 + "x" + "</a>" * 100_000,
+                                  "<section>" + "<i>" * 20_000 + "<p>x</p>" * 20_000 + "</section>" * 20_000,
+                                  "<!--x>" * 100_000 + "x", "<a " * 50_000, "<a><div>" + "<b>" * 50_000 + "</a>" * 50_000],
+                         ids=["divs", "inline", "mixed", "comments", "open tag", "unmatched"])
+def test_deep_and_broken_pages_take_linear_time(page):
+    import time
+    from tripsight.llm.html_extract import extract_text
+    began = time.process_time()
+    extract_text(page)
+    assert time.process_time() - began < 20
+
+
 # --- empty tables, oracles, pipeline
 
 def test_empty_tables(spark):
@@ -445,6 +499,66 @@ def test_pipeline(spark):
     assert {r.doc_id for r in got} == before
 
 
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    """Each filtering stage on its own input: what stays, by comparing all texts with each other."""
+    import shutil
+    import corpus_pipeline as P
+    from tripsight.llm.decontamination import contamination
+    for name in ("labels", "benchmark"):
+        shutil.copy(f"{SF}/{name}.parquet", tmp_path)
+    spark.read.parquet(f"{SF}/documents.parquet").withColumns(  # clashing names
+        {"_row": F.lit("x"), "id": F.lit(1), "_file": F.lit(2.0), "group": F.lit(None).cast("int"), "_maybe": F.lit(True)}
+    ).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    first: dict[str, int] = {}
+    for i in sorted(rows):
+        first.setdefault(norm(rows[i]), i)
+    assert sorted(r.doc_id for r in P.exact(spark, docs, str(tmp_path)).collect()) == sorted(first.values())
+    sets = {}
+    for i, t in rows.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {i: i for i in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(rows)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b]:
+                n = len(sets[a] & sets[b])
+                if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
+                    x, y = sorted((find(a), find(b)))
+                    root[y] = x
+    got = sorted(r.doc_id for r in P.near(spark, docs, str(tmp_path)).collect())
+    assert got == [i for i in ids if find(i) == i]
+    bad = {r.doc_id for r in contamination(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    got = sorted(r.doc_id for r in P.decontaminate(spark, docs, str(tmp_path)).collect())
+    assert bad and got == [i for i in ids if i not in bad]
+
+
+def test_pipeline_deletes_what_is_no_longer_needed(spark, tmp_path):
+    import corpus_pipeline as P
+    from tripsight.llm.common import handovers
+    before = len(handovers(spark))
+    n = P.run(spark, SF).count()
+    left = len(handovers(spark)) - before
+    assert n > 0 and left < 12  # the last stages' tables
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import shutil
+    import corpus_pipeline as P
+    for name in ("labels", "benchmark"):
+        shutil.copy(f"{SF}/{name}.parquet", tmp_path)
+    spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert P.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_of_null_and_repeated_ids(spark, tmp_path):
     import shutil
     import corpus_pipeline as P
