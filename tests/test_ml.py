@@ -206,3 +206,12 @@ def test_decision_tree_against_brute_force(spark):
     out = model.transform(df.withColumn("features", array_to_vector("x"))).select("x", "pred_fare_amount").collect()
     exact = {tuple(r): w for r, w in zip(x.tolist(), want)}
     assert [r.pred_fare_amount for r in out] == pytest.approx([exact[tuple(r.x)] for r in out])
+
+
+def test_large_tables_are_spread_over_tasks(spark, monkeypatch):
+    """A training table of one large file is fitted by many tasks, whose partitions have few rows; none is lost."""
+    df = spark.range(1000).withColumnRenamed("id", "trip_id").coalesce(1)
+    assert ML.spread(df, 1000) is df
+    monkeypatch.setattr(ML, "MOST_ROWS", 100)
+    got = ML.spread(df, 1000).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(got) > 5 and sum(r["count"] for r in got) == 1000 and max(r["count"] for r in got) < 250

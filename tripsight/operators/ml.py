@@ -116,6 +116,8 @@ BOOSTED = {
 #: Training rows to a partition of the cached features. A tree level is a small job, so partitions
 #: of a few thousand rows cost more to schedule than to read.
 ROWS_PER_PARTITION = 25_000
+#: Rows of a partition at most: a written table has few, large files, each of which one task reads.
+MOST_ROWS = 100_000
 
 
 def make_model(family: str, target: str, **params):
@@ -155,6 +157,11 @@ def boost_rows(features: DataFrame, log_target: bool = False, data: int = 0, tra
                            (F.lit(True) if train is None else train).alias("train"))
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (with a ``trip_id``) in partitions of ``MOST_ROWS`` rows at most; small tables stay as they are."""
+    return df if rows <= MOST_ROWS else df.repartition(-(-rows // MOST_ROWS), "trip_id")
+
+
 def fit_run(train: DataFrame, zones: DataFrame, family: str, log_target: bool = False, params: dict | None = None,
             cfg: C.RunConfig = C.DEFAULT) -> FittedRun:
     """Fit the feature state once, then one model per target on the cached feature frame.
@@ -168,6 +175,8 @@ def fit_run(train: DataFrame, zones: DataFrame, family: str, log_target: bool =
     def own(k: str) -> dict:
         return params.get(k, {}) if set(params) & set(TARGET_KEYS) else params
 
+    n = train.count()
+    train = spread(train, n)
     fm = feature_pipeline(zones, cfg).fit(train)
     if family in BOOSTED:
         t0 = time.time()
@@ -183,7 +192,6 @@ def fit_run(train: DataFrame, zones: DataFrame, family: str, log_target: bool =
     if log_target:
         feats = feats.select("features", *[F.log1p(F.col(t)).alias(t) for t in TARGET_KEYS.values()])
     # narrow merge of small scan partitions; many partitions stay as they are
-    n = train.count()
     feats = feats.coalesce(max(1, -(-n // ROWS_PER_PARTITION))).cache()
 
     def fit_one(kt):

@@ -766,6 +766,7 @@ def forget() -> None:
 def ml_eval(spark, sf_dir, family, log_target=False, name=None):
     _, test = train_test(spark, sf_dir)
     run = fitted(spark, sf_dir, family, log_target)
+    test = ML.spread(test, test.count())
     return ML.with_cost(ML.evaluate_run(run, test, name), ML.scoring_cost(run.predict(test)))
 
 
