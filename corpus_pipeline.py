@@ -44,6 +44,11 @@ PLACE_BITS = 36
 BROADCAST_FILES = 100_000
 
 
+#: Bytes of rows that travel to a Python worker at a time (10,000 documents are some 50 MB, held by the JVM, by
+#: Arrow and as Python objects at once, for every core and Python step of a task).
+BATCH_BYTES = 4 << 20
+
+
 #: What a stage handed over to itself when it last ran, by application and stage.
 _done: dict[tuple[str, str], list[str]] = {}
 
@@ -57,10 +62,12 @@ def _is_scan(docs: DataFrame) -> bool:
 def _stage(f):
     """A stage that deletes the tables of the stage before it, if ``docs`` is its written result.
 
+    Batches for Python are bounded by their bytes; the result is computed later, so the setting stays.
     Stages run one after another (a second chain may follow, not interleave).
     """
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         app = spark.sparkContext.applicationId
         names = [s.__name__ for _, s in STAGES]
         at = names.index(f.__name__)

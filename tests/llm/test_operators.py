@@ -586,3 +586,35 @@ def test_pipeline_of_null_and_repeated_ids(spark, tmp_path):
     assert first.count() == kept.count()
     count = {r.doc_id: r["count"] for r in first.where(new).groupBy("doc_id").count().collect()}
     assert count == {None: 1, 10 ** 9 + 1: 2, 10 ** 9 + 2: 1}
+
+
+def test_pipeline_stages_bound_the_bytes_of_a_python_batch(spark):
+    import corpus_pipeline as P
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    docs = spark.createDataFrame([(1, "Some words.", "en", "a", 11)], "doc_id long, text string, lang string, source string, n_chars long")
+    P.packing(spark, docs, "")
+    big = spark.range(300, numPartitions=1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    try:
+        got = [r.n for r in big.mapInArrow(sizes, "n long").collect()]
+    finally:
+        spark.conf.unset(key)
+    assert sum(got) > 300 * 100_000 and max(got) <= P.BATCH_BYTES + 200_000
+
+
+def test_quality_stage_does_not_depend_on_batches(spark, monkeypatch):
+    import corpus_pipeline as P
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = []
+    for size in (1 << 14, 64 << 20):
+        monkeypatch.setattr(P, "BATCH_BYTES", size)
+        kept.append(sorted(r.doc_id for r in P.quality(spark, docs, "/root/testdata/sf0.01").collect()))
+    spark.conf.unset(key)
+    assert kept[0] == kept[1] and kept[0]
