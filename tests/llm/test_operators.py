@@ -618,3 +618,36 @@ def test_quality_stage_does_not_depend_on_batches(spark, monkeypatch):
         kept.append(sorted(r.doc_id for r in P.quality(spark, docs, "/root/testdata/sf0.01").collect()))
     spark.conf.unset(key)
     assert kept[0] == kept[1] and kept[0]
+
+
+def test_license_training_counts_every_ordinary_paragraph(spark):
+    from tripsight.llm.licenses import ordinary_counts
+    texts = [(i, f"The general plan {i}\n\nsome free words\nNo license here") for i in range(6000)]
+    got = {}
+    for r in ordinary_counts(frame(spark, texts)).collect():
+        got[tuple(r.grams)] = got.get(tuple(r.grams), 0) + r.n
+    # two lines of a document are ordinary, the last has a cue; only words of notices are kept
+    assert sum(got.values()) == 12_000 and len(got) == 2
+    assert {k for k in got if "plan" in k} == {("general", "plan", "the", "the general")}
+
+
+def test_license_grams_are_those_of_the_words(spark):
+    from tripsight.llm import licenses as N
+    rows = spark.createDataFrame(N._known_rows(), "paragraph string, label double").select(
+        N.words_col(F.col("paragraph")).alias("w"))
+    words = [r.w for r in rows.collect()]
+    assert sorted({g for w in words for g in [*w, *map(" ".join, zip(w, w[1:]))]}) == N.GRAMS
+    got = [r.g for r in rows.select(N.grams_col(F.col("w")).alias("g")).collect()]
+    assert got == [sorted({*w, *map(" ".join, zip(w, w[1:]))}) for w in words]
+    odd = spark.createDataFrame([([],), (["zzz"],), (["zzz", "the", "zzz"],)], "w array<string>")
+    assert [r.g for r in odd.select(N.grams_col(F.col("w")).alias("g")).collect()] == [[], [], ["the"]]
+
+
+def test_license_threshold_counts_all_held_back(spark):
+    from tripsight.llm.licenses import ALPHA, FLOOR, _threshold
+    rows = [(0.01, 10_000), (0.7, 9), (0.9, 3), (0.99, 2)]
+    got = _threshold(spark.createDataFrame(rows, "p double, n long"))
+    above = sum(n for p, n in rows if p > got)
+    assert above <= ALPHA * sum(n for _, n in rows) and 0.7 <= got < 0.71
+    assert _threshold(spark.createDataFrame([], "p double, n long")) == 0.0 < FLOOR
+    assert _threshold(spark.createDataFrame([(1.0, 5)], "p double, n long")) == pytest.approx(1.0)

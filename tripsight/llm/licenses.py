@@ -1,15 +1,17 @@
 """Licence scan: a paragraph classifier with a calibrated unknown class and template comparison.
 
-Every paragraph (line) of every document becomes hashed counts of its words and word pairs. A
+Every paragraph (line) of every document becomes the set of its words and word pairs that a notice
+or a lookalike holds (``GRAMS``; other words have no part in any notice and weigh nothing). A
 multinomial logistic regression over these sparse features tells licence families from ordinary
 text. A paragraph counts as licence-like if its best family is more likely than a threshold that at
 most ``ALPHA`` of held-back ordinary paragraphs exceed; it is confirmed if it holds at least
 ``OVERLAP`` of the word triples of one of the family's templates, otherwise its licence is unknown.
 
 Everything runs in the JVM: DataFrame functions and the DataFrame-based learner. Training uses the
-templates (whole, and set between other words) and at most ``NEGATIVES`` ordinary paragraphs, taken
-by a hash from at most ``SAMPLE_DOCS`` documents, as documented bounds; all paragraphs are scored.
-Only licence-like paragraphs leave the scan.
+templates (whole, and set between other words) and every paragraph of every document without a cue:
+paragraphs with the same set of grams are one weighted row, three quarters of them (by a hash) are
+learnt from, the threshold comes from the counts of the last quarter. Only licence-like paragraphs
+leave the scan.
 
 Defined results: null and empty texts have no paragraphs and licence 'none'; ties between
 paragraphs go to the likelier, then to the earlier one; repeated rows and null ids give one row
@@ -18,18 +20,22 @@ each with the same result as a single row; an empty table gives no rows; extra c
 
 from __future__ import annotations
 
+import math
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Hash buckets of words and of word pairs.
-BUCKETS = 1 << 13
-#: Bounds of the training sample.
-NEGATIVES, SAMPLE_DOCS = 4000, 2000
+from tripsight.llm.common import handover
+
+#: Training rows to a task: every optimiser step is a small job.
+ROWS_PER_TASK = 50_000
+#: Steps of log-odds in which held-back paragraphs are counted, and the largest that is told apart.
+ODDS_STEP, MOST_ODDS = 0.01, 36.0
 #: Share of held-back ordinary paragraphs that may pass the threshold, and the threshold's floor.
 ALPHA, FLOOR = 0.001, 0.5
 #: Least part of a template's word triples that a confirmed paragraph holds.
@@ -78,7 +84,7 @@ LOOKALIKES = ["He lost his driver's license on the way to work.", "The museum re
               "The version 2.0 of the plan was reviewed in 2004.", "The public library is free and open to any person.",
               "The terms of the general agreement were modified.", "A license fee is charged for each copy sold.",
               "She has the permission of the owner to restrict access.", "Rights and duties of all members are equal."]
-#: Words that keep a paragraph out of the sample of ordinary ones.
+#: Words that keep a paragraph out of the ordinary ones.
 CUES = r"(?i)licen[sc]|copyright|permission|public domain|all rights|warrant|creative commons"
 
 FAMILIES = ["none", *TEMPLATES]
@@ -96,12 +102,40 @@ def _ngrams(words: Column, n: int) -> Column:
         F.sequence(F.lit(1), F.greatest(top, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))))
 
 
+def _known_rows() -> list[tuple[str, float]]:
+    """The labelled paragraphs: templates, whole and behind openings, and lookalikes."""
+    rows = [(f"{o} {t}".strip(), float(FAMILIES.index(f))) for f, ts in TEMPLATES.items() for t in ts for o in OPENINGS]
+    return rows + [(t, 0.0) for t in LOOKALIKES]
+
+
+def _known_grams() -> list[str]:
+    """Words and word pairs of the labelled paragraphs (ASCII texts, split as ``words_col`` does)."""
+    out = set()
+    for text, _ in _known_rows():
+        words = [w for w in re.split(r"[^a-z0-9.]+|\.(?!\d)", text.lower()) if w]
+        out.update(words, map(" ".join, zip(words, words[1:])))
+    return sorted(out)
+
+
+#: The features, in order.
+GRAMS = _known_grams()
+
+
+def grams_col(words: Column) -> Column:
+    """Distinct words and word pairs among ``GRAMS``, in order."""
+    def of(w: Column) -> Column:
+        # beyond the last word there is none, which gives that word alone once more
+        pairs = F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
+        return F.array_sort(F.array_distinct(F.filter(F.concat(w, pairs), lambda g: g.isin(GRAMS))))
+
+    # bound to a variable, else the plan splits the text once for each mention of the words
+    return F.get(F.transform(F.array(words), of), F.lit(0))
+
+
 def _featured(df: DataFrame) -> DataFrame:
-    """Adds ``features`` for the words in column ``words``: hashed words and word pairs."""
-    pairs = NGram(n=2, inputCol="words", outputCol="pairs").transform(df)
-    both = pairs.withColumn("grams", F.concat("words", "pairs"))
-    return HashingTF(numFeatures=BUCKETS, binary=True, inputCol="grams", outputCol="features").transform(both) \
-        .drop("pairs", "grams")
+    """Adds ``features`` for the grams in column ``grams``."""
+    model = CountVectorizerModel.from_vocabulary(GRAMS, inputCol="grams", outputCol="features")
+    return model.setBinary(True).transform(df)
 
 
 @dataclass
@@ -116,31 +150,44 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return src.where(F.length(F.trim("paragraph")) > 0)
 
 
-def train_licenses(docs: DataFrame, negatives: int = NEGATIVES, sample_docs: int = SAMPLE_DOCS) -> Classifier:
-    """Fit the classifier and its unknown class on templates and a bounded sample of paragraphs."""
+def ordinary_counts(docs: DataFrame) -> DataFrame:
+    """(held, grams, n): how many ordinary paragraphs of all documents have which set of grams."""
+    plain = paragraphs(docs).where(~F.col("paragraph").rlike(CUES))
+    held = F.pmod(F.xxhash64(F.lit(1), "paragraph"), F.lit(4)) == 0
+    return (plain.select(held.alias("held"), words_col(F.col("paragraph")).alias("words"))
+            .select("held", grams_col(F.col("words")).alias("grams"))
+            .groupBy("held", "grams").agg(F.count(F.lit(1)).alias("n")))
+
+
+def train_licenses(docs: DataFrame) -> Classifier:
+    """Fit the classifier on the templates and all ordinary paragraphs, its unknown class on those held back."""
     spark = docs.sparkSession
-    rows = [(f"{o} {t}".strip(), float(FAMILIES.index(f))) for f, ts in TEMPLATES.items() for t in ts for o in OPENINGS]
-    rows += [(t, 0.0) for t in LOOKALIKES]
-    known = spark.createDataFrame(rows, "paragraph string, label double")
-    some = docs.select("doc_id", "text").where(F.col("text").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id") \
-        .limit(sample_docs)
-    plain = (paragraphs(some).where(~F.col("paragraph").rlike(CUES)).select("paragraph")
-             .orderBy(F.xxhash64("paragraph"), "paragraph").limit(negatives)
-             .select("paragraph", F.lit(0.0).alias("label"), F.pmod(F.xxhash64(F.lit(1), "paragraph"), F.lit(4)).alias("fold")))
-    # the bounded sample fits one task; more would only add scheduling to every optimiser step
-    plain = _featured(plain.coalesce(1).withColumn("words", words_col(F.col("paragraph")))).cache()
-    train = _featured(known.withColumn("words", words_col(F.col("paragraph"))))
+    rows = _known_rows()
+    known = spark.createDataFrame(rows, "paragraph string, label double").withColumn("words", words_col(F.col("paragraph")))
+    plain = handover(ordinary_counts(docs), "license-paragraphs")
+    n, groups = plain.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # templates weigh as much as the ordinary paragraphs
-    n = plain.count()
     weight = max(1.0, n / len(rows))
-    fit = (train.select("features", "label", F.lit(weight).alias("w"))
-           .unionByName(plain.where("fold > 0").select("features", "label", F.lit(1.0).alias("w"))))
-    fit = fit.coalesce(1)
+    fit = (known.select(grams_col(F.col("words")).alias("grams"), "label", F.lit(weight).alias("w")).coalesce(1)
+           .unionByName(plain.where(~F.col("held")).select("grams", F.lit(0.0).alias("label"), F.col("n").cast("double").alias("w"))))
+    fit = _featured(fit).select("features", "label", "w").coalesce(1 + groups // ROWS_PER_TASK)
     model = LogisticRegression(maxIter=40, regParam=1e-4, weightCol="w", family="multinomial").fit(fit)
-    held = _likelihood(plain.where("fold = 0"), model)
-    top = held.agg(F.percentile_approx("p", 1 - ALPHA, 100_000)).first()[0]
-    plain.unpersist()
-    return Classifier(model, max(FLOOR, top or 0.0))
+    return Classifier(model, max(FLOOR, _threshold(_likelihood(_featured(plain.where("held")), model))))
+
+
+def _threshold(held: DataFrame) -> float:
+    """The least likelihood (to ``ODDS_STEP``) that at most ``ALPHA`` of the paragraphs counted by ``n`` exceed."""
+    odds = F.ln(F.col("p") / F.greatest(1 - F.col("p"), F.lit(math.exp(-MOST_ODDS))))
+    step = F.ceil(F.least(F.greatest(odds, F.lit(-MOST_ODDS)), F.lit(MOST_ODDS)) / ODDS_STEP)
+    # at most 2 * MOST_ODDS / ODDS_STEP + 1 rows
+    counts = held.groupBy(step.alias("step")).agg(F.sum("n").alias("n")).orderBy(F.desc("step")).collect()
+    may, above, edge = ALPHA * sum(r["n"] for r in counts), 0, None
+    for r in counts:
+        edge = r["step"]
+        above += r["n"]
+        if above > may:
+            break
+    return 0.0 if edge is None else 1 / (1 + math.exp(-edge * ODDS_STEP))
 
 
 def _likelihood(df: DataFrame, model: LogisticRegressionModel) -> DataFrame:
@@ -156,8 +203,9 @@ def _likelihood(df: DataFrame, model: LogisticRegressionModel) -> DataFrame:
 def license_paragraphs(docs: DataFrame, clf: Classifier) -> DataFrame:
     """Licence-like paragraphs: doc_id, place, paragraph, family, p, overlap, confirmed."""
     spark = docs.sparkSession
-    para = paragraphs(docs).withColumn("words", words_col(F.col("paragraph"))).where(F.size("words") >= MIN_WORDS)
-    like = _likelihood(_featured(para), clf.model).where(F.col("p") > clf.threshold)
+    para = paragraphs(docs).withColumn("words", words_col(F.col("paragraph")))
+    like = _likelihood(_featured(para.withColumn("grams", grams_col(F.col("words")))), clf.model) \
+        .where(F.col("p") > clf.threshold).where(F.size("words") >= MIN_WORDS)
     rows = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
     triples = (spark.createDataFrame(rows, "family string, template string")
                .select("family", _ngrams(words_col(F.col("template")), 3).alias("triples"))
@@ -185,5 +233,5 @@ def scan_licenses(docs: DataFrame, clf: Classifier) -> DataFrame:
         "doc_id", "n_paragraphs",
         F.when(F.col("best").isNull(), "none").when(F.col("best.confirmed"), F.col("best.family")).otherwise("unknown")
         .alias("license"),
-        F.col("best.p").alias("probability"), F.coalesce("n_like", F.lit(0)).alias("n_like"),
+        F.round("best.p", 9).alias("probability"), F.coalesce("n_like", F.lit(0)).alias("n_like"),
         F.coalesce("n_confirmed", F.lit(0)).alias("n_confirmed")))
