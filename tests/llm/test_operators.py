@@ -622,7 +622,7 @@ def test_quality_stage_does_not_depend_on_batches(spark, monkeypatch):
 
 def test_license_training_counts_every_ordinary_paragraph(spark):
     from tripsight.llm.licenses import ordinary_counts
-    texts = [(i, f"The general plan {i}\n\nsome free words\nNo license here") for i in range(6000)]
+    texts = [(i, f"The general plan x{i}\n\nsome free words\nNo license here") for i in range(6000)]
     got = {}
     for r in ordinary_counts(frame(spark, texts)).collect():
         got[tuple(r.grams)] = got.get(tuple(r.grams), 0) + r.n
