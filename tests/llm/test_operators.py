@@ -608,6 +608,44 @@ def test_pipeline_stages_bound_the_bytes_of_a_python_batch(spark):
     assert sum(got) > 300 * 100_000 and max(got) <= P.BATCH_BYTES + 200_000
 
 
+_AFTER_A_TASK = """
+import re, sys
+import numpy as np, pyarrow as pa
+from tripsight.llm import decontamination, exact_dedup
+
+def held():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) >> 10
+
+def texts():
+    rng = np.random.default_rng(1)
+    for lo in range(0, 10_000, 1000):
+        norm = [" ".join(map(str, rng.integers(0, 1 << 40, 250))) for _ in range(1000)]
+        ids = list(range(lo, lo + 1000))
+        yield pa.RecordBatch.from_pydict({"doc_id": ids, "norm": norm, "text": norm, "sha": [b"%032d" % i for i in ids]})
+
+exact_dedup.TaskContext = type("Task", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": lambda s: 0})())})
+step = {"owners": exact_dedup._local_owners(exact_dedup.TRIE_BYTES),
+        "scan": decontamination._scan_with(np.full(decontamination.FILTER_BITS // 64, -1), [10])}[sys.argv[1]]
+rows = list(texts())
+for _ in step(iter(rows[:1])):
+    pass
+before = held()
+n = sum(b.num_rows for b in step(iter(rows)))
+print(n, held() - before)
+"""
+
+
+@pytest.mark.parametrize("step", ["owners", "scan"])
+def test_python_steps_of_the_pipeline_give_their_memory_back(step):
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    got = subprocess.run([sys.executable, "-c", _AFTER_A_TASK, step], env=os.environ | {"PYTHONPATH": root}, check=True,
+                         capture_output=True, text=True, timeout=300).stdout.split()
+    assert int(got[0]) >= 10_000 and int(got[1]) < 20  # MB
+
+
 def test_quality_stage_does_not_depend_on_batches(spark, monkeypatch):
     import corpus_pipeline as P
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

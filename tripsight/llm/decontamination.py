@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsight.llm.common import as_long, batch, handover, ngram_hashes, rows_of, word_hashes
+from tripsight.llm.common import as_long, batch, freeing, handover, ngram_hashes, rows_of, word_hashes
 
 #: Words of a seed.
 SEED = 4
@@ -66,6 +66,7 @@ _SEEDS = pa.schema([("item_id", pa.int64()), ("seed", pa.int64()), ("at", pa.int
                     ("item_words", pa.int32())])
 
 
+@freeing
 def _item_seeds(batches):
     for ids, texts in rows_of(batches, "item_id", "text"):
         rows = []
@@ -81,6 +82,7 @@ def _item_seeds(batches):
 _BITS = pa.schema([("word", pa.int64()), ("bits", pa.int64())])
 
 
+@freeing
 def _filter_words(batches):
     """The filter as 64-bit words with at least one bit set."""
     bits = np.zeros(FILTER_BITS, dtype=bool)
@@ -209,6 +211,7 @@ def _align_rows(min_score: float, min_matches: int):
             best = max(best, (int(score[r]), int(hits[r]), some[able[r]][0] + int(end[r])))
         return best
 
+    @freeing
     def run(batches):
         now, doc = None, []
         for ids, items, texts, item_texts, diags in rows_of(batches, "doc_id", "item_id", "text", "item", "diagonals"):
@@ -262,6 +265,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_
 
 def _scan_with(packed: np.ndarray, sizes: list[int]):
     """The scan with its filter: a megabyte in the closure, whatever the benchmark's size."""
+    @freeing
     def run(batches):
         yield from _scan(np.unpackbits(packed.view(np.uint8), bitorder="little").view(bool), sizes)(batches)
 

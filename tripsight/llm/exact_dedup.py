@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsight.llm.common import SPACE_CLASS, batch, handover, parts, rows_of
+from tripsight.llm.common import SPACE_CLASS, batch, freeing, handover, parts, rows_of
 
 #: Bytes of text that one trie holds before it spills (reduce side) or is flushed (scan side).
 TRIE_BYTES = 48 << 20
@@ -182,6 +182,7 @@ def _local_owners(budget: int):
         if out:
             yield batch(_OWNED, **dict(zip(_OWNED.names, map(list, zip(*out)))))
 
+    @freeing
     def run_task(batches):
         task, n = TaskContext.get().partitionId(), 0
         run, trie, interned = [], PatriciaTrie(budget), {}
@@ -207,6 +208,7 @@ _GROUPS = pa.schema([("sha", pa.binary()), ("keep_id", pa.int64()), ("group_size
 def _global_owners(budget: int):
     """Reduce side: full strings of one length-and-hash partition into one spilling trie."""
 
+    @freeing
     def run_task(batches):
         trie = PatriciaTrie(budget, spill=True)
         for ids, norms, copies in rows_of(batches, "owner_id", "norm", "copies"):

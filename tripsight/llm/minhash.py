@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsight.llm.common import (as_long, batch, handover, mix64, ngram_hashes, only_ids, parts, rows_of,
-                                  word_hashes)
+from tripsight.llm.common import (as_long, batch, freeing, handover, mix64, ngram_hashes, only_ids, parts,
+                                  rows_of, word_hashes)
 from tripsight.llm.components import components
 
 #: Words of a shingle; similarity threshold as a ratio of whole numbers.
@@ -92,6 +92,7 @@ _SIG = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.
 _SIG_DDL = "doc_id long, n_shingles long, d1 long, d2 long, sig binary"
 
 
+@freeing
 def _sign(batches):
     for ids, texts in rows_of(batches, "doc_id", "text"):
         for lo in range(0, len(texts), 1024):
@@ -138,6 +139,7 @@ def _as_sig(raws: list[bytes]) -> np.ndarray:
 _KEYS = pa.schema([("band", pa.int64()), ("key", pa.int64()), ("id", pa.int64())])
 
 
+@freeing
 def _bands(batches):
     mult = mix64(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
     for ids, raws in rows_of(batches, "id", "sig"):
@@ -150,6 +152,7 @@ def _bands(batches):
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+@freeing
 def _survivors(batches):
     """Candidate pairs (with both signatures) that pass the sequential test."""
     for a, b, sa, sb in rows_of(batches, "a", "b", "sa", "sb"):
@@ -193,12 +196,14 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
 _SETS = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
 
+@freeing
 def _sets(batches):
     for ids, texts in rows_of(batches, "doc_id", "text"):
         for lo in range(0, len(ids), 1024):
             yield batch(_SETS, id=ids[lo:lo + 1024], set=[shingles(t).tobytes() for t in texts[lo:lo + 1024]])
 
 
+@freeing
 def _across(batches):
     """Links between components within a block, or across two blocks, of one bucket.
 
@@ -233,6 +238,7 @@ def _across(batches):
             yield batch(_PAIRS, a=ok_a, b=ok_b)
 
 
+@freeing
 def _confirm(batches):
     """Pairs whose full sets reach the threshold; rows of one first document mostly come together."""
     now, own = None, None

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tripsight.llm.common import batch, held_out_remainder, mix64, rows_of
+from tripsight.llm.common import batch, freeing, held_out_remainder, mix64, rows_of
 
 #: Hash buckets of the word features.
 BUCKETS = 2048
@@ -249,6 +249,7 @@ _SAMPLE = pa.schema([("y", pa.int32()), ("key", pa.int64()), ("stats", pa.list_(
                      ("idx", pa.list_(pa.int32())), ("val", pa.list_(pa.float32()))])
 
 
+@freeing
 def _sampled(batches):
     for texts, ys, keys in rows_of(batches, "text", "y", "key"):
         x = features(texts)
@@ -284,6 +285,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, mod: int = 4, held_out: in
 
 
 def _scorer(fm: Machine, schema: pa.Schema):
+    @freeing
     def run(batches):
         for b in batches:
             if not b.num_rows:
