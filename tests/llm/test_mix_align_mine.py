@@ -1,6 +1,7 @@
 """Curriculum mixing, cross-tokenizer alignment and hard negatives against brute force."""
 
 import hashlib
+import os
 import random
 from collections import Counter, defaultdict
 from itertools import accumulate
@@ -104,6 +105,62 @@ def test_alignment_small_blocks_and_groups(spark, monkeypatch):
         assert hashlib.sha256(r["groups"].encode()).hexdigest() == r["groups_sha256"] or r["groups"] == ""
 
 
+def test_block_lists_take_the_fewest_bytes():
+    rng = np.random.default_rng(3)
+    for lists in ([rng.integers(0, 200_000, 5000), rng.integers(1, 200, 5000)], [np.arange(70_000), np.arange(65_536)],
+                  [np.zeros(0, np.int64), np.array([255, 0]), np.array([256]), np.array([(1 << 32) - 1])],
+                  [np.array([7]), np.zeros(0, np.int64)]):
+        got = AL.unpacked(AL.packed(*lists))
+        assert [x.tolist() for x in got] == [x.tolist() for x in lists]
+    # a block's links and times are small numbers: a row of it is less than 4 bytes an entry and link
+    block = AL._Block(0, AL.load(A, B), False)
+    words = [f"word{i}" for i in range(3000)]
+    block.add(list(range(20)), [" ".join(words)] * 20)
+    row = block.row().to_pylist()[0]
+    per, local = AL.unpacked(row["links"])
+    assert len(row["links"]) < 3 * (len(per) + len(local)) and len(row["entries"]) < 4 * 20 * 3000
+
+
+def test_alignment_of_a_piece_repeated_beyond_two_bytes(spark):
+    docs = spark.createDataFrame([(0, "again " * 70_000 + "end"), (1, "again"), (2, "end")], "doc_id long, text string")
+    got = {r["doc_id"]: np.array(tuple(r)[1:7]) for r in AL.align(docs, A, B).collect()}
+    assert (got[0] == 70_000 * got[1] + got[2]).all()
+
+
+_AFTER_A_SCAN = """
+import re
+import pyarrow as pa
+from tripsight.llm import alignment as AL
+import public_tokenizers as P
+
+def held():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) >> 10
+
+AL.TaskContext = type("Task", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": lambda s: 0})())})
+step = AL._blocks(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"), False)
+
+def texts(n):
+    for lo in range(0, n, 500):
+        yield pa.RecordBatch.from_pydict({"doc_id": list(range(lo, lo + 500)), "text": [
+            " ".join(f"w{(i * 7919 + k * 104729) % 60000}" for k in range(300)) for i in range(lo, lo + 500)]})
+
+for _ in step(texts(500)):
+    pass
+before = held()
+n = sum(b.num_rows for b in step(texts(3000)))
+print(n, held() - before)
+"""
+
+
+def test_alignment_scan_gives_its_memory_back():
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    got = subprocess.run([sys.executable, "-c", _AFTER_A_SCAN], env=os.environ | {"PYTHONPATH": os.pathsep.join(
+        [root, *sys.path])}, check=True, capture_output=True, text=True, timeout=300).stdout.split()
+    assert int(got[0]) >= 1 and int(got[1]) < 25  # MB
+
+
 def test_alignment_empty_and_repeated(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert AL.align(none, A, B).count() == 0

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripsight.llm.common import batch, handover, parts, rows_of
+from tripsight.llm.common import batch, freeing, handover, parts, rows_of
 
 #: (document, piece) entries, distinct pieces and documents of a block.
 BLOCK_ENTRIES, BLOCK_PIECES, BLOCK_DOCS = 1_000_000, 200_000, 60_000
@@ -218,6 +218,28 @@ def pieces_of(text: str) -> list[str]:
     return pieces
 
 
+def packed(*arrays: np.ndarray) -> bytes:
+    """Lists of whole numbers from 0 below 2^32, each in the fewest bytes that hold all of it (1, 2 or 4).
+
+    Spark sorts blocks whole and holds them more than once, and most of a block are such lists.
+    """
+    out = []
+    for x in arrays:
+        top = int(x.max(initial=0))
+        width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4
+        out += [np.array([len(x), width], dtype="<u4").tobytes(), x.astype(f"<u{width}").tobytes()]
+    return b"".join(out)
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(data):
+        n, width = np.frombuffer(data, "<u4", 2, at).tolist()
+        out.append(np.frombuffer(data, f"<u{width}", n, at + 8).astype(np.int64))
+        at += 8 + n * width
+    return out
+
+
 _BLOCKS = pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("shas", pa.binary()), ("entries", pa.binary()),
                      ("links", pa.binary()), ("pairs", pa.binary()), ("pair_docs", pa.binary()),
                      ("groups", pa.list_(pa.string()))])
@@ -323,13 +345,13 @@ class _Block:
         return batch(
             _BLOCKS, block=[self.number], docs=[figures.tobytes()],
             shas=[b"".join(s or bytes(32) for s in self.shas)],
-            entries=[np.stack([units.astype("<u4"), times.astype("<u4")]).tobytes()],
-            links=[np.concatenate([[len(n_links)], n_links, local]).astype("<u4").tobytes()],
+            entries=[packed(units, times)], links=[packed(n_links, local)],
             pairs=[pairs.astype("<i8").tobytes()], pair_docs=[np.where(keep, held, 0).astype("<i8").tobytes()],
             groups=[self.groups if self.with_groups else None])
 
 
 def _blocks(path_a: str, path_b: str, with_groups: bool):
+    @freeing
     def run(batches):
         voc = load(path_a, path_b)
         task, n = TaskContext.get().partitionId(), 0
@@ -350,6 +372,7 @@ def _blocks(path_a: str, path_b: str, with_groups: bool):
 _ASKED = pa.schema([("block", pa.int64()), ("pair", pa.int64()), ("n", pa.int64())])
 
 
+@freeing
 def _asked(batches):
     for blocks, pairs, docs in rows_of(batches, "block", "pairs", "pair_docs"):
         for b, p, n in zip(blocks, pairs, docs):
@@ -367,6 +390,7 @@ _OUT_DDL = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_bes
             "groups_sha256 string, groups string")
 
 
+@freeing
 def _met(batches):
     """Answers of a block (sorted before it) meet the block."""
     block, pair, n, best = None, [], [], []
@@ -395,9 +419,8 @@ def _met(batches):
 def _finish(row: dict, pair: np.ndarray, n: np.ndarray, best: np.ndarray) -> pa.RecordBatch:
     ids, null, sizes, n_a, n_b, n_groups, n_links = np.frombuffer(row["docs"], dtype="<i8").reshape(7, -1)
     pairs = np.frombuffer(row["pairs"], dtype="<i8")
-    links = np.frombuffer(row["links"], dtype="<u4").astype(np.int64)
-    per, local = links[1:links[0] + 1], links[links[0] + 1:]
-    units, times = np.frombuffer(row["entries"], dtype="<u4").reshape(2, -1).astype(np.int64)
+    per, local = unpacked(row["links"])
+    units, times = unpacked(row["entries"])
     at = np.searchsorted(pairs, pair)
     count, top = np.zeros(len(pairs), dtype=np.int64), np.zeros(len(pairs), dtype=np.int64)
     count[at], top[at] = n, best
