@@ -215,3 +215,37 @@ def test_large_tables_are_spread_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(ML, "MOST_ROWS", 100)
     got = ML.spread(df, 1000).groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(got) > 5 and sum(r["count"] for r in got) == 1000 and max(r["count"] for r in got) < 250
+
+
+def test_searches_of_two_families_equal_single_searches(spark):
+    """The families share folds, features and passes; each result is that of its own search."""
+    train, _ = train_test(spark, SF)
+    spaces = {"gbt_l1": {"rounds": [3], "leaves": [5, 9], "depth": [0], "min_rows": [20]},
+              "gbt_depthwise": {"rounds": [3, 4], "depth": [3]}}
+    both = ML.random_searches(train, A.zones(spark), tuple(spaces), spaces, n_configs=2, n_folds=2)
+    for family, space in spaces.items():
+        one = ML.random_search(train, A.zones(spark), family, space, n_configs=2, n_folds=2)
+        assert (both[family].rows, both[family].best, both[family].cv_mae) == (one.rows, one.best, one.cv_mae)
+        for k, m in one.run.models.items():
+            assert m.nodes.equals(both[family].run.models[k].nodes)
+
+
+def test_stacking_fits_one_feature_state_for_all_bases(spark, monkeypatch):
+    from tripsight.operators.stacking import stacked_predict
+    train, test = train_test(spark, SF)
+    fitted, whole = [], ML.feature_pipeline
+
+    def counting(*args):
+        fitted.append(args)
+        return whole(*args)
+
+    monkeypatch.setattr(ML, "feature_pipeline", counting)
+    stacked_predict(train, test, A.zones(spark))
+    assert len(fitted) == 3  # two folds and all rows
+
+
+def test_requests_of_few_files_are_scored_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ML, "MOST_ROWS", 100)
+    one = spark.range(450).coalesce(1)
+    assert ML.spread_requests(one).rdd.getNumPartitions() == 5
+    assert ML.spread_requests(one.limit(100)).rdd.getNumPartitions() == 1

@@ -35,12 +35,14 @@ def offline_run(spark: SparkSession, sf_dir: str, family: str = "winner", bundle
     path = bundle_path or scratch_path(spark, "bundle")
     run, how = fit_or_load(path, lambda: fitted(spark, sf_dir, family))
     steps.append(("train", "ok", f"{family} {how}"))
-    metrics = {r.target: r.mae for r in EV.regression_metrics(run.predict(test), family).collect()}
+    pred = run.predict(ML.spread(test, counts.get("test", 0), "trip_id")).drop("features").persist()
+    metrics = {r.target: r.mae for r in EV.regression_metrics(pred, family).collect()}
     steps.append(("evaluate", "ok", " ".join(f"{k}_mae={v:.4f}" for k, v in sorted(metrics.items()))))
     top = ML.importances(run).where("rank = 1").collect()
     steps.append(("importances", "ok", " ".join(f"{r.target}:{r.feature}" for r in sorted(top, key=lambda r: r.target))))
-    sl = EV.slice_frame(EV.with_residuals(run.predict(test)), A.zones(spark))
+    sl = EV.slice_frame(EV.with_residuals(pred), A.zones(spark))
     steps.append(("residual_slices", "ok", f"rows={EV.residual_slices(sl).count()}"))
+    pred.unpersist()
     got = load_bundle(path)
     steps.append(("verify_bundle", got["status"], got["detail"] or f"version={got['version']}"))
     if got["status"] != "ok":

@@ -22,6 +22,7 @@ from .. import config as C
 from ..functions.literals import instant_to_ntz, ntz_to_instant
 from ..functions.stats import decimal_mean
 from ..operators import cleaning as CL
+from ..operators.ml import spread_requests
 from ..session import scratch_path
 from ..sources import adapters as A
 from ..sources.tables import table_path
@@ -58,7 +59,7 @@ def stream_score(spark: SparkSession, sf_dir: str, run, version: str = C.DEFAULT
     def write(batch: DataFrame, batch_id: int):
         batch = batch.persist()
         ok = batch.where("valid")
-        pred = run.predict(model_input(ok))
+        pred = run.predict(spread_requests(model_input(ok)))
         (pred.select("request_id",
                      F.greatest("pred_fare", F.lit(C.FARE_FLOOR)).alias("predicted_fare"),
                      F.greatest("pred_duration", F.lit(C.DURATION_FLOOR)).alias("predicted_duration_minutes"),
